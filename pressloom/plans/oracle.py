@@ -76,7 +76,7 @@ FROM pages WHERE page_id % 7 <> 3 AND page_id % 29 <> 0""",
 VIEW_DEPS = {"feed": ["edge"], "state": ["edge"]}
 
 
-def with_views(body: str, *names: str, extra: list[tuple[str, str]] | None = None) -> str:
+def with_views(body: str, *names: str, extra: list[tuple[str, str]] | None = None, recursive: bool = False) -> str:
     """``WITH`` clause holding the named views (and their dependencies), then ``body``."""
     order: list[str] = []
 
@@ -90,7 +90,7 @@ def with_views(body: str, *names: str, extra: list[tuple[str, str]] | None = Non
         add(n)
     parts = [f"{n} AS ({VIEWS[n].strip()})" for n in order]
     parts += [f"{n} AS ({sql.strip()})" for n, sql in (extra or [])]
-    return ("WITH " + ",\n".join(parts) + "\n" + body.strip()) if parts else body.strip()
+    return (("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body.strip()) if parts else body.strip()
 
 
 def lit(s: str) -> str:
