@@ -73,11 +73,12 @@ def summarize(df: DataFrame, keys: Sequence[str], text_col: str, out: str = "sum
 
 
 def error_rows(df: DataFrame, type_col: Column, info_col: Column, url: Column, source: Column, fake: Column,
-               run_ts: dt.datetime) -> DataFrame:
-    """Error record ``(type, url, source_article, from_fake, additional_info, creation_date)``."""
+               run_ts: dt.datetime, keep: Sequence[str] = ()) -> DataFrame:
+    """Error record ``(type, url, source_article, from_fake, additional_info, creation_date)``
+    (plus the ``keep`` columns, e.g. the batch key)."""
     return df.select(type_col.alias("type"), url.alias("url"), source.alias("source_article"),
                      fake.alias("from_fake"), info_col.alias("additional_info"),
-                     ntz_literal(run_ts).alias("creation_date"))
+                     ntz_literal(run_ts).alias("creation_date"), *keep)
 
 
 def link_pages(links: DataFrame, responses: DataFrame) -> DataFrame:
@@ -121,7 +122,8 @@ def build_articles(links: DataFrame, responses: DataFrame, run_ts: dt.datetime,
                       F.concat(F.lit("url not found for "), u, F.lit(", scraped_from: "), F.coalesce(src, F.lit("None")))))
     tagged = joined.withColumn("_err", err_type).withColumn("_info", err_info)
 
-    errors = error_rows(tagged.where(F.col("_err").isNotNull()), F.col("_err"), F.col("_info"), u, src, fake, run_ts)
+    errors = error_rows(tagged.where(F.col("_err").isNotNull()), F.col("_err"), F.col("_info"), u, src, fake, run_ts,
+                        keep=list(key_cols))
 
     ok = tagged.where(F.col("_err").isNull())
     actual = (F.when(F.col("_kind") == KIND_ARCHIVE, arch_url)

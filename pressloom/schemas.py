@@ -62,3 +62,8 @@ CONFIG_SCHEMA = T.StructType([
 ])
 # Saved progress: collector name -> {is_over, data}.
 STATE_FILE_TYPE = "MAP<STRING, STRUCT<is_over: BOOLEAN, data: STRUCT<url: STRING, page: BIGINT, posts: BIGINT>>>"
+
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", _L), T.StructField("ts", _TS), T.StructField("user_id", _L),
+    T.StructField("event_type", _S), T.StructField("value", T.DoubleType()), T.StructField("props", _S),
+])

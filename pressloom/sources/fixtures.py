@@ -25,6 +25,30 @@ def _s(c) -> F.Column:
     return c.cast("string")
 
 
+def events_with_page(events: DataFrame, pages: DataFrame) -> DataFrame:
+    """Events joined with the page whose id is ``event_id % 40`` (works on a stream too)."""
+    # p.page_id = e.event_id % 40 can only hit page ids in [-39, 39]: a bounded side.
+    small = pages.where(F.col("page_id").between(-39, 39)).select("page_id", F.col("url").alias("p_url"))
+    e = events.withColumn("_pk", F.col("event_id") % 40)
+    return e.join(bounded_broadcast(small, 10_000), e["_pk"] == small["page_id"]).drop("_pk", "page_id")
+
+
+def err_rows(ewp: DataFrame) -> DataFrame:
+    """The err view's projection of events joined with pages."""
+    e = F.col("event_id")
+    typ = (F.when(e % 5 == 0, "TimeoutError").when(e % 5 == 1, "ClientConnectorError")
+           .when(e % 5 == 2, "HttpStatusError").when(e % 5 == 3, "ClientPayloadError").otherwise("clienterror"))
+    url = F.when(e % 17 == 0, F.concat(F.lit("http://gone.example.org/"), _s(e % 51))).otherwise(F.col("p_url"))
+    src = F.when(e % 19 == 0, F.lit(None).cast("string")) \
+           .otherwise(F.concat(F.lit("https://feed"), _s(e % 3), F.lit(".example.com/")))
+    created = F.when(e % 23 == 0, F.lit(None).cast("timestamp_ntz")) \
+               .otherwise(F.date_trunc("day", F.col("ts")).cast("timestamp_ntz"))
+    return (ewp.where(F.col("event_type") == "error")
+            .select(typ.alias("type"), url.alias("url"), src.alias("source_article"),
+                    (e % 3 == 0).alias("from_fake"), F.col("props").alias("additional_info"),
+                    created.alias("creation_date")))
+
+
 class Views:
     """Lazily built views over one scale-factor directory."""
 
@@ -86,27 +110,13 @@ class Views:
                                  url.alias("url"), F.col("url").alias("visited_url"),
                                  F.col("html").alias("text"), (p % 3 == 0).alias("fake"))
 
-    def _events_with_page(self) -> DataFrame:
-        # p.page_id = e.event_id % 40 can only hit page ids in [-39, 39]: a bounded side.
-        small = self.pages.where(F.col("page_id").between(-39, 39)).select("page_id", F.col("url").alias("p_url"))
-        e = self.events.withColumn("_pk", F.col("event_id") % 40)
-        return e.join(bounded_broadcast(small, 10_000), e["_pk"] == small["page_id"]).drop("_pk", "page_id")
+    def _events_with_page(self, events: DataFrame | None = None) -> DataFrame:
+        return events_with_page(events if events is not None else self.events, self.pages)
 
     # view: err -- stored errors; creation_date has ties and nulls
     @cached_property
     def err(self) -> DataFrame:
-        e = F.col("event_id")
-        typ = (F.when(e % 5 == 0, "TimeoutError").when(e % 5 == 1, "ClientConnectorError")
-               .when(e % 5 == 2, "HttpStatusError").when(e % 5 == 3, "ClientPayloadError").otherwise("clienterror"))
-        url = F.when(e % 17 == 0, F.concat(F.lit("http://gone.example.org/"), _s(e % 51))).otherwise(F.col("p_url"))
-        src = F.when(e % 19 == 0, F.lit(None).cast("string")) \
-               .otherwise(F.concat(F.lit("https://feed"), _s(e % 3), F.lit(".example.com/")))
-        created = F.when(e % 23 == 0, F.lit(None).cast("timestamp_ntz")) \
-                   .otherwise(F.date_trunc("day", F.col("ts")).cast("timestamp_ntz"))
-        return (self._events_with_page().where(F.col("event_type") == "error")
-                .select(typ.alias("type"), url.alias("url"), src.alias("source_article"),
-                        (e % 3 == 0).alias("from_fake"), F.col("props").alias("additional_info"),
-                        created.alias("creation_date")))
+        return err_rows(self._events_with_page())
 
     # view: post -- forum posts
     @cached_property
