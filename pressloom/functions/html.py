@@ -18,7 +18,7 @@ TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 NOISE_RE = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<nav.*?</nav>|<footer.*?</footer>"
 ARTICLE_RE = r"(?is)<article[^>]*>(.*)</article>"
 BODY_RE = r"(?is)<body[^>]*>(.*)</body>"
-BLOCK_END_RE = r"(?i)</p>|<br\s*/?>|</h[1-6]>|</li>|</div>"
+BLOCK_END_RE = r"(?i)</p>|<p\b[^>]*>|<br\s*/?>|</h[1-6]>|</li>|</div>"
 TAG_RE = r"(?s)<[^>]*>"
 BLANK_LINES_RE = "[ \t]*\n[\n \t]*"
 HTML_LANG_RE = r'(?is)<html[^>]*\blang="([^"]*)"'

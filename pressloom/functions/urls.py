@@ -19,6 +19,10 @@ _UNSAFE = r"[\t\r\n]"
 NETLOC_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 PATH_RE = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
 PARAMS_RE = r";[^/]*\z"
+SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
+# Schemes whose last path segment carries ";params" (urllib.parse.uses_params).
+USES_PARAMS = ["", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp", "rtsps", "rtspu",
+               "sip", "sips", "mms", "sftp", "tel"]
 
 # Link kinds recognised by their start (case-sensitive, no "www.").
 ARCHIVE_LINK_RE = r"^https?://archive[.]"
@@ -44,8 +48,12 @@ def maintain_netloc(c) -> Column:
 
 
 def maintain_path(c) -> Column:
-    """Path without query, fragment and the last segment's ``;params``."""
-    return F.regexp_replace(F.regexp_extract(_clean(_c(c)), PATH_RE, 1), PARAMS_RE, "")
+    """Path without query, fragment and the last segment's ``;params``
+    (params are split only for the schemes that use them)."""
+    u = _clean(_c(c))
+    raw = F.regexp_extract(u, PATH_RE, 1)
+    scheme = F.lower(F.regexp_extract(u, SCHEME_RE, 1))
+    return F.when(scheme.isin(*USES_PARAMS), F.regexp_replace(raw, PARAMS_RE, "")).otherwise(raw)
 
 
 def remove_prefix(c) -> Column:

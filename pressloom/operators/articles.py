@@ -68,7 +68,7 @@ def summarize(df: DataFrame, keys: Sequence[str], text_col: str, out: str = "sum
     joined = base.join(best, keys, "left")
     all_s = sentences(F.col(text_col))
     summary = F.array_join(F.transform(F.coalesce(F.col("_best"), F.array().cast("array<int>")),
-                                       lambda p: F.element_at(all_s, p + 1)), " ")
+                                       lambda p: F.try_element_at(all_s, p + 1)), " ")
     return joined.withColumn(out, summary).drop("_best")
 
 

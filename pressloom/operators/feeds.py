@@ -85,7 +85,7 @@ def hrefs(html: Column, selector: str) -> Column:
 
 def first_href(html: Column, selector: str) -> Column:
     """Href of the first matched anchor, else null."""
-    return F.element_at(hrefs(html, selector), 1)
+    return F.try_element_at(hrefs(html, selector), F.lit(1))
 
 
 def resolve_href(href: Column, page_url: Column) -> Column:

@@ -7,7 +7,7 @@ in DuckDB on the same parquet tables and compares results.
 from __future__ import annotations
 
 from pressloom.functions.text import PY_SPACE, TITLE_SEPARATORS, HTML_ENTITIES, MAX_TITLE
-from pressloom.functions.urls import (NETLOC_RE, PATH_RE, PARAMS_RE, ARCHIVE_LINK_RE, WEB_ARCHIVE_LINK_RE,
+from pressloom.functions.urls import (NETLOC_RE, PATH_RE, PARAMS_RE, SCHEME_RE, USES_PARAMS, ARCHIVE_LINK_RE, WEB_ARCHIVE_LINK_RE,
                                       ENCODED_URL_RE, FORUM_DOMAIN)
 
 VIEWS = {
@@ -150,7 +150,11 @@ def maintain_netloc(x: str) -> str:
 
 
 def maintain_path(x: str) -> str:
-    return f"regexp_replace(regexp_extract({_clean(x)}, {lit(PATH_RE)}, 1), {lit(PARAMS_RE)}, '')"
+    u = _clean(x)
+    raw = f"regexp_extract({u}, {lit(PATH_RE)}, 1)"
+    schemes = ", ".join(lit(s) for s in USES_PARAMS)
+    return (f"CASE WHEN lower(regexp_extract({u}, {lit(SCHEME_RE)}, 1)) IN ({schemes}) "
+            f"THEN regexp_replace({raw}, {lit(PARAMS_RE)}, '') ELSE {raw} END")
 
 
 def remove_prefix(x: str) -> str:

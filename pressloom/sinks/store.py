@@ -96,8 +96,9 @@ def store_articles(articles: DataFrame, path: str, run_ts: dt.datetime) -> tuple
     # rows of the batches being (re)written do not count as "already stored"
     previous = stored_before.join(batches, "batch_id", "left_anti")
     accepted, refused = split_by_constraints(articles, previous.select("url"), run_ts)
-    # the table is read by the check above: materialise before overwriting its partitions
-    write_batches(cut_lineage(accepted), path, ARTICLE_SCHEMA)
+    # the table is read by the check above: materialise both outputs before overwriting its partitions
+    accepted, refused = cut_lineage(accepted), cut_lineage(refused)
+    write_batches(accepted, path, ARTICLE_SCHEMA)
     stored = spark.read.parquet(path).join(batches, "batch_id", "left_semi")
     return stored, refused
 
