@@ -18,6 +18,7 @@ from pyspark.sql import Window
 from pressloom.functions import html as H
 from pressloom.functions.text import (correct_title, min_words_or_none, remove_newlines, truncate_title,
                                       value_or_none)
+from pressloom.operators.common import bounded_broadcast
 from pressloom.functions.urls import (KIND_ARCHIVE, KIND_WEB_ARCHIVE, link_kind, maintain_path, site_key,
                                       web_archive_target)
 from pressloom.schemas import ARTICLE_COLUMNS, ERROR_COLUMNS
@@ -57,15 +58,20 @@ def summarize(df: DataFrame, keys: Sequence[str], text_col: str, out: str = "sum
     """
     keys = list(keys)
     base = df.repartition(*keys)
-    sents = base.select(*keys, F.posexplode(sentences(F.col(text_col))).alias("_pos", "_s"))
-    ws = sents.select(*keys, "_pos", F.explode(words(F.col("_s"))).alias("_w"))
+    # *_outer generators: no filter is inferred below the exchange, so both uses of
+    # ``base`` share one shuffle (ReusedExchange) and the text is computed once
+    sents = base.select(*keys, F.posexplode_outer(sentences(F.col(text_col))).alias("_pos", "_s"))
+    ws = sents.select(*keys, "_pos", F.explode_outer(words(F.col("_s"))).alias("_w")).where(F.col("_w").isNotNull())
     freq = ws.withColumn("_f", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_w")))
     scored = freq.groupBy(*keys, "_pos").agg(F.sum("_f").alias("_tot"), F.count(F.lit(1)).alias("_nw"))
     scored = scored.withColumn("_score", F.expr(f"(_tot * {SCORE_SCALE}) div _nw"))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_score").desc(), F.col("_pos")))
     best = (scored.withColumn("_r", rank).where(F.col("_r") <= n)
-            .groupBy(*keys).agg(F.array_sort(F.collect_list("_pos")).alias("_best")))
-    joined = base.join(best, keys, "left")
+            .groupBy(*keys).agg(F.array_sort(F.collect_list("_pos")).alias("_best"))
+            .select(*[F.col(k).alias("_k_" + k) for k in keys], "_best"))
+    # null-safe keys: no not-null filter is inferred into one copy of ``base``
+    cond = [base[k].eqNullSafe(best["_k_" + k]) for k in keys]
+    joined = base.join(best, cond, "left").drop(*["_k_" + k for k in keys])
     all_s = sentences(F.col(text_col))
     summary = F.array_join(F.transform(F.coalesce(F.col("_best"), F.array().cast("array<int>")),
                                        lambda p: F.try_element_at(all_s, p + 1)), " ")
@@ -81,13 +87,27 @@ def error_rows(df: DataFrame, type_col: Column, info_col: Column, url: Column, s
                      ntz_literal(run_ts).alias("creation_date"), *keep)
 
 
+# Links broadcast to the page scan when a batch has at most this many rows (~200 bytes each).
+LINKS_BROADCAST_MAX_ROWS = 500_000
+
+
 def link_pages(links: DataFrame, responses: DataFrame) -> DataFrame:
-    """Attach each link's response (left join on url); status/html stay null when none came back."""
-    r = responses.select(F.col("url").alias("_rurl"),
-                         (F.col("status") if "status" in responses.columns else F.lit(200)).alias("status"),
-                         F.col("html"))
-    return links.join(r, links["url"] == r["_rurl"], "left").withColumn("_has_resp", F.col("_rurl").isNotNull()) \
-                .drop("_rurl")
+    """Attach each link's response; ``_has_resp`` false (status/html null) when none came back.
+
+    The html column is the largest in the system, so it must not be shuffled:
+    a link batch of checked size is broadcast and the pages are joined where
+    they are read; links without a response come from an anti join that reads
+    only the page urls. Above the bound this is an ordinary shuffle join.
+    """
+    status = F.col("status") if "status" in responses.columns else F.lit(200)
+    r = responses.select(F.col("url").alias("_rurl"), status.alias("status"), F.col("html"))
+    lk = bounded_broadcast(links, LINKS_BROADCAST_MAX_ROWS)
+    matched = r.join(lk, r["_rurl"] == lk["url"]).drop("_rurl").withColumn("_has_resp", F.lit(True))
+    urls = responses.select(F.col("url").alias("_rurl")).where(F.col("_rurl").isNotNull())
+    missing = (lk.join(urls, lk["url"] == urls["_rurl"], "left_anti")
+               .withColumn("status", F.lit(None).cast(r.schema["status"].dataType))
+               .withColumn("html", F.lit(None).cast("string")).withColumn("_has_resp", F.lit(False)))
+    return matched.unionByName(missing.select(*matched.columns))
 
 
 def build_articles(links: DataFrame, responses: DataFrame, run_ts: dt.datetime,

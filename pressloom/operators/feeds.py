@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from pressloom.functions.text import py_strip
 from pressloom.operators.common import bounded_broadcast, cut_lineage
 
+# A round's live feeds are broadcast to the edge scan up to this many rows.
+FRONTIER_BROADCAST_MAX_ROWS = 1_000_000
+
 ANCHOR_RE = r"(?is)<a\b([^>]*)>"
 HREF_RE = r'(?is)\bhref="([^"]*)"'
 STRIP_TAGS_RE = r"(?s)<[^>]*>"
@@ -123,25 +126,27 @@ def walk_feed(feeds: DataFrame, edges: DataFrame, max_rounds: int | None = None)
     """
     frontier = feeds.select("name", "url", F.col("stop_after").cast("long").alias("remaining"),
                             F.lit(0).cast("long").alias("round"))
-    e = edges.select(F.col("page_url"), F.col("next_url"))
-    visited = frontier.select("name", "url")
+    # the edge table is read once per round: materialise it once (two narrow columns)
+    e = cut_lineage(edges.select(F.col("page_url"), F.col("next_url")))
+    visited = None
     out: list[DataFrame] = []
     rnd = 0
-    while True:
+    while max_rounds is None or rnd < max_rounds:
         frontier = cut_lineage(frontier)
-        if frontier.isEmpty() or (max_rounds is not None and rnd >= max_rounds):
+        n = frontier.count()
+        if n == 0:
             break
-        f = bounded_broadcast(frontier)
-        read = f.join(e, f["url"] == e["page_url"]).select(
+        f = F.broadcast(frontier) if n <= FRONTIER_BROADCAST_MAX_ROWS else frontier
+        read = cut_lineage(f.join(e, f["url"] == e["page_url"]).select(
             "name", "round", "page_url", "remaining", "next_url",
-            (F.col("next_url").isNull() | (F.col("remaining") == 0)).alias("is_over"))
-        read = cut_lineage(read)
+            (F.col("next_url").isNull() | (F.col("remaining") == 0)).alias("is_over")))
         out.append(read)
+        # the visited set is the union of checkpointed frontiers: short lineage without another write
+        visited = frontier.select("name", "url") if visited is None else visited.unionByName(frontier.select("name", "url"))
         frontier = (read.where(~F.col("is_over"))
                     .select("name", F.col("next_url").alias("url"), (F.col("remaining") - 1).alias("remaining"),
                             (F.col("round") + 1).alias("round"))
                     .join(visited, ["name", "url"], "left_anti"))
-        visited = cut_lineage(visited.unionByName(frontier.select("name", "url")))
         rnd += 1
     if not out:
         return feeds.sparkSession.createDataFrame(
