@@ -23,7 +23,7 @@ from pressloom.operators.labels import build_label_dim, label_lookup
 from pressloom.operators.rules import Rules, default_url_checker
 from pressloom.sinks import store
 from pressloom.sources import config as cf
-from pressloom.operators.common import global_row_number
+from pressloom.operators.common import cut_lineage, global_row_number
 
 
 @dataclass
@@ -33,8 +33,12 @@ class Prepared:
 
 
 def prepare_rules(sources: DataFrame, rules_config: Mapping | None, order_col: str | None = "source_id") -> Prepared:
-    """P5: label dimension (A1 -> E3), admission closure over it (D1), then configured rules."""
-    dim = build_label_dim(sources, order_col)
+    """P5: label dimension (A1 -> E3), admission closure over it (D1), then configured rules.
+
+    The dimension is built once per job and materialised, since every batch
+    (and every micro-batch of a stream) looks links up in it.
+    """
+    dim = cut_lineage(build_label_dim(sources, order_col))
     return Prepared(dim=dim, rules=Rules.from_config(rules_config, url_check=default_url_checker("_label")))
 
 
@@ -53,6 +57,8 @@ def dispatch_batch(links: DataFrame, responses: DataFrame, prep: Prepared,
     """
     admitted = admit_links(links, prep)
     arts, errors = ar.build_articles(admitted, responses, run_ts)
+    # parsing is the expensive step: materialise its output once for the de-dup rounds and the result
+    arts = cut_lineage(arts)
     unique = dedup_title_or_url(arts)
     lab = label_lookup(unique, prep.dim, "url", "_label")
     archived = F.col("url") != F.col("visited_url")

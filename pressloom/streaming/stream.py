@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pressloom.operators import errors as er
 from pressloom.plans.jobs import Outputs, Prepared, dispatch_batch, _store
-from pressloom.schemas import ERROR_SCHEMA, LINK_SCHEMA
+from pressloom.schemas import ERROR_SCHEMA, LINK_SCHEMA, STATE_SCHEMA
 from pressloom.sinks import store
 from pressloom.sources import config as cf
 
@@ -38,31 +38,35 @@ class StreamContext:
     states: DataFrame | None = None  # M3: states produced with the links, if any
 
 
+def save_progress(spark: SparkSession, states: DataFrame, state_dir: str, epoch: int) -> str:
+    """Merge this epoch's collector states over the previous version; write version ``epoch``.
+
+    Reads version ``epoch - 1`` and writes a new directory, so a retried epoch
+    rewrites only its own version and never the one it reads.
+    """
+    cols = ["name", "is_over", "data"]
+    old = store.read_table_or_empty(spark, f"{state_dir.rstrip('/')}/v={epoch - 1:06d}", STATE_SCHEMA).select(*cols) \
+        if epoch > 0 else states.select(*cols).limit(0)
+    return store.write_version(cf.upsert_state(old, states.select(*cols)), state_dir, epoch)
+
+
 def process_batch(links: DataFrame, epoch_id: int, ctx: StreamContext) -> DataFrame:
     """M1 body for one micro-batch of ``link`` rows; returns the stored articles."""
+    spark = links.sparkSession
     arts, errors = dispatch_batch(links, ctx.responses, ctx.prep, ctx.run_ts)
     stored = _store(arts, errors, ctx.out, ctx.run_ts)
-    if ctx.states is not None:  # M3: store progress after the articles (not before)
-        batch_names = ctx.states.join(links.select(F.col("batch_id")).distinct(), "batch_id", "left_semi") \
+    if ctx.states is not None:  # M3: progress is stored after the articles (not before)
+        mine = ctx.states.join(links.select("batch_id").distinct(), "batch_id", "left_semi") \
             if "batch_id" in ctx.states.columns else ctx.states
-        old = store.read_table_or_empty(links.sparkSession, f"{ctx.out.state}/v={epoch_id - 1:06d}",
-                                        _state_schema()).select("name", "is_over", "data") \
-            if epoch_id > 0 else batch_names.select("name", "is_over", "data").limit(0)
-        store.write_version(cf.upsert_state(old, batch_names.select("name", "is_over", "data")), ctx.out.state, epoch_id)
-    if ctx.restoring and ctx.errors_versions:  # M4
-        current = store.read_table_or_empty(links.sparkSession, f"{ctx.errors_versions}/v={epoch_id:06d}",
-                                            ERROR_SCHEMA)
-        store.write_version(er.delete_restored_errors(current.select(*[f.name for f in ERROR_SCHEMA.fields]),
-                                                      stored.select("url")),
+        save_progress(spark, mine, ctx.out.state, epoch_id)
+    if ctx.restoring and ctx.errors_versions:  # M4: each stored url deletes its errors
+        current = store.read_table_or_empty(spark, f"{ctx.errors_versions}/v={epoch_id:06d}", ERROR_SCHEMA)
+        cols = [f.name for f in ERROR_SCHEMA.fields]
+        store.write_version(er.delete_restored_errors(current.select(*cols), stored.select("url")),
                             ctx.errors_versions, epoch_id + 1)
     return stored
 
 
-def _state_schema():
-    from pressloom.schemas import STATE_SCHEMA
-    return STATE_SCHEMA
-
-
 def start_article_stream(spark: SparkSession, links_dir: str, ctx: StreamContext, checkpoint: str,
                          available_now: bool = True) -> StreamingQuery:
     """M1: process every link file that arrives in ``links_dir``."""
