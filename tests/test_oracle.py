@@ -13,8 +13,6 @@ from conftest import SF_SMALL
 
 # Queries without an SQL oracle (rows-only in the driver's check), and why.
 NO_ORACLE = {
-    "feed_links": "empty on the driver tables (their nav links are relative words no page answers); "
-                  "covered by tests/test_pipeline.py::test_walk_feed_links_and_errors",
     "collect_job": "end-to-end job with writes; its parts each have an oracle",
     "restore_job": "end-to-end job with writes; its parts each have an oracle",
     "stream_delete": "versioned error table after restoring epochs; E6 and the dispatch each have an oracle",
