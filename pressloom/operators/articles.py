@@ -18,7 +18,7 @@ from pyspark.sql import Window
 from pressloom.functions import html as H
 from pressloom.functions.text import (correct_title, min_words_or_none, remove_newlines, truncate_title,
                                       value_or_none)
-from pressloom.operators.common import bounded_broadcast
+from pressloom.operators.common import bounded_broadcast, cut_lineage
 from pressloom.functions.urls import (KIND_ARCHIVE, KIND_WEB_ARCHIVE, link_kind, maintain_path, site_key,
                                       web_archive_target)
 from pressloom.schemas import ARTICLE_COLUMNS, ERROR_COLUMNS
@@ -55,9 +55,16 @@ def summarize(df: DataFrame, keys: Sequence[str], text_col: str, out: str = "sum
     One shuffle: rows are hash-partitioned by ``keys`` once; every later window,
     aggregate and the final join are keyed by ``keys`` (plus more columns) and
     reuse that partitioning, and only sentence positions travel, never text.
+    Pass only the columns the caller needs (ideally keys and text): every
+    column of ``df`` travels through that one shuffle.
     """
     keys = list(keys)
-    base = df.repartition(*keys)
+    has_keys = F.lit(True)
+    for k in keys:
+        has_keys = has_keys & F.col(k).isNotNull()
+    # keys are known non-null below the shuffle, so the join adds no filter to one copy of ``base``
+    # and both uses share the exchange; rows without a key cannot be grouped and get ''
+    base = df.where(has_keys).repartition(*keys)
     # *_outer generators: no filter is inferred below the exchange, so both uses of
     # ``base`` share one shuffle (ReusedExchange) and the text is computed once
     sents = base.select(*keys, F.posexplode_outer(sentences(F.col(text_col))).alias("_pos", "_s"))
@@ -67,15 +74,13 @@ def summarize(df: DataFrame, keys: Sequence[str], text_col: str, out: str = "sum
     scored = scored.withColumn("_score", F.expr(f"(_tot * {SCORE_SCALE}) div _nw"))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("_score").desc(), F.col("_pos")))
     best = (scored.withColumn("_r", rank).where(F.col("_r") <= n)
-            .groupBy(*keys).agg(F.array_sort(F.collect_list("_pos")).alias("_best"))
-            .select(*[F.col(k).alias("_k_" + k) for k in keys], "_best"))
-    # null-safe keys: no not-null filter is inferred into one copy of ``base``
-    cond = [base[k].eqNullSafe(best["_k_" + k]) for k in keys]
-    joined = base.join(best, cond, "left").drop(*["_k_" + k for k in keys])
+            .groupBy(*keys).agg(F.array_sort(F.collect_list("_pos")).alias("_best")))
+    joined = base.join(best, keys, "left")
     all_s = sentences(F.col(text_col))
     summary = F.array_join(F.transform(F.coalesce(F.col("_best"), F.array().cast("array<int>")),
                                        lambda p: F.try_element_at(all_s, p + 1)), " ")
-    return joined.withColumn(out, summary).drop("_best")
+    keyless = df.where(~has_keys).withColumn(out, F.lit(""))
+    return joined.withColumn(out, summary).drop("_best").unionByName(keyless)
 
 
 def error_rows(df: DataFrame, type_col: Column, info_col: Column, url: Column, source: Column, fake: Column,
@@ -142,16 +147,15 @@ def build_articles(links: DataFrame, responses: DataFrame, run_ts: dt.datetime,
                       F.concat(F.lit("url not found for "), u, F.lit(", scraped_from: "), F.coalesce(src, F.lit("None")))))
     tagged = joined.withColumn("_err", err_type).withColumn("_info", err_info)
 
-    errors = error_rows(tagged.where(F.col("_err").isNotNull()), F.col("_err"), F.col("_info"), u, src, fake, run_ts,
-                        keep=list(key_cols))
-
-    ok = tagged.where(F.col("_err").isNull())
+    # every html-derived value in one projection; html itself is dropped here and the result
+    # is materialised once, so pages are parsed once for both outputs
     actual = (F.when(F.col("_kind") == KIND_ARCHIVE, arch_url)
               .when(F.col("_kind") == KIND_WEB_ARCHIVE, F.col("_target")).otherwise(u))
-    html = F.col("html")
-    fields = ok.select(
-        *key_cols,
-        F.col("url").alias("visited_url"), actual.alias("_actual"), src.alias("scraped_from"), fake.alias("fake"),
+    html = F.when(F.col("_err").isNull(), F.col("html"))
+    keys = list(key_cols)
+    wide = tagged.select(
+        *keys, "_err", "_info", u.alias("url"), src.alias("scraped_from"), fake.alias("fake"),
+        F.col("url").alias("visited_url"), actual.alias("_actual"),
         correct_title(truncate_title(H.page_title(html)), H.title_tag_text(html)).alias("title"),
         remove_newlines(H.page_text(html)).alias("text"),
         min_words_or_none(H.meta_description(html), 1).alias("description"),
@@ -159,7 +163,14 @@ def build_articles(links: DataFrame, responses: DataFrame, run_ts: dt.datetime,
         H.page_videos(html).alias("videos"), H.page_lang(html).alias("lang"),
         H.page_keywords(html).alias("keywords"), H.page_section(html).alias("section"),
         H.page_publish_date(html).alias("publish_date"), H.page_generator(html).alias("generator"))
-    summed = summarize(fields, list(key_cols), "text", "_summary")
+    wide = cut_lineage(wide)
+
+    errors = error_rows(wide.where(F.col("_err").isNotNull()), F.col("_err"), F.col("_info"), u, src, fake, run_ts,
+                        keep=keys)
+    fields = wide.where(F.col("_err").isNull()).drop("_err", "_info", "url")
+    # the summary shuffles (key, text) once; joined back on the key, which keeps its partitioning
+    summ = summarize(fields.select(*keys, "text"), keys, "text", "_summary").select(*keys, "_summary")
+    summed = fields.join(summ, keys, "left")
     articles = summed.select(
         *key_cols,
         "title", "text", "description", F.col("_actual").alias("url"), "visited_url", "scraped_from",
