@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pressloom.schemas import ARTICLE_SCHEMA, ERROR_COLUMNS, ERROR_SCHEMA
-from pressloom.operators.common import cut_lineage
+from pressloom.operators.common import bounded_broadcast, cut_lineage
 from pressloom.sources.tables import ntz_literal
 
+# A batch's urls are broadcast to the stored-url scan up to this many rows.
+BATCH_URLS_BROADCAST_MAX_ROWS = 1_000_000
+
 # Error kinds of refused rows (named as the store's driver names them).
 UNIQUE_VIOLATION, NOT_NULL_VIOLATION = "UniqueViolationError", "NotNullViolationError"
 
@@ -54,7 +57,10 @@ def split_by_constraints(articles: DataFrame, stored_urls: DataFrame | None, run
     firsts = first.select(*[F.col("_first")[c].alias(c) for c in order], F.col("url").alias("_fu"))
     ranked = nonnull.join(firsts, [*order], "left").withColumn("_is_first", F.col("_fu").isNotNull()).drop("_fu")
     if stored_urls is not None:
-        st = stored_urls.select(F.col("url").alias("_su")).where(F.col("_su").isNotNull()).distinct()
+        # the store grows without bound while a batch is small: ship the batch's urls (size-checked) to
+        # the store's url scan and bring back only the hits, instead of shuffling every stored url
+        mine = bounded_broadcast(nonnull.select(F.col("url").alias("_su")).distinct(), BATCH_URLS_BROADCAST_MAX_ROWS)
+        st = stored_urls.select(F.col("url").alias("_su")).join(mine, "_su", "left_semi").distinct()
         ranked = ranked.join(st, ranked["url"] == st["_su"], "left").withColumn("_stored", F.col("_su").isNotNull()) \
                        .drop("_su")
     else:
