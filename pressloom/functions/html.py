@@ -26,6 +26,7 @@ IMG_RE = r'(?is)<img[^>]*\bsrc="([^"]*)"'
 VIDEO_RE = r'(?is)<(?:video|iframe|embed|source)[^>]*\bsrc="([^"]*)"'
 ARCHIVE_HEADER_INPUT_RE = r'(?is)id="HEADER"[^>]*>\s*<table[^>]*>.*?<input([^>]*)>'
 VALUE_ATTR_RE = r'(?is)\bvalue="([^"]*)"'
+META_TAG_RE = r"(?is)<meta[^>]*>"
 DATE_RE = r"^\s*([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[T ]([0-9]{2}:[0-9]{2}(?::[0-9]{2})?))?"
 
 
@@ -70,11 +71,21 @@ def page_text(html) -> Column:
     return decode_entities(t)
 
 
+def meta_tags(html) -> Column:
+    """All ``<meta ...>`` tags of the page, in order (one pass over the html)."""
+    return F.regexp_extract_all(_c(html), F.lit(META_TAG_RE), F.lit(0))
+
+
 def meta_content(html, spec: tuple[str, str]) -> Column:
-    """Content of the first matching meta tag, or null when there is none."""
+    """Content of the first meta tag with ``attr="name"`` before ``content`` (else the first with
+    the attributes the other way round), or null when there is none. Matches run over the
+    extracted tags, not the whole page."""
     a, b = meta_re(*spec)
-    h = _c(html)
-    return F.when(h.rlike(a), F.regexp_extract(h, a, 1)).when(h.rlike(b), F.regexp_extract(h, b, 1))
+    tags = meta_tags(html)
+    first_a = F.try_element_at(F.filter(tags, lambda t: t.rlike(a)), F.lit(1))
+    first_b = F.try_element_at(F.filter(tags, lambda t: t.rlike(b)), F.lit(1))
+    return (F.when(first_a.isNotNull(), F.regexp_extract(first_a, a, 1))
+            .when(first_b.isNotNull(), F.regexp_extract(first_b, b, 1)))
 
 
 def meta_description(html) -> Column:
@@ -124,7 +135,8 @@ def page_videos(html) -> Column:
 
 def page_authors(html) -> Column:
     a, _ = meta_re(*META_AUTHOR)
-    return F.array_distinct(check_strings(_all(html, a)))
+    found = F.transform(F.filter(meta_tags(html), lambda t: t.rlike(a)), lambda t: F.regexp_extract(t, a, 1))
+    return F.array_distinct(check_strings(found))
 
 
 def archive_original_url(html) -> tuple[Column, Column]:

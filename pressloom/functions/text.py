@@ -88,7 +88,8 @@ def correct_title(title, title_tag_text) -> Column:
 
 
 def decode_entities(c) -> Column:
+    """Literal (not regex) replacement of the fixed entities, ``&amp;`` last."""
     out = _c(c)
     for ent, ch in HTML_ENTITIES:
-        out = F.regexp_replace(out, ent, ch)
+        out = F.replace(out, F.lit(ent), F.lit(ch))
     return out

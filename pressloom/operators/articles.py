@@ -29,8 +29,7 @@ from pressloom.sources.tables import (ARCHIVED_URL_NOT_FOUND, HTTP_STATUS_ERROR,
 SUMMARY_SENTENCES = 5
 SCORE_SCALE = 1_000_000
 SENTENCE_END_RE = "([.!?])[ \t]+"
-WORD_SPLIT_RE = "[ \t]+"
-WORD_EDGE_RE = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+\z"
+WORD_SPLIT_RE = r"[^\p{L}\p{N}]+"
 
 
 def sentences(text: Column) -> Column:
@@ -39,9 +38,8 @@ def sentences(text: Column) -> Column:
 
 
 def words(sentence: Column) -> Column:
-    """Lower-cased words, punctuation trimmed at both ends, empty ones dropped."""
-    toks = F.transform(F.split(sentence, WORD_SPLIT_RE, -1), lambda w: F.lower(F.regexp_replace(w, WORD_EDGE_RE, "")))
-    return F.filter(toks, lambda w: w != "")
+    """Words = maximal runs of letters and digits of the lower-cased sentence (one split per sentence)."""
+    return F.filter(F.split(F.lower(sentence), WORD_SPLIT_RE, -1), lambda w: w != "")
 
 
 def summarize(df: DataFrame, keys: Sequence[str], text_col: str, out: str = "summary",

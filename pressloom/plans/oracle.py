@@ -228,10 +228,16 @@ def page_text(x: str) -> str:
     return f"(list_transform([{clean}], lambda c: {decode_entities(t)}))[1]"
 
 
+def meta_tags(x: str) -> str:
+    return f"regexp_extract_all({x}, {lit(_h.META_TAG_RE)}, 0)"
+
+
 def meta_content(x: str, spec) -> str:
     a, b = _h.meta_re(*spec)
-    return (f"CASE WHEN regexp_matches({x}, {lit(a)}) THEN regexp_extract({x}, {lit(a)}, 1) "
-            f"WHEN regexp_matches({x}, {lit(b)}) THEN regexp_extract({x}, {lit(b)}, 1) END")
+    fa = f"(list_filter({meta_tags(x)}, lambda t: regexp_matches(t, {lit(a)})))[1]"
+    fb = f"(list_filter({meta_tags(x)}, lambda t: regexp_matches(t, {lit(b)})))[1]"
+    return (f"CASE WHEN {fa} IS NOT NULL THEN regexp_extract({fa}, {lit(a)}, 1) "
+            f"WHEN {fb} IS NOT NULL THEN regexp_extract({fb}, {lit(b)}, 1) END")
 
 
 def meta_description(x: str) -> str:
@@ -277,7 +283,9 @@ def page_videos(x: str) -> str:
 
 def page_authors(x: str) -> str:
     a, _ = _h.meta_re(*_h.META_AUTHOR)
-    return f"list_distinct({check_strings(_all(x, a))})"
+    found = (f"list_transform(list_filter({meta_tags(x)}, lambda t: regexp_matches(t, {lit(a)})), "
+             f"lambda t: regexp_extract(t, {lit(a)}, 1))")
+    return f"list_distinct({check_strings(found)})"
 
 
 def archive_original_url(x: str) -> tuple[str, str]:

@@ -74,8 +74,7 @@ def q_page_media(spark: SparkSession, sf: str) -> DataFrame:
 def summary_sql(src: str, k1: str, k2: str) -> list[tuple[str, str]]:
     """CTEs ending in ``summ(k1, k2, summary)`` for texts in ``src``."""
     sent = f"string_split(regexp_replace(text, {o.lit(ar.SENTENCE_END_RE)}, '\\1' || chr(10), 'g'), chr(10))"
-    words = (f"list_filter(list_transform(regexp_split_to_array(s, {o.lit(ar.WORD_SPLIT_RE)}), "
-             f"lambda w: lower(regexp_replace(w, {o.lit(ar.WORD_EDGE_RE)}, '', 'g'))), lambda w: w <> '')")
+    words = f"list_filter(regexp_split_to_array(lower(s), {o.lit(ar.WORD_SPLIT_RE)}), lambda w: w <> '')"
     return [
         ("sa", f"SELECT {k1}, {k2}, {sent} AS arr FROM {src}"),
         ("se", f"SELECT {k1}, {k2}, unnest(range(0, len(arr))) AS pos, unnest(arr) AS s FROM sa"),
