@@ -15,8 +15,27 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+# Tables whose rows are heavy to process (whole pages and texts), with their row key.
+HEAVY_TABLES = {"pages": "page_id", "documents": "doc_id", "conversations": "conv_id"}
+
+
+def spread_rows(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over every task slot when the files give fewer read tasks than that.
+
+    A table stored as one large row group is read by a single task, so every
+    regex over its pages would run on one core. On a large table the scan already
+    has far more partitions than slots and nothing is added. Hash partitioning on
+    the row key keeps the split deterministic when a task is retried.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_rows(df, HEAVY_TABLES[name]) if name in HEAVY_TABLES else df
 
 
 def read_sources(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
