@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.operators.common import bounded_broadcast, global_row_number, number_within_groups
+from pressloom.operators.common import bounded_broadcast, cut_lineage, global_row_number, number_within_groups
 from pressloom.sources.tables import read_table
 
 HOST_RE = r"^https?://([^/?#]*)"
@@ -79,7 +79,8 @@ class Views:
         url = (F.when(rn % 7 == 0, F.concat(F.lit("http://"), F.col("h"), F.lit("/news")))
                .when(rn % 5 == 0, F.concat(F.lit("https://www."), F.col("h"), F.lit("/")))
                .otherwise(F.col("h")))
-        return numbered.select(rn.alias("source_id"), label.alias("factual_reporting"), url.alias("url"))
+        # a small dimension read by several steps (size check, label build): materialise it once
+        return cut_lineage(numbered.select(rn.alias("source_id"), label.alias("factual_reporting"), url.alias("url")))
 
     # view: lnk -- link batches with repeats, archive and web-archive links
     @cached_property
@@ -133,7 +134,8 @@ class Views:
     def edge(self) -> DataFrame:
         base = self.pages.select(_host().alias("feed"), "page_id", F.col("url").alias("page_url"))
         out = number_within_groups(base, ["feed"], ["page_id"], rn="rn", next_cols=["page_url"])
-        return out.select("feed", "page_id", "page_url", F.col("next_page_url").alias("next_url"), "rn")
+        # feed, state and every walk round read it: materialise it once (narrow columns)
+        return cut_lineage(out.select("feed", "page_id", "page_url", F.col("next_page_url").alias("next_url"), "rn"))
 
     # view: feed -- one feed per host
     @cached_property
