@@ -22,8 +22,9 @@ from pressloom.operators.common import bounded_broadcast, cut_lineage
 from pressloom.functions.urls import (KIND_ARCHIVE, KIND_WEB_ARCHIVE, link_kind, maintain_path, site_key,
                                       web_archive_target)
 from pressloom.schemas import ARTICLE_COLUMNS, ERROR_COLUMNS
-from pressloom.sources.tables import (ARCHIVED_URL_NOT_FOUND, HTTP_STATUS_ERROR, TEXT_ERROR, TIMEOUT_ERROR,
-                                      ntz_literal)
+from pressloom.sources.tables import (ARCHIVED_URL_NOT_FOUND, HTTP_STATUS_ERROR, MSG_ARCHIVE_NOT_FOUND,
+                                      MSG_ENCODED_NOT_FOUND, MSG_HTTP_STATUS, MSG_NO_HEADER_INPUT, MSG_NO_VALUE_ATTR,
+                                      MSG_TEXT, MSG_TIMEOUT, TEXT_ERROR, TIMEOUT_ERROR, message, ntz_literal)
 
 # Fixed values of the extractive summary.
 SUMMARY_SENTENCES = 5
@@ -134,15 +135,14 @@ def build_articles(links: DataFrame, responses: DataFrame, run_ts: dt.datetime,
                 .when(F.col("status") != 200, F.lit(HTTP_STATUS_ERROR))
                 .when(F.col("html").isNull(), F.lit(TEXT_ERROR))
                 .when(F.col("_kind") == KIND_ARCHIVE, arch_err))
-    err_info = (F.when(web_missing, F.concat(F.lit("encoded URL not found in "), u))
-                .when(~F.col("_has_resp"), F.concat(F.lit("request for "), u, F.lit(" scraped from "),
-                                                    F.coalesce(src, F.lit("None")), F.lit(" took too much time")))
-                .when(F.col("status") != 200, F.concat(u, F.lit(" responded with "), F.col("status").cast("string")))
-                .when(F.col("html").isNull(), F.concat(u, F.lit(" didn't respond with a string")))
-                .when(arch_err == "TypeError", F.lit("'NoneType' object is not subscriptable"))
-                .when(arch_err == "KeyError", F.lit("'value'"))
-                .when(arch_err == ARCHIVED_URL_NOT_FOUND,
-                      F.concat(F.lit("url not found for "), u, F.lit(", scraped_from: "), F.coalesce(src, F.lit("None")))))
+    source = F.coalesce(src, F.lit("None"))
+    err_info = (F.when(web_missing, message(MSG_ENCODED_NOT_FOUND, url=u))
+                .when(~F.col("_has_resp"), message(MSG_TIMEOUT, url=u, source=source))
+                .when(F.col("status") != 200, message(MSG_HTTP_STATUS, url=u, status=F.col("status")))
+                .when(F.col("html").isNull(), message(MSG_TEXT, url=u))
+                .when(arch_err == "TypeError", F.lit(MSG_NO_HEADER_INPUT))
+                .when(arch_err == "KeyError", F.lit(MSG_NO_VALUE_ATTR))
+                .when(arch_err == ARCHIVED_URL_NOT_FOUND, message(MSG_ARCHIVE_NOT_FOUND, url=u, source=source)))
     tagged = joined.withColumn("_err", err_type).withColumn("_info", err_info)
 
     # every html-derived value in one projection; html itself is dropped here and the result

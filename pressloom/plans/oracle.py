@@ -296,3 +296,11 @@ def archive_original_url(x: str) -> tuple[str, str]:
     err = (f"CASE WHEN NOT {has_input} THEN 'TypeError' WHEN NOT {has_value} THEN 'KeyError' "
            f"WHEN {value} = '' THEN 'ArchivedURLNotFound' END")
     return f"CASE WHEN ({err}) IS NULL THEN {value} END", err
+
+
+def message(template: str, **exprs: str) -> str:
+    """SQL form of ``pressloom.sources.tables.message``."""
+    import re as _re
+    parts = _re.split(r"\{(\w+)\}", template)
+    pieces = [lit(p) if i % 2 == 0 else f"CAST({exprs[p]} AS VARCHAR)" for i, p in enumerate(parts) if p or i % 2]
+    return f"concat({', '.join(pieces)})" if len(pieces) > 1 else pieces[0]

@@ -18,6 +18,7 @@ from pressloom.plans import oracle as o
 from pressloom.plans.q_links import DIM, LABELLED_SQL, MERGED
 from pressloom.plans.registry import register
 from pressloom.sources.fixtures import Views
+from pressloom.sources import tables as T
 from pressloom.sources.tables import scan_pages
 
 RUN_TS = dt.datetime(2025, 1, 15, 12, 0, 0)
@@ -148,13 +149,14 @@ def _err_sql() -> tuple[str, str]:
     typ = (f"CASE WHEN {web_missing} THEN 'ArchivedURLNotFound' WHEN NOT has_resp THEN 'TimeoutError' "
            f"WHEN status <> 200 THEN 'HttpStatusError' WHEN html IS NULL THEN 'TextError' "
            f"WHEN kind = 'archive' THEN {ARCH_ERR} END")
-    info = (f"CASE WHEN {web_missing} THEN concat('encoded URL not found in ', url) "
-            f"WHEN NOT has_resp THEN concat('request for ', url, ' scraped from ', coalesce(scraped_from, 'None'), ' took too much time') "
-            f"WHEN status <> 200 THEN concat(url, ' responded with ', CAST(status AS VARCHAR)) "
-            f"WHEN html IS NULL THEN concat(url, ' didn''t respond with a string') "
-            f"WHEN {ARCH_ERR} = 'TypeError' THEN '''NoneType'' object is not subscriptable' "
-            f"WHEN {ARCH_ERR} = 'KeyError' THEN '''value''' "
-            f"WHEN {ARCH_ERR} = 'ArchivedURLNotFound' THEN concat('url not found for ', url, ', scraped_from: ', coalesce(scraped_from, 'None')) END")
+    src = "coalesce(scraped_from, 'None')"
+    info = (f"CASE WHEN {web_missing} THEN {o.message(T.MSG_ENCODED_NOT_FOUND, url='url')} "
+            f"WHEN NOT has_resp THEN {o.message(T.MSG_TIMEOUT, url='url', source=src)} "
+            f"WHEN status <> 200 THEN {o.message(T.MSG_HTTP_STATUS, url='url', status='status')} "
+            f"WHEN html IS NULL THEN {o.message(T.MSG_TEXT, url='url')} "
+            f"WHEN {ARCH_ERR} = 'TypeError' THEN {o.lit(T.MSG_NO_HEADER_INPUT)} "
+            f"WHEN {ARCH_ERR} = 'KeyError' THEN {o.lit(T.MSG_NO_VALUE_ATTR)} "
+            f"WHEN {ARCH_ERR} = 'ArchivedURLNotFound' THEN {o.message(T.MSG_ARCHIVE_NOT_FOUND, url='url', source=src)} END")
     return typ, info
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +44,23 @@ def read_sources(spark: SparkSession, path: str, fmt: str = "parquet", **options
     return spark.read.format(fmt).options(**options).load(path)
 
 
-# The error kinds produced when a response cannot be used.
+# Error kinds, and the messages stored with them ({name} = a column value).
 HTTP_STATUS_ERROR, TEXT_ERROR, TIMEOUT_ERROR = "HttpStatusError", "TextError", "TimeoutError"
 ARCHIVED_URL_NOT_FOUND = "ArchivedURLNotFound"
+MSG_HTTP_STATUS = "{url} responded with {status}"
+MSG_TEXT = "{url} didn't respond with a string"
+MSG_TIMEOUT = "request for {url} scraped from {source} took too much time"
+MSG_ARCHIVE_NOT_FOUND = "url not found for {url}, scraped_from: {source}"
+MSG_ENCODED_NOT_FOUND = "encoded URL not found in {url}"
+MSG_NO_HEADER_INPUT = "'NoneType' object is not subscriptable"
+MSG_NO_VALUE_ATTR = "'value'"
+
+
+def message(template: str, **cols: Column) -> Column:
+    """A stored message: the template's text with each ``{name}`` replaced by a column value."""
+    parts = re.split(r"\{(\w+)\}", template)
+    pieces = [F.lit(p) if i % 2 == 0 else cols[p].cast("string") for i, p in enumerate(parts) if p or i % 2]
+    return F.concat(*pieces) if len(pieces) > 1 else pieces[0]
 
 
 def scan_pages(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -58,8 +73,8 @@ def scan_pages(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     status = F.col("status") if "status" in responses.columns else F.lit(200)
     err_type = (F.when(status != 200, F.lit(HTTP_STATUS_ERROR))
                 .when(F.col("html").isNull(), F.lit(TEXT_ERROR)))
-    err_info = (F.when(status != 200, F.concat(F.col("url"), F.lit(" responded with "), status.cast("string")))
-                .when(F.col("html").isNull(), F.concat(F.col("url"), F.lit(" didn't respond with a string"))))
+    err_info = (F.when(status != 200, message(MSG_HTTP_STATUS, url=F.col("url"), status=status))
+                .when(F.col("html").isNull(), message(MSG_TEXT, url=F.col("url"))))
     tagged = responses.withColumn("error_type", err_type).withColumn("error_info", err_info)
     ok = tagged.where(F.col("error_type").isNull()).drop("error_type", "error_info")
     failed = tagged.where(F.col("error_type").isNotNull())

@@ -151,3 +151,32 @@ def test_global_row_number_and_groups(spark):
         i = vs.index(r.v)
         assert r.rn == i + 1
         assert r.next_v == (vs[i + 1] if i + 1 < len(vs) else None)
+
+
+def test_bounded_broadcast_falls_back_above_bound(spark):
+    from pressloom.operators.common import bounded_broadcast
+
+    small = spark.range(10)
+    big = spark.range(100)
+    j_small = spark.range(1000).join(bounded_broadcast(small, max_rows=50), "id")
+    j_big = spark.range(1000).join(bounded_broadcast(big, max_rows=50), "id")
+    assert "broadcast" in j_small._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in j_big._jdf.queryExecution().analyzed().toString().lower()
+    assert j_small.count() == 10 and j_big.count() == 100
+
+
+def test_spread_rows_only_when_under_parallel(spark):
+    from pressloom.sources.tables import spread_rows
+
+    one = spark.range(0, 100, numPartitions=1)
+    many = spark.range(0, 100, numPartitions=64)
+    assert spread_rows(one, "id", min_partitions=4).rdd.getNumPartitions() == 4
+    assert spread_rows(many, "id", min_partitions=4) is many
+    assert sorted(r.id for r in spread_rows(one, "id", min_partitions=4).collect()) == list(range(100))
+
+
+def test_checkpoint_dir_is_set_for_local_sessions(spark):
+    from pressloom.session import checkpoint_dir
+
+    d = checkpoint_dir(spark)
+    assert d and spark.sparkContext.getCheckpointDir() == d
