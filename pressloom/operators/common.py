@@ -41,7 +41,8 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str], out: str = "rn",
     Ties on the order key must not exist (the key is expected to be unique).
     """
     spark: SparkSession = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a fixed count (AQE must not coalesce: partition ids define the order), scaled to the task slots
+    n = num_partitions or max(2, spark.sparkContext.defaultParallelism * 2)
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
