@@ -180,7 +180,8 @@ def feed_entries(walk: DataFrame, pages: DataFrame, entries_selector: str, resol
     read = bounded_broadcast(walk.select("name", "round", "page_url"))
     feed_pages = read.join(pages.select(F.col("url").alias("page_url"), "html"), "page_url")
     ent = feed_pages.select("name", "round", "page_url",
-                            F.posexplode(hrefs(F.col("html"), entries_selector)).alias("entry_pos", "entry_url"))
+                            F.posexplode(hrefs(F.col("html"), entries_selector)).alias("entry_pos", "entry_url")) \
+                    .withColumn("entry_pos", F.col("entry_pos").cast("long"))
     if resolve:
         ent = ent.withColumn("entry_url", resolve_href(F.col("entry_url"), F.col("page_url")))
     return ent.where(F.col("entry_url").isNotNull())
@@ -203,7 +204,7 @@ def feed_links(entries: DataFrame, pages: DataFrame, feeds: DataFrame, links_sel
     ok = found.where(condition_holds(F.col("html"), cont, vals))
     links = ok.select("round", "name", "entry_pos", "entry_url", "fake",
                       F.posexplode(hrefs(F.col("html"), links_selector)).alias("link_pos", "url")) \
-              .where(F.col("url").isNotNull())
+              .where(F.col("url").isNotNull()).withColumn("link_pos", F.col("link_pos").cast("long"))
     pos = F.struct("name", "entry_pos", "link_pos")
     merged = (links.groupBy(F.col("round").alias("batch_id"), "url")
               .agg(F.min(pos).alias("_p"), F.max_by(F.struct(F.col("entry_url").alias("scraped_from"), "fake"), pos).alias("_v"))

@@ -209,7 +209,7 @@ FEED_LINKS_SQL = f"""
 SELECT batch_id, min(p).name AS feed, min(p).entry_pos AS entry_pos, min(p).link_pos AS link_pos, url,
        arg_max_null(entry_url, p) AS scraped_from, arg_max_null(fake, p) AS fake
 FROM (SELECT e.round AS batch_id, e.entry_url, f.fake_news AS fake,
-             struct_pack(name := e.name, entry_pos := e.entry_pos, link_pos := CAST(l.pos AS INTEGER)) AS p, l.url
+             struct_pack(name := e.name, entry_pos := CAST(e.entry_pos AS BIGINT), link_pos := CAST(l.pos AS BIGINT)) AS p, l.url
       FROM ent e JOIN feed f ON f.name = e.name JOIN pages pg ON pg.url = e.entry_url,
            (SELECT unnest(range(0, len(hh))) AS pos, unnest(hh) AS url
             FROM (SELECT {hrefs_sql('pg.html', LINKS_SEL)} AS hh) z) l

@@ -51,7 +51,7 @@ def q_stream_articles(spark: SparkSession, sf: str) -> DataFrame:
     links = v.lnk
     for epoch, b in enumerate(_epochs(links, "batch_id")):
         process_batch(links.where(F.col("batch_id") == b), epoch, ctx)
-    arts = spark.read.parquet(out.articles)
+    arts = store.read_batches(spark, out.articles)
     return arts.select("batch_id", *[F.array_join(c, "|").alias(c) if c in ARRAYS else F.col(c)
                                      for c in ARTICLE_COLUMNS])
 

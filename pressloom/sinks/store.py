@@ -35,6 +35,11 @@ def sink_projection(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """A batch-partitioned table, with ``batch_id`` typed as written (partition discovery infers int)."""
+    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
 def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return spark.read.parquet(path)
@@ -105,7 +110,7 @@ def store_articles(articles: DataFrame, path: str, run_ts: dt.datetime) -> tuple
     # the table is read by the check above: materialise both outputs before overwriting its partitions
     accepted, refused = cut_lineage(accepted), cut_lineage(refused)
     write_batches(accepted, path, ARTICLE_SCHEMA)
-    stored = spark.read.parquet(path).join(batches, "batch_id", "left_semi")
+    stored = read_batches(spark, path).join(batches, "batch_id", "left_semi")
     return stored, refused
 
 
