@@ -143,6 +143,8 @@ def walk_feed(feeds: DataFrame, edges: DataFrame, max_rounds: int | None = None)
         out.append(read)
         # the visited set is the union of checkpointed frontiers: short lineage without another write
         visited = frontier.select("name", "url") if visited is None else visited.unionByName(frontier.select("name", "url"))
+        if rnd % 16 == 15:  # long chains: keep the union's plan short
+            visited = cut_lineage(visited)
         frontier = (read.where(~F.col("is_over"))
                     .select("name", F.col("next_url").alias("url"), (F.col("remaining") - 1).alias("remaining"),
                             (F.col("round") + 1).alias("round"))
