@@ -18,7 +18,7 @@ from pyspark.sql import Window
 from pressloom.functions import html as H
 from pressloom.functions.text import (correct_title, min_words_or_none, remove_newlines, truncate_title,
                                       value_or_none)
-from pressloom.operators.common import bounded_broadcast, cut_lineage
+from pressloom.operators.common import cut_lineage
 from pressloom.functions.urls import (KIND_ARCHIVE, KIND_WEB_ARCHIVE, link_kind, maintain_path, site_key,
                                       web_archive_target)
 from pressloom.schemas import ARTICLE_COLUMNS, ERROR_COLUMNS
@@ -105,7 +105,9 @@ def link_pages(links: DataFrame, responses: DataFrame) -> DataFrame:
     """
     status = F.col("status") if "status" in responses.columns else F.lit(200)
     r = responses.select(F.col("url").alias("_rurl"), status.alias("status"), F.col("html"))
-    lk = bounded_broadcast(links, LINKS_BROADCAST_MAX_ROWS)
+    # a link batch is narrow: materialise it once, so the size check and the join do not both recompute it
+    links = cut_lineage(links)
+    lk = F.broadcast(links) if links.count() <= LINKS_BROADCAST_MAX_ROWS else links
     matched = r.join(lk, r["_rurl"] == lk["url"]).drop("_rurl").withColumn("_has_resp", F.lit(True))
     urls = responses.select(F.col("url").alias("_rurl")).where(F.col("_rurl").isNotNull())
     missing = (lk.join(urls, lk["url"] == urls["_rurl"], "left_anti")
