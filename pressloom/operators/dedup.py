@@ -39,15 +39,17 @@ def dedup_keys(df: DataFrame, title_col: str = "title", url_col: str = "url") ->
 
 
 def _sequential(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The walk itself, for one batch's undecided rest (its size is bounded by the caller's count)."""
+    pdf = pdf.sort_values("seq")
     titles: set[str] = set()
     urls: set[str] = set()
     keep = []
-    for _, r in pdf.sort_values("seq").iterrows():
-        if r["_tk"] in titles or r["_uk"] in urls:
+    for b, s, tk, uk in zip(pdf["batch_id"], pdf["seq"], pdf["_tk"], pdf["_uk"]):
+        if tk in titles or uk in urls:
             continue
-        titles.add(r["_tk"])
-        urls.add(r["_uk"])
-        keep.append((r["batch_id"], r["seq"]))
+        titles.add(tk)
+        urls.add(uk)
+        keep.append((b, s))
     return pd.DataFrame(keep, columns=["batch_id", "seq"])
 
 
