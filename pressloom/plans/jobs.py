@@ -21,6 +21,7 @@ from pressloom.operators import links as lk
 from pressloom.operators.dedup import dedup_title_or_url
 from pressloom.operators.labels import build_label_dim, label_lookup
 from pressloom.operators.rules import Rules, default_url_checker
+from pressloom.schemas import ERROR_COLUMNS
 from pressloom.sinks import store
 from pressloom.sources import config as cf
 from pressloom.operators.common import cut_lineage, global_row_number
@@ -74,6 +75,15 @@ class Outputs:
     state: str
 
 
+def clean_error_table(errors: DataFrame, out: Outputs, version: int) -> DataFrame:
+    """P4 at the end of a job: E5 then E4 against the whole article table; written as a new version
+    (``<errors>_clean/v=N``) and returned as read back."""
+    spark = errors.sparkSession
+    articles = store.read_batches(spark, out.articles)
+    cleaned = er.cleanup_errors(errors.select(*ERROR_COLUMNS), articles)
+    return spark.read.parquet(store.write_version(cleaned, f"{out.errors.rstrip('/')}_clean", version))
+
+
 def _store(articles: DataFrame, errors: DataFrame, out: Outputs, run_ts: dt.datetime) -> DataFrame:
     stored, refused = store.store_articles(articles, out.articles, run_ts)
     store.store_errors(errors.unionByName(refused.drop("seq"), allowMissingColumns=True), out.errors)
@@ -120,20 +130,25 @@ def collect_job(feeds: DataFrame | None, edges: DataFrame | None, pages: DataFra
         new = states[0] if len(states) == 1 else states[0].unionByName(states[1])
         old = state if state is not None else new.limit(0)
         store.write_version(cf.upsert_state(old, new), out.state, state_version)
+    clean_error_table(store.read_batches(arts.sparkSession, out.errors), out, state_version)
     return stored
 
 
 def restore_job(errors_table: DataFrame, responses: DataFrame, prep: Prepared, out: Outputs,
-                run_ts: dt.datetime, order_col: str = "creation_date") -> DataFrame:
+                run_ts: dt.datetime, order_col: str = "creation_date", version: int = 1) -> DataFrame:
     """Retry candidates (A5, I8, J3) -> P3 -> store (B1) -> delete restored errors (E6) -> P4.
 
-    Returns the cleaned error table (to be written as a new version by the caller).
+    Returns the cleaned error table, written as version ``version`` next to the error table.
     """
     retry = lk.union_retry(errors_table.withColumn("seq", F.col(order_col)), order_col="seq")
     # stored errors have no order of their own: number each retry batch by url
     links = global_row_number(retry.drop("seq"), ["batch_id", "url"], out="seq")
     arts, errs = dispatch_batch(links, responses, prep, run_ts)
     stored = _store(arts, errs, out, run_ts)
-    remaining = er.delete_restored_errors(errors_table, stored.select("url"))
-    return er.cleanup_errors(remaining, stored)
+    # the error table now holds the old errors and this run's failures
+    spark = errors_table.sparkSession
+    all_errors = errors_table.select(*ERROR_COLUMNS).unionByName(
+        store.read_batches(spark, out.errors).select(*ERROR_COLUMNS))
+    remaining = er.delete_restored_errors(all_errors, stored.select("url"))  # E6
+    return clean_error_table(remaining, out, version)                     # P4: E5, then E4
 

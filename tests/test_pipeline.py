@@ -211,3 +211,26 @@ def test_process_batch_stores_state_and_deletes_restored_errors(spark, tmp_dir):
     assert [r.url for r in spark.read.parquet(f"{errs_versions}/v=000001").collect()] == ["http://other.org/"]
     st = spark.read.parquet(f"{out.state}/v=000000").collect()
     assert [(r.name, r.data.page) for r in st] == [("f", 3)]
+
+
+def test_collect_and_restore_jobs_end_to_end(spark, tmp_dir):
+    """P1 then P2 on the smallest driver tables: tables written, state versioned, errors cleaned."""
+    from conftest import SF_SMALL
+    from pressloom.operators import links as lk
+    from pressloom.plans.q_links import AS_OF, NUM_POSTS, _subs
+    from pressloom.sources.fixtures import Views
+
+    v = Views(spark, SF_SMALL)
+    prep = jobs.prepare_rules(v.src, {"min_length": {"title": 5}})
+    out = jobs.Outputs(os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "e"), os.path.join(tmp_dir, "s"))
+    flinks, fstate = lk.forum_links(v.post, _subs(v), NUM_POSTS, AS_OF)
+    stored = jobs.collect_job(v.feed, v.edge.select("page_url", "next_url"), v.pages, v.resp, prep, out, RUN,
+                              forum_links=flinks, forum_state=fstate)
+    urls = [r.url for r in stored.collect()]
+    assert len(urls) == len(set(urls))  # the store's unique url
+    state = spark.read.parquet(f"{out.state}/v=000001")
+    names = {r.name for r in state.collect()}
+    assert {r.name for r in v.feed.collect()} <= names and {r.name for r in fstate.collect()} <= names
+    cleaned = jobs.restore_job(v.err, v.resp, prep, out, RUN)
+    stored_urls = {r.url for r in spark.read.parquet(out.articles).collect()}
+    assert not ({r.url for r in cleaned.collect()} & stored_urls)  # restored urls left the error table
