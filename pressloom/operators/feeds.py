@@ -132,6 +132,8 @@ def walk_feed(feeds: DataFrame, edges: DataFrame, max_rounds: int | None = None)
     out: list[DataFrame] = []
     rnd = 0
     while max_rounds is None or rnd < max_rounds:
+        # checkpoint the frontier itself: the visited set is a union of frontiers, and an unmaterialised
+        # frontier would re-derive every earlier one (each depends on the visited set before it)
         frontier = cut_lineage(frontier)
         n = frontier.count()
         if n == 0:
