@@ -234,3 +234,17 @@ def test_collect_and_restore_jobs_end_to_end(spark, tmp_dir):
     cleaned = jobs.restore_job(v.err, v.resp, prep, out, RUN)
     stored_urls = {r.url for r in spark.read.parquet(out.articles).collect()}
     assert not ({r.url for r in cleaned.collect()} & stored_urls)  # restored urls left the error table
+
+
+def test_selector_subset_and_href_resolution(spark):
+    import pytest as _pytest
+
+    with _pytest.raises(ValueError):
+        fd.selector_patterns("div > ul > a")  # deeper chains are outside the supported subset
+    with _pytest.raises(ValueError):
+        fd.selector_patterns("div span")  # links must be selected by an anchor
+    df = spark.createDataFrame([("/a", "https://h.org/x/y?q"), ("//cdn.org/b", "https://h.org/"),
+                                ("http://o.org/c", "https://h.org/"), ("/d", "relative/page")],
+                               "href string, page string")
+    got = [r.o for r in df.select(fd.resolve_href(F.col("href"), F.col("page")).alias("o")).collect()]
+    assert got == ["https://h.org/a", "//cdn.org/b", "http://o.org/c", "/d"]
