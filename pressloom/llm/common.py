@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,7 +51,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int
     for batch in batches:
         start, held = 0, 0
         col = batch.column(batch.schema.get_field_index(column))
-        lengths = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(col), 0).to_pylist()
         for i, n in enumerate(lengths):
             if held and held + n > max_bytes:
                 yield batch.slice(start, i - start)
