@@ -16,16 +16,16 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import SPACES, bounded, stage, table
+from pressloom.llm.common import SPACES, stage, table
 
 #: domains of the labelled table, in order: what each label row says
 DOMAINS = ["clean", "toxic", "low"]
 #: target share of each domain's tokens in the mixture of the registered query
 SHARES = {"clean": 0.90, "toxic": 0.02, "low": 0.08}
 FIT_DOCS = 20_000  # labelled documents that the classifier is fitted on, at most (those of the smallest hash)
-BUCKETS = 1 << 18  # words are hashed to so many features
-EVIDENCE = 6.0  # standard deviations by which a feature must stand out to count
-MAX_FEATURES_BROADCAST = BUCKETS  # so many rows of one long and a few doubles at most
+EVIDENCE = 6.0  # standard deviations by which a word must be over-represented in a domain to be a feature
+LIFT = 4.0  # and the times it must be more frequent there than elsewhere
+TOP_FEATURES = 32  # features of a domain, at most
 STEPS = 60
 TOLERANCE = 1e-3  # of the targets
 STAGE_EVERY = 12  # steps between written copies of the rates
@@ -41,65 +41,76 @@ def words(text: Column) -> Column:
 
 
 def _features(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, feature) of the distinct words of each text."""
+    """(key, feature) of the distinct words of each text; a feature is the hash of a word."""
     return docs.select(F.col(key).alias("_doc"), F.explode(F.array_distinct(words(F.col(text)))).alias("_word")).select(
-        "_doc", F.pmod(F.xxhash64("_word"), F.lit(BUCKETS)).cast("int").alias("_feature"))
+        "_doc", F.xxhash64("_word").alias("_feature"))
 
 
-def _domain_columns(prefix: str) -> list[str]:
+def _columns(prefix: str) -> list[str]:
     return [f"{prefix}{i}" for i in range(len(DOMAINS))]
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[float]]:
-    """(feature weights, log priors) of a naive Bayes model over words that stand out in a domain.
+    """(feature weights, log odds of a text without any feature) of a Bernoulli naive Bayes model.
 
     Fitted on at most ``FIT_DOCS`` labelled documents, those whose key has the smallest
-    hash. A document with several labels takes the largest domain number. Weights: one
-    row per feature whose count in some domain is ``EVIDENCE`` standard deviations off
-    what independence gives. Without labelled documents there are no weights and all
-    priors are equal.
+    hash. A document with several labels takes the largest domain number; rows that
+    repeat a key count each. Features: per domain the ``TOP_FEATURES`` words that are
+    most over-represented there. Without labelled documents there are no features and
+    all domains are equally likely.
     """
     picked = (labels.select(F.col("doc_id").alias("_id"), label_domain().alias("_domain")).dropna()
               .groupBy("_id").agg(F.max("_domain").alias("_domain")).orderBy(F.xxhash64("_id"), "_id").limit(FIT_DOCS))
-    chosen = docs.join(F.broadcast(picked), F.col(key) == F.col("_id"))
-    seen = stage(_features(chosen, key, text).groupBy("_feature", "_doc").count()  # repeated rows of a key count once
-                 .join(F.broadcast(picked), F.col("_doc") == F.col("_id")).groupBy("_feature")
-                 .agg(*(F.sum((F.col("_domain") == i).cast("long")).alias(c) for i, c in enumerate(_domain_columns("n")))), "mixing-features")
-    docs_of = {r["_domain"]: r["count"] for r in picked.groupBy("_domain").count().collect()}  # a row per domain
-    total = sum(docs_of.values())
-    share = [(docs_of.get(i, 0) + 1) / (total + len(DOMAINS)) for i in range(len(DOMAINS))]
-    words_of = seen.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _domain_columns("n"))).first()
-    all_words = sum(words_of) or 1
-    n = sum((F.col(c) for c in _domain_columns("n")), F.lit(0))
-    expected = [n * (words_of[i] + 1) / (all_words + len(DOMAINS)) for i in range(len(DOMAINS))]
-    counts = [F.col(c) for c in _domain_columns("n")]
-    stands_out = F.greatest(*(F.abs(c - e) / F.sqrt(e) for c, e in zip(counts, expected))) > EVIDENCE
-    return (seen.where(stands_out).select("_feature", *(F.log((c + 1) / (e + 1)).alias(f"w{i}") for i, (c, e) in enumerate(zip(counts, expected)))),
-            [math.log(s) for s in share])
-
-
-def posteriors(docs: DataFrame, weights: DataFrame, priors: list[float], key: str = "doc_id", text: str = "text") -> DataFrame:
+    picked = F.broadcast(picked)  # FIT_DOCS rows of two numbers at most
+    chosen = docs.join(picked, F.col(key) == F.col("_id"))
+    found = {r["_domain"]: r["count"] for r in chosen.groupBy("_domain").count().collect()}  # a row per domain
+    size = [found.get(i, 0) for i in range(len(DOMAINS))]
+    whole = sum(size)
+    seen = (_features(chosen, key, text).join(picked, F.col("_doc") == F.col("_id")).groupBy("_feature")
+            .agg(*(F.sum((F.col("_domain") == i).cast("long")).alias(f"n{i}") for i in range(len(DOMAINS)))))
+    n = sum((F.col(c) for c in _columns("n")[1:]), F.col("n0"))
+    mean = n / max(whole, 1)
+    theta = [(F.col(f"n{i}") + 0.5) / (size[i] + 1.0) for i in range(len(DOMAINS))]
+    standing = []
+    for i in range(len(DOMAINS)):
+        rest = (n - F.col(f"n{i}") + 0.5) / (whole - size[i] + 1.0)
+        z = (F.col(f"n{i}") - size[i] * mean) / F.sqrt(F.nullif(size[i] * mean * (1 - mean), F.lit(0.0)))
+        standing.append(F.when((theta[i] >= LIFT * rest) & (z > EVIDENCE), z))
+    weights = [F.log(t / (1 - t)).alias(f"w{i}") for i, t in enumerate(theta)]
+    absent = [F.log(1 - t).alias(f"a{i}") for i, t in enumerate(theta)]
+    scored = stage(seen.select("_feature", *weights, *absent, *(z.alias(f"z{i}") for i, z in enumerate(standing)))
+                   .where(F.coalesce(*_columns("z")).isNotNull()), "mixing-features")
+    best = [scored.where(F.col(z).isNotNull()).orderBy(F.desc(z), "_feature").limit(TOP_FEATURES) for z in _columns("z")]
+    features = best[0]
+    for b in best[1:]:
+        features = features.unionByName(b)
+    features = stage(features.dropDuplicates(["_feature"]), "mixing-chosen")
+    none = features.agg(*(F.coalesce(F.sum(a), F.lit(0.0)).alias(a) for a in _columns("a"))).first()
+    return features.select("_feature", *_columns("w")), [math.log((n + 1) / (whole + len(DOMAINS))) + a for n, a in zip(size, none)]
+
+
+def posteriors(docs: DataFrame, weights: DataFrame, base: list[float], key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, p0 ...) of each distinct non-null key: words and posterior of every domain.
 
-    Rows that repeat a key are one document (the longest text's words are its size).
-    Texts without words get the priors. The texts don't move: words that carry no
-    weight fall away in a hash join where they are read.
+    Rows that repeat a key are one document with the features of all (the longest one
+    gives its size). The texts don't move: words that are no feature fall away in a
+    hash join where they are read.
     """
-    scores = (_features(docs, key, text).join(bounded(weights, MAX_FEATURES_BROADCAST), "_feature")
-              .groupBy("_doc").agg(*(F.sum(f"w{i}").alias(f"s{i}") for i in range(len(DOMAINS)))))
+    scores = (_features(docs, key, text).join(F.broadcast(weights), "_feature")  # TOP_FEATURES rows a domain at most
+              .dropDuplicates(["_doc", "_feature"]).groupBy("_doc").agg(*(F.sum(w).alias(f"s{w}") for w in _columns("w"))))
     sizes = (docs.where(F.col(key).isNotNull()).select(F.col(key).alias(key), F.size(words(F.col(text))).cast("long").alias("_n"))
              .groupBy(key).agg(F.max("_n").alias("n_tokens")))
-    logits = [F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.lit(p) for i, p in enumerate(priors)]
-    joined = sizes.join(scores, F.col(key) == F.col("_doc"), "left").select(key, "n_tokens", *(x.alias(f"l{i}") for i, x in enumerate(logits)))
-    top = F.greatest(*(F.col(f"l{i}") for i in range(len(DOMAINS))))
+    logits = [(F.coalesce(F.col(f"sw{i}"), F.lit(0.0)) + F.lit(b)).alias(f"l{i}") for i, b in enumerate(base)]
+    joined = sizes.join(scores, F.col(key) == F.col("_doc"), "left").select(key, "n_tokens", *logits)
+    top = F.greatest(*_columns("l"))
     parts = joined.select(key, "n_tokens", *(F.exp(F.col(f"l{i}") - top).alias(f"e{i}") for i in range(len(DOMAINS))))
-    norm = sum((F.col(f"e{i}") for i in range(1, len(DOMAINS))), F.col("e0"))
+    norm = sum((F.col(e) for e in _columns("e")[1:]), F.col("e0"))
     return parts.select(key, "n_tokens", *((F.col(f"e{i}") / norm).alias(f"p{i}") for i in range(len(DOMAINS))))
 
 
 def domain_totals(members: DataFrame, rate: Column) -> list[float]:
     """Expected tokens of each domain at the given rates."""
-    row = members.agg(*(F.coalesce(F.sum(rate * F.col("n_tokens") * F.col(p)), F.lit(0.0)).alias(p) for p in _domain_columns("p"))).first()
+    row = members.agg(*(F.coalesce(F.sum(rate * F.col("n_tokens") * F.col(p)), F.lit(0.0)).alias(p) for p in _columns("p"))).first()
     return [float(x) for x in row]
 
 
