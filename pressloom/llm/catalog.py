@@ -1,7 +1,7 @@
 """The registered queries of this subpackage and their SQL."""
 
-from pressloom.llm import ann, bpe_codec, license_scan, mixing, quality_rules, token_count, url_filter, warc
+from pressloom.llm import ann, bpe_codec, jaccard_join, license_scan, mixing, quality_rules, token_count, url_filter, warc
 
-_MODULES = [ann, bpe_codec, license_scan, mixing, quality_rules, token_count, url_filter, warc]
+_MODULES = [ann, bpe_codec, jaccard_join, license_scan, mixing, quality_rules, token_count, url_filter, warc]
 QUERIES = {k: q for m in _MODULES for k, q in m.QUERIES.items()}
 ORACLES = {k: s for m in _MODULES for k, s in m.ORACLES.items()}
