@@ -1,21 +1,82 @@
-"""Corpus pipeline: stages over ``documents``, each applying one operator of ``pressloom.llm``."""
+"""Corpus pipeline: stages over ``documents``, each applying one operator of ``pressloom.llm``.
+
+Every stage works on all that the one before kept. All but the last return the columns
+of ``documents``. Null ids: such rows are judged by the quality rules, never dropped as
+near copies, and kept once by the mixing. An empty table passes all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pressloom.llm import bpe_codec, jaccard_join, mixing, quality_rules, suffix_dedup
 from pressloom.llm.common import stage, table
 
-STAGES: list = []
+#: shares of the mixture's tokens; the clean domain gets CLEAN_ROOM times the tokens it has, so its documents all stay
+SHARES = {"clean": 0.96, "toxic": 0.01, "low": 0.03}
+CLEAN_ROOM = 1.05
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality rules reject; cutoffs come from ``labels``."""
+    packed = docs.select(F.struct("*").alias("_row"), "doc_id", "lang", "text")
+    counted = stage(quality_rules.measures(packed, keep=("_row", "doc_id", "lang")), "quality-measures")
+    cutoffs = quality_rules.choose_cutoffs(counted.drop("_row"), table(spark, sf_dir, "labels"))
+    return quality_rules.judge(counted, cutoffs).where("kept").select("_row.*")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of linked ones: that of the smallest id. Rows that repeat an id share its fate."""
+    groups = jaccard_join.jaccard_join(docs.select("doc_id", "text"))
+    dropped = groups.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(
+        F.min("component_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    dropped = stage(dropped.where("_first < _id or _rows > 1"), "copies-dropped")
+    kept = docs.join(dropped.where("_first < _id").select("_id"), F.col("doc_id") == F.col("_id"), "left_anti")
+    again = dropped.where("_first = _id").select("_id")  # ids of several rows: one of them stays
+    if again.limit(1).count() == 0:
+        return kept
+    once = kept.join(again, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(again, F.col("doc_id") == F.col("_id"), "left_anti").unionByName(once)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts repeated strings out of the texts; characters that a cut went through go as well."""
+    cut = suffix_dedup.remove_repeats(docs.withColumn("_row", F.struct("*")).select("_row", "text"))
+    valid = F.make_valid_utf8(F.col("kept").cast("string"))
+    whole = F.when(F.contains("text", F.lit("�")), valid).otherwise(F.regexp_replace(valid, "�", ""))
+    changed = F.when(F.col("n_removed") > 0, whole).otherwise(F.col("text"))
+    return cut.withColumn("_text", changed).select(
+        *(F.col("_text").alias("text") if c == "text"
+          else F.when(F.col("n_removed") > 0, F.length("_text").cast("bigint")).otherwise(F.col("_row.n_chars")).alias(c) if c == "n_chars"
+          else F.col(f"_row.{c}").alias(c) for c in docs.columns))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes each document as often as the rate says that meets the domains' target shares."""
+    rates = mixing.mix_rates(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), SHARES, anchor="clean", room=CLEAN_ROOM)
+    return mixing.sample_by_rate(docs, rates)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text and the digest of the bytes they decode to."""
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe_codec.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern).drop("text")
+    return bpe_codec.decode(encoded, path, pattern).select(
+        "doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [("quality", quality), ("near_copies", near_copies), ("repeated_strings", repeated_strings), ("mix", mix), ("tokens", tokens)]
 
+#: byte-level BPE and column-wise suffix sorting have no SQL form; tests hold run() against a brute-force version
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read again by the next."""
     docs = table(spark, sf_dir, "documents")
-    for i, (name, apply) in enumerate(STAGES):
-        docs = apply(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stage(docs, f"pipeline-{name}")
-    return docs
+    for name, apply in STAGES[:-1]:
+        docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
