@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+import uuid
+from contextlib import contextmanager
+from typing import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,48 +33,85 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder (never a machine-local one on a cluster)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/pressloom-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back.
+
+    Like a checkpoint it fixes the rows and cuts the lineage; unlike one, later
+    readers prune columns and row groups. See ``dropping_staged`` for its end.
+    """
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    _staged_paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_staged_paths: list[str] = []
+
+
+@contextmanager
+def dropping_staged(spark: SparkSession) -> Iterator[None]:
+    """Deletes what was staged inside the block when it ends; for jobs whose results are written by then."""
+    first = len(_staged_paths)
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        while len(_staged_paths) > first:
+            path = jvm.org.apache.hadoop.fs.Path(_staged_paths.pop())
+            path.getFileSystem(conf).delete(path, True)
+
+
 def global_row_number(df: DataFrame, order_cols: Sequence[str], out: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
     """``row_number() OVER (ORDER BY order_cols)`` without moving all rows to one task.
 
-    Rows are range-partitioned and sorted on the order key; each row gets its
-    position inside its partition; a per-partition count table (one row per
-    partition, so bounded by the partition count) gives each partition's offset.
-    Ties on the order key must not exist (the key is expected to be unique).
+    Rows are range-partitioned and sorted on the order key, and staged once with
+    their partition and their position in it. Counts and rows are both taken from
+    that copy, so every use sees one and the same partitioning (a second range
+    exchange would sample bounds of its own). The count table has one row per
+    partition. Ties on the order key must not exist.
     """
     spark: SparkSession = df.sparkSession
-    # a fixed count (AQE must not coalesce: partition ids define the order), scaled to the task slots
-    n = num_partitions or max(2, spark.sparkContext.defaultParallelism * 2)
+    # a fixed count (partition ids define the order, so AQE must not coalesce)
+    n = num_partitions or max(2, spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    local = ranged.withColumn("_lrn", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33) + 1)
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+              .withColumn("_lrn", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33) + 1))
+    local = staged(ranged, "numbered")
+    counts = local.groupBy("_pid").agg(F.max("_lrn").alias("_cnt"))
     offsets = counts.select(
-        "_pid",
-        (F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lrn")).cast("long"))
-            .drop("_pid", "_mid", "_lrn", "_off"))
+        F.col("_pid").alias("_opid"),
+        F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), F.col("_pid") == F.col("_opid"))
+            .withColumn(out, (F.col("_off") + F.col("_lrn")).cast("long"))
+            .drop("_pid", "_opid", "_lrn", "_off"))
 
 
 def number_within_groups(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                         rn: str = "rn", next_cols: Sequence[str] = ()) -> DataFrame:
+                         rn: str = "rn", next_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
     """``row_number()`` and ``lead(c)`` per group, safe when one group holds most rows.
 
     A window partitioned by the group would sort a hot group inside one task.
     Instead every row gets a global position on (group, order) by range
     partitioning (a hot group is split over many tasks); the group's first
     position comes from a partial (map-side combined) min aggregate; ``lead`` is
-    an equi-join on the unique global position. ``(group, order)`` must be unique.
+    an equi-join on the unique global position. All three read the one staged
+    numbering. ``(group, order)`` must be unique.
     """
-    g = global_row_number(df, [*group_cols, *order_cols], out="_grn")
-    first = g.groupBy(*group_cols).agg(F.min("_grn").alias("_first"))
-    out = g.join(first, list(group_cols)).withColumn(rn, (F.col("_grn") - F.col("_first") + 1).cast("long"))
+    g = global_row_number(df, [*group_cols, *order_cols], out="_grn", num_partitions=num_partitions)
+    first = g.groupBy(*group_cols).agg(F.min("_grn").alias("_first")).select(
+        *[F.col(c).alias("_f_" + c) for c in group_cols], "_first")
+    same_group = [F.col(c).eqNullSafe(F.col("_f_" + c)) for c in group_cols]
+    out = g.join(first, same_group).drop(*["_f_" + c for c in group_cols]) \
+           .withColumn(rn, (F.col("_grn") - F.col("_first") + 1).cast("long"))
     if next_cols:
-        nxt = g.select(*[F.col(c).alias("_n_" + c) for c in group_cols],
-                       (F.col("_grn") - 1).alias("_grn"),
+        nxt = g.select(*[F.col(c).alias("_n_" + c) for c in group_cols], (F.col("_grn") - 1).alias("_ngrn"),
                        *[F.col(c).alias("next_" + c) for c in next_cols])
-        cond = [out["_grn"] == nxt["_grn"]] + [out[c].eqNullSafe(nxt["_n_" + c]) for c in group_cols]
-        out = out.join(nxt, cond, "left").drop(nxt["_grn"]).drop(*["_n_" + c for c in group_cols])
+        cond = [F.col("_grn") == F.col("_ngrn")] + [F.col(c).eqNullSafe(F.col("_n_" + c)) for c in group_cols]
+        out = out.join(nxt, cond, "left").drop("_ngrn", *["_n_" + c for c in group_cols])
     return out.drop("_grn", "_first")

@@ -10,24 +10,17 @@ Parallel form (exact): in each round, a row that holds the smallest ``seq`` of
 both its title group and its url group among undecided rows is kept (every
 earlier row of its groups was dropped, or it would have been removed); then
 every undecided row sharing a key with a kept row is dropped. Rounds repeat
-until nothing is undecided. Random orders need few rounds; a long alternating
-chain needs many, so once the undecided rest is provably small (counted) and a
-few rounds have run, it is finished by the sequential walk per batch.
+until nothing is undecided: few on random orders, one per link of a chain in
+which every row shares a key with the next.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.functions.text import py_strip
-from pressloom.operators.common import cut_lineage
-
-# Largest undecided rest handed to the sequential finish (all batches together).
-TAIL_ROWS = 200_000
-MIN_PARALLEL_ROUNDS = 3
-
+from pressloom.operators.common import staged, staging_path
 
 def dedup_keys(df: DataFrame, title_col: str = "title", url_col: str = "url") -> DataFrame:
     """Keys compared by the de-dup: stripped title and url; null becomes ``''``.
@@ -38,60 +31,33 @@ def dedup_keys(df: DataFrame, title_col: str = "title", url_col: str = "url") ->
              .withColumn("_uk", F.coalesce(py_strip(F.col(url_col)), F.lit("")))
 
 
-def _sequential(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The walk itself, for one batch's undecided rest (its size is bounded by the caller's count)."""
-    pdf = pdf.sort_values("seq")
-    titles: set[str] = set()
-    urls: set[str] = set()
-    keep = []
-    for b, s, tk, uk in zip(pdf["batch_id"], pdf["seq"], pdf["_tk"], pdf["_uk"]):
-        if tk in titles or uk in urls:
-            continue
-        titles.add(tk)
-        urls.add(uk)
-        keep.append((b, s))
-    return pd.DataFrame(keep, columns=["batch_id", "seq"])
-
-
-def kept_positions(keyed: DataFrame, batch_col: str = "batch_id", seq_col: str = "seq",
-                   tail_rows: int = TAIL_ROWS, min_rounds: int = MIN_PARALLEL_ROUNDS) -> DataFrame:
+def kept_positions(keyed: DataFrame, batch_col: str = "batch_id", seq_col: str = "seq") -> DataFrame:
     """``(batch_id, seq)`` of kept rows; input has ``batch_col, seq_col, _tk, _uk``
     with ``(batch_id, seq)`` unique."""
-    undecided = cut_lineage(keyed.select(F.col(batch_col).alias("batch_id"), F.col(seq_col).alias("seq"), "_tk", "_uk"))
-    kept: list[DataFrame] = []
-    rounds = 0
+    spark = keyed.sparkSession
+    keys = keyed.select(F.col(batch_col).alias("batch_id"), F.col(seq_col).alias("seq"), "_tk", "_uk")
+    undecided = staged(keys, "dedup-undecided")
+    kept = staging_path(spark, "dedup-kept")  # rounds append here, so the plan doesn't grow with them
     while True:
-        n = undecided.count()
-        if n == 0:
-            break
-        if n <= tail_rows and rounds >= min_rounds:
-            types = undecided.select("batch_id", "seq").schema
-            kept.append(cut_lineage(undecided.groupBy("batch_id").applyInPandas(_sequential, types)))
-            break
         # group minima by partial aggregation: a hot title or url collapses map-side
         tmin = undecided.groupBy("batch_id", "_tk").agg(F.min("seq").alias("seq"))
         umin = undecided.groupBy("batch_id", "_uk").agg(F.min("seq").alias("seq"))
-        winners = cut_lineage(tmin.join(umin, ["batch_id", "seq"]))  # (batch_id, seq) is unique
-        kept.append(winners.select("batch_id", "seq"))
-        undecided = cut_lineage(
-            undecided.join(winners.select("batch_id", "_tk"), ["batch_id", "_tk"], "left_anti")
-                     .join(winners.select("batch_id", "_uk"), ["batch_id", "_uk"], "left_anti"))
-        rounds += 1
-    if not kept:
-        return keyed.select(F.col(batch_col).alias("batch_id"), F.col(seq_col).alias("seq")).limit(0)
-    out = kept[0]
-    for k in kept[1:]:
-        out = out.unionByName(k)
-    return out
+        winners = staged(tmin.join(umin, ["batch_id", "seq"]), "dedup-winners")  # (batch_id, seq) is unique
+        winners.select("batch_id", "seq").write.mode("append").parquet(kept)
+        rest = (undecided.join(winners.select("batch_id", "_tk"), ["batch_id", "_tk"], "left_anti")
+                .join(winners.select("batch_id", "_uk"), ["batch_id", "_uk"], "left_anti"))
+        undecided = staged(rest, "dedup-undecided")
+        if undecided.limit(1).count() == 0:
+            return spark.read.schema(keys.select("batch_id", "seq").schema).parquet(kept)
 
 
 def dedup_title_or_url(articles: DataFrame, batch_col: str = "batch_id", seq_col: str = "seq",
-                       title_col: str = "title", url_col: str = "url", **kw) -> DataFrame:
+                       title_col: str = "title", url_col: str = "url") -> DataFrame:
     """G1 + G2: keep the first row of each title and of each url, in order, per batch.
 
     The memory is per batch (G2): ``batch_col`` is part of every key.
     """
     keyed = dedup_keys(articles.select(batch_col, seq_col, title_col, url_col), title_col, url_col)
-    kept = kept_positions(keyed, batch_col, seq_col, **kw) \
+    kept = kept_positions(keyed, batch_col, seq_col) \
         .withColumnRenamed("batch_id", batch_col).withColumnRenamed("seq", seq_col)
     return articles.join(kept, [batch_col, seq_col], "left_semi")

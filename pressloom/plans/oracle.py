@@ -45,12 +45,12 @@ SELECT CASE e.event_id % 5 WHEN 0 THEN 'TimeoutError' WHEN 1 THEN 'ClientConnect
        CASE WHEN e.event_id % 19 = 0 THEN NULL ELSE concat('https://feed', e.event_id % 3, '.example.com/') END AS source_article,
        e.event_id % 3 = 0 AS from_fake, e.props AS additional_info,
        CASE WHEN e.event_id % 23 = 0 THEN NULL ELSE date_trunc('day', e.ts) END AS creation_date
-FROM events e JOIN pages p ON p.page_id = e.event_id % 40
+FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
 WHERE e.event_type = 'error'""",
     "post": """
 SELECT e.event_type AS sub, e.event_id AS post_id, (e.event_id * 7919) % 10007 AS score, e.ts AS created, p.url AS url,
        CASE WHEN e.event_id % 13 = 0 THEN p.url ELSE concat('/r/', e.event_type, '/', e.event_id) END AS permalink
-FROM events e JOIN pages p ON p.page_id = e.event_id % 40""",
+FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)""",
     "edge": """
 SELECT h AS feed, page_id, url AS page_url,
        lead(url) OVER (PARTITION BY h ORDER BY page_id) AS next_url,

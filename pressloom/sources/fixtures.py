@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.operators.common import bounded_broadcast, cut_lineage, global_row_number, number_within_groups
+from pressloom.operators.common import cut_lineage, global_row_number, number_within_groups
 from pressloom.sources.tables import read_table
 
 HOST_RE = r"^https?://([^/?#]*)"
@@ -26,11 +26,11 @@ def _s(c) -> F.Column:
 
 
 def events_with_page(events: DataFrame, pages: DataFrame) -> DataFrame:
-    """Events joined with the page whose id is ``event_id % 40`` (works on a stream too)."""
-    # p.page_id = e.event_id % 40 can only hit page ids in [-39, 39]: a bounded side.
-    small = pages.where(F.col("page_id").between(-39, 39)).select("page_id", F.col("url").alias("p_url"))
-    e = events.withColumn("_pk", F.col("event_id") % 40)
-    return e.join(bounded_broadcast(small, 10_000), e["_pk"] == small["page_id"]).drop("_pk", "page_id")
+    """Events joined with the page whose id is ``event_id`` modulo the number of pages (works on a stream too)."""
+    urls = pages.select("page_id", F.col("url").alias("p_url"))
+    n = urls.count()
+    e = events.withColumn("_pk", F.col("event_id") % F.lit(max(n, 1)))
+    return e.join(urls, e["_pk"] == urls["page_id"]).drop("_pk", "page_id")
 
 
 def err_rows(ewp: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pressloom.operators import errors as er
@@ -14,7 +15,7 @@ from pressloom.operators.rules import Rules
 
 
 def sequential_dedup(rows):
-    """The reference's walk: per batch, in seq order, keep a row unless its stripped title or url is registered."""
+    """The walk itself: per batch, in seq order, keep a row unless its stripped title or url is registered."""
     kept = set()
     for b in sorted({r[0] for r in rows}):
         titles, urls = set(), set()
@@ -28,9 +29,9 @@ def sequential_dedup(rows):
     return kept
 
 
-def run_dedup(spark, rows, **kw):
+def run_dedup(spark, rows):
     df = spark.createDataFrame(rows, "batch_id long, seq long, title string, url string")
-    return {(r.batch_id, r.seq) for r in dedup_title_or_url(df, **kw).collect()}
+    return {(r.batch_id, r.seq) for r in dedup_title_or_url(df).collect()}
 
 
 def test_dedup_is_not_two_windows(spark):
@@ -51,15 +52,11 @@ def test_dedup_random_against_sequential(spark, seed):
     assert run_dedup(spark, rows) == sequential_dedup(rows)
 
 
-def test_dedup_long_chain_parallel_rounds_and_tail(spark):
-    # alternating chain: one winner per round; exercise both finishing paths
-    rows = []
-    for i in range(12):
-        rows.append((0, 2 * i, f"t{i}", f"u{i}"))
-        rows.append((0, 2 * i + 1, f"t{i}", f"u{i + 1}"))
-    expect = sequential_dedup(rows)
-    assert run_dedup(spark, rows, tail_rows=0) == expect  # all parallel rounds
-    assert run_dedup(spark, rows, tail_rows=10_000, min_rounds=2) == expect  # sequential finish of the rest
+def test_dedup_long_chain(spark):
+    # every row shares a key with the next, so one row is kept per round
+    rows = [(0, i, f"t{i // 2}", f"u{(i + 1) // 2}") for i in range(200)]
+    kept = run_dedup(spark, rows)
+    assert kept == sequential_dedup(rows) and len(kept) == 100
 
 
 def test_dedup_scope_is_per_batch(spark):
@@ -153,6 +150,34 @@ def test_global_row_number_and_groups(spark):
         assert r.next_v == (vs[i + 1] if i + 1 < len(vs) else None)
 
 
+@pytest.mark.parametrize("partitions", [3, 16])
+def test_numbering_of_many_rows_with_other_columns(spark, partitions):
+    """Range bounds are sampled from such an input; every use must still see one partitioning."""
+    df = spark.range(400_000).select((F.xxhash64("id") % 7).alias("g"), F.xxhash64("id", F.lit(1)).alias("v"), F.col("id").alias("w"),
+                                     F.concat(F.lit("text "), "id").alias("t")).repartition(7)
+    numbered = global_row_number(df, ["v"], num_partitions=partitions)
+    got = numbered.agg(F.count("rn"), F.countDistinct("rn"), F.min("rn"), F.max("rn"),
+                       F.sum((F.col("t") == F.concat(F.lit("text "), "w")).cast("int"))).first()
+    assert tuple(got) == (400_000, 400_000, 1, 400_000, 400_000)
+    w = Window.partitionBy("g").orderBy("v")
+    plain = df.select("g", "v", "w", "t", F.row_number().over(w).cast("long").alias("rn"), F.lead("t").over(w).alias("next_t"))
+    own = number_within_groups(df, ["g"], ["v"], next_cols=["t"], num_partitions=partitions).select(plain.columns)
+    assert own.count() == 400_000 and own.exceptAll(plain).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [4, 8])
+def test_edge_view_equals_a_plain_window(spark, partitions, monkeypatch):
+    from pressloom.sources import fixtures
+
+    monkeypatch.setattr(fixtures, "number_within_groups", lambda *a, **k: number_within_groups(*a, **k, num_partitions=partitions))
+    v = fixtures.Views(spark, "/root/testdata/sf0.1")
+    w = Window.partitionBy("feed").orderBy("page_id")
+    base = v.pages.select(fixtures._host().alias("feed"), "page_id", F.col("url").alias("page_url"))
+    plain = base.select("feed", "page_id", "page_url", F.lead("page_url").over(w).alias("next_url"), F.row_number().over(w).cast("long").alias("rn"))
+    own = v.edge.select(plain.columns)
+    assert own.count() == 2500 and own.exceptAll(plain).count() == 0
+
+
 def test_bounded_broadcast_falls_back_above_bound(spark):
     from pressloom.operators.common import bounded_broadcast
 
