@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pressloom.functions.selectors import attr, regions
 from pressloom.functions.text import check_strings, decode_entities, py_strip, value_or_none
 
 # Fixed patterns of the extraction rules.
@@ -21,21 +22,13 @@ BODY_RE = r"(?is)<body[^>]*>(.*)</body>"
 BLOCK_END_RE = r"(?i)</p>|<p\b[^>]*>|<br\s*/?>|</h[1-6]>|</li>|</div>"
 TAG_RE = r"(?s)<[^>]*>"
 BLANK_LINES_RE = "[ \t]*\n[\n \t]*"
-HTML_LANG_RE = r'(?is)<html[^>]*\blang="([^"]*)"'
-IMG_RE = r'(?is)<img[^>]*\bsrc="([^"]*)"'
-VIDEO_RE = r'(?is)<(?:video|iframe|embed|source)[^>]*\bsrc="([^"]*)"'
-ARCHIVE_HEADER_INPUT_RE = r'(?is)id="HEADER"[^>]*>\s*<table[^>]*>.*?<input([^>]*)>'
-VALUE_ATTR_RE = r'(?is)\bvalue="([^"]*)"'
+HTML_TAG_RE = r"(?is)<html\b[^>]*>"
+IMG_TAG_RE = r"(?is)<img\b[^>]*>"
+VIDEO_TAG_RE = r"(?is)<(?:video|iframe|embed|source)\b[^>]*>"
 META_TAG_RE = r"(?is)<meta[^>]*>"
 DATE_RE = r"^\s*([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[T ]([0-9]{2}:[0-9]{2}(?::[0-9]{2})?))?"
 
 
-def meta_re(attr: str, name: str) -> tuple[str, str]:
-    """Patterns for ``<meta attr="name" content="...">`` in both attribute orders."""
-    return (rf'(?is)<meta[^>]*\b{attr}="{name}"[^>]*\bcontent="([^"]*)"',
-            rf'(?is)<meta[^>]*\bcontent="([^"]*)"[^>]*\b{attr}="{name}"')
-
-
 # Which meta tag feeds which field.
 META_DESCRIPTION = ("name", "description")
 META_KEYWORDS = ("name", "keywords")
@@ -76,16 +69,18 @@ def meta_tags(html) -> Column:
     return F.regexp_extract_all(_c(html), F.lit(META_TAG_RE), F.lit(0))
 
 
+def _named(html, spec: tuple[str, str]) -> Column:
+    """Contents of the meta tags whose attribute has the given value, in order; tags without content are left out."""
+    name, value = spec
+    contents = F.transform(F.filter(meta_tags(html), lambda t: F.coalesce(F.lower(attr(t, name)) == value, F.lit(False))),
+                           lambda t: attr(t, "content"))
+    return F.filter(contents, lambda c: c.isNotNull())
+
+
 def meta_content(html, spec: tuple[str, str]) -> Column:
-    """Content of the first meta tag with ``attr="name"`` before ``content`` (else the first with
-    the attributes the other way round), or null when there is none. Matches run over the
-    extracted tags, not the whole page."""
-    a, b = meta_re(*spec)
-    tags = meta_tags(html)
-    first_a = F.try_element_at(F.filter(tags, lambda t: t.rlike(a)), F.lit(1))
-    first_b = F.try_element_at(F.filter(tags, lambda t: t.rlike(b)), F.lit(1))
-    return (F.when(first_a.isNotNull(), F.regexp_extract(first_a, a, 1))
-            .when(first_b.isNotNull(), F.regexp_extract(first_b, b, 1)))
+    """Content of the first meta tag of that name, or null when there is none. Attributes may stand in
+    either order and in either quotes. Matches run over the extracted tags, not the whole page."""
+    return F.try_element_at(_named(html, spec), F.lit(1))
 
 
 def meta_description(html) -> Column:
@@ -95,7 +90,7 @@ def meta_description(html) -> Column:
 
 def page_lang(html) -> Column:
     """``<html lang>``: first two letters, lower case, when they are letters; else null."""
-    two = F.substring(F.regexp_extract(_c(html), HTML_LANG_RE, 1), 1, 2)
+    two = F.substring(F.coalesce(attr(F.regexp_extract(_c(html), HTML_TAG_RE, 0), "lang"), F.lit("")), 1, 2)
     return F.when(two.rlike("^[A-Za-z]{2}$"), F.lower(two))
 
 
@@ -120,36 +115,35 @@ def page_publish_date(html) -> Column:
     return txt.try_cast("timestamp_ntz")
 
 
-def _all(html, pattern: str) -> Column:
-    return F.regexp_extract_all(_c(html), F.lit(pattern), F.lit(1))
+def _sources(html, tag_pattern: str) -> Column:
+    tags = F.regexp_extract_all(_c(html), F.lit(tag_pattern), F.lit(0))
+    return F.array_sort(F.array_distinct(check_strings(F.transform(tags, lambda t: attr(t, "src")))))
 
 
 def page_images(html) -> Column:
     """K4: image sources, distinct, sorted."""
-    return F.array_sort(F.array_distinct(check_strings(_all(html, IMG_RE))))
+    return _sources(html, IMG_TAG_RE)
 
 
 def page_videos(html) -> Column:
-    return F.array_sort(F.array_distinct(check_strings(_all(html, VIDEO_RE))))
+    return _sources(html, VIDEO_TAG_RE)
 
 
 def page_authors(html) -> Column:
-    a, _ = meta_re(*META_AUTHOR)
-    found = F.transform(F.filter(meta_tags(html), lambda t: t.rlike(a)), lambda t: F.regexp_extract(t, a, 1))
-    return F.array_distinct(check_strings(found))
+    return F.array_distinct(check_strings(_named(html, META_AUTHOR)))
 
 
 def archive_original_url(html) -> tuple[Column, Column]:
     """Original url of an archive page = ``value`` of the first ``input`` in the
-    table under ``#HEADER``. Returns ``(url, error_type)``: no such input ->
-    ``TypeError``; no value attribute -> ``KeyError``; empty value ->
-    ``ArchivedURLNotFound``; else error null.
+    first table under ``#HEADER``, whatever stands before the table; inputs elsewhere
+    don't count. Returns ``(url, error_type)``: no such input -> ``TypeError``; no
+    value attribute -> ``KeyError``; empty value -> ``ArchivedURLNotFound``; else
+    error null.
     """
-    h = _c(html)
-    has_input = h.rlike(ARCHIVE_HEADER_INPUT_RE)
-    attrs = F.regexp_extract(h, ARCHIVE_HEADER_INPUT_RE, 1)
-    has_value = attrs.rlike(VALUE_ATTR_RE)
-    value = F.regexp_extract(attrs, VALUE_ATTR_RE, 1)
-    err = (F.when(~has_input, F.lit("TypeError")).when(~has_value, F.lit("KeyError"))
+    header = F.try_element_at(regions(_c(html), "#HEADER"), F.lit(1))
+    first_table = F.try_element_at(regions(header, "table"), F.lit(1))
+    tag = F.regexp_extract(F.coalesce(first_table, F.lit("")), r"(?is)<input\b[^>]*>", 0)
+    value = attr(tag, "value")
+    err = (F.when(tag == "", F.lit("TypeError")).when(value.isNull(), F.lit("KeyError"))
            .when(value == "", F.lit("ArchivedURLNotFound")))
     return F.when(err.isNull(), value), err

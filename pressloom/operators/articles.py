@@ -18,7 +18,7 @@ from pyspark.sql import Window
 from pressloom.functions import html as H
 from pressloom.functions.text import (correct_title, min_words_or_none, remove_newlines, truncate_title,
                                       value_or_none)
-from pressloom.operators.common import cut_lineage
+from pressloom.operators.common import staged
 from pressloom.functions.urls import (KIND_ARCHIVE, KIND_WEB_ARCHIVE, link_kind, maintain_path, site_key,
                                       web_archive_target)
 from pressloom.schemas import ARTICLE_COLUMNS, ERROR_COLUMNS
@@ -91,23 +91,17 @@ def error_rows(df: DataFrame, type_col: Column, info_col: Column, url: Column, s
                      ntz_literal(run_ts).alias("creation_date"), *keep)
 
 
-# Links broadcast to the page scan when a batch has at most this many rows (~200 bytes each).
-LINKS_BROADCAST_MAX_ROWS = 500_000
-
-
 def link_pages(links: DataFrame, responses: DataFrame) -> DataFrame:
     """Attach each link's response; ``_has_resp`` false (status/html null) when none came back.
 
-    The html column is the largest in the system, so it must not be shuffled:
-    a link batch of checked size is broadcast and the pages are joined where
-    they are read; links without a response come from an anti join that reads
-    only the page urls. Above the bound this is an ordinary shuffle join.
+    Links are staged, so Spark knows their size: few links go to the page scan, where
+    the html is; many make it a shuffle join, for which Spark filters the pages by the
+    links' urls at run time (``spark.sql.optimizer.runtime.bloomFilter``). Links without
+    a response come from an anti join that reads only the page urls.
     """
     status = F.col("status") if "status" in responses.columns else F.lit(200)
     r = responses.select(F.col("url").alias("_rurl"), status.alias("status"), F.col("html"))
-    # a link batch is narrow: materialise it once, so the size check and the join do not both recompute it
-    links = cut_lineage(links)
-    lk = F.broadcast(links) if links.count() <= LINKS_BROADCAST_MAX_ROWS else links
+    lk = staged(links, "links")
     matched = r.join(lk, r["_rurl"] == lk["url"]).drop("_rurl").withColumn("_has_resp", F.lit(True))
     urls = responses.select(F.col("url").alias("_rurl")).where(F.col("_rurl").isNotNull())
     missing = (lk.join(urls, lk["url"] == urls["_rurl"], "left_anti")
@@ -163,7 +157,7 @@ def build_articles(links: DataFrame, responses: DataFrame, run_ts: dt.datetime,
         H.page_videos(html).alias("videos"), H.page_lang(html).alias("lang"),
         H.page_keywords(html).alias("keywords"), H.page_section(html).alias("section"),
         H.page_publish_date(html).alias("publish_date"), H.page_generator(html).alias("generator"))
-    wide = cut_lineage(wide)
+    wide = staged(wide, "parsed")
 
     errors = error_rows(wide.where(F.col("_err").isNotNull()), F.col("_err"), F.col("_info"), u, src, fake, run_ts,
                         keep=keys)

@@ -1,89 +1,24 @@
 """Feed walking and link extraction.
 
-Selectors: a small documented subset of CSS is turned into regexes —
-``tag``, ``tag.class``, ``.class``, ``#id``, optionally followed by `` a`` or
-`` > a`` (anchors inside the element); a bare ``a``/``a.class`` matches anchors
-anywhere. An element's region is its inner html up to the first closing tag
-of the same name (``.class``/``#id`` without tag: its text up to the next tag).
+Every feed has its own selectors (``sel``: nextp, entries, links) and condition.
+A selector's columns are built once per distinct selector of the configuration, and
+a page is read with those of its feed. Selectors: see ``functions.selectors``.
 """
 
 from __future__ import annotations
 
-import re
-from typing import Iterable
+from typing import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pressloom.functions.selectors import hrefs, texts
 from pressloom.functions.text import py_strip
-from pressloom.operators.common import bounded_broadcast, cut_lineage
+from pressloom.operators.common import staged, staging_path
 
-# A round's live feeds are broadcast to the edge scan up to this many rows.
-FRONTIER_BROADCAST_MAX_ROWS = 1_000_000
-
-ANCHOR_RE = r"(?is)<a\b([^>]*)>"
-HREF_RE = r'(?is)\bhref="([^"]*)"'
-STRIP_TAGS_RE = r"(?s)<[^>]*>"
 ORIGIN_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)"
-_PART = re.compile(r"^(?P<tag>[a-z][a-z0-9]*)?(?:(?P<dot>\.)(?P<cls>[A-Za-z0-9_-]+)|(?P<hash>#)(?P<id>[A-Za-z0-9_-]+))?$")
-
-
-def _attr_cond(name: str, value: str) -> str:
-    return rf'[^>]*\b{name}="(?:[^"]*\s)?{re.escape(value)}(?:\s[^"]*)?"'
-
-
-def element_re(part: str) -> str:
-    """Regex whose group 1 is the inner html (or leading text) of elements matching ``part``."""
-    m = _PART.match(part.strip())
-    if not m or not (m.group("tag") or m.group("dot") or m.group("hash")):
-        raise ValueError(f"unsupported selector part: {part!r}")
-    cond = ""
-    if m.group("dot"):
-        cond = _attr_cond("class", m.group("cls"))
-    elif m.group("hash"):
-        cond = _attr_cond("id", m.group("id"))
-    tag = m.group("tag")
-    if tag:
-        return rf"(?is)<{tag}\b{cond}[^>]*>(.*?)</{tag}>"
-    return rf"(?is)<[a-z][a-z0-9]*\b{cond}[^>]*>([^<]*)"
-
-
-def anchor_re(part: str) -> str:
-    """Regex whose group 1 is the attribute text of anchors matching ``a`` / ``a.class`` / ``a#id``."""
-    m = _PART.match(part.strip())
-    if not m or m.group("tag") != "a":
-        raise ValueError(f"links must be selected by an anchor part: {part!r}")
-    cond = ""
-    if m.group("dot"):
-        cond = _attr_cond("class", m.group("cls"))
-    elif m.group("hash"):
-        cond = _attr_cond("id", m.group("id"))
-    return rf"(?is)<a\b({cond}[^>]*)>" if cond else ANCHOR_RE
-
-
-def selector_patterns(selector: str) -> tuple[str | None, str]:
-    """``(region_re or None, anchor_re)`` for a link selector."""
-    parts = [p for p in re.split(r"\s*>\s*|\s+", selector.strip()) if p]
-    if len(parts) == 1:
-        return None, anchor_re(parts[0])
-    if len(parts) == 2:
-        return element_re(parts[0]), anchor_re(parts[1])
-    raise ValueError(f"unsupported selector: {selector!r}")
-
-
-def _href_or_null(attrs: Column) -> Column:
-    return F.transform(attrs, lambda a: F.when(a.rlike(HREF_RE), F.regexp_extract(a, HREF_RE, 1)))
-
-
-def hrefs(html: Column, selector: str) -> Column:
-    """Hrefs of all anchors the selector matches, in order; an anchor without href gives null."""
-    region, anchor = selector_patterns(selector)
-    if region is None:
-        attrs = F.regexp_extract_all(html, F.lit(anchor), F.lit(1))
-    else:
-        regions = F.regexp_extract_all(html, F.lit(region), F.lit(1))
-        attrs = F.flatten(F.transform(regions, lambda r: F.regexp_extract_all(r, F.lit(anchor), F.lit(1))))
-    return _href_or_null(attrs)
+NO_PAGE = "feed page not fetched: "
+NO_ENTRY = "entry page not fetched: "
 
 
 def first_href(html: Column, selector: str) -> Column:
@@ -97,7 +32,7 @@ def resolve_href(href: Column, page_url: Column) -> Column:
     return F.when(href.startswith("/") & ~href.startswith("//") & (origin != ""), F.concat(origin, href)).otherwise(href)
 
 
-def condition_holds(html: Column, container: str | None, values: Iterable[str] | None) -> Column:
+def condition_holds(html: Column, container: str | None, values: Column | Iterable[str] | None) -> Column:
     """Some element under ``container`` has text that, lowered and stripped, is in ``values``.
 
     ``values`` are compared as configured (not lowered), so upper-case values never match.
@@ -105,60 +40,74 @@ def condition_holds(html: Column, container: str | None, values: Iterable[str] |
     """
     if not container:
         return F.lit(True)
-    vals = F.array(*[F.lit(v) for v in (values or [])]).cast("array<string>")
-    texts = F.transform(F.regexp_extract_all(html, F.lit(element_re(container)), F.lit(1)),
-                        lambda t: py_strip(F.lower(F.regexp_replace(t, STRIP_TAGS_RE, ""))))
-    return F.exists(texts, lambda t: F.array_contains(vals, t))
+    vals = values if isinstance(values, Column) else F.array(*[F.lit(v) for v in (values or [])]).cast("array<string>")
+    return F.exists(F.transform(texts(html, container), lambda t: py_strip(F.lower(t))), lambda t: F.array_contains(vals, t))
+
+
+def selectors_of(feeds: DataFrame, field: str) -> list[str]:
+    """The distinct selectors of the feeds, a part of the configuration file."""
+    return sorted(r[0] for r in feeds.select(field).distinct().collect() if r[0] is not None)
+
+
+def per_selector(selectors: list[str], make: Callable[[str], Column], kind: str, none: str | None = None) -> Column:
+    """Array of (s, h): each selector and what it gives; ``none``: a name for no selector, which gives null."""
+    parts = [F.struct(F.lit(s).alias("s"), make(s).cast(kind).alias("h")) for s in selectors]
+    if none is not None:
+        parts.append(F.struct(F.lit(none).alias("s"), F.lit(None).cast(kind).alias("h")))
+    return F.array(*parts) if parts else F.array().cast(f"array<struct<s:string,h:{kind}>>")
+
+
+def next_pages(feeds: DataFrame, pages: DataFrame) -> DataFrame:
+    """I2 for all feeds: ``(selector, page_url, next_url)``, the next link of every page under every next selector.
+
+    Pages of other sites give rows that no walk asks for. Root-relative links are made absolute.
+    """
+    found = per_selector(selectors_of(feeds, "sel.nextp"), lambda s: first_href(F.col("html"), s), "string", none="")
+    return pages.select(F.col("url").alias("page_url"), F.explode(found).alias("x")).select(
+        F.col("x.s").alias("selector"), "page_url", resolve_href(F.col("x.h"), F.col("page_url")).alias("next_url"))
 
 
 def walk_feed(feeds: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """I3 + H2 + I6: follow next-page links round by round.
 
-    ``feeds(name, url, stop_after)``; ``edges(page_url, next_url)`` = the fetched
-    feed pages and their next link (``page_url`` unique). Round ``r`` reads one
-    page of every live feed and emits ``(name, round, page_url, remaining,
-    next_url, is_over)``; ``remaining`` is the counter of the page just read.
-    A feed stops when there is no next link or its counter is 0 (a negative
-    counter never reaches 0, so such feeds run to the end of the chain; a
-    visited set per feed guards against cycles). A page that is not in
-    ``edges`` was not fetched: the feed is dropped without state (see
-    ``missing_feed_pages``).
+    ``feeds(name, url, stop_after[, sel])``; ``edges([selector,] page_url, next_url)`` = the
+    fetched feed pages and their next link (unique; with ``selector`` a feed follows
+    the links of its own next selector). Round ``r`` reads one page of every live feed
+    and emits ``(name, round, page_url, remaining, next_url, is_over)``; ``remaining``
+    is the counter of the page just read. A feed stops when there is no next link or
+    its counter is 0; a page may be read again meanwhile. A negative counter never
+    reaches 0: such feeds run to the end of the chain, and a visited set guards them
+    against cycles. A page that is not in ``edges`` was not fetched: the feed is
+    dropped without state (see ``missing_feed_pages``). Rounds are appended to one
+    staged table, so the plan doesn't grow with them.
     """
-    frontier = feeds.select("name", "url", F.col("stop_after").cast("long").alias("remaining"),
-                            F.lit(0).cast("long").alias("round"))
-    # the edge table is read once per round: materialise it once (two narrow columns)
-    e = cut_lineage(edges.select(F.col("page_url"), F.col("next_url")))
-    visited = None
-    out: list[DataFrame] = []
+    spark = feeds.sparkSession
+    own = "selector" in edges.columns
+    e = staged(edges.select(*[c for c in ("selector", "page_url", "next_url") if c in edges.columns]), "walk-edges")
+    frontier = feeds.select("name", "url", F.col("stop_after").cast("long").alias("remaining"), F.lit(0).cast("long").alias("round"),
+                            *([F.coalesce("sel.nextp", F.lit("")).alias("selector")] if own else []))
+    keep = ["selector"] if own else []
+    path = staging_path(spark, "walk-rounds")
+    columns = ["name", "round", "page_url", "remaining", "next_url", "is_over", *keep]
     rnd = 0
-    while max_rounds is None or rnd < max_rounds:
-        # checkpoint the frontier itself: the visited set is a union of frontiers, and an unmaterialised
-        # frontier would re-derive every earlier one (each depends on the visited set before it)
-        frontier = cut_lineage(frontier)
-        n = frontier.count()
-        if n == 0:
-            break
-        f = F.broadcast(frontier) if n <= FRONTIER_BROADCAST_MAX_ROWS else frontier
-        read = cut_lineage(f.join(e, f["url"] == e["page_url"]).select(
+    while True:
+        frontier = staged(frontier, "walk-frontier")
+        on = [F.col("url") == F.col("page_url")] + ([F.col("selector") == F.col("_s")] if own else [])
+        right = e.withColumnRenamed("selector", "_s") if own else e
+        read = frontier.join(right, on).select(
             "name", "round", "page_url", "remaining", "next_url",
-            (F.col("next_url").isNull() | (F.col("remaining") == 0)).alias("is_over")))
-        out.append(read)
-        # the visited set is the union of checkpointed frontiers: short lineage without another write
-        visited = frontier.select("name", "url") if visited is None else visited.unionByName(frontier.select("name", "url"))
-        if rnd % 16 == 15:  # long chains: keep the union's plan short
-            visited = cut_lineage(visited)
-        frontier = (read.where(~F.col("is_over"))
-                    .select("name", F.col("next_url").alias("url"), (F.col("remaining") - 1).alias("remaining"),
-                            (F.col("round") + 1).alias("round"))
-                    .join(visited, ["name", "url"], "left_anti"))
+            (F.col("next_url").isNull() | (F.col("remaining") == 0)).alias("is_over"), *keep)
+        read.select(*columns).write.mode("append").partitionBy("round").parquet(path)
+        rounds = spark.read.schema(read.select(*columns).schema).parquet(path)
+        live = rounds.where((F.col("round") == rnd) & ~F.col("is_over")).select(
+            "name", F.col("next_url").alias("url"), (F.col("remaining") - 1).alias("remaining"), (F.col("round") + 1).alias("round"), *keep)
         rnd += 1
-    if not out:
-        return feeds.sparkSession.createDataFrame(
-            [], "name string, round long, page_url string, remaining long, next_url string, is_over boolean")
-    res = out[0]
-    for r in out[1:]:
-        res = res.unionByName(r)
-    return res
+        if (max_rounds is not None and rnd >= max_rounds) or live.limit(1).count() == 0:
+            return rounds.drop(*keep)
+        seen = rounds.where("remaining < 0").select(F.col("name").alias("_n"), F.col("page_url").alias("_u"))
+        endless = F.col("remaining") < 0
+        frontier = live.where(~endless).unionByName(
+            live.where(endless).join(seen, (F.col("name") == F.col("_n")) & (F.col("url") == F.col("_u")), "left_anti"))
 
 
 def pages_per_feed(walk: DataFrame) -> DataFrame:
@@ -179,48 +128,80 @@ def latest_state(states: DataFrame, order_col: str = "round") -> DataFrame:
                  .select("name", "_s.is_over", "_s.data")
 
 
-def feed_entries(walk: DataFrame, pages: DataFrame, entries_selector: str, resolve: bool = False) -> DataFrame:
-    """Entry urls of each feed page read by the walk (I4 first step), with positions."""
-    read = bounded_broadcast(walk.select("name", "round", "page_url"))
-    feed_pages = read.join(pages.select(F.col("url").alias("page_url"), "html"), "page_url")
-    ent = feed_pages.select("name", "round", "page_url",
-                            F.posexplode(hrefs(F.col("html"), entries_selector)).alias("entry_pos", "entry_url")) \
-                    .withColumn("entry_pos", F.col("entry_pos").cast("long"))
+def feed_entries(walk: DataFrame, pages: DataFrame, feeds: DataFrame, resolve: bool = False) -> DataFrame:
+    """Entry urls of each feed page read by the walk (I4 first step), with positions.
+
+    Hrefs are cut out of the html where the pages are read; only they are joined with the walk.
+    """
+    read = staged(walk.join(feeds.select(F.col("name").alias("_n"), F.col("sel.entries").alias("_selector")), F.col("name") == F.col("_n"))
+                  .select("name", "round", "page_url", "_selector"), "feed-pages")
+    asked = read.select(F.col("page_url").alias("_u")).distinct()
+    matched = pages.join(asked, F.col("url") == F.col("_u"), "left_semi").select(F.col("url").alias("_u"), "html")
+    found = matched.select("_u", F.explode(per_selector(
+        selectors_of(feeds, "sel.entries"), lambda s: hrefs(F.col("html"), s), "array<string>")).alias("x"))
+    ent = read.join(found.select("_u", F.col("x.s").alias("_s"), F.col("x.h").alias("_h")),
+                    (F.col("page_url") == F.col("_u")) & (F.col("_selector") == F.col("_s")))
+    ent = ent.select("name", "round", "page_url", F.posexplode("_h").alias("entry_pos", "entry_url")) \
+             .withColumn("entry_pos", F.col("entry_pos").cast("long"))
     if resolve:
         ent = ent.withColumn("entry_url", resolve_href(F.col("entry_url"), F.col("page_url")))
     return ent.where(F.col("entry_url").isNotNull())
 
 
-def feed_links(entries: DataFrame, pages: DataFrame, feeds: DataFrame, links_selector: str,
-               condition: tuple[str, list[str]] | None = None) -> tuple[DataFrame, DataFrame]:
+def _of_feed(feeds: DataFrame) -> DataFrame:
+    position = F.col("position") if "position" in feeds.columns else F.dense_rank().over(Window.orderBy("name"))
+    return feeds.select(F.col("name").alias("_n"), position.cast("long").alias("position"), F.col("fake_news").alias("fake"), F.col("sel.links").alias("_links"),
+                        F.col("condition.value_container").alias("_container"), F.col("condition.values").alias("_values"))
+
+
+def feed_links(entries: DataFrame, pages: DataFrame, feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """I4 + I5: entry pages -> article links tagged ``(entry_url, fake_news)``; missing entry pages -> errors.
 
-    Link rows: ``(batch_id = round, feed, entry_pos, link_pos, url, scraped_from, fake)``;
-    duplicates collapse per batch (F1, first position, last value). Entry pages
-    that were not fetched give error rows ``(type, url, source_article=null, from_fake)``.
+    Each feed's own link selector and condition apply. Link rows: ``(batch_id = round,
+    feed, position, entry_pos, link_pos, url, scraped_from, fake)``; duplicates collapse
+    per batch in the order of the configuration (F1, first position, last value). Entry
+    pages that were not fetched give error rows ``(type, url, source_article=null, from_fake)``.
+    Hrefs and element texts are cut out of the html where the pages are read; only they
+    are joined with the entries.
     """
-    fk = bounded_broadcast(feeds.select("name", F.col("fake_news").alias("fake")))
-    e = entries.join(fk, "name")
-    pg = pages.select(F.col("url").alias("entry_url"), "html")
-    found = e.join(pg, "entry_url")
-    missing = e.join(pg, "entry_url", "left_anti")
-    cont, vals = condition if condition else (None, None)
-    ok = found.where(condition_holds(F.col("html"), cont, vals))
-    links = ok.select("round", "name", "entry_pos", "entry_url", "fake",
-                      F.posexplode(hrefs(F.col("html"), links_selector)).alias("link_pos", "url")) \
-              .where(F.col("url").isNotNull()).withColumn("link_pos", F.col("link_pos").cast("long"))
-    pos = F.struct("name", "entry_pos", "link_pos")
+    of_feed = staged(_of_feed(feeds), "feed-links-conf")
+    e = staged(entries.join(of_feed, F.col("name") == F.col("_n")).drop("_n"), "feed-entries")
+    asked = e.select(F.col("entry_url").alias("_u")).distinct()
+    matched = pages.join(asked, F.col("url") == F.col("_u"), "left_semi")
+    html = F.col("html")
+    found = per_selector(selectors_of(of_feed, "_links"), lambda s: hrefs(html, s), "array<string>")
+    said = per_selector(selectors_of(of_feed, "_container"), lambda c: F.transform(texts(html, c), lambda t: py_strip(F.lower(t))), "array<string>")
+    cut = matched.select(F.col("url").alias("_u"), found.alias("_found"), said.alias("_said"))
+    joined = e.join(cut, F.col("entry_url") == F.col("_u"))
+    own = F.get(F.filter("_found", lambda x: x.s == F.col("_links")), F.lit(0)).h
+    texts_of = F.get(F.filter("_said", lambda x: x.s == F.col("_container")), F.lit(0)).h
+    holds = F.col("_container").isNull() | F.arrays_overlap(texts_of, F.coalesce(F.col("_values"), F.array().cast("array<string>")))
+    links = joined.where(F.coalesce(holds, F.lit(False))).select(
+        "round", "name", "position", "entry_pos", "entry_url", "fake", F.posexplode(own).alias("link_pos", "url")) \
+        .where(F.col("url").isNotNull()).withColumn("link_pos", F.col("link_pos").cast("long"))
+    pos = F.struct("position", "entry_pos", "link_pos", "name")
     merged = (links.groupBy(F.col("round").alias("batch_id"), "url")
               .agg(F.min(pos).alias("_p"), F.max_by(F.struct(F.col("entry_url").alias("scraped_from"), "fake"), pos).alias("_v"))
-              .select("batch_id", F.col("_p.name").alias("feed"), F.col("_p.entry_pos").alias("entry_pos"),
+              .select("batch_id", F.col("_p.name").alias("feed"), F.col("_p.position").alias("position"), F.col("_p.entry_pos").alias("entry_pos"),
                       F.col("_p.link_pos").alias("link_pos"), "url", "_v.scraped_from", "_v.fake"))
-    errors = missing.select(F.lit("TimeoutError").alias("type"), F.col("entry_url").alias("url"),
-                            F.lit(None).cast("string").alias("source_article"), F.col("fake").alias("from_fake"),
-                            F.concat(F.lit("entry page not fetched: "), F.col("entry_url")).alias("additional_info"),
-                            F.col("round").alias("batch_id"))
-    return merged, errors
+    missing = e.join(pages.select(F.col("url").alias("_u")), F.col("entry_url") == F.col("_u"), "left_anti")
+    return merged, page_errors(missing, F.col("entry_url"), NO_ENTRY).withColumn("batch_id", F.col("_round")).drop("_round")
 
 
-def missing_feed_pages(feeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """Feeds whose start page was not fetched (the reference only prints these)."""
-    return feeds.join(edges.select(F.col("page_url").alias("url")), "url", "left_anti")
+def page_errors(rows: DataFrame, url: Column, message: str) -> DataFrame:
+    """Error rows of pages that were not fetched; ``rows`` has fake and round."""
+    return rows.select(F.lit("TimeoutError").alias("type"), url.alias("url"), F.lit(None).cast("string").alias("source_article"),
+                       F.col("fake").alias("from_fake"), F.concat(F.lit(message), url).alias("additional_info"), F.col("round").alias("_round"))
+
+
+def missing_feed_pages(feeds: DataFrame, edges: DataFrame, walk: DataFrame) -> DataFrame:
+    """Feed pages that the walk asked for and that were not fetched, first pages and later ones, as error rows.
+
+    The reference only prints these; ``collect_job`` stores them on demand.
+    """
+    mark = feeds.select(F.col("name").alias("_n"), F.col("fake_news").alias("fake"))
+    asked = feeds.select("name", F.col("url").alias("_asked")).unionByName(
+        walk.where(~F.col("is_over")).select("name", F.col("next_url").alias("_asked"))).distinct()
+    lost = asked.join(edges.select(F.col("page_url").alias("_p")), F.col("_asked") == F.col("_p"), "left_anti")
+    rows = lost.join(mark, F.col("name") == F.col("_n")).withColumn("round", F.lit(0).cast("long"))
+    return page_errors(rows, F.col("_asked"), NO_PAGE).drop("_round")

@@ -11,7 +11,7 @@ import datetime as dt
 from dataclasses import dataclass
 from typing import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressloom.operators import articles as ar
@@ -21,10 +21,11 @@ from pressloom.operators import links as lk
 from pressloom.operators.dedup import dedup_title_or_url
 from pressloom.operators.labels import build_label_dim, label_lookup
 from pressloom.operators.rules import Rules, default_url_checker
-from pressloom.schemas import ERROR_COLUMNS
+from pressloom.schemas import ARTICLE_SCHEMA, ERROR_COLUMNS, ERROR_SCHEMA, STATE_SCHEMA
 from pressloom.sinks import store
 from pressloom.sources import config as cf
-from pressloom.operators.common import cut_lineage, global_row_number
+from pressloom.sources.tables import ntz_literal
+from pressloom.operators.common import cut_lineage, dropping_staged, global_row_number, staged
 
 
 @dataclass
@@ -59,7 +60,7 @@ def dispatch_batch(links: DataFrame, responses: DataFrame, prep: Prepared,
     admitted = admit_links(links, prep)
     arts, errors = ar.build_articles(admitted, responses, run_ts)
     # parsing is the expensive step: materialise its output once for the de-dup rounds and the result
-    arts = cut_lineage(arts)
+    arts = staged(arts, "articles")
     unique = dedup_title_or_url(arts)
     lab = label_lookup(unique, prep.dim, "url", "_label")
     archived = F.col("url") != F.col("visited_url")
@@ -69,86 +70,157 @@ def dispatch_batch(links: DataFrame, responses: DataFrame, prep: Prepared,
 
 @dataclass
 class Outputs:
-    """Where a job writes: article and error tables (batch partitions), state versions."""
+    """Where a job writes: article and error tables (run and batch partitions), state versions."""
     articles: str
     errors: str
     state: str
 
+    @property
+    def clean_errors(self) -> str:
+        return f"{self.errors.rstrip('/')}_clean"
 
-def clean_error_table(errors: DataFrame, out: Outputs, version: int) -> DataFrame:
-    """P4 at the end of a job: E5 then E4 against the whole article table; written as a new version
-    (``<errors>_clean/v=N``) and returned as read back."""
+
+#: batch ids of forums begin above this, those of the rounds of site feeds below
+FORUM_BATCHES = 1 << 40
+
+
+def run_name(run_ts: dt.datetime) -> str:
+    """Run id of a start time; names sort in time order."""
+    return f"{run_ts:%Y%m%dT%H%M%S%f}"
+
+
+def current_errors(spark: SparkSession, out: Outputs, run_id: str) -> DataFrame:
+    """The error table as it stands before ``run_id``: the newest cleaned version, else all rows of other runs."""
+    version = store.latest_version(spark, out.clean_errors, run_id)
+    if version is not None:
+        return store.read_version(spark, out.clean_errors, version, ERROR_SCHEMA)
+    return store.read_batches(spark, out.errors, ERROR_SCHEMA).where(F.col("run_id") != run_id).select(*ERROR_COLUMNS)
+
+
+def saved_state(spark: SparkSession, out: Outputs, run_id: str) -> DataFrame:
+    """Progress as it stands before ``run_id``: the newest earlier version, else empty."""
+    version = store.latest_version(spark, out.state, run_id)
+    return spark.createDataFrame([], STATE_SCHEMA) if version is None else store.read_version(spark, out.state, version, STATE_SCHEMA)
+
+
+def run_errors(spark: SparkSession, out: Outputs, run_id: str) -> DataFrame:
+    return store.read_batches(spark, out.errors, ERROR_SCHEMA).where(F.col("run_id") == run_id).select(*ERROR_COLUMNS)
+
+
+def clean_error_table(errors: DataFrame, out: Outputs, run_id: str) -> DataFrame:
+    """P4 at the end of a job: E5 then E4 against the whole article table; written as the version of this run
+    (``<errors>_clean/v=<run_id>``), which the next job starts from, and returned as read back."""
     spark = errors.sparkSession
-    articles = store.read_batches(spark, out.articles)
+    articles = store.read_batches(spark, out.articles, ARTICLE_SCHEMA)
     cleaned = er.cleanup_errors(errors.select(*ERROR_COLUMNS), articles)
-    return spark.read.parquet(store.write_version(cleaned, f"{out.errors.rstrip('/')}_clean", version))
+    store.write_version(store.sink_projection(cleaned, ERROR_SCHEMA), out.clean_errors, run_id)
+    return store.read_version(spark, out.clean_errors, run_id, ERROR_SCHEMA)
 
 
-def _store(articles: DataFrame, errors: DataFrame, out: Outputs, run_ts: dt.datetime) -> DataFrame:
-    stored, refused = store.store_articles(articles, out.articles, run_ts)
-    store.store_errors(errors.unionByName(refused.drop("seq"), allowMissingColumns=True), out.errors)
+def _store(articles: DataFrame, errors: DataFrame, out: Outputs, run_ts: dt.datetime, run_id: str) -> DataFrame:
+    stored, refused = store.store_articles(articles, out.articles, run_ts, run_id)
+    store.store_errors(errors.unionByName(refused.drop("seq"), allowMissingColumns=True), out.errors, run_id)
     return stored
 
 
-def collect_job(feeds: DataFrame | None, edges: DataFrame | None, pages: DataFrame, responses: DataFrame,
-                prep: Prepared, out: Outputs, run_ts: dt.datetime, state: DataFrame | None = None,
-                selectors: tuple[str, str] = ("nav a", "article a"), condition: tuple[str, list[str]] | None = None,
+def site_links(feeds: DataFrame, pages: DataFrame, store_feed_errors: bool = False,
+               edges: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Walk the feeds and collect their article links: ``(links, state, errors or None)``.
+
+    ``feeds`` as read by A2, resumed: name, url, sel, stop_after, fake_news, condition and
+    position (the order of the configuration). Each feed has its own selectors and
+    condition; next links come from the pages (I2) unless ``edges`` gives them. Links
+    have one batch per round and are numbered in it by feed position, entry and link.
+    """
+    if edges is None:
+        edges = fd.next_pages(feeds, pages)
+    walk = staged(fd.walk_feed(feeds, edges), "walk")
+    entries = staged(fd.feed_entries(walk, pages, feeds, resolve=True), "entries")
+    found, missing = fd.feed_links(entries, pages, feeds)
+    numbered = global_row_number(found, ["batch_id", "position", "entry_pos", "link_pos"], out="seq")
+    links = numbered.select("batch_id", "seq", "url", "scraped_from", "fake")
+    errors = None
+    if store_feed_errors:
+        errors = missing.select("type", "url", "source_article", "from_fake", "additional_info").unionByName(
+            fd.missing_feed_pages(feeds, edges, walk))
+    return links, fd.latest_state(fd.feed_state(walk)), errors
+
+
+def collect_job(feeds: DataFrame | None, pages: DataFrame, responses: DataFrame, prep: Prepared, out: Outputs,
+                run_ts: dt.datetime, run_id: str | None = None, state: DataFrame | None = None,
                 forum_links: DataFrame | None = None, forum_state: DataFrame | None = None,
-                state_version: int = 1) -> DataFrame:
+                store_feed_errors: bool = False, edges: DataFrame | None = None) -> DataFrame:
     """Resume feeds (A3, E7, D12) -> walk (I3) -> feed links (I4) + forum links (I7) -> J2 ->
     P3 per batch -> store (B1, B2) -> state (B3) -> clean errors (P4).
 
-    Either feeds or forums may be absent. Returns the stored articles.
+    Either feeds or forums may be absent. ``state``: saved progress, by default the newest
+    version before this run; forums that are over are left out like feeds. With
+    ``store_feed_errors`` feed and entry pages that were not fetched are stored as errors
+    (not done by default). Doing a run again replaces what it stored. Returns the stored
+    articles.
     """
     if feeds is None and forum_links is None:
         raise ValueError("no sources to begin with")
-    parts, states = [], []
-    if feeds is not None:
-        live = cf.resume_feeds(feeds, state) if state is not None else feeds
-        walk = fd.walk_feed(live, edges)
-        entries = fd.feed_entries(walk, pages, selectors[0], resolve=True)
-        flinks, _ = fd.feed_links(entries, pages, live, selectors[1], condition)
-        # position in the round: feed, entry, link (distributed numbering, unique per batch)
-        numbered = global_row_number(flinks, ["batch_id", "feed", "entry_pos", "link_pos"], out="seq")
-        parts.append(numbered.select(F.concat(F.lit("site:"), F.col("batch_id").cast("string")).alias("batch_key"),
-                                     "seq", "url", "scraped_from", "fake"))
-        states.append(fd.latest_state(fd.feed_state(walk)))
-    if forum_links is not None:
-        parts.append(forum_links.select(F.concat(F.lit("forum:"), F.col("batch_key")).alias("batch_key"),
-                                        "seq", "url", "scraped_from", "fake"))
-        if forum_state is not None:
-            states.append(forum_state.select("name", "is_over", F.struct(
-                F.lit(None).cast("string").alias("url"), F.lit(None).cast("long").alias("page"),
-                F.col("posts").cast("long").alias("posts")).alias("data")))
-    stream = lk.union_collectors(*(parts + [None] * (2 - len(parts)))) if len(parts) == 2 else \
-        parts[0].withColumn("producer", F.lit(0))
-    # one numeric batch id per (producer, batch key), so partitions of the stores line up with batches
-    keyed = stream.withColumn("batch_id", F.xxhash64("producer", "batch_key"))
-    arts, errors = dispatch_batch(keyed.select("batch_id", "seq", "url", "scraped_from", "fake"), responses, prep, run_ts)
-    stored = _store(arts, errors, out, run_ts)
-    if states:
-        new = states[0] if len(states) == 1 else states[0].unionByName(states[1])
-        old = state if state is not None else new.limit(0)
-        store.write_version(cf.upsert_state(old, new), out.state, state_version)
-    clean_error_table(store.read_batches(arts.sparkSession, out.errors), out, state_version)
-    return stored
+    spark, run_id = responses.sparkSession, run_id or run_name(run_ts)
+    state = saved_state(spark, out, run_id) if state is None else state
+    with dropping_staged(spark):
+        sites, forums, states, feed_errors = None, None, [], None
+        if feeds is not None:
+            sites, new, feed_errors = site_links(cf.resume_feeds(feeds, state), pages, store_feed_errors, edges)
+            states.append(new)
+        if forum_links is not None:
+            over = state.where("is_over").select(F.col("name").alias("_over"))
+            # one batch per forum, in order of name, after all rounds of the sites
+            names = forum_links.select(F.col("batch_key").alias("_forum")).distinct().withColumn(
+                "batch_id", F.row_number().over(Window.orderBy("_forum")) + FORUM_BATCHES)
+            forums = forum_links.join(over, F.col("batch_key") == F.col("_over"), "left_anti").join(
+                names, F.col("batch_key") == F.col("_forum")).select("batch_id", "seq", "url", "scraped_from", "fake")
+            if forum_state is not None:
+                states.append(forum_state.join(over, F.col("name") == F.col("_over"), "left_anti").select("name", "is_over", F.struct(
+                    F.lit(None).cast("string").alias("url"), F.lit(None).cast("long").alias("page"),
+                    F.col("posts").cast("long").alias("posts")).alias("data")))
+        parts = [p for p in (sites, forums) if p is not None]  # J2: sites, then forums
+        links = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        arts, errors = dispatch_batch(links, responses, prep, run_ts)
+        if feed_errors is not None:
+            errors = errors.unionByName(feed_errors.select("*", ntz_literal(run_ts).alias("creation_date"), F.lit(0).cast("long").alias("batch_id")),
+                                        allowMissingColumns=True)
+        stored = _store(arts, errors, out, run_ts, run_id)
+        if states:
+            new = states[0] if len(states) == 1 else states[0].unionByName(states[1])
+            store.write_version(cf.upsert_state(state, new), out.state, run_id)
+        clean_error_table(current_errors(spark, out, run_id).unionByName(run_errors(spark, out, run_id)), out, run_id)
+    return store.read_batches(spark, out.articles, ARTICLE_SCHEMA).where(F.col("run_id") == run_id).drop("run_id")
+
+
+def retry_order() -> Column:
+    """Total order of stored errors, which carry no id: date (none first), kind, source, mark, message.
+
+    The last error of a url gives its retry link.
+    """
+    return F.struct(F.coalesce("creation_date", F.lit("1900-01-01 00:00:00").cast("timestamp_ntz")).alias("d"),
+                    F.col("type").alias("t"), F.coalesce("source_article", F.lit("")).alias("s"),
+                    F.col("from_fake").alias("f"), F.coalesce("additional_info", F.lit("")).alias("i"))
+
 
+def retry_batches(errors: DataFrame) -> DataFrame:
+    """J3 with a total order: the two retry batches of stored errors, numbered by url."""
+    retry = lk.union_retry(errors.withColumn("_order", retry_order()), order_col="_order")
+    return global_row_number(retry.drop("seq"), ["batch_id", "url"], out="seq")
 
-def restore_job(errors_table: DataFrame, responses: DataFrame, prep: Prepared, out: Outputs,
-                run_ts: dt.datetime, order_col: str = "creation_date", version: int = 1) -> DataFrame:
+
+def restore_job(responses: DataFrame, prep: Prepared, out: Outputs, run_ts: dt.datetime, run_id: str | None = None,
+                errors_table: DataFrame | None = None) -> DataFrame:
     """Retry candidates (A5, I8, J3) -> P3 -> store (B1) -> delete restored errors (E6) -> P4.
 
-    Returns the cleaned error table, written as version ``version`` next to the error table.
+    ``errors_table``: the errors to retry, by default the error table as it stands.
+    Returns the cleaned error table, written as the version of this run.
     """
-    retry = lk.union_retry(errors_table.withColumn("seq", F.col(order_col)), order_col="seq")
-    # stored errors have no order of their own: number each retry batch by url
-    links = global_row_number(retry.drop("seq"), ["batch_id", "url"], out="seq")
-    arts, errs = dispatch_batch(links, responses, prep, run_ts)
-    stored = _store(arts, errs, out, run_ts)
-    # the error table now holds the old errors and this run's failures
-    spark = errors_table.sparkSession
-    all_errors = errors_table.select(*ERROR_COLUMNS).unionByName(
-        store.read_batches(spark, out.errors).select(*ERROR_COLUMNS))
-    remaining = er.delete_restored_errors(all_errors, stored.select("url"))  # E6
-    return clean_error_table(remaining, out, version)                     # P4: E5, then E4
-
+    spark, run_id = responses.sparkSession, run_id or run_name(run_ts)
+    with dropping_staged(spark):
+        before = current_errors(spark, out, run_id) if errors_table is None else errors_table.select(*ERROR_COLUMNS)
+        arts, errs = dispatch_batch(retry_batches(before), responses, prep, run_ts)
+        stored = _store(arts, errs, out, run_ts, run_id)
+        # the error table now holds the errors from before and this run's failures
+        remaining = er.delete_restored_errors(before.unionByName(run_errors(spark, out, run_id)), stored.select("url"))  # E6
+        return clean_error_table(remaining, out, run_id)  # P4: E5, then E4

@@ -62,6 +62,15 @@ FROM edge WHERE rn = 1""",
     "state": """
 SELECT feed AS name, page_id % 3 = 0 AS is_over, page_url AS url, page_id % 5 AS page
 FROM edge WHERE rn = 2 AND page_id % 4 < 3""",
+    # the feeds' pages by what their markup was made of: next link, entries, article links, mark
+    "site": """
+SELECT p.page_id, p.url, e.next_url, a.url AS e1, b.url AS e2, c.url AS l1, d.url AS l2, concat('m', p.page_id % 3) AS mark
+FROM pages p JOIN edge e ON e.page_id = p.page_id, (SELECT count(*) AS n FROM pages) z, pages a, pages b, pages c, pages d
+WHERE a.page_id = (p.page_id * 7 + 3) % z.n AND b.page_id = (p.page_id * 11 + 5) % z.n
+  AND c.page_id = (p.page_id * 3 + 1) % z.n AND d.page_id = (p.page_id * 5 + 2) % z.n""",
+    "conf": """
+SELECT feed AS name, page_url AS url, page_id % 4 AS stop_after, page_id % 2 = 0 AS fake_news, page_id AS position
+FROM edge WHERE rn = 1""",
     "resp": """
 SELECT CASE page_id % 7 WHEN 0 THEN concat('https://web.archive.org/web/2018/', url)
                         WHEN 1 THEN concat('http://archive.is/', page_id)
@@ -69,11 +78,11 @@ SELECT CASE page_id % 7 WHEN 0 THEN concat('https://web.archive.org/web/2018/',
        CASE WHEN page_id % 13 = 0 THEN 404 ELSE 200 END AS status,
        CASE WHEN page_id % 17 = 0 THEN NULL
             WHEN page_id % 7 = 1 AND page_id % 9 = 0 THEN concat('<div id="HEADER"><table><tr><td><input value=""></td></tr></table></div>', html)
-            WHEN page_id % 7 = 1 THEN concat('<div id="HEADER"><table><tr><td><input value="', url, '"></td></tr></table></div>', html)
+            WHEN page_id % 7 = 1 THEN concat('<div id="HEADER"><p>saved</p><table><tr><td><input type="text" value="', url, '"></td></tr></table></div>', html)
             ELSE html END AS html
 FROM pages WHERE page_id % 7 <> 3 AND page_id % 29 <> 0""",
 }
-VIEW_DEPS = {"feed": ["edge"], "state": ["edge"]}
+VIEW_DEPS = {"feed": ["edge"], "state": ["edge"], "site": ["edge"], "conf": ["edge"]}
 
 
 def with_views(body: str, *names: str, extra: list[tuple[str, str]] | None = None, recursive: bool = False) -> str:
@@ -228,16 +237,20 @@ def page_text(x: str) -> str:
     return f"(list_transform([{clean}], lambda c: {decode_entities(t)}))[1]"
 
 
-def meta_tags(x: str) -> str:
-    return f"regexp_extract_all({x}, {lit(_h.META_TAG_RE)}, 0)"
+def attr(tag: str, name: str) -> str:
+    p = lit(rf"""(?is)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+    value = decode_entities(f"concat({', '.join(f'regexp_extract({tag}, {p}, {i})' for i in (1, 2, 3))})")
+    return f"CASE WHEN regexp_matches({tag}, {p}) THEN {value} END"
+
+
+def named_metas(x: str, spec) -> str:
+    name, value = spec
+    return (f"list_filter(list_transform(list_filter(regexp_extract_all({x}, {lit(_h.META_TAG_RE)}, 0), lambda t: "
+            f"coalesce(lower({attr('t', name)}) = {lit(value)}, false)), lambda t: {attr('t', 'content')}), lambda c: c IS NOT NULL)")
 
 
 def meta_content(x: str, spec) -> str:
-    a, b = _h.meta_re(*spec)
-    fa = f"(list_filter({meta_tags(x)}, lambda t: regexp_matches(t, {lit(a)})))[1]"
-    fb = f"(list_filter({meta_tags(x)}, lambda t: regexp_matches(t, {lit(b)})))[1]"
-    return (f"CASE WHEN {fa} IS NOT NULL THEN regexp_extract({fa}, {lit(a)}, 1) "
-            f"WHEN {fb} IS NOT NULL THEN regexp_extract({fb}, {lit(b)}, 1) END")
+    return f"({named_metas(x, spec)})[1]"
 
 
 def meta_description(x: str) -> str:
@@ -245,7 +258,8 @@ def meta_description(x: str) -> str:
 
 
 def page_lang(x: str) -> str:
-    two = f"substring(regexp_extract({x}, {lit(_h.HTML_LANG_RE)}, 1), 1, 2)"
+    tag = f"regexp_extract({x}, {lit(_h.HTML_TAG_RE)}, 0)"
+    two = f"substring(coalesce({attr(tag, 'lang')}, ''), 1, 2)"
     return f"CASE WHEN regexp_matches({two}, '^[A-Za-z]{{2}}$') THEN lower({two}) END"
 
 
@@ -269,32 +283,28 @@ def page_publish_date(x: str) -> str:
             f"ELSE '' END) END AS TIMESTAMP)")
 
 
-def _all(x: str, pattern: str) -> str:
-    return f"regexp_extract_all({x}, {lit(pattern)}, 1)"
+def _sources(x: str, tags: str) -> str:
+    found = f"list_transform(regexp_extract_all({x}, {lit(tags)}, 0), lambda t: {attr('t', 'src')})"
+    return f"list_sort(list_distinct({check_strings(found)}))"
 
 
 def page_images(x: str) -> str:
-    return f"list_sort(list_distinct({check_strings(_all(x, _h.IMG_RE))}))"
+    return _sources(x, _h.IMG_TAG_RE)
 
 
 def page_videos(x: str) -> str:
-    return f"list_sort(list_distinct({check_strings(_all(x, _h.VIDEO_RE))}))"
+    return _sources(x, _h.VIDEO_TAG_RE)
 
 
 def page_authors(x: str) -> str:
-    a, _ = _h.meta_re(*_h.META_AUTHOR)
-    found = (f"list_transform(list_filter({meta_tags(x)}, lambda t: regexp_matches(t, {lit(a)})), "
-             f"lambda t: regexp_extract(t, {lit(a)}, 1))")
-    return f"list_distinct({check_strings(found)})"
+    return f"list_distinct({check_strings(named_metas(x, _h.META_AUTHOR))})"
 
 
 def archive_original_url(x: str) -> tuple[str, str]:
-    has_input = f"regexp_matches({x}, {lit(_h.ARCHIVE_HEADER_INPUT_RE)})"
-    attrs = f"regexp_extract({x}, {lit(_h.ARCHIVE_HEADER_INPUT_RE)}, 1)"
-    has_value = f"regexp_matches({attrs}, {lit(_h.VALUE_ATTR_RE)})"
-    value = f"regexp_extract({attrs}, {lit(_h.VALUE_ATTR_RE)}, 1)"
-    err = (f"CASE WHEN NOT {has_input} THEN 'TypeError' WHEN NOT {has_value} THEN 'KeyError' "
-           f"WHEN {value} = '' THEN 'ArchivedURLNotFound' END")
+    """By the header that the resp view puts before an archive page."""
+    attrs = f"""regexp_extract({x}, '(?s)^<div id="HEADER">(?:<p>saved</p>)?<table><tr><td><input ([^>]*)>', 1)"""
+    value = f"""regexp_extract({attrs}, 'value="([^"]*)"', 1)"""
+    err = f"CASE WHEN {attrs} = '' THEN 'TypeError' WHEN {value} = '' THEN 'ArchivedURLNotFound' END"
     return f"CASE WHEN ({err}) IS NULL THEN {value} END", err
 
 

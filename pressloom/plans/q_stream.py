@@ -13,15 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.operators import feeds as fd
-from pressloom.operators import links as lk
-from pressloom.operators.common import global_row_number
 from pressloom.plans import jobs
 from pressloom.plans import oracle as o
 from pressloom.plans.q_articles import BUILD_CTES, BUILT_FLAT, RUN_TS, dedup_walk_sql
 from pressloom.plans.q_feeds import LATEST_SQL, _walk, walk_sql
-from pressloom.plans.q_jobs import DISP_SQL, _prep, scratch
+from pressloom.plans.q_jobs import DISP_SQL, _prep, retry_ctes, scratch
 from pressloom.plans.registry import register
-from pressloom.schemas import ARTICLE_COLUMNS, ERROR_COLUMNS
+from pressloom.schemas import ARTICLE_COLUMNS, ARTICLE_SCHEMA, ERROR_SCHEMA, STATE_SCHEMA
 from pressloom.sinks import store
 from pressloom.sources.fixtures import Views
 from pressloom.streaming.stream import StreamContext, process_batch, save_progress
@@ -30,7 +28,7 @@ ARRAYS = ("authors", "images", "videos", "keywords")
 
 
 def _epochs(df: DataFrame, col: str) -> list:
-    """The micro-batch boundaries: one per distinct batch key (few; the stream's file list)."""
+    """The micro-batch boundaries of the fixtures: their batch ids are four at most, their rounds five."""
     return [r[0] for r in df.select(col).distinct().orderBy(col).collect()]
 
 
@@ -47,11 +45,11 @@ def q_stream_articles(spark: SparkSession, sf: str) -> DataFrame:
     """M1: every link batch as one micro-batch; the article table after the last epoch."""
     v = Views(spark, sf)
     out = _outputs(spark, "stream-articles")
-    ctx = StreamContext(v.resp, _prep(v), out, RUN_TS)
+    ctx = StreamContext(v.resp, _prep(v), out, RUN_TS, jobs.run_name(RUN_TS))
     links = v.lnk
     for epoch, b in enumerate(_epochs(links, "batch_id")):
         process_batch(links.where(F.col("batch_id") == b), epoch, ctx)
-    arts = store.read_batches(spark, out.articles)
+    arts = store.read_batches(spark, out.articles, ARTICLE_SCHEMA)
     return arts.select("batch_id", *[F.array_join(c, "|").alias(c) if c in ARRAYS else F.col(c)
                                      for c in ARTICLE_COLUMNS])
 
@@ -66,22 +64,23 @@ def q_stream_state(spark: SparkSession, sf: str) -> DataFrame:
     state_dir = scratch(spark, "stream-state")
     rounds = _epochs(walk, "round")
     for r in rounds:
-        save_progress(spark, states.where(F.col("round") == r), state_dir, int(r))
-    last = spark.read.parquet(f"{state_dir}/v={int(rounds[-1]):06d}")
+        save_progress(spark, states.where(F.col("round") == r), state_dir, jobs.run_name(RUN_TS), int(r))
+    last = store.read_version(spark, state_dir, store.latest_version(spark, state_dir), STATE_SCHEMA)
     return last.select("name", "is_over", "data.url", "data.page")
 
 
-@register("stream_delete")
+@register("stream_delete", o.with_views(
+    "SELECT * FROM err WHERE url IS NULL OR url NOT IN (SELECT url FROM disp WHERE url IS NOT NULL)", "src", "err", "resp",
+    extra=retry_ctes() + BUILD_CTES + dedup_walk_sql("built") + [("disp", DISP_SQL)], recursive=True))
 def q_stream_delete(spark: SparkSession, sf: str) -> DataFrame:
     """M4: restoring; each epoch's stored urls delete their errors from the versioned error table."""
     v = Views(spark, sf)
     out = _outputs(spark, "stream-delete")
     versions = scratch(spark, "stream-delete-errors")
-    store.write_version(v.err, versions, 0)
-    ctx = StreamContext(v.resp, _prep(v), out, RUN_TS, restoring=True, errors_versions=versions)
-    retry = lk.union_retry(v.err.withColumn("seq", F.col("creation_date")), order_col="seq")
-    links = global_row_number(retry.drop("seq"), ["batch_id", "url"], out="seq")
-    epochs = _epochs(links, "batch_id")
-    for epoch, b in enumerate(epochs):
+    stream = jobs.run_name(RUN_TS)
+    store.write_version(v.err, versions, "")  # the name before all others
+    ctx = StreamContext(v.resp, _prep(v), out, RUN_TS, stream, restoring=True, errors_versions=versions)
+    links = jobs.retry_batches(v.err)
+    for epoch, b in enumerate(_epochs(links, "batch_id")):
         process_batch(links.where(F.col("batch_id") == b), epoch, ctx)
-    return spark.read.parquet(f"{versions}/v={len(epochs):06d}").select(*ERROR_COLUMNS)
+    return store.read_version(spark, versions, store.latest_version(spark, versions), ERROR_SCHEMA)

@@ -1,9 +1,10 @@
 """Sinks: article and error tables, state versions (B1, B2, B3 writer, B4).
 
-Tables are parquet directories partitioned by ``batch_id``. A batch is written
-with dynamic partition overwrite, so re-running a batch (an at-least-once
-retry after a lost executor or a restarted stream) replaces its own rows and
-never duplicates them. Declared constraints of the article table: ``url`` not
+Tables are parquet directories partitioned by ``run_id`` and ``batch_id``. A batch
+of a run is written with dynamic partition overwrite, so doing it again (an
+at-least-once retry after a lost executor or a restarted stream) replaces its own
+rows, never duplicates them, and never touches those of other runs. Run ids are
+names that sort in time order. Declared constraints of the article table: ``url`` not
 null and unique; a refused row becomes an error row, the batch goes on.
 """
 
@@ -11,18 +12,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pressloom.operators.common import staged
 from pressloom.schemas import ARTICLE_SCHEMA, ERROR_COLUMNS, ERROR_SCHEMA
-from pressloom.operators.common import bounded_broadcast, cut_lineage
 from pressloom.sources.tables import ntz_literal
 
-# A batch's urls are broadcast to the stored-url scan up to this many rows.
-BATCH_URLS_BROADCAST_MAX_ROWS = 1_000_000
-
 # Error kinds of refused rows (named as the store's driver names them).
 UNIQUE_VIOLATION, NOT_NULL_VIOLATION = "UniqueViolationError", "NotNullViolationError"
 
@@ -35,16 +32,18 @@ def sink_projection(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """A batch-partitioned table, with ``batch_id`` typed as written (partition discovery infers int)."""
-    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
+PARTITIONS = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
+
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
-def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # nothing stored yet
-        return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())]))
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table with its declared columns, ``run_id`` and ``batch_id``; empty when nothing was stored yet."""
+    whole = T.StructType([*schema.fields, *PARTITIONS])
+    return spark.read.schema(whole).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], whole)
 
 
 def split_by_constraints(articles: DataFrame, stored_urls: DataFrame | None, run_ts: dt.datetime,
@@ -62,9 +61,9 @@ def split_by_constraints(articles: DataFrame, stored_urls: DataFrame | None, run
     firsts = first.select(*[F.col("_first")[c].alias(c) for c in order], F.col("url").alias("_fu"))
     ranked = nonnull.join(firsts, [*order], "left").withColumn("_is_first", F.col("_fu").isNotNull()).drop("_fu")
     if stored_urls is not None:
-        # the store grows without bound while a batch is small: ship the batch's urls (size-checked) to
-        # the store's url scan and bring back only the hits, instead of shuffling every stored url
-        mine = bounded_broadcast(nonnull.select(F.col("url").alias("_su")).distinct(), BATCH_URLS_BROADCAST_MAX_ROWS)
+        # the store grows without bound while a batch is small: the batch's urls are staged, so their size is
+        # known and Spark ships them to the store's url scan if they are few, and only the hits come back
+        mine = staged(nonnull.select(F.col("url").alias("_su")).distinct(), "batch-urls")
         st = stored_urls.select(F.col("url").alias("_su")).join(mine, "_su", "left_semi").distinct()
         ranked = ranked.join(st, ranked["url"] == st["_su"], "left").withColumn("_stored", F.col("_su").isNotNull()) \
                        .drop("_su")
@@ -86,42 +85,62 @@ def split_by_constraints(articles: DataFrame, stored_urls: DataFrame | None, run
     return accepted, refused
 
 
-def write_batches(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Write rows by ``batch_id`` partition, replacing only the partitions being written (idempotent)."""
+def write_batches(df: DataFrame, path: str, schema: T.StructType, run_id: str) -> None:
+    """Write rows of a run by ``batch_id`` partition, replacing only the partitions being written (idempotent)."""
     if "batch_id" not in df.columns:
         raise ValueError("rows to store need a batch_id")
     out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
-                    F.col("batch_id").cast("long").alias("batch_id"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+                    F.lit(run_id).alias("run_id"), F.col("batch_id").cast("long").alias("batch_id"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id").parquet(path)
 
 
-def store_articles(articles: DataFrame, path: str, run_ts: dt.datetime) -> tuple[DataFrame, DataFrame]:
-    """B1: check constraints against the stored table, write accepted rows, return ``(stored, refused)``.
+def store_articles(articles: DataFrame, path: str, run_ts: dt.datetime, run_id: str) -> tuple[DataFrame, DataFrame]:
+    """B1: check constraints against the stored table, append accepted rows, return ``(stored, refused)``.
 
-    The accepted rows are returned as read back from the table (the stored urls,
-    like ``INSERT ... RETURNING url``); refused rows come back as error rows.
+    Rows of other runs, and of other batches of this run, count as stored; those of
+    the batches being written (an earlier attempt) don't. The accepted rows are
+    returned as read back (the stored urls, like ``INSERT ... RETURNING url``);
+    refused rows come back as error rows.
     """
     spark = articles.sparkSession
-    stored_before = read_table_or_empty(spark, path, ARTICLE_SCHEMA)
-    batches = articles.select("batch_id").distinct()
-    # rows of the batches being (re)written do not count as "already stored"
-    previous = stored_before.join(batches, "batch_id", "left_anti")
-    accepted, refused = split_by_constraints(articles, previous.select("url"), run_ts)
+    before = read_batches(spark, path, ARTICLE_SCHEMA)
+    batches = staged(articles.select("batch_id").distinct(), "batch-ids")
+    this_run = F.col("run_id") == run_id
+    previous = before.where(~this_run).select("url").unionByName(
+        before.where(this_run).join(batches, "batch_id", "left_anti").select("url"))
+    accepted, refused = split_by_constraints(articles, previous, run_ts)
     # the table is read by the check above: materialise both outputs before overwriting its partitions
-    accepted, refused = cut_lineage(accepted), cut_lineage(refused)
-    write_batches(accepted, path, ARTICLE_SCHEMA)
-    stored = read_batches(spark, path).join(batches, "batch_id", "left_semi")
+    accepted, refused = staged(accepted, "accepted"), staged(refused, "refused")
+    write_batches(accepted, path, ARTICLE_SCHEMA, run_id)
+    stored = read_batches(spark, path, ARTICLE_SCHEMA).where(this_run).join(batches, "batch_id", "left_semi")
     return stored, refused
 
 
-def store_errors(errors: DataFrame, path: str) -> None:
-    """B2: append error rows (by batch partition, idempotent per batch)."""
-    write_batches(errors, path, ERROR_SCHEMA)
+def store_errors(errors: DataFrame, path: str, run_id: str) -> None:
+    """B2: append error rows (by batch partition, idempotent per run and batch)."""
+    write_batches(errors, path, ERROR_SCHEMA, run_id)
+
 
+def write_version(df: DataFrame, base: str, version: str) -> str:
+    """Write version ``version`` of a small table (never over the one being read); returns its path.
 
-def write_version(df: DataFrame, base: str, version: int) -> str:
-    """Write a new version directory (never over the path being read); returns its path."""
-    p = f"{base.rstrip('/')}/v={version:06d}"
-    df.write.mode("overwrite").parquet(p)  # an epoch retried rewrites its own version only
+    Versions are named by run ids, or run id and epoch, which sort in time order; doing
+    one again rewrites only itself.
+    """
+    p = f"{base.rstrip('/')}/v={version}"
+    df.write.mode("overwrite").parquet(p)
     return p
 
+
+def latest_version(spark: SparkSession, base: str, before: str | None = None) -> str | None:
+    """Name of the newest complete version, of those before ``before`` if given; None if there is none."""
+    if not path_exists(spark, base):
+        return None
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    names = [str(f.getPath().getName()) for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
+    done = [n[2:] for n in names if n.startswith("v=") and path_exists(spark, f"{base.rstrip('/')}/{n}/_SUCCESS")]
+    return max((v for v in done if before is None or v < before), default=None)
+
+
+def read_version(spark: SparkSession, base: str, version: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/v={version}")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pressloom.schemas import CONFIG_SCHEMA, FEED_SCHEMA, STATE_FILE_TYPE, STATE_SCHEMA
 
 FEED_COLUMNS = ["name", "url", "sel", "stop_after", "fake_news", "condition"]
+# and ``position``: the feed's place in the configuration, which is the order in which feeds give their links
 
 
 def _strip_bom(c: Column) -> Column:
@@ -27,8 +28,9 @@ def read_config(spark: SparkSession, path: str) -> DataFrame:
 
 
 def feeds_from_config(config: DataFrame) -> DataFrame:
-    """A2: one row per configured feed; the ``type`` key is ignored."""
-    return config.select(F.explode("sources").alias("s")).select(*[F.col("s." + c).alias(c) for c in FEED_COLUMNS])
+    """A2: one row per configured feed, with its position; the ``type`` key is ignored."""
+    return config.select(F.posexplode("sources").alias("position", "s")).select(
+        *[F.col("s." + c).alias(c) for c in FEED_COLUMNS], F.col("position").cast("long").alias("position"))
 
 
 def parse_feed_lines(lines: DataFrame, col: str = "value") -> DataFrame:

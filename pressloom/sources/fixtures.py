@@ -49,6 +49,13 @@ def err_rows(ewp: DataFrame) -> DataFrame:
                     created.alias("creation_date")))
 
 
+# Markup of the site view (ours): which other pages a page links to (id * factor + add, modulo the number of pages), and
+# the selectors (next, entries, links) and the condition of feeds of fake news, then the selectors of the others.
+SITE_LINKS = {"e1": (7, 3), "e2": (11, 5), "l1": (3, 1), "l2": (5, 2)}
+SITE_SELECTORS = [("a.next", ".posts a", "article.post > a"), ("#nav a", "h2 > a", "#main a")]
+SITE_CONDITION = (".try", ["m0", "m1", "M2"])
+
+
 class Views:
     """Lazily built views over one scale-factor directory."""
 
@@ -164,8 +171,53 @@ class Views:
         empty_hdr = F.lit('<div id="HEADER"><table><tr><td><input value=""></td></tr></table></div>')
         html = (F.when(p % 17 == 0, F.lit(None).cast("string"))
                 .when((p % 7 == 1) & (p % 9 == 0), F.concat(empty_hdr, h))
-                .when(p % 7 == 1, F.concat(F.lit('<div id="HEADER"><table><tr><td><input value="'), u,
+                .when(p % 7 == 1, F.concat(F.lit('<div id="HEADER"><p>saved</p><table><tr><td><input type="text" value="'), u,
                                            F.lit('"></td></tr></table></div>'), h))
                 .otherwise(h))
         return self.pages.where((p % 7 != 3) & (p % 29 != 0)).select(
             url.alias("url"), status.alias("status"), html.alias("html"))
+
+    # view: site -- the pages as a feed shows them: next link, entries, article links and a mark, in nested markup
+    @cached_property
+    def site(self) -> DataFrame:
+        n = self.pages.count()
+        p = F.col("page_id")
+
+        base = self.pages.join(self.edge.select(F.col("page_id").alias("_e"), "next_url"), p == F.col("_e"), "left")
+        for name, (factor, add) in SITE_LINKS.items():
+            other = self.pages.select(F.col("page_id").alias(f"_{name}"), F.col("url").alias(name))
+            base = base.join(other, (F.col("page_id") * factor + add) % F.lit(max(n, 1)) == F.col(f"_{name}"))
+        nxt = F.when(F.col("next_url").isNotNull(), F.concat(F.lit("<a href='"), F.col("next_url"), F.lit("'>n</a></div><a class='x next' href=\""),
+                                                              F.col("next_url"), F.lit("\">n</a>"))).otherwise(F.lit("</div>"))
+        html = F.concat(
+            F.lit("<div id='nav'><div>x</div>"), nxt,
+            F.lit('<section class="posts"><section><a href="'), F.col("e1"), F.lit('">e</a></section><a href='), F.col("e2"), F.lit(">e</a></section><h2><a href='"),
+            F.col("e1"), F.lit('\'>e</a><b><a href="/no">deep</a></b></h2><article class="post"><a href="'), F.col("l1"),
+            F.lit('">l</a><p><a href="/deep">d</a></p></article><div id="main"><div></div><a href="'), F.col("l2"),
+            F.lit('">l</a></div><p class="try"><b> M'), _s(p % 3), F.lit("</b></p>"), F.col("html"))
+        return base.select("page_id", "url", "next_url", *SITE_LINKS, html.alias("html"))
+
+    # view: conf -- the feeds with selectors and condition; feeds of fake news have other ones than the rest
+    @cached_property
+    def conf(self) -> DataFrame:
+        p = F.col("page_id")
+        fake = p % 2 == 0
+        pick = lambda i: F.when(fake, F.lit(SITE_SELECTORS[0][i])).otherwise(F.lit(SITE_SELECTORS[1][i]))
+        return self.edge.where(F.col("rn") == 1).select(
+            F.col("feed").alias("name"), F.col("page_url").alias("url"),
+            F.struct(pick(0).alias("nextp"), pick(1).alias("entries"), pick(2).alias("links")).alias("sel"),
+            (p % 4).alias("stop_after"), fake.alias("fake_news"),
+            F.when(fake, F.struct(F.lit(SITE_CONDITION[0]).alias("value_container"), F.array(*map(F.lit, SITE_CONDITION[1])).alias("values"))).alias("condition"),
+            p.alias("position"))
+
+    # view: mpage -- the pages with meta tags, images, videos and authors of known values, in both quotes and orders
+    @cached_property
+    def mpage(self) -> DataFrame:
+        p = _s(F.col("page_id"))
+        head = F.concat(F.lit("<META content=' Page "), p, F.lit(" &amp; more ' name='Description'><meta name=keywords content=\"k"), p,
+                        F.lit(", ,b \"><meta property='article:section' content=\"S"), p, F.lit("\"><meta content='G ' name=\"generator\">"),
+                        F.lit("<meta property=\"article:published_time\" content='2020-01-0"), _s(F.col("page_id") % 9 + 1),
+                        F.lit("T10:11:12Z'><meta name='author' content='A"), p, F.lit("'><meta name=\"author\" content=\"B\"><meta name='author' content='B'></head>"))
+        media = F.concat(F.lit("<img alt='x' src='i"), p, F.lit(".png'><img src=\"a.png\"><img src=a.png><iframe src='v"), p, F.lit(".html'></iframe></article>"))
+        with_head = F.replace(F.col("html"), F.lit("</head>"), head)
+        return self.pages.select("page_id", F.replace(with_head, F.lit("</article>"), media).alias("html"))

@@ -8,7 +8,9 @@
 * M4: when restoring, each stored url deletes its errors (E6) in the same epoch.
 
 ``foreachBatch`` is at-least-once; ``process_batch`` is idempotent because every
-write replaces exactly the batch partitions / epoch version it produces.
+write replaces exactly the partitions and the version of its (stream, epoch). The
+stream's name goes before the epoch in both, so another stream, or the same one from a
+new checkpoint under a new name, never writes over what is there.
 """
 
 from __future__ import annotations
@@ -33,37 +35,52 @@ class StreamContext:
     prep: Prepared
     out: Outputs
     run_ts: dt.datetime
+    stream: str  # run id of the stream: names of later streams sort after it (see jobs.run_name)
     restoring: bool = False
     errors_versions: str | None = None  # M4: versioned error table to clean
     states: DataFrame | None = None  # M3: states produced with the links, if any
 
 
-def save_progress(spark: SparkSession, states: DataFrame, state_dir: str, epoch: int) -> str:
-    """Merge this epoch's collector states over the previous version; write version ``epoch``.
+def epoch_name(stream: str, epoch: int) -> str:
+    return f"{stream}-{epoch:012d}"
 
-    Reads version ``epoch - 1`` and writes a new directory, so a retried epoch
-    rewrites only its own version and never the one it reads.
+
+def _earlier(spark: SparkSession, base: str, stream: str, epoch: int) -> str | None:
+    """The newest version before this epoch. After epoch 0 there must be one of this very stream,
+    since every epoch writes a version; without it progress would be lost, so that is an error."""
+    version = store.latest_version(spark, base, epoch_name(stream, epoch))
+    if epoch > 0 and (version is None or not version.startswith(f"{stream}-")):
+        raise FileNotFoundError(f"no version of {stream} before epoch {epoch} in {base}")
+    return version
+
+
+def save_progress(spark: SparkSession, states: DataFrame, state_dir: str, stream: str, epoch: int) -> str:
+    """Merge this epoch's collector states over the newest earlier version; write the epoch's own.
+
+    A retried epoch rewrites only its own version and never the one it reads. Epoch 0
+    goes on from the newest version of any earlier stream or job.
     """
     cols = ["name", "is_over", "data"]
-    old = store.read_table_or_empty(spark, f"{state_dir.rstrip('/')}/v={epoch - 1:06d}", STATE_SCHEMA).select(*cols) \
-        if epoch > 0 else states.select(*cols).limit(0)
-    return store.write_version(cf.upsert_state(old, states.select(*cols)), state_dir, epoch)
+    version = _earlier(spark, state_dir, stream, epoch)
+    old = states.select(*cols).limit(0) if version is None else store.read_version(spark, state_dir, version, STATE_SCHEMA)
+    return store.write_version(cf.upsert_state(old, states.select(*cols)), state_dir, epoch_name(stream, epoch))
 
 
 def process_batch(links: DataFrame, epoch_id: int, ctx: StreamContext) -> DataFrame:
     """M1 body for one micro-batch of ``link`` rows; returns the stored articles."""
     spark = links.sparkSession
+    name = epoch_name(ctx.stream, epoch_id)
     arts, errors = dispatch_batch(links, ctx.responses, ctx.prep, ctx.run_ts)
-    stored = _store(arts, errors, ctx.out, ctx.run_ts)
+    stored = _store(arts, errors, ctx.out, ctx.run_ts, name)
     if ctx.states is not None:  # M3: progress is stored after the articles (not before)
         mine = ctx.states.join(links.select("batch_id").distinct(), "batch_id", "left_semi") \
             if "batch_id" in ctx.states.columns else ctx.states
-        save_progress(spark, mine, ctx.out.state, epoch_id)
+        save_progress(spark, mine, ctx.out.state, ctx.stream, epoch_id)
     if ctx.restoring and ctx.errors_versions:  # M4: each stored url deletes its errors
-        current = store.read_table_or_empty(spark, f"{ctx.errors_versions}/v={epoch_id:06d}", ERROR_SCHEMA)
-        cols = [f.name for f in ERROR_SCHEMA.fields]
-        store.write_version(er.delete_restored_errors(current.select(*cols), stored.select("url")),
-                            ctx.errors_versions, epoch_id + 1)
+        version = _earlier(spark, ctx.errors_versions, ctx.stream, epoch_id)
+        if version is not None:
+            current = store.read_version(spark, ctx.errors_versions, version, ERROR_SCHEMA)
+            store.write_version(er.delete_restored_errors(current, stored.select("url")), ctx.errors_versions, name)
     return stored
 
 
