@@ -17,10 +17,11 @@ sets; lists and centres of many sets are dealt to several tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,13 +53,40 @@ def index_length(n):
     return n - -(-n * SHARE[0] // SHARE[1]) + 1
 
 
-def build_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Staged rows (id, n, set, members, tokens, counts) of all texts.
+def _sets(batches: Iterator[pa.RecordBatch], keep: Callable[[np.ndarray], np.ndarray] | None = None
+          ) -> Iterator[list[tuple[int | None, int, int, np.ndarray]]]:
+    """(id, ref, set key, members) of the rows (id, ref, text) of a task, some texts at a time; ``keep``: which refs."""
+    for batch in small_batches(batches, "text", BATCH_BYTES):
+        refs = batch.column(1).to_numpy()
+        if keep is not None:
+            chosen = keep(refs)
+            batch, refs = batch.filter(pa.array(chosen)), refs[chosen]
+        sets = shingle_sets(batch.column(2))
+        yield [(i, r, set_key(m), m) for i, r, m in zip(batch.column(0).to_pylist(), refs.tolist(), sets)]
 
-    A row with ``n``: a document's set size and set key, and the packed set if the
-    task met it for the first time. A row with ``tokens``: shingles that a few
-    thousand neighbouring sets hold twice or more, with their counts.
-    """
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """(set key, members) of the sets that aren't empty, each once in a task."""
+    known: set[int] = set()
+    for rows in _sets(batches):
+        new = []
+        for _, _, key, members in rows:
+            if len(members) and key not in known:
+                known.add(key)
+                new.append((key, members))
+        yield new
+
+
+def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, ref, text) of every row; ``ref``: hash of the text. Sets are cut out of the texts anew where they are
+    needed, which costs less than storing them: they are as large as the texts."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(body).alias("ref"), body.alias("text"))
+
+
+def measure_sets(texts: DataFrame) -> DataFrame:
+    """Staged rows: (id, ref, n, set) of every text, its set's size and key; and (tokens, counts), the shingles that a
+    few thousand neighbouring sets hold twice or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
@@ -70,38 +98,55 @@ def build_sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             tokens, times = tokens[times > 1], times[times > 1]
             return pa.RecordBatch.from_pylist([{"tokens": tokens.astype(np.int64), "counts": times.astype(np.int32)}], schema=schema)
 
-        for batch in small_batches(batches, text, BATCH_BYTES):
-            rows = []
-            sets = shingle_sets(batch.column(batch.schema.get_field_index(text)))
-            for i, members in zip(batch.column(batch.schema.get_field_index(key)).to_pylist(), sets):
-                row = {"id": i, "n": len(members), "set": set_key(members), "members": None}
-                if len(members) and row["set"] not in known:
-                    known.add(row["set"])
-                    row["members"] = pack(members)
+        for rows in _sets(batches):
+            for _, _, key, members in rows:
+                if len(members) and key not in known:
+                    known.add(key)
                     held.append(members)
                     n_held += len(members)
-                rows.append(row)
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            yield pa.RecordBatch.from_pylist([{"id": i, "ref": r, "n": len(m), "set": k} for i, r, k, m in rows], schema=schema)
             if n_held >= COUNTED:
                 yield counts()
                 held, n_held = [], 0
         if held:
             yield counts()
 
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("members", pa.binary()),
+    schema = pa.schema([("id", pa.int64()), ("ref", pa.int64()), ("n", pa.int64()), ("set", pa.int64()),
                         ("tokens", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])
-    rows = docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(
-        run, "id bigint, n bigint, set bigint, members binary, tokens array<bigint>, counts array<int>")
-    return stage(rows, "jaccard-sets")
+    return stage(texts.mapInArrow(run, "id bigint, ref bigint, n bigint, set bigint, tokens array<bigint>, counts array<int>"), "jaccard-sets")
+
+
+def distinct_sets(measured: DataFrame) -> DataFrame:
+    """Staged (set, n, ref) of every set that isn't empty; ``ref``: one of the texts that have it."""
+    return stage(measured.where("n > 0").groupBy("set").agg(F.min("n").alias("n"), F.min("ref").alias("ref")), "jaccard-distinct")
+
+
+def ref_filter(refs: DataFrame, n_all: int):
+    """A test for refs of the frame (a few others pass too): a bitmap of 16 bits for each of all sets, 16 MB at most.
+
+    Built by tasks; what reaches the driver is bounded by the bitmap, not by the refs.
+    """
+    bits = min(1 << 27, max(1 << 16, 1 << (16 * n_all).bit_length()))
+    at = F.col("ref").bitwiseAND(F.lit(bits - 1))
+    words = refs.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((ref & {bits - 1}) & 63 as int))")).alias("bits")).toArrow()
+    table_ = np.zeros(bits // 64, np.uint64)
+    table_[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    held = refs.sparkSession.sparkContext.broadcast(table_)
+
+    def test(values: np.ndarray) -> np.ndarray:
+        place = values & np.int64(bits - 1)
+        return (held.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+    return test
 
 
-def hot_shingles(built: DataFrame, n_sets: int) -> np.ndarray:
+def hot_shingles(measured: DataFrame, n_sets: int) -> np.ndarray:
     """Sorted shingles of more than ``HOT_SETS`` sets and more than a ``HOT_SHARE``-th of all.
 
     At most (mean set size * HOT_SHARE) of them at any input size, which bounds what
     the driver holds and sends.
     """
-    pairs = built.where("tokens is not null").select(F.explode(F.arrays_zip("tokens", "counts")).alias("x"))
+    pairs = measured.where("tokens is not null").select(F.explode(F.arrays_zip("tokens", "counts")).alias("x"))
     hot = (pairs.groupBy("x.tokens").agg(F.sum("x.counts").alias("sets"))
            .where(F.col("sets") > max(HOT_SETS, n_sets // HOT_SHARE)).select("tokens"))
     return np.sort(np.array([r[0] for r in hot.collect()], np.uint64))
@@ -117,96 +162,105 @@ def in_order(members: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, int]:
     return np.concatenate([members[~is_hot], members[is_hot]]), int(len(members) - is_hot.sum())
 
 
-def centre_pairs(built: DataFrame, hot) -> DataFrame:
-    """(u, v): every set v and the smallest set key u among those with the same least shingle of a band."""
+def centre_pairs(texts: DataFrame, hot) -> DataFrame:
+    """(u, v): every set v and the smallest set key u among those with the same least shingle of a band.
+
+    Hot shingles count only for sets that have little else, such as those of a large
+    group of near copies; so a passage that many texts share makes no pairs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = (np.arange(BANDS, dtype=np.uint64) << np.uint64(BITS)) // np.uint64(BANDS)
-        for batch in batches:
-            sets, least = [], []
-            for s, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ordered, n_rare = in_order(unpack(data), hot.value)
-                if n_rare >= index_length(len(ordered)):
-                    ordered = ordered[:n_rare]
-                else:
-                    ordered = np.sort(ordered)
+        for rows in _once(batches):
+            sets, least = [], [np.empty(0, np.uint64)]
+            for key, members in rows:
+                ordered, n_rare = in_order(members, hot.value)
+                ordered = ordered[:n_rare] if n_rare >= index_length(len(ordered)) else members
                 at = np.searchsorted(ordered, edges)
                 at = np.unique(at[at < len(ordered)])  # a band without shingles takes those of the next
-                sets += [s] * len(at)
+                sets += [key] * len(at)
                 least.append(ordered[at])
             yield pa.RecordBatch.from_arrays([pa.array(sets, pa.int64()), pa.array(np.concatenate(least).astype(np.int64), pa.int64())],
                                              names=["set", "token"])
 
-    least = stage(built.where("members is not null").select("set", "members").mapInArrow(run, "set bigint, token bigint"), "jaccard-least")
+    least = stage(texts.mapInArrow(run, "set bigint, token bigint"), "jaccard-least")
     centre = least.groupBy("token").agg(F.min("set").alias("u"), F.max("set").alias("_last")).where("u <> _last").drop("_last")
-    return least.join(centre, "token").where("set <> u").select("u", F.col("set").alias("v")).distinct()
+    return stage(least.join(centre, "token").where("set <> u").select("u", F.col("set").alias("v")).distinct(), "jaccard-centres")
 
 
-def verify(pairs: DataFrame, built: DataFrame, differences: DataFrame | None = None) -> DataFrame:
-    """(u, v, centre, added, dropped) of the pairs that are linked.
+def verify(pairs: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int, differences: DataFrame | None = None) -> DataFrame:
+    """Staged (u, v, centre, n, added, dropped) of the staged pairs (u, v) that are linked.
 
     ``differences`` (set, centre, n, added, dropped) describes sets by a centre. Rows of
     one centre meet in a task, the centre's set first; each other set v is compared
     with the centre once, and the overlaps with all described sets u are derived from
     that. Centres of many rows are dealt to several tasks by v. The result has v's
-    difference from the centre where u is the centre itself.
+    size and its difference from the centre where u is the centre itself. Only sets
+    that are asked for are cut out of the texts.
     """
-    sizes = built.where("members is not null").select("set", "n").groupBy("set").agg(F.first("n").alias("n"))
+    no = F.lit(None)
     if differences is None:
-        described = pairs.join(sizes, F.col("u") == F.col("set")).select(
-            F.col("u").alias("centre"), "v", "u", "n", F.lit(None).cast("binary").alias("added"), F.lit(None).cast("binary").alias("dropped"))
+        described = pairs.select(F.col("u").alias("centre"), "v", "u", no.cast("long").alias("n"), no.cast("binary").alias("added"), no.cast("binary").alias("dropped"))
     else:
-        d = differences.select(F.col("set").alias("_s"), "centre", F.col("n").alias("_n"), "added", "dropped")
-        described = (pairs.join(d, F.col("u") == F.col("_s"), "left").join(sizes, F.col("u") == F.col("set"))
-                     .select(F.coalesce("centre", "u").alias("centre"), "v", "u", "n", "added", "dropped"))
-    described = stage(described, "jaccard-described")
-    asked = described.select("centre", "v").distinct()
-    parts = asked.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("parts"))
-    sets = built.where("members is not null").select("set", "members")
+        d = differences.select(F.col("set").alias("_s"), "centre", "n", "added", "dropped")
+        described = stage(pairs.join(d, F.col("u") == F.col("_s"), "left").select(F.coalesce("centre", "u").alias("centre"), "v", "u", "n", "added", "dropped"),
+                          "jaccard-described")
+    parts = described.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("parts"))
     part_of = F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part")
-    no = F.lit(None)
-    head = (parts.join(sets, F.col("centre") == F.col("set")).dropDuplicates(["centre"])
-            .select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), no.cast("long").alias("v"),
-                    F.lit(0).alias("kind"), no.cast("long").alias("u"), no.cast("long").alias("n"), "members", no.cast("binary").alias("dropped")))
-    others = (asked.join(parts, "centre").join(sets, F.col("v") == F.col("set")).dropDuplicates(["centre", "v"])
-              .select("centre", part_of, "v", F.lit(1).alias("kind"), no.cast("long").alias("u"), no.cast("long").alias("n"), "members",
-                      no.cast("binary").alias("dropped")))
     tests = described.join(parts, "centre").select("centre", part_of, "v", F.lit(2).alias("kind"), "u", "n", F.col("added").alias("members"), "dropped")
-    rows = head.union(others).union(tests)
-    dealt = rows.repartition("centre", "part").sortWithinPartitions("centre", "part", F.col("v").asc_nulls_first(), "kind")
+    asked = (parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), no.cast("long").alias("v"), F.lit(0).alias("kind"),
+                          F.col("centre").alias("_set"))
+             .union(described.select("centre", "v").distinct().join(parts, "centre").select("centre", part_of, "v", F.lit(1).alias("kind"), F.col("v").alias("_set"))))
+    asked = stage(asked, "jaccard-asked")
+    keys = asked.select("_set").distinct()
+    wanted = ref_filter(sets.join(keys, F.col("set") == F.col("_set"), "left_semi").select("ref"), n_sets)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[int] = set()
+        for rows in _sets(batches, wanted):
+            new = []
+            for _, _, key, members in rows:
+                if len(members) and key not in known:
+                    known.add(key)
+                    new.append({"set": key, "members": pack(members)})
+            yield pa.RecordBatch.from_pylist(new, schema=pa.schema([("set", pa.int64()), ("members", pa.binary())]))
+
+    members = texts.mapInArrow(cut, "set bigint, members binary")
+    given = asked.join(members, F.col("_set") == F.col("set")).select(
+        "centre", "part", "v", "kind", no.cast("long").alias("u"), no.cast("long").alias("n"), "members", no.cast("binary").alias("dropped"))
+    dealt = given.union(tests).repartition("centre", "part").sortWithinPartitions("centre", "part", F.col("v").asc_nulls_first(), "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre = other = np.empty(0, np.uint64)
+        shared = np.empty(0, bool)  # which members of ``other`` the centre has
         both = 0
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
-                if r["kind"] == 0:
-                    centre = unpack(r["members"])
-                elif r["kind"] == 1:
-                    other = unpack(r["members"])
-                    both = overlap(centre, other)
+            for c, v, kind, u, n, members, dropped in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5, 6, 7))):
+                if kind == 0:
+                    centre = unpack(members)
+                elif kind == 1:
+                    other = unpack(members)
+                    at = np.searchsorted(centre, other)
+                    at[at == len(centre)] = 0
+                    shared = centre[at] == other
+                    both = int(shared.sum())
+                elif u == c:
+                    if linked(both, len(centre), len(other)):
+                        lost = np.ones(len(centre), bool)
+                        lost[np.searchsorted(centre, other[shared])] = False
+                        out.append((u, v, c, len(other), pack(other[~shared]), pack(centre[lost])))
                 else:
-                    own = r["u"] == r["centre"]
-                    n = both
-                    if not own and r["members"] is not None:
-                        n += overlap(unpack(r["members"]), other) - overlap(unpack(r["dropped"]), other)
-                    if linked(n, r["n"], len(other)):
-                        row = {"u": r["u"], "v": r["v"], "centre": r["centre"], "n": len(other), "added": None, "dropped": None}
-                        if own:
-                            row["added"] = pack(np.setdiff1d(other, centre, assume_unique=True))
-                            row["dropped"] = pack(np.setdiff1d(centre, other, assume_unique=True))
-                        out.append(row)
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    added, lost = unpack(members), unpack(dropped)
+                    if linked(both + overlap(added, other) - overlap(lost, other), n, len(other)):
+                        out.append((u, v, c, len(other), None, None))
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in out], schema=schema)
 
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("centre", pa.int64()), ("n", pa.int64()), ("added", pa.binary()), ("dropped", pa.binary())])
     return stage(dealt.mapInArrow(run, "u bigint, v bigint, centre bigint, n bigint, added binary, dropped binary"), "jaccard-links")
 
 
-_ENTRY = np.dtype([("token", "<u8"), ("set", "<i8"), ("n", "<u4"), ("place", "<u4")])
-
-
-def index_entries(built: DataFrame, hot, n_buckets: int) -> DataFrame:
+def index_entries(texts: DataFrame, hot, n_buckets: int) -> DataFrame:
     """Staged (token, set, n, place) of index lists with two sets at least.
 
     Entries travel packed, a few thousand texts' entries of one range of shingles in a
@@ -214,50 +268,86 @@ def index_entries(built: DataFrame, hot, n_buckets: int) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made, common = [], []
-            for s, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ordered, n_rare = in_order(unpack(data), hot.value)
-                length = index_length(len(ordered))
-                e = np.empty(length, _ENTRY)
-                e["token"], e["set"], e["n"], e["place"] = ordered[:length], s, len(ordered), np.arange(length)
-                made.append(e[:n_rare])
-                common.append(e[n_rare:])
-            e = np.concatenate(made)
-            bucket = (e["token"] * np.uint64(n_buckets)) >> np.uint64(BITS) if n_buckets < 1 << (64 - BITS) else e["token"] % np.uint64(n_buckets)
-            order = np.argsort(bucket, kind="stable")
-            e, bucket = e[order], bucket[order]
-            first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(e) else np.empty(0, int)
-            rows = [{"bucket": int(bucket[a]), "packed": e[a:b].tobytes()} for a, b in zip(first, np.r_[first[1:], len(e)])]
-            c = np.concatenate(common)
-            rows += [{"token": int(t), "set": int(s), "n": int(n), "place": int(p)} for t, s, n, p in c.tolist()]
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        for rows in _once(batches):
+            if rows:
+                yield packed([k for k, _ in rows], [in_order(m, hot.value) for _, m in rows])
+
+    def packed(keys: list[int], ordered: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
+        lengths = [index_length(len(o)) for o, _ in ordered]
+        rare = [min(n, r) for n, (_, r) in zip(lengths, ordered)]
+        token = np.concatenate([o[:r] for r, (o, _) in zip(rare, ordered)])
+        owner = np.repeat(np.arange(len(keys), dtype=np.uint32), rare)
+        place = np.concatenate([np.arange(r, dtype=np.uint32) for r in rare])
+        bucket = (token % np.uint64(n_buckets)).astype(np.int64)
+        order = np.lexsort((token, bucket))
+        token, owner, place, bucket = token[order], owner[order], place[order], bucket[order]
+        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, int)
+        sets, sizes = np.array(keys, np.int64), np.array([len(o) for o, _ in ordered], np.uint32)
+        out = []
+        for a, b in zip(first, np.r_[first[1:], len(bucket)]):
+            used, local = np.unique(owner[a:b], return_inverse=True)
+            out.append({"bucket": int(bucket[a]), "tokens": pack(token[a:b]), "owners": local.astype(np.uint16 if len(used) < 1 << 16 else np.uint32).tobytes(),
+                        "places": place[a:b].astype(np.uint16 if place[a:b].max() < 1 << 16 else np.uint32).tobytes(),
+                        "sets": sets[used].tobytes(), "sizes": sizes[used].tobytes()})
+        for key, n, r, (o, _) in zip(keys, lengths, rare, ordered):
+            out += [{"token": t, "set": key, "n": len(o), "place": p} for p, t in enumerate(o[r:n].tolist(), r)]
+        return pa.RecordBatch.from_pylist(out, schema=schema)
+
+    def read(row: tuple) -> np.ndarray:
+        tokens, owners, places, sets, sizes = row
+        token = unpack(tokens)
+        number = lambda data: np.frombuffer(data, np.uint16 if len(data) == 2 * len(token) else np.uint32)
+        owner = number(owners)
+        return np.stack([token.astype(np.int64), np.frombuffer(sets, np.int64)[owner], np.frombuffer(sizes, np.uint32)[owner].astype(np.int64),
+                         number(places).astype(np.int64)])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def lists(bucket: list[bytes]) -> pa.RecordBatch:
-            e = np.frombuffer(b"".join(bucket), _ENTRY)
-            e = e[np.argsort(e["token"], kind="stable")]
-            same = e["token"][1:] == e["token"][:-1]
-            e = e[np.r_[False, same] | np.r_[same, False]]
-            return pa.RecordBatch.from_arrays([pa.array(e[c].astype(np.int64)) for c in ("token", "set", "n", "place")], names=["token", "set", "n", "place"])
+        def lists(held: list[np.ndarray]) -> pa.RecordBatch:
+            e = np.concatenate(held, axis=1)
+            e = e[:, np.lexsort((e[1], e[0]))]
+            e = e[:, np.r_[True, (e[:2, 1:] != e[:2, :-1]).any(0)]]  # a set that several tasks have met
+            same = e[0, 1:] == e[0, :-1]
+            e = e[:, np.r_[False, same] | np.r_[same, False]]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in e], names=["token", "set", "n", "place"])
 
         current, held = None, []
         for batch in batches:
-            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for bucket, *row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if bucket != current and held:
                     yield lists(held)
                     held = []
                 current = bucket
-                held.append(packed)
+                held.append(read(row))
         if held:
             yield lists(held)
 
-    schema = pa.schema([("bucket", pa.int64()), ("packed", pa.binary()), ("token", pa.int64()), ("set", pa.int64()), ("n", pa.int64()), ("place", pa.int64())])
-    rows = stage(built.where("members is not null").select("set", "members").mapInArrow(
-        cut, "bucket bigint, packed binary, token bigint, set bigint, n bigint, place bigint"), "jaccard-index", "lz4")
-    rare = rows.where("bucket is not null").select("bucket", "packed").repartition("bucket").sortWithinPartitions("bucket")
-    common = rows.where("token is not null").select("token", "set", "n", "place")
-    return stage(rare.mapInArrow(shared, "token bigint, set bigint, n bigint, place bigint").union(common).distinct(), "jaccard-lists")
+    schema = pa.schema([("bucket", pa.int64()), *((c, pa.binary()) for c in ("tokens", "owners", "places", "sets", "sizes")),
+                        ("token", pa.int64()), ("set", pa.int64()), ("n", pa.int64()), ("place", pa.int64())])
+    rows = texts.mapInArrow(cut, "bucket bigint, tokens binary, owners binary, places binary, sets binary, sizes binary, "
+                                 "token bigint, set bigint, n bigint, place bigint")
+    # rows of hot shingles have no bucket; those go by shingle and set, so that no task gathers a list
+    at = F.coalesce("bucket", F.pmod(F.xxhash64("token", "set"), F.lit(n_buckets)))
+    dealt = rows.repartition(at).sortWithinPartitions("bucket")
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rare() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                is_rare = pc.is_valid(batch.column(0))
+                hot_rows = batch.filter(pc.invert(is_rare))
+                if len(hot_rows):
+                    common.append(pa.RecordBatch.from_arrays([hot_rows.column(i) for i in range(6, 10)], names=["token", "set", "n", "place"]))
+                if len(hot_rows) < len(batch):
+                    yield batch.filter(is_rare)
+
+        common: list[pa.RecordBatch] = []
+        for out in shared(rare()):
+            yield out
+            while common:
+                yield common.pop()
+        while common:
+            yield common.pop()
+
+    return stage(dealt.mapInArrow(both, "token bigint, set bigint, n bigint, place bigint"), "jaccard-lists")
 
 
 def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
@@ -277,30 +367,38 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
     dealt = (classed.join(lists, "token").select("token", F.explode(parts).alias("part"), "set", "n", "place", "class", "main")
              .repartition("token", "part").sortWithinPartitions("token", "part", "n", "set"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(block: np.ndarray) -> np.ndarray:
-            """``block``: rows token, part, set, n, place, class, main of one list, in order of n."""
-            token, part, s, n, place, group, main = block
-            found = [np.empty((0, 2), np.int64)]
-            reach = np.searchsorted(n, n * SHARE[1] // SHARE[0], side="right")  # larger sets than this are too large
-            for i in range(len(s)):
-                j = slice(i + 1, int(reach[i]))
-                most = 1 + np.minimum(n[i] - place[i], n[j] - place[j]) - 1  # from the places of the common shingle on
-                ok = (group[j] != group[i]) & (most >= least_overlap(n[i], n[j])) & (s[j] != s[i])
-                if part[i]:  # pairs of sets that went to all parts are made in the first one only
-                    ok &= (group[j] == main[i]) | (group[i] == main[i])
-                other = s[j][ok]
-                found.append(np.stack([np.minimum(other, s[i]), np.maximum(other, s[i])], 1))
-            return np.unique(np.concatenate(found), axis=0)
+    def pairs(e: np.ndarray) -> np.ndarray:
+        """``e``: token, part, set, n, place, class, main of whole lists, each in order of n.
+
+        Goes through the lists by the distance of two entries: at each step only the
+        entries go on whose list has a set at that distance that isn't too large.
+        """
+        token, part, s, n, place, group, main = e
+        length = e.shape[1]
+        start = np.flatnonzero(np.r_[True, (e[:2, 1:] != e[:2, :-1]).any(0)])
+        ends = np.repeat(np.r_[start[1:], length], np.diff(np.r_[start, length]))
+        found = [np.empty((2, 0), np.int64)]
+        i, distance = np.arange(length), 1
+        while len(i):
+            i = i[i + distance < ends[i]]
+            j = i + distance
+            near = n[j] * SHARE[0] <= n[i] * SHARE[1]
+            i, j = i[near], j[near]
+            most = np.minimum(n[i] - place[i], n[j] - place[j])  # from the places of the common shingle on
+            ok = (group[j] != group[i]) & (most >= least_overlap(n[i], n[j]))
+            # pairs of sets that went to all parts are made in the first one only
+            ok &= (part[i] == 0) | (group[j] == main[i]) | (group[i] == main[i])
+            a, b = s[i[ok]], s[j[ok]]
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+            distance += 1
+        return np.unique(np.concatenate(found, axis=1), axis=1)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = np.empty((7, 0), np.int64)
 
-        def out(block: np.ndarray) -> Iterator[pa.RecordBatch]:
-            change = np.flatnonzero((block[:2, 1:] != block[:2, :-1]).any(0)) + 1
-            for one in np.split(block, change, axis=1):
-                p = pairs(one)
-                if len(p):
-                    yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["u", "v"])
+        def out(e: np.ndarray) -> pa.RecordBatch:
+            p = pairs(e)
+            return pa.RecordBatch.from_arrays([pa.array(p[0]), pa.array(p[1])], names=["u", "v"])
 
         for batch in batches:
             rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])], axis=1)
@@ -308,10 +406,10 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
                 continue
             last = int(np.flatnonzero((rows[:2] == rows[:2, -1:]).all(0))[0])  # the last list may go on in the next batch
             if last:
-                yield from out(rows[:, :last])
+                yield out(rows[:, :last])
             rest = rows[:, last:]
         if rest.shape[1]:
-            yield from out(rest)
+            yield out(rest)
 
     return stage(dealt.mapInArrow(run, "u bigint, v bigint").distinct(), "jaccard-candidates")
 
@@ -323,16 +421,18 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> t
     class had joined before are not among them. Rows may repeat; null keys stay null.
     """
     sc = docs.sparkSession.sparkContext
-    built = build_sets(docs, key, text)
-    totals = built.where("members is not null").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    hot = sc.broadcast(hot_shingles(built, totals[0]))
-    near = verify(centre_pairs(built, hot), built)
+    texts = texts_of(docs, key, text)
+    measured = measure_sets(texts)
+    sets = distinct_sets(measured)
+    n_sets, n_shingles = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    hot = sc.broadcast(hot_shingles(measured, n_sets))
+    near = verify(centre_pairs(texts, hot), texts, sets, n_sets)
     classes = components(near, "u", "v")
-    described = (near.where("added is not null").groupBy(F.col("v").alias("set"))
-                 .agg(F.min_by(F.struct("centre", "n", "added", "dropped"), "centre").alias("d")).select("set", "d.*"))
-    entries = index_entries(built, hot, max(1, index_length(totals[1]) // BUCKET))
-    far = verify(candidate_pairs(entries, classes), built, described)
-    return built.where("n is not null").select("id", "n", "set"), near.select("u", "v").union(far.select("u", "v"))
+    described = (near.groupBy(F.col("v").alias("set")).agg(F.min_by(F.struct("centre", "n", "added", "dropped"), "centre").alias("d"))
+                 .select("set", "d.*"))
+    entries = index_entries(texts, hot, max(1, index_length(n_shingles) // BUCKET))
+    far = verify(candidate_pairs(entries, classes), texts, sets, n_sets, described)
+    return measured.where("n is not null").select("id", "n", "set"), near.select("u", "v").union(far.select("u", "v"))
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -81,7 +81,7 @@ def test_overlap_from_differences(spark, monkeypatch):
     rows = corpus(7)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     real = jaccard_join.centre_pairs
-    monkeypatch.setattr(jaccard_join, "centre_pairs", lambda built, hot: real(built, hot).where("pmod(v, 3) = 0"))
+    monkeypatch.setattr(jaccard_join, "centre_pairs", lambda texts, hot: real(texts, hot).where("pmod(v, 3) = 0"))
     got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(df).collect()}
     groups = brute.near_groups(rows)
     assert got == {k: groups[i] for i, (k, _) in enumerate(rows)}
