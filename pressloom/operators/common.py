@@ -34,8 +34,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared checkpoint folder (never a machine-local one on a cluster)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/pressloom-{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the shared checkpoint folder (never a machine-local one on a cluster); see ``dropping_staged``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pressloom-{name}-{uuid.uuid4().hex[:12]}"
+    _staged_paths.append(path)
+    return path
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -46,7 +48,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
-    _staged_paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

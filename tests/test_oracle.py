@@ -7,18 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pressloom.plans import catalog
 from pressloom.sources.tables import TABLES
 
 from conftest import SF_SMALL
 
-# Queries without an SQL oracle (rows-only in the driver's check), and why.
-NO_ORACLE = {
-    "collect_job": "end-to-end job with writes; its parts each have an oracle",
-    "restore_job": "end-to-end job with writes; its parts each have an oracle",
-    "stream_delete": "versioned error table after restoring epochs; E6 and the dispatch each have an oracle",
-}
-
-
 def _norm(v):
     if v is None:
         return "∅"
@@ -51,15 +44,14 @@ def test_entry_runs(spark):
     assert len(rows) >= 1
 
 
-def test_every_query_has_an_oracle_or_a_reason():
-    q, o = entry.queries(), entry.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == set(NO_ORACLE)
+def test_every_query_of_the_library_has_an_oracle():
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(catalog.ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.oracle_sql())))
+@pytest.mark.parametrize("key", sorted(catalog.ORACLES))
 def test_query_matches_oracle(spark, duck, key):
-    sdf = entry.queries()[key](spark, SF_SMALL)
-    rel = duck.sql(entry.oracle_sql()[key])
+    sdf = catalog.QUERIES[key](spark, SF_SMALL)
+    rel = duck.sql(catalog.ORACLES[key])
     assert sorted(sdf.columns) == sorted(rel.columns)
     assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(rel.columns, rel.fetchall())

@@ -3,17 +3,20 @@
 import datetime as dt
 import json
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from pressloom.functions import html as H
+from pressloom.functions import selectors as sl
 from pressloom.operators import articles as ar
 from pressloom.operators import feeds as fd
 from pressloom.plans import jobs
-from pressloom.schemas import LINK_SCHEMA
+from pressloom.schemas import ARTICLE_SCHEMA, ERROR_SCHEMA, LINK_SCHEMA, STATE_SCHEMA
 from pressloom.sinks import store
 from pressloom.sources import config as cf
-from pressloom.streaming.stream import StreamContext, process_batch
+from pressloom.streaming.stream import StreamContext, process_batch, save_progress
 
 RUN = dt.datetime(2025, 1, 15, 12, 0, 0)
 
@@ -85,38 +88,123 @@ def _site(spark):
     return spark.createDataFrame(pages, "url string, html string")
 
 
+FEEDS = "name string, url string, stop_after long, fake_news boolean, sel struct<nextp:string,entries:string,links:string>, " \
+        "condition struct<value_container:string,values:array<string>>, position long"
+SEL = ("a.next", "h2 > a", "article a")
+
+
 def test_walk_feed_links_and_errors(spark):
     pages = _site(spark)
-    edges = pages.select(F.col("url").alias("page_url"), fd.first_href(F.col("html"), "a.next").alias("next_url"))
-    feeds = spark.createDataFrame([("f", "https://f.org/", 5, True), ("g", "https://g.org/", -1, False)],
-                                  "name string, url string, stop_after long, fake_news boolean")
+    feeds = spark.createDataFrame([("f", "https://f.org/", 5, True, SEL, (".try", ["megafake"]), 0), ("g", "https://g.org/", -1, False, SEL, None, 1)], FEEDS)
+    edges = fd.next_pages(feeds, pages)
     walk = fd.walk_feed(feeds, edges)
     rows = sorted((r.name, r.round, r.page_url, r.remaining, r.is_over) for r in walk.collect())
     assert rows == [("f", 0, "https://f.org/", 5, False), ("f", 1, "https://f.org/2", 4, True)]
-    assert [r.name for r in fd.missing_feed_pages(feeds, edges).collect()] == ["g"]
+    assert [(r.url, r.from_fake) for r in fd.missing_feed_pages(feeds, edges, walk).collect()] == [("https://g.org/", False)]
     latest = {r.name: (r.is_over, r.data.url, r.data.page) for r in fd.latest_state(fd.feed_state(walk)).collect()}
     assert latest == {"f": (True, "https://f.org/2", 4)}
-    entries = fd.feed_entries(walk, pages, "h2 > a", resolve=True)
-    links, errors = fd.feed_links(entries, pages, feeds, "article a", (".try", ["megafake"]))
+    entries = fd.feed_entries(walk, pages, feeds, resolve=True)
+    links, errors = fd.feed_links(entries, pages, feeds)
     got = sorted((r.batch_id, r.url, r.scraped_from, r.fake) for r in links.collect())
     assert got == [(0, "http://n.org/a", "https://f.org/e1", True), (0, "http://n.org/b", "https://f.org/e1", True)]
     assert [r.url for r in errors.collect()] == ["https://f.org/e3"]
 
 
-def test_walk_stop_after_zero_and_cycle(spark):
+def test_feeds_with_selectors_and_conditions_of_their_own(spark):
+    page = ("<div id='x'><div>in</div><a href='/two'>n</a></div><a class=next href=/three>m</a><ul class='l m'><li><a href=\"/e1\">1</a></li></ul>"
+            "<h2><a href='/e2?a=1&amp;b=2'>2</a></h2>")
+    entry = '<p class="try"><b> MegaFake</b></p><div id="main"><div>x</div><a href="http://n.org/1">1</a></div><article><a href=\'http://n.org/2\'>2</a></article>'
+    site = spark.createDataFrame([("http://s.org/", page), ("http://s.org/two", page), ("http://s.org/three", page), ("http://s.org/e1", entry), ("http://s.org/e2?a=1&b=2", entry)],
+                                 "url string, html string")
+    feeds = spark.createDataFrame([
+        ("a", "http://s.org/", 1, True, ("#x a", ".m a", "article > a"), (".try", ["megafake"]), 2),
+        ("b", "http://s.org/", 0, False, ("a.next", "h2 > a", "#main a"), None, 1),
+        ("c", "http://s.org/", 0, False, ("a.next", "h2 > a", "#main a"), (".try", ["MegaFake"]), 0),
+        ("d", "http://s.org/", 3, False, (None, None, None), None, 3)], FEEDS)
+    edges = fd.next_pages(feeds, site)
+    walk = fd.walk_feed(feeds, edges)
+    assert sorted((r.name, r.page_url) for r in walk.collect()) == [
+        ("a", "http://s.org/"), ("a", "http://s.org/two"), ("b", "http://s.org/"), ("c", "http://s.org/"), ("d", "http://s.org/")]
+    entries = fd.feed_entries(walk, site, feeds, resolve=True)
+    assert sorted((r.name, r.entry_url) for r in entries.collect()) == [
+        ("a", "http://s.org/e1"), ("a", "http://s.org/e1"), ("b", "http://s.org/e2?a=1&b=2"), ("c", "http://s.org/e2?a=1&b=2")]
+    links, errors = fd.feed_links(entries, site, feeds)
+    assert sorted((r.batch_id, r.feed, r.url) for r in links.collect()) == [(0, "a", "http://n.org/2"), (0, "b", "http://n.org/1"), (1, "a", "http://n.org/2")]
+    assert errors.count() == 0
+
+
+def test_feeds_give_links_in_the_order_of_the_configuration(spark):
+    site = spark.createDataFrame([("http://s.org/", "<h2><a href='/e'>e</a></h2>"), ("http://s.org/e", "<article><a href='http://n.org/1'>1</a></article>")], "url string, html string")
+    feeds = spark.createDataFrame([("z", "http://s.org/", 0, True, SEL, None, 0), ("a", "http://s.org/", 0, False, SEL, None, 1)], FEEDS)
+    walk = fd.walk_feed(feeds, fd.next_pages(feeds, site))
+    links, _ = fd.feed_links(fd.feed_entries(walk, site, feeds, resolve=True), site, feeds)
+    r = links.collect()
+    assert [(x.feed, x.fake) for x in r] == [("z", False)]  # first position, last value
+
+
+def test_walk_stop_after_zero_and_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "a")], "page_url string, next_url string")
-    feeds = spark.createDataFrame([("z", "a", 0), ("n", "a", -1)], "name string, url string, stop_after long")
-    got = sorted((r.name, r.page_url) for r in fd.walk_feed(feeds, edges).collect())
-    assert got == [("n", "a"), ("n", "b"), ("z", "a")]  # negative counter runs until the visited guard stops it
+    feeds = spark.createDataFrame([("z", "a", 0), ("n", "a", -1), ("p", "a", 5)], "name string, url string, stop_after long")
+    walk = fd.walk_feed(feeds, edges)
+    got = sorted((r.name, r["round"], r.page_url, r.is_over) for r in walk.collect())
+    # a negative counter runs until the visited guard stops it; a positive one counts down whatever it has read before
+    assert got == [("n", 0, "a", False), ("n", 1, "b", False)] + [("p", i, "ab"[i % 2], i == 5) for i in range(6)] + [("z", 0, "a", True)]
+
+
+def test_walk_of_a_long_chain(spark):
+    n = 60
+    edges = spark.createDataFrame([(f"p{i}", f"p{i + 1}" if i < n - 1 else None) for i in range(n)], "page_url string, next_url string")
+    feeds = spark.createDataFrame([("f", "p0", -1)], "name string, url string, stop_after long")
+    walk = fd.walk_feed(feeds, edges)
+    assert sorted(r["round"] for r in walk.collect()) == list(range(n))
+    assert walk._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+def test_page_lost_in_the_middle_of_a_walk(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "lost")], "page_url string, next_url string")
+    feeds = spark.createDataFrame([("f", "a", -1, True), ("g", "none", 1, False)], "name string, url string, stop_after long, fake_news boolean")
+    got = {(r.url, r.from_fake, r.type) for r in fd.missing_feed_pages(feeds, edges, fd.walk_feed(feeds, edges)).collect()}
+    assert got == {("lost", True, "TimeoutError"), ("none", False, "TimeoutError")}
+
+
+def test_selected_elements(spark):
+    cases = [
+        ("#main a", '<div id="main"><p>t</p><a href="/1">1</a></div><a href="/2">2</a>', ["/1"]),
+        (".posts a", "<ul class='x posts y'><li><a href='/1'>1</a></li></ul><ul class='postsx'><a href='/2'>2</a></ul>", ["/1"]),
+        ("div#main a", '<div id="main"><div>in</div><a href="/1">1</a></div><a href="/2">2</a>', ["/1"]),
+        ("div a", '<div><div><a href="/1">1</a></div></div><div><a href="/2">2</a></div>', ["/1", "/2"]),
+        ("h2 > a", '<h2><a href="/1">1</a><b><a href="/2">2</a></b><br><img src="x"><a href="/3">3</a></h2>', ["/1", "/3"]),
+        ("a.x", "<a class=x href=/1>1</a><a href='/2'>2</a><a class='y x'>3</a>", ["/1", None]),
+        ("a", "<script>var a='<a href=\"/no\">';</script><!-- <a href='/no'> --><abbr>q</abbr><A HREF='/1?a&amp;b'>1</A>", ["/1?a&b"]),
+        ("p a", "<p><a href='/1'>never closed", ["/1"]),
+        ("p a", "", []), ("p a", None, []),
+    ]
+    for selector, html, expected in cases:
+        df = spark.createDataFrame([(html,)], "html string")
+        assert df.select(sl.hrefs(F.col("html"), selector).alias("o")).first().o == expected, (selector, html)
+    df = spark.createDataFrame([('<p class="try"><b>MegafAke</b></p>',)], "html string")
+    for container in (".try", "p.try"):
+        assert df.select(fd.condition_holds(F.col("html"), container, ["megafake"]).alias("o")).first().o is True
 
 
 def test_archive_original_url(spark):
     hdr = '<div id="HEADER"><table><tr><td><input {}></td></tr></table></div><p>x</p>'
     df = spark.createDataFrame([(hdr.format('value="http://o.org/a"'),), (hdr.format('value=""'),),
-                                (hdr.format('name="q"'),), ("<p>none</p>",)], "html string")
+                                (hdr.format('name="q"'),), ("<p>none</p>",),
+                                ("<div id='HEADER'><p>x</p><table><tr><td><input name=q value='http://o.org/b?x&amp;y'></td></tr></table></div>",),
+                                ('<div id="HEADER"><table><tr></tr></table></div><input value="http://out.org">',)], "html string")
     url, err = H.archive_original_url(F.col("html"))
     assert [(r.u, r.e) for r in df.select(url.alias("u"), err.alias("e")).collect()] == [
-        ("http://o.org/a", None), (None, "ArchivedURLNotFound"), (None, "KeyError"), (None, "TypeError")]
+        ("http://o.org/a", None), (None, "ArchivedURLNotFound"), (None, "KeyError"), (None, "TypeError"),
+        ("http://o.org/b?x&y", None), (None, "TypeError")]
+
+
+def test_attributes_in_any_quotes(spark):
+    html = "<html lang='de-DE'><meta content='d' name='description'><meta name=keywords content='a, b'><img alt=\"x\" src='/i.png'><iframe src=/v></iframe>"
+    h = F.col("html")
+    r = spark.createDataFrame([(html,)], "html string").select(
+        H.meta_description(h).alias("d"), H.page_lang(h).alias("l"), H.page_keywords(h).alias("k"), H.page_images(h).alias("i"), H.page_videos(h).alias("v")).first()
+    assert (r.d, r.l, r.k, r.i, r.v) == ("d", "de", ["a", "b"], ["/i.png"], ["/v"])
 
 
 PAGE = ('<html lang="en-US"><head><title>A long enough title - Site</title>'
@@ -176,73 +264,147 @@ def _arts(spark, rows):
 def test_store_articles_constraints_and_idempotence(spark, tmp_dir):
     path = os.path.join(tmp_dir, "article")
     b0 = _arts(spark, [(0, 1, "u1", "u1", "s", True), (0, 2, "u1", "v", "s", True), (0, 3, None, "w", "s", False)])
-    stored, refused = store.store_articles(b0, path, RUN)
+    stored, refused = store.store_articles(b0, path, RUN, "r1")
     assert sorted(r.url for r in stored.collect()) == ["u1"]
     assert sorted((r.type, r.url) for r in refused.collect()) == [("NotNullViolationError", "w"),
                                                                   ("UniqueViolationError", "v")]
-    # retrying the same batch replaces it: still one row
-    store.store_articles(b0, path, RUN)
-    assert spark.read.parquet(path).count() == 1
+    # doing the batch of the run again replaces it: still one row
+    store.store_articles(b0, path, RUN, "r1")
+    held = lambda: sorted(r.url for r in store.read_batches(spark, path, ARTICLE_SCHEMA).collect())
+    assert held() == ["u1"]
     b1 = _arts(spark, [(1, 1, "u1", "x", "s", True), (1, 2, "u2", "u2", "s", True)])
-    stored1, refused1 = store.store_articles(b1, path, RUN)
+    stored1, refused1 = store.store_articles(b1, path, RUN, "r1")
     assert [r.url for r in stored1.collect()] == ["u2"] and [r.url for r in refused1.collect()] == ["x"]
-    assert spark.read.parquet(path).count() == 2
+    assert held() == ["u1", "u2"]
+    # the same batch id in another run replaces nothing
+    b2 = _arts(spark, [(0, 1, "u3", "u3", "s", True), (0, 2, "u2", "u2", "s", True)])
+    stored2, refused2 = store.store_articles(b2, path, RUN, "r2")
+    assert [r.url for r in stored2.collect()] == ["u3"] and [r.url for r in refused2.collect()] == ["u2"]
+    assert held() == ["u1", "u2", "u3"]
+
+
+def test_nothing_stored_reads_as_empty(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "none")
+    assert store.read_batches(spark, path, ARTICLE_SCHEMA).count() == 0
+    store.write_batches(_arts(spark, []), path, ARTICLE_SCHEMA, "r1")
+    assert store.read_batches(spark, path, ARTICLE_SCHEMA).count() == 0
+    assert store.latest_version(spark, path) is None
+
+
+ERRORS = "type string, url string, source_article string, from_fake boolean, additional_info string, creation_date timestamp_ntz"
+
+
+def _prep_n(spark):
+    return jobs.prepare_rules(spark.createDataFrame([(1, "high", "n.org")], "source_id long, factual_reporting string, url string"), {"min_length": {"title": 3}})
 
 
 def test_process_batch_stores_state_and_deletes_restored_errors(spark, tmp_dir):
-    src = spark.createDataFrame([(1, "high", "n.org")], "source_id long, factual_reporting string, url string")
-    prep = jobs.prepare_rules(src, {"min_length": {"title": 3}})
-    resp = spark.createDataFrame([("http://n.org/p", 200, PAGE)], "url string, status int, html string")
+    resp = spark.createDataFrame([("http://n.org/p", 200, PAGE), ("http://n.org/q", 200, PAGE.replace("A long", "Another"))], "url string, status int, html string")
     out = jobs.Outputs(os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "e"), os.path.join(tmp_dir, "s"))
     errs_versions = os.path.join(tmp_dir, "ev")
     err0 = spark.createDataFrame([("TimeoutError", "http://n.org/p", None, False, "i", None),
-                                  ("TimeoutError", "http://other.org/", None, False, "i", None)],
-                                 "type string, url string, source_article string, from_fake boolean, "
-                                 "additional_info string, creation_date timestamp_ntz")
-    store.write_version(err0, errs_versions, 0)
+                                  ("TimeoutError", "http://other.org/", None, False, "i", None)], ERRORS)
+    store.write_version(err0, errs_versions, "0")
     states = spark.createDataFrame([(0, "f", False, "http://n.org/", 3)], "batch_id long, name string, is_over boolean, url string, page long") \
         .select("batch_id", "name", "is_over", F.struct("url", "page", F.lit(None).cast("long").alias("posts")).alias("data"))
-    ctx = StreamContext(resp, prep, out, RUN, restoring=True, errors_versions=errs_versions, states=states)
+    ctx = StreamContext(resp, _prep_n(spark), out, RUN, "s1", restoring=True, errors_versions=errs_versions, states=states)
     links = spark.createDataFrame([(0, 1, "http://n.org/p", "https://f.org/", False)], LINK_SCHEMA)
+    held = lambda: sorted(r.url for r in store.read_batches(spark, out.articles, ARTICLE_SCHEMA).collect())
     for _ in range(2):  # at-least-once: the same epoch twice gives the same tables
         stored = process_batch(links, 0, ctx)
         assert [r.url for r in stored.collect()] == ["http://n.org/p"]
-    assert spark.read.parquet(out.articles).count() == 1
-    assert [r.url for r in spark.read.parquet(f"{errs_versions}/v=000001").collect()] == ["http://other.org/"]
-    st = spark.read.parquet(f"{out.state}/v=000000").collect()
+    assert held() == ["http://n.org/p"]
+    newest = store.read_version(spark, errs_versions, store.latest_version(spark, errs_versions), ERROR_SCHEMA)
+    assert [r.url for r in newest.collect()] == ["http://other.org/"]
+    st = store.read_version(spark, out.state, store.latest_version(spark, out.state), STATE_SCHEMA).collect()
     assert [(r.name, r.data.page) for r in st] == [("f", 3)]
+    # the batch id again in the next epoch: the first epoch's article stays
+    process_batch(spark.createDataFrame([(0, 1, "http://n.org/q", "https://f.org/", False)], LINK_SCHEMA), 1, ctx)
+    assert held() == ["http://n.org/p", "http://n.org/q"]
+    # a new stream from epoch 0 goes on from what is there; an epoch without the one before it is an error
+    more = states.withColumn("name", F.lit("g")).drop("batch_id")
+    save_progress(spark, more, out.state, "s2", 0)
+    newest = store.read_version(spark, out.state, store.latest_version(spark, out.state), STATE_SCHEMA)
+    assert sorted(r.name for r in newest.collect()) == ["f", "g"]
+    with pytest.raises(FileNotFoundError):
+        save_progress(spark, more, out.state, "s3", 4)
+
+
+def _collect(spark, out, run, urls, html=PAGE, errors=(), **kw):
+    """A job over one forum whose posts are the urls."""
+    resp = spark.createDataFrame([(u, 200, html.replace("A long", u)) for u in urls] + [("x", 404, "x")], "url string, status int, html string")
+    links = spark.createDataFrame([("forum", i, u, "https://f.org/", False) for i, u in enumerate([*urls, *errors])],
+                                  "batch_key string, seq long, url string, scraped_from string, fake boolean")
+    state = spark.createDataFrame([("forum", False, len(urls))], "name string, is_over boolean, posts long")
+    return jobs.collect_job(None, resp, resp, _prep_n(spark), out, RUN, run_id=run, forum_links=links, forum_state=state, **kw)
+
+
+def test_runs_keep_what_earlier_runs_stored(spark, tmp_dir):
+    out = jobs.Outputs(os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "e"), os.path.join(tmp_dir, "s"))
+    held = lambda: sorted(r.url for r in store.read_batches(spark, out.articles, ARTICLE_SCHEMA).collect())
+    errors = lambda run: sorted(r.url for r in jobs.current_errors(spark, out, run).collect())
+    # a run without an accepted article or an error
+    assert _collect(spark, out, "r0", []).count() == 0
+    # then one without errors
+    assert [r.url for r in _collect(spark, out, "r1", ["http://n.org/1"]).collect()] == ["http://n.org/1"]
+    assert errors("r2") == []
+    # another run, and the same one again: both articles, no doubles
+    for _ in range(2):
+        assert [r.url for r in _collect(spark, out, "r2", ["http://n.org/2"], errors=["http://n.org/lost"]).collect()] == ["http://n.org/2"]
+    assert held() == ["http://n.org/1", "http://n.org/2"]
+    assert errors("r3") == ["http://n.org/lost"]
+    # restoring stores the lost page and deletes its error; the next job doesn't bring it back
+    resp = spark.createDataFrame([("http://n.org/lost", 200, PAGE)], "url string, status int, html string")
+    assert jobs.restore_job(resp, _prep_n(spark), out, RUN, run_id="r3").count() == 0
+    assert "http://n.org/lost" in held()
+    _collect(spark, out, "r4", ["http://n.org/4"], errors=["http://n.org/gone"])
+    assert errors("r5") == ["http://n.org/gone"]
+    assert jobs.saved_state(spark, out, "r5").first().data.posts == 1
+
+
+def test_forums_that_are_over_are_left_out(spark, tmp_dir):
+    out = jobs.Outputs(os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "e"), os.path.join(tmp_dir, "s"))
+    over = spark.createDataFrame([("forum", True)], "name string, is_over boolean").withColumn("data", F.lit(None).cast(STATE_SCHEMA["data"].dataType))
+    assert _collect(spark, out, "r1", ["http://n.org/1"], state=over).count() == 0
+
+
+def test_feed_errors_are_stored_on_demand(spark, tmp_dir):
+    site = spark.createDataFrame([("http://s.org/", "<h2><a href='/e'>e</a></h2><a class='next' href='/lost'>n</a>")], "url string, html string")
+    feeds = spark.createDataFrame([("f", "http://s.org/", 3, False, SEL, None, 0)], FEEDS)
+    for flag, expected in ((False, []), (True, ["http://s.org/e", "http://s.org/lost"])):
+        out = jobs.Outputs(*(os.path.join(tmp_dir, f"{flag}-{x}") for x in "aes"))
+        jobs.collect_job(feeds, site, site, _prep_n(spark), out, RUN, store_feed_errors=flag)
+        assert sorted(r.url for r in jobs.current_errors(spark, out, "9").collect()) == expected
+
+
+def test_retry_order_is_total(spark):
+    rows = [("TimeoutError", "u", f"s{i % 3}", i % 2 == 0, f"i{i % 5}", None if i % 4 == 0 else RUN) for i in range(20)]
+    seen = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, ERRORS).repartition(3)
+        seen.add(tuple(sorted((r.batch_id, r.seq, r.scraped_from, r.fake) for r in jobs.retry_batches(df).collect())))
+    assert len(seen) == 1
 
 
-def test_collect_and_restore_jobs_end_to_end(spark, tmp_dir):
-    """P1 then P2 on the smallest driver tables: tables written, state versioned, errors cleaned."""
-    from conftest import SF_SMALL
-    from pressloom.operators import links as lk
-    from pressloom.plans.q_links import AS_OF, NUM_POSTS, _subs
-    from pressloom.sources.fixtures import Views
+def test_jobs_remove_what_they_staged(spark, tmp_dir):
+    from pressloom.session import checkpoint_dir
 
-    v = Views(spark, SF_SMALL)
-    prep = jobs.prepare_rules(v.src, {"min_length": {"title": 5}})
     out = jobs.Outputs(os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "e"), os.path.join(tmp_dir, "s"))
-    flinks, fstate = lk.forum_links(v.post, _subs(v), NUM_POSTS, AS_OF)
-    stored = jobs.collect_job(v.feed, v.edge.select("page_url", "next_url"), v.pages, v.resp, prep, out, RUN,
-                              forum_links=flinks, forum_state=fstate)
-    urls = [r.url for r in stored.collect()]
-    assert len(urls) == len(set(urls))  # the store's unique url
-    state = spark.read.parquet(f"{out.state}/v=000001")
-    names = {r.name for r in state.collect()}
-    assert {r.name for r in v.feed.collect()} <= names and {r.name for r in fstate.collect()} <= names
-    cleaned = jobs.restore_job(v.err, v.resp, prep, out, RUN)
-    stored_urls = {r.url for r in spark.read.parquet(out.articles).collect()}
-    assert not ({r.url for r in cleaned.collect()} & stored_urls)  # restored urls left the error table
+    prep = _prep_n(spark)
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    names = lambda: {x for x in os.listdir(folder) if x.startswith("pressloom-")}
+    before = names()
+    _collect(spark, out, "r1", ["http://n.org/1"])
+    assert names() <= before and prep
 
 
 def test_selector_subset_and_href_resolution(spark):
     import pytest as _pytest
 
-    with _pytest.raises(ValueError):
-        fd.selector_patterns("div > ul > a")  # deeper chains are outside the supported subset
-    with _pytest.raises(ValueError):
-        fd.selector_patterns("div span")  # links must be selected by an anchor
+    for unsupported in ("div > ul > a", "div span", "a:first", "[href] a", "div + a", "", "a, b"):
+        with _pytest.raises(ValueError):
+            sl.parse_selector(unsupported)
     df = spark.createDataFrame([("/a", "https://h.org/x/y?q"), ("//cdn.org/b", "https://h.org/"),
                                 ("http://o.org/c", "https://h.org/"), ("/d", "relative/page")],
                                "href string, page string")
