@@ -1,9 +1,9 @@
 """Pages -> article records.
 
 ``build_articles`` turns admitted links plus fetched responses into two
-frames, articles (19 columns, §1.3 order) and errors (6 columns). The html is
-read once per link; it never crosses a shuffle except the one keyed by the
-article key that the summary needs.
+frames, articles (19 columns, §1.3 order) and errors (6 columns). Of the pages only
+those that a link asks for leave the place where they are read, and their html is
+parsed once; the text then crosses the one shuffle that the summary needs.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Window
 from pressloom.functions import html as H
 from pressloom.functions.text import (correct_title, min_words_or_none, remove_newlines, truncate_title,
                                       value_or_none)
-from pressloom.operators.common import staged
+from pressloom.operators.common import only_known_urls, staged
 from pressloom.functions.urls import (KIND_ARCHIVE, KIND_WEB_ARCHIVE, link_kind, maintain_path, site_key,
                                       web_archive_target)
 from pressloom.schemas import ARTICLE_COLUMNS, ERROR_COLUMNS
@@ -94,15 +94,14 @@ def error_rows(df: DataFrame, type_col: Column, info_col: Column, url: Column, s
 def link_pages(links: DataFrame, responses: DataFrame) -> DataFrame:
     """Attach each link's response; ``_has_resp`` false (status/html null) when none came back.
 
-    Links are staged, so Spark knows their size: few links go to the page scan, where
-    the html is; many make it a shuffle join, for which Spark filters the pages by the
-    links' urls at run time (``spark.sql.optimizer.runtime.bloomFilter``). Links without
-    a response come from an anti join that reads only the page urls.
+    The html is the largest column in the system: pages that no link asks for are
+    filtered where they are read, and only the rest is joined. Links without a
+    response come from an anti join that reads only the page urls.
     """
     status = F.col("status") if "status" in responses.columns else F.lit(200)
     r = responses.select(F.col("url").alias("_rurl"), status.alias("status"), F.col("html"))
     lk = staged(links, "links")
-    matched = r.join(lk, r["_rurl"] == lk["url"]).drop("_rurl").withColumn("_has_resp", F.lit(True))
+    matched = only_known_urls(r, "_rurl", lk, "url").join(lk, F.col("_rurl") == F.col("url")).drop("_rurl").withColumn("_has_resp", F.lit(True))
     urls = responses.select(F.col("url").alias("_rurl")).where(F.col("_rurl").isNotNull())
     missing = (lk.join(urls, lk["url"] == urls["_rurl"], "left_anti")
                .withColumn("status", F.lit(None).cast(r.schema["status"].dataType))
@@ -162,9 +161,8 @@ def build_articles(links: DataFrame, responses: DataFrame, run_ts: dt.datetime,
     errors = error_rows(wide.where(F.col("_err").isNotNull()), F.col("_err"), F.col("_info"), u, src, fake, run_ts,
                         keep=keys)
     fields = wide.where(F.col("_err").isNull()).drop("_err", "_info", "url")
-    # the summary shuffles (key, text) once; joined back on the key, which keeps its partitioning
-    summ = summarize(fields.select(*keys, "text"), keys, "text", "_summary").select(*keys, "_summary")
-    summed = fields.join(summ, keys, "left")
+    # the fields go along through the one shuffle that the summary needs
+    summed = summarize(fields, keys, "text", "_summary")
     articles = summed.select(
         *key_cols,
         "title", "text", "description", F.col("_actual").alias("url"), "visited_url", "scraped_from",

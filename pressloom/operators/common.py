@@ -6,7 +6,7 @@ import uuid
 from contextlib import contextmanager
 from typing import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -27,6 +27,32 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+#: words of 64 bits in a block of a url filter, and blocks that are sent to every task at most (9 numbers each)
+FILTER_WORDS, FILTER_MAX_BLOCKS = 8, 100_000
+
+
+def _filter_mask(url: str, word: int) -> Column:
+    return F.expr(f"shiftleft(1L, cast(shiftright(xxhash64({url}, 1L), {6 * word}) & 63 as int))")
+
+
+def only_known_urls(df: DataFrame, url: str, urls: DataFrame, known: str) -> DataFrame:
+    """Rows of ``df`` whose url is in ``urls`` (column ``known``), and a few others: run before a join by url.
+
+    So that wide rows that can't match (pages with their html) don't travel. A blocked
+    Bloom filter of the urls, as a table of bounded size, is sent to where the rows are
+    read; with more urls than it is made for, more rows pass. The exact join follows.
+    """
+    keys = urls.select(F.col(known).alias("_k")).where(F.col(known).isNotNull()).distinct()
+    n_blocks = min(FILTER_MAX_BLOCKS, max(1, keys.count() // (4 * FILTER_WORDS)))  # 16 bits a url
+    block = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(n_blocks))
+    blocks = keys.groupBy(block("_k").alias("_block")).agg(*(F.bit_or(_filter_mask("_k", i)).alias(f"_w{i}") for i in range(FILTER_WORDS)))
+    hit = F.lit(True)
+    for i in range(FILTER_WORDS):
+        hit = hit & (F.col(f"_w{i}").bitwiseAND(_filter_mask(url, i)) != 0)
+    probed = df.withColumn("_probe", block(url)).join(F.broadcast(blocks), F.col("_probe") == F.col("_block"))
+    return probed.where(hit).select(*df.columns)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)

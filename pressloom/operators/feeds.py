@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pressloom.functions.selectors import hrefs, texts
 from pressloom.functions.text import py_strip
-from pressloom.operators.common import staged, staging_path
+from pressloom.operators.common import only_known_urls, staged, staging_path
 
 ORIGIN_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)"
 NO_PAGE = "feed page not fetched: "
@@ -131,12 +131,12 @@ def latest_state(states: DataFrame, order_col: str = "round") -> DataFrame:
 def feed_entries(walk: DataFrame, pages: DataFrame, feeds: DataFrame, resolve: bool = False) -> DataFrame:
     """Entry urls of each feed page read by the walk (I4 first step), with positions.
 
-    Hrefs are cut out of the html where the pages are read; only they are joined with the walk.
+    Hrefs are cut out of the html where the pages are read, of the pages that the walk has read (and a few others);
+    only the hrefs are joined with the walk.
     """
     read = staged(walk.join(feeds.select(F.col("name").alias("_n"), F.col("sel.entries").alias("_selector")), F.col("name") == F.col("_n"))
                   .select("name", "round", "page_url", "_selector"), "feed-pages")
-    asked = read.select(F.col("page_url").alias("_u")).distinct()
-    matched = pages.join(asked, F.col("url") == F.col("_u"), "left_semi").select(F.col("url").alias("_u"), "html")
+    matched = only_known_urls(pages.select(F.col("url").alias("_u"), "html"), "_u", read, "page_url")
     found = matched.select("_u", F.explode(per_selector(
         selectors_of(feeds, "sel.entries"), lambda s: hrefs(F.col("html"), s), "array<string>")).alias("x"))
     ent = read.join(found.select("_u", F.col("x.s").alias("_s"), F.col("x.h").alias("_h")),
@@ -161,13 +161,12 @@ def feed_links(entries: DataFrame, pages: DataFrame, feeds: DataFrame) -> tuple[
     feed, position, entry_pos, link_pos, url, scraped_from, fake)``; duplicates collapse
     per batch in the order of the configuration (F1, first position, last value). Entry
     pages that were not fetched give error rows ``(type, url, source_article=null, from_fake)``.
-    Hrefs and element texts are cut out of the html where the pages are read; only they
-    are joined with the entries.
+    Hrefs and element texts are cut out of the html where the pages are read, of the
+    entries' pages (and a few others); only they are joined with the entries.
     """
     of_feed = staged(_of_feed(feeds), "feed-links-conf")
     e = staged(entries.join(of_feed, F.col("name") == F.col("_n")).drop("_n"), "feed-entries")
-    asked = e.select(F.col("entry_url").alias("_u")).distinct()
-    matched = pages.join(asked, F.col("url") == F.col("_u"), "left_semi")
+    matched = only_known_urls(pages.select("url", "html"), "url", e, "entry_url")
     html = F.col("html")
     found = per_selector(selectors_of(of_feed, "_links"), lambda s: hrefs(html, s), "array<string>")
     said = per_selector(selectors_of(of_feed, "_container"), lambda c: F.transform(texts(html, c), lambda t: py_strip(F.lower(t))), "array<string>")

@@ -178,6 +178,19 @@ def test_edge_view_equals_a_plain_window(spark, partitions, monkeypatch):
     assert own.count() == 2500 and own.exceptAll(plain).count() == 0
 
 
+def test_only_known_urls_misses_nothing(spark, monkeypatch):
+    from pressloom.operators import common
+
+    pages = spark.range(20_000).select(F.concat(F.lit("http://h/"), "id").alias("url"), F.lit("x").alias("html"))
+    pages = pages.union(spark.createDataFrame([(None, "n")], "url string, html string"))
+    known = pages.where("url like '%77'").select(F.col("url").alias("k"))
+    for most in (1, 100_000):  # a crowded filter, and one that fits
+        monkeypatch.setattr(common, "FILTER_MAX_BLOCKS", most)
+        kept = common.only_known_urls(pages, "url", known, "k")
+        assert kept.columns == pages.columns and known.exceptAll(kept.select("url")).count() == 0
+    assert kept.count() < 260 and common.only_known_urls(pages, "url", known.limit(0), "k").count() == 0
+
+
 def test_bounded_broadcast_falls_back_above_bound(spark):
     from pressloom.operators.common import bounded_broadcast
 

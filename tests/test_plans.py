@@ -7,7 +7,7 @@ from contextlib import redirect_stdout
 
 import pytest
 
-import __spark_entry__ as entry
+from pressloom.plans import catalog
 from conftest import SF_CHECK
 
 
@@ -39,24 +39,62 @@ def split_tables(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("key", ["link_pages", "build_articles", "admitted_pages_by_label", "page_summary"])
-def test_html_never_shuffled_when_scan_is_parallel(spark, split_tables, key):
-    df = entry.queries()[key](spark, split_tables)
-    inputs = exchange_inputs(plan_of(df))
+@pytest.fixture()
+def no_broadcast_by_size(spark):
+    """Plans as for inputs of any size: only frames of bounded size are sent to all tasks."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def html_moved_without_filter(plan: str) -> list[str]:
+    """Exchanges with html that have no url filter (a broadcast join by block) shortly below them."""
+    tree, bad = plan.split("\n\n")[0].splitlines(), []
+    for part in re.split(r"\n\n+", plan):
+        m = re.match(r"\((\d+)\) Exchange", part)
+        if m and re.search(r"Input \[\d+\]: \[.*\bhtml#", part):
+            at = next(i for i, line in enumerate(tree) if f"Exchange ({m.group(1)})" in line)
+            if not any("BroadcastHashJoin" in line for line in tree[at + 1:at + 12]):
+                bad.append(part)
+    return bad
+
+
+@pytest.mark.parametrize("key", ["link_pages", "build_articles"])
+def test_html_of_pages_that_no_link_asks_for_stays_where_it_is_read(spark, split_tables, no_broadcast_by_size, key):
+    assert not html_moved_without_filter(plan_of(catalog.QUERIES[key](spark, split_tables)))
+
+
+def test_feeds_move_no_html(spark, split_tables, no_broadcast_by_size, tmp_dir):
+    from pressloom.operators import feeds as fd
+    from pressloom.sources.fixtures import Views
+
+    v = Views(spark, split_tables)
+    v.site.repartition(8).write.parquet(f"{tmp_dir}/site")
+    site, conf = spark.read.parquet(f"{tmp_dir}/site"), v.conf
+    edges = fd.next_pages(conf, site)
+    entries = fd.feed_entries(fd.walk_feed(conf, edges), site, conf, resolve=True)
+    links, errors = fd.feed_links(entries, site, conf)
+    for df in (edges, entries, links, errors):
+        assert not [i for i in exchange_inputs(plan_of(df)) if re.search(r"\bhtml#", i)]
+
+
+def test_page_summary_shuffles_no_html(spark, split_tables, no_broadcast_by_size):
+    inputs = exchange_inputs(plan_of(catalog.QUERIES["page_summary"](spark, split_tables)))
     assert not [i for i in inputs if re.search(r"\bhtml#", i)], inputs
 
 
 def test_top_posts_limits_before_the_shuffle(spark):
-    plan = plan_of(entry.queries()["top_posts"](spark, SF_CHECK))
+    plan = plan_of(catalog.QUERIES["top_posts"](spark, SF_CHECK))
     assert plan.count("WindowGroupLimit") >= 2  # partial (before the exchange) and final
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
 
 
 def test_resolved_errors_is_a_hash_anti_join(spark):
-    plan = plan_of(entry.queries()["delete_resolved_errors"](spark, SF_CHECK))
+    plan = plan_of(catalog.QUERIES["delete_resolved_errors"](spark, SF_CHECK))
     assert "NestedLoopJoin" not in plan and "LeftAnti" in plan
 
 
 def test_scans_read_only_needed_columns(spark):
-    plan = plan_of(entry.queries()["merge_links"](spark, SF_CHECK))
+    plan = plan_of(catalog.QUERIES["merge_links"](spark, SF_CHECK))
     assert "ReadSchema: struct<page_id:bigint,url:string>" in plan and "html" not in plan
