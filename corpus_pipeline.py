@@ -14,7 +14,7 @@ from pressloom.llm import bpe_codec, jaccard_join, mixing, quality_rules, suffix
 from pressloom.llm.common import stage, table
 
 #: shares of the mixture's tokens; the clean domain gets CLEAN_ROOM times the tokens it has, so its documents all stay
-SHARES = {"clean": 0.96, "toxic": 0.01, "low": 0.03}
+SHARES = {"clean": 0.993, "toxic": 0.002, "low": 0.005}
 CLEAN_ROOM = 1.05
 
 

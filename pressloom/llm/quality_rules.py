@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from pressloom.llm.common import SPACES, bounded, stage, table
 
-RISK = 0.005  # certified rate of good texts that a rule may reject, per stratum
+RISK = 0.01  # certified rate of good texts that a rule may reject, per stratum
 ERROR = 0.05  # chance that any of the certified cutoffs doesn't hold
 GOOD_LOST = 20  # bad texts that a cutoff must catch for each good text it rejects
 MAX_STRATA_BROADCAST = 100_000
