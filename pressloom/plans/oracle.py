@@ -65,9 +65,10 @@ FROM edge WHERE rn = 2 AND page_id % 4 < 3""",
     # the feeds' pages by what their markup was made of: next link, entries, article links, mark
     "site": """
 SELECT p.page_id, p.url, e.next_url, a.url AS e1, b.url AS e2, c.url AS l1, d.url AS l2, concat('m', p.page_id % 3) AS mark
-FROM pages p JOIN edge e ON e.page_id = p.page_id, (SELECT count(*) AS n FROM pages) z, pages a, pages b, pages c, pages d
-WHERE a.page_id = (p.page_id * 7 + 3) % z.n AND b.page_id = (p.page_id * 11 + 5) % z.n
-  AND c.page_id = (p.page_id * 3 + 1) % z.n AND d.page_id = (p.page_id * 5 + 2) % z.n""",
+FROM (SELECT page_id, url, (page_id * 7 + 3) % n AS k1, (page_id * 11 + 5) % n AS k2, (page_id * 3 + 1) % n AS k3, (page_id * 5 + 2) % n AS k4
+      FROM pages, (SELECT count(*) AS n FROM pages) z) p
+JOIN edge e ON e.page_id = p.page_id JOIN pages a ON a.page_id = p.k1 JOIN pages b ON b.page_id = p.k2
+JOIN pages c ON c.page_id = p.k3 JOIN pages d ON d.page_id = p.k4""",
     "conf": """
 SELECT feed AS name, page_url AS url, page_id % 4 AS stop_after, page_id % 2 = 0 AS fake_news, page_id AS position
 FROM edge WHERE rn = 1""",
