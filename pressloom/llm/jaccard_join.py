@@ -4,8 +4,9 @@ Two kinds of skipping keep the work near the number of sets:
 
 * Among index lists: sets are put under the first of their shingles in one global
   order (shingles of many sets last), a quarter of the set. A list is in order of set
-  size, and pairs whose sizes or whose places of the common shingle can't reach the
-  similarity are skipped a block at a time.
+  size; its rest is skipped where sets are too large for an entry. A pair is skipped if
+  the shingles it has in common there, and what can follow their last places, can't
+  make the similarity.
 * Among answers: sets that are verified similar to a common centre form a class. Pairs
   within a class are skipped, as they are linked already. The overlap of a member with
   another set is derived from the centre's overlap with it and the member's difference
@@ -43,11 +44,6 @@ def linked(both: int, a: int, b: int) -> bool:
     return SHARE[1] * both >= SHARE[0] * (a + b - both)
 
 
-def least_overlap(a, b):
-    """Smallest intersection with which sets of these sizes are linked."""
-    return -(-(a + b) * SHARE[0] // (SHARE[0] + SHARE[1]))
-
-
 def index_length(n):
     """So many first shingles of a set; linked sets have one of them in common."""
     return n - -(-n * SHARE[0] // SHARE[1]) + 1
@@ -351,7 +347,10 @@ def index_entries(texts: DataFrame, hot, n_buckets: int) -> DataFrame:
 
 
 def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Distinct (u, v) from the index lists: sets of different classes that size and places let be linked.
+    """Staged (u, v) from the index lists: sets of different classes that sizes and places let be linked.
+
+    A pair has as many rows as shingles in common among the indexed ones. All other
+    shingles in common come after the last of these in both sets, which bounds them.
 
     Lists of one class are dropped before anything is gathered. A long list is dealt to
     several tasks: sets of its largest class go to one each, the others to all.
@@ -368,7 +367,9 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
              .repartition("token", "part").sortWithinPartitions("token", "part", "n", "set"))
 
     def pairs(e: np.ndarray) -> np.ndarray:
-        """``e``: token, part, set, n, place, class, main of whole lists, each in order of n.
+        """Set, size and place of two sets for every pair of entries of different classes.
+
+        ``e``: token, part, set, n, place, class, main of whole lists, each in order of n.
 
         Goes through the lists by the distance of two entries: at each step only the
         entries go on whose list has a set at that distance that isn't too large.
@@ -377,28 +378,27 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
         length = e.shape[1]
         start = np.flatnonzero(np.r_[True, (e[:2, 1:] != e[:2, :-1]).any(0)])
         ends = np.repeat(np.r_[start[1:], length], np.diff(np.r_[start, length]))
-        found = [np.empty((2, 0), np.int64)]
+        found = [np.empty((6, 0), np.int64)]
         i, distance = np.arange(length), 1
         while len(i):
             i = i[i + distance < ends[i]]
             j = i + distance
             near = n[j] * SHARE[0] <= n[i] * SHARE[1]
             i, j = i[near], j[near]
-            most = np.minimum(n[i] - place[i], n[j] - place[j])  # from the places of the common shingle on
-            ok = (group[j] != group[i]) & (most >= least_overlap(n[i], n[j]))
             # pairs of sets that went to all parts are made in the first one only
-            ok &= (part[i] == 0) | (group[j] == main[i]) | (group[i] == main[i])
-            a, b = s[i[ok]], s[j[ok]]
-            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+            ok = (group[j] != group[i]) & ((part[i] == 0) | (group[j] == main[i]) | (group[i] == main[i]))
+            a, b = i[ok], j[ok]
+            first = s[a] < s[b]
+            a, b = np.where(first, a, b), np.where(first, b, a)
+            found.append(np.stack([s[a], n[a], place[a], s[b], n[b], place[b]]))
             distance += 1
-        return np.unique(np.concatenate(found, axis=1), axis=1)
+        return np.concatenate(found, axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = np.empty((7, 0), np.int64)
 
         def out(e: np.ndarray) -> pa.RecordBatch:
-            p = pairs(e)
-            return pa.RecordBatch.from_arrays([pa.array(p[0]), pa.array(p[1])], names=["u", "v"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(e)], names=["u", "nu", "pu", "v", "nv", "pv"])
 
         for batch in batches:
             rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])], axis=1)
@@ -411,7 +411,11 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
         if rest.shape[1]:
             yield out(rest)
 
-    return stage(dealt.mapInArrow(run, "u bigint, v bigint").distinct(), "jaccard-candidates")
+    met = dealt.mapInArrow(run, "u bigint, nu bigint, pu bigint, v bigint, nv bigint, pv bigint").groupBy("u", "v").agg(
+        F.count(F.lit(1)).alias("both"), F.max("nu").alias("nu"), F.max("nv").alias("nv"), F.max("pu").alias("pu"), F.max("pv").alias("pv"))
+    most = F.col("both") + F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv")) - 1
+    enough = most * (SHARE[0] + SHARE[1]) >= (F.col("nu") + F.col("nv")) * SHARE[0]
+    return stage(met.where(enough).select("u", "v"), "jaccard-candidates")
 
 
 def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
