@@ -26,6 +26,7 @@ REVISIT_BYTES = 1000  # payloads of at least so many bytes are stored once
 RECORD_DATE = "2020-01-01T00:00:00Z"
 FILE_BYTES = 256 << 20  # an archive is closed once it has so many bytes
 READ_BYTES = 8 << 20  # joined byte ranges are read in pieces of about this size
+TASK_BYTES = 32 << 20  # stored bytes that a task reads back
 READ_GAP = 64 << 10  # bytes between two ranges that are read along
 MAX_SHARED_BROADCAST = 100_000  # rows of (digest, page_id)
 
@@ -169,7 +170,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("page_id", pa.int64()), ("url", pa.string()),
                         ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()),
                         ("payload_digest", pa.string()), ("payload", pa.binary())])
-    ordered = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    parts = max(1, -(-total // TASK_BYTES))  # by the bytes that the rows stand for; the rows themselves are small
+    ordered = index.select("file", "offset", "length").repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(run, RECORD_SCHEMA)
 
 
