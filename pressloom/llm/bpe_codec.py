@@ -16,15 +16,18 @@ import base64
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pressloom.llm.common import replace_column, small_batches, table, with_column
 
-CACHED_PIECES = 200_000
+CACHED_PIECES = 250_000
 CACHED_PAIRS = 500_000
+DECODED_IDS = 1_000_000  # ids that are decoded at a time, one row at least
 
 
 class ByteBpe:
@@ -39,6 +42,7 @@ class ByteBpe:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.length = {i: len(t) for t, i in ranks.items()}
+        self.by_text = {t.decode("latin-1"): i for t, i in ranks.items()}
         #: last merge of each token that the merges can make (None for single bytes)
         self.split: dict[int, tuple[int, int] | None] = {}
         self.automaton = ahocorasick.Automaton()
@@ -50,8 +54,14 @@ class ByteBpe:
         self.automaton.make_automaton()
         self.shorter = {i: self._shorter(self.bytes_of[i]) for i in self.split}
         self.fits: dict[int, bool] = {}
-        self.recent: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # all tokens in one buffer, for decoding many at a time
+        size = np.zeros(max(self.bytes_of) + 1, np.int64)
+        for i, n in self.length.items():
+            size[i] = n
+        self.size_of, self.begin_of = size, np.cumsum(size) - size
+        self.buffer = np.frombuffer(b"".join(self.bytes_of[i] for i in sorted(self.bytes_of)), np.uint8)
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> "ByteBpe":
@@ -98,42 +108,55 @@ class ByteBpe:
             else:
                 barrier, right = right + 1, b[0]
 
-    def _adjacent(self, left: int, right: int) -> bool:
-        key = left << 32 | right
-        known = self.fits.get(key)
-        if known is None:
-            if len(self.fits) >= CACHED_PAIRS:
-                self.fits.clear()
-            known = self.fits[key] = self._fit(left, right)
+    def _adjacent(self, key: int) -> bool:
+        """``_fit`` of the pair left << 32 | right, remembered."""
+        if len(self.fits) >= CACHED_PAIRS:
+            self.fits.clear()
+        known = self.fits[key] = self._fit(key >> 32, key & 0xFFFFFFFF)
         return known
 
-    def _encode_piece(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode("utf-8")
-        whole = self.ranks.get(data)
+    def _encode_piece(self, piece: str) -> bytes:
+        text = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1")
+        whole = self.by_text.get(text)
         if whole is not None:
-            return (whole,)
-        text, end = data.decode("latin-1"), len(data)
-        longest, length, shorter = self.automaton.iter_long, self.length, self.shorter
+            return array("i", (whole,)).tobytes()
+        fits, length, shorter, end = self.fits, self.length, self.shorter, len(text)
+        longest = self.automaton.iter_long(text, 0)  # longest tokens one after the other
+        _, token = next(longest)
         ids: list[int] = []
-        open_ends = bytearray(b"\1") * (end + 1)  # positions not yet known to lead nowhere
-        at, token = 0, next(longest(text, 0))[1]
+        closed: set[int] = set()  # positions known to lead nowhere
+        at, left, follows = 0, -1, True
         while True:
             to = at + length[token]
-            if open_ends[to] and (not ids or self._adjacent(ids[-1], token)):
-                ids.append(token)
-                if to == end:
-                    return tuple(ids)
-                at, token = to, next(longest(text, to))[1]
-            elif shorter[token] >= 0:
+            if to not in closed:
+                if left < 0:
+                    fit = True
+                else:
+                    fit = fits.get(left << 32 | token)
+                    if fit is None:
+                        fit = self._adjacent(left << 32 | token)
+                if fit:
+                    ids.append(token)
+                    if to == end:
+                        return array("i", ids).tobytes()
+                    at, left = to, token
+                    if not follows:
+                        longest, follows = self.automaton.iter_long(text, to), True
+                    _, token = next(longest)
+                    continue
+            follows = False
+            if shorter[token] >= 0:
                 token = shorter[token]
             else:
-                open_ends[at] = 0
+                closed.add(at)
                 token = ids.pop()
                 at -= length[token]
+                left = ids[-1] if ids else -1
 
-    def encode(self, text: str) -> array:
-        """Token ids of ``text``, without special tokens."""
-        ids, recent, older = array("i"), self.recent, self.older
+    def encode(self, text: str, ids: array | None = None) -> array:
+        """Token ids of ``text``, without special tokens; appended to ``ids`` if given."""
+        ids = array("i") if ids is None else ids
+        recent, older, append = self.recent, self.older, ids.frombytes
         for piece in self.pattern.findall(text):
             got = recent.get(piece)
             if got is None:
@@ -143,12 +166,21 @@ class ByteBpe:
                         self.older = older = recent
                         self.recent = recent = {}
                     recent[piece] = got
-            ids.extend(got)
+            append(got)
         return ids
 
     def decode(self, ids) -> bytes:
-        """The bytes of the ids; an id out of the vocabulary raises KeyError."""
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        """The bytes of the ids; an id that is no token raises IndexError or KeyError."""
+        return self.decode_all(np.asarray(ids, np.int64))[0].tobytes()
+
+    def decode_all(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all ids one after the other, and where the bytes of each id end."""
+        sizes = self.size_of[ids]
+        if len(ids) and (ids.min() < 0 or not sizes.all()):
+            raise KeyError("an id is no token")
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.begin_of[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.buffer[places], ends
 
 
 _loaded: dict[tuple[str, str], ByteBpe] = {}
@@ -173,7 +205,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         for batch in small_batches(batches, text):
             flat, ends = array("i"), array("i", [0])
             for value in batch.column(batch.schema.get_field_index(text)):
-                flat.extend(bpe.encode(value.as_py() or ""))
+                bpe.encode(value.as_py() or "", flat)
                 ends.append(len(flat))
             values = pa.ListArray.from_arrays(pa.array(memoryview(ends), pa.int32()), pa.array(memoryview(flat), pa.int32()))
             yield replace_column(batch, ids, values)
@@ -187,11 +219,20 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids", out:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(path, pattern)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(batch.schema.get_field_index(ids))), 0).to_numpy())
+            start = 0
+            while start < batch.num_rows:
+                held = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, held + DECODED_IDS, side="right")))
+                part = batch.slice(start, stop - start)
                 column = part.column(part.schema.get_field_index(ids))
-                values = [None if x is None else bpe.decode(x) for x in column.to_pylist()]
-                yield replace_column(part, out, pa.array(values, pa.binary()))
+                data, byte_ends = bpe.decode_all(column.flatten().to_numpy())
+                last = ends[start:stop] - held  # ids up to each row's end
+                bounds = np.concatenate([[0], np.concatenate([[0], byte_ends])[last]]).astype(np.int64)
+                whole = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+                values = pc.if_else(column.is_valid(), whole.cast(pa.binary()), pa.scalar(None, pa.binary()))
+                yield replace_column(part, out, values)
+                start = stop
 
     return df.mapInArrow(run, with_column(df.schema, out, T.BinaryType()))
 
