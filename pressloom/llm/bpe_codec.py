@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from pressloom.llm.common import replace_column, small_batches, table, with_column
 
-CACHED_PIECES = 250_000
+CACHED_PIECES = 200_000
 CACHED_PAIRS = 500_000
 DECODED_IDS = 1_000_000  # ids that are decoded at a time, one row at least
 
@@ -34,7 +34,6 @@ class ByteBpe:
     """Encoder and decoder for one rank file and split pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import ahocorasick
         import regex
 
         if any(bytes([b]) not in ranks for b in range(256)):
@@ -43,16 +42,7 @@ class ByteBpe:
         self.bytes_of = {i: t for t, i in ranks.items()}
         self.length = {i: len(t) for t, i in ranks.items()}
         self.by_text = {t.decode("latin-1"): i for t, i in ranks.items()}
-        #: last merge of each token that the merges can make (None for single bytes)
-        self.split: dict[int, tuple[int, int] | None] = {}
-        self.automaton = ahocorasick.Automaton()
-        for token, i in ranks.items():
-            parts = self._last_parts(token)
-            if parts is not None:
-                self.split[i] = tuple(ranks[p] for p in parts) if len(parts) == 2 else None
-                self.automaton.add_word(token.decode("latin-1"), i)
-        self.automaton.make_automaton()
-        self.shorter = {i: self._shorter(self.bytes_of[i]) for i in self.split}
+        self.automaton = None
         self.fits: dict[int, bool] = {}
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -63,6 +53,21 @@ class ByteBpe:
         self.size_of, self.begin_of = size, np.cumsum(size) - size
         self.buffer = np.frombuffer(b"".join(self.bytes_of[i] for i in sorted(self.bytes_of)), np.uint8)
 
+    def _prepare(self) -> None:
+        """What only encoding needs."""
+        import ahocorasick
+
+        #: last merge of each token that the merges can make (None for single bytes)
+        self.split: dict[int, tuple[int, int] | None] = {}
+        self.automaton = ahocorasick.Automaton()
+        for token, i in self.ranks.items():
+            parts = self._last_parts(token)
+            if parts is not None:
+                self.split[i] = tuple(self.ranks[p] for p in parts) if len(parts) == 2 else None
+                self.automaton.add_word(token.decode("latin-1"), i)
+        self.automaton.make_automaton()
+        self.shorter = {i: self._shorter(self.bytes_of[i]) for i in self.split}
+
     @classmethod
     def from_file(cls, path: str, pattern: str) -> "ByteBpe":
         with open(path, "rb") as f:
@@ -155,6 +160,8 @@ class ByteBpe:
 
     def encode(self, text: str, ids: array | None = None) -> array:
         """Token ids of ``text``, without special tokens; appended to ``ids`` if given."""
+        if self.automaton is None:
+            self._prepare()
         ids = array("i") if ids is None else ids
         recent, older, append = self.recent, self.older, ids.frombytes
         for piece in self.pattern.findall(text):
