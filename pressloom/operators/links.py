@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pressloom.functions.urls import forum_source_url
 from pressloom.operators.common import bounded_broadcast
 from pressloom.operators.labels import admission, label_lookup
+from pressloom.sources.config import upsert_state
 from pressloom.sources.tables import retry_predicate, top_posts
 
 LINK_COLS = ["batch_id", "seq", "url", "scraped_from", "fake"]
@@ -51,6 +52,16 @@ def merge_batches(a: DataFrame, b: DataFrame) -> DataFrame:
     return merge_links(both, ("batch_id",), ("part", "seq"))
 
 
+def merge_batch_errors(a: DataFrame, b: DataFrame) -> DataFrame:
+    """J1 for errors: those of ``b`` and ``a`` together, repeats kept."""
+    return b.unionByName(a)
+
+
+def merge_batch_states(a: DataFrame, b: DataFrame) -> DataFrame:
+    """J1 for states ``(name, is_over, data)``: a collector's state in ``b`` replaces the one in ``a``."""
+    return upsert_state(a, b)
+
+
 def union_collectors(site_links: DataFrame | None, forum_links: DataFrame | None) -> DataFrame:
     """Site feeds then forums feed one link stream, in that order (either may be absent).
 

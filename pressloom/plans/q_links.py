@@ -13,7 +13,8 @@ from pressloom.operators import links as lk
 from pressloom.plans import oracle as o
 from pressloom.plans.registry import register
 from pressloom.sources.fixtures import Views
-from pressloom.sources.tables import retry_candidates, scan_pages, top_posts
+from pressloom.operators.common import staging_path
+from pressloom.sources.tables import read_sources, retry_candidates, scan_pages, top_posts
 
 DIM = ("dim", o.LABEL_DIM_SQL)
 MERGED_SQL = """
@@ -57,7 +58,10 @@ def admitted_pages_by_label(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("read_sources", o.with_views("SELECT source_id, factual_reporting, url FROM src", "src"))
 def q_read_sources(spark: SparkSession, sf: str) -> DataFrame:
-    return Views(spark, sf).src
+    """A1: the credibility table, written as CSV and read back."""
+    path = staging_path(spark, "sources")
+    Views(spark, sf).src.write.option("header", True).csv(path)
+    return read_sources(spark, path, "csv", header=True, schema="source_id long, factual_reporting string, url string")
 
 
 @register("build_label_dim", o.with_views("SELECT key, label FROM dim", "src", extra=[DIM]))

@@ -39,9 +39,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread_rows(df, HEAVY_TABLES[name]) if name in HEAVY_TABLES else df
 
 
-def read_sources(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+def read_sources(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None, **options) -> DataFrame:
     """A1: full scan of the credibility table (``factual_reporting``, ``url``, ...)."""
-    return spark.read.format(fmt).options(**options).load(path)
+    reader = spark.read.format(fmt).options(**options)
+    return (reader if schema is None else reader.schema(schema)).load(path)
 
 
 # Error kinds, and the messages stored with them ({name} = a column value).

@@ -71,6 +71,16 @@ def test_merge_links_first_position_last_value(spark):
     assert got == {"a": (1, "p2", False), "b": (2, "p1", True)}
 
 
+def test_merged_batches_keep_all_errors_and_the_newer_states(spark):
+    e = spark.createDataFrame([("T", "u1"), ("T", "u1")], "type string, url string")
+    f = spark.createDataFrame([("T", "u1"), ("H", "u2")], "type string, url string")
+    assert sorted(tuple(r) for r in lk.merge_batch_errors(e, f).collect()) == [("H", "u2"), ("T", "u1"), ("T", "u1"), ("T", "u1")]
+    schema = "name string, is_over boolean, data struct<url:string,page:long,posts:long>"
+    a = spark.createDataFrame([("f", False, ("x", 1, None)), ("g", False, ("y", 2, None))], schema)
+    b = spark.createDataFrame([("f", True, ("z", 0, None))], schema)
+    assert sorted((r.name, r.is_over, r.data.url) for r in lk.merge_batch_states(a, b).collect()) == [("f", True, "z"), ("g", False, "y")]
+
+
 def test_label_dim_mapping_tie_break_and_archive(spark):
     src = spark.createDataFrame([
         (1, "high", "https://www.a.com/"), (2, "low", "a.com"),          # same key: the later row wins
