@@ -33,8 +33,8 @@ from pressloom.llm.shingles import BITS, overlap, pack, set_key, shingle_sets, u
 SHARE = (75, 100)  # intersection / union of linked sets, at least
 BATCH_BYTES = 2 << 20  # text that is cut into shingles at a time
 COUNTED = 4_000_000  # shingles that a task counts together
-HOT_SETS = 200  # a shingle of more sets than this, and than 1 / HOT_SHARE of all sets, is hot
-HOT_SHARE = 8_000
+HOT_SETS = 40  # a shingle of more sets than this, and than 1 / HOT_SHARE of all sets, is hot
+HOT_SHARE = 20_000
 BANDS = 8  # centres under which a set is tried
 BUCKET = 400_000  # index entries of a task
 SPREAD = 4_096  # entries of a list, or members of a centre, that one task gets together
@@ -159,7 +159,7 @@ def in_order(members: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def centre_pairs(texts: DataFrame, hot) -> DataFrame:
-    """(u, v): every set v and the smallest set key u among those with the same least shingle of a band.
+    """Staged (u, v, meet): every set v and the smallest set key u (they meet there) among those with the same least shingle of a band.
 
     Hot shingles count only for sets that have little else, such as those of a large
     group of near copies; so a passage that many texts share makes no pairs.
@@ -181,33 +181,30 @@ def centre_pairs(texts: DataFrame, hot) -> DataFrame:
 
     least = stage(texts.mapInArrow(run, "set bigint, token bigint"), "jaccard-least")
     centre = least.groupBy("token").agg(F.min("set").alias("u"), F.max("set").alias("_last")).where("u <> _last").drop("_last")
-    return stage(least.join(centre, "token").where("set <> u").select("u", F.col("set").alias("v")).distinct(), "jaccard-centres")
+    return stage(least.join(centre, "token").where("set <> u").select("u", F.col("set").alias("v"), F.col("u").alias("meet")).distinct(), "jaccard-centres")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int, differences: DataFrame | None = None) -> DataFrame:
-    """Staged (u, v, centre, n, added, dropped) of the staged pairs (u, v) that are linked.
-
-    ``differences`` (set, centre, n, added, dropped) describes sets by a centre. Rows of
-    one centre meet in a task, the centre's set first; each other set v is compared
-    with the centre once, and the overlaps with all described sets u are derived from
-    that. Centres of many rows are dealt to several tasks by v. The result has v's
-    size and its difference from the centre where u is the centre itself. Only sets
-    that are asked for are cut out of the texts.
+    """Staged (u, v, centre, n, added, dropped) of the staged pairs (u, v, meet) that are linked.
+
+    Pairs of one ``meet`` are compared in one task, which gets each set among them once;
+    so sets that have many partners in common don't travel once for each. Many pairs of
+    one ``meet`` are dealt to several tasks by v. ``differences`` (set, centre, n, added,
+    dropped) describes sets by a centre: the centre is compared with v once, and the
+    overlaps with all described sets u are derived from that. The result has v's size,
+    and its difference from the centre where u is the centre itself. Only sets that are
+    asked for are cut out of the texts.
     """
     no = F.lit(None)
+    parts = pairs.groupBy("meet").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("parts"))
+    tests = pairs.join(parts, "meet").select("meet", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"), "u", "v")
     if differences is None:
-        described = pairs.select(F.col("u").alias("centre"), "v", "u", no.cast("long").alias("n"), no.cast("binary").alias("added"), no.cast("binary").alias("dropped"))
+        tests = tests.select("meet", "part", F.col("u").alias("centre"), "v", "u", no.cast("long").alias("n"), no.cast("binary").alias("added"), no.cast("binary").alias("dropped"))
     else:
         d = differences.select(F.col("set").alias("_s"), "centre", "n", "added", "dropped")
-        described = stage(pairs.join(d, F.col("u") == F.col("_s"), "left").select(F.coalesce("centre", "u").alias("centre"), "v", "u", "n", "added", "dropped"),
-                          "jaccard-described")
-    parts = described.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("parts"))
-    part_of = F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part")
-    tests = described.join(parts, "centre").select("centre", part_of, "v", F.lit(2).alias("kind"), "u", "n", F.col("added").alias("members"), "dropped")
-    asked = (parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), no.cast("long").alias("v"), F.lit(0).alias("kind"),
-                          F.col("centre").alias("_set"))
-             .union(described.select("centre", "v").distinct().join(parts, "centre").select("centre", part_of, "v", F.lit(1).alias("kind"), F.col("v").alias("_set"))))
-    asked = stage(asked, "jaccard-asked")
+        tests = tests.join(d, F.col("u") == F.col("_s"), "left").select("meet", "part", F.coalesce("centre", "u").alias("centre"), "v", "u", "n", "added", "dropped")
+    tests = stage(tests, "jaccard-tests")
+    asked = stage(tests.select("meet", "part", F.explode(F.array("centre", "v")).alias("_set")).distinct(), "jaccard-asked")
     keys = asked.select("_set").distinct()
     wanted = ref_filter(sets.join(keys, F.col("set") == F.col("_set"), "left_semi").select("ref"), n_sets)
 
@@ -223,33 +220,33 @@ def verify(pairs: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int, dif
 
     members = texts.mapInArrow(cut, "set bigint, members binary")
     given = asked.join(members, F.col("_set") == F.col("set")).select(
-        "centre", "part", "v", "kind", no.cast("long").alias("u"), no.cast("long").alias("n"), "members", no.cast("binary").alias("dropped"))
-    dealt = given.union(tests).repartition("centre", "part").sortWithinPartitions("centre", "part", F.col("v").asc_nulls_first(), "kind")
+        "meet", "part", F.lit(0).alias("kind"), F.col("set").alias("centre"), no.cast("long").alias("v"), no.cast("long").alias("u"), no.cast("long").alias("n"),
+        "members", no.cast("binary").alias("dropped"))
+    rows = given.union(tests.select("meet", "part", F.lit(1).alias("kind"), "centre", "v", "u", "n", F.col("added").alias("members"), "dropped"))
+    dealt = rows.repartition("meet", "part").sortWithinPartitions("meet", "part", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre = other = np.empty(0, np.uint64)
-        shared = np.empty(0, bool)  # which members of ``other`` the centre has
-        both = 0
+        current = None
+        held: dict[int, np.ndarray] = {}
+        compared: dict[tuple[int, int], int] = {}
         for batch in batches:
             out = []
-            for c, v, kind, u, n, members, dropped in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5, 6, 7))):
+            for meet, part, kind, c, v, u, n, members, dropped in zip(*(col.to_pylist() for col in batch.columns)):
+                if (meet, part) != current:
+                    current, held, compared = (meet, part), {}, {}
                 if kind == 0:
-                    centre = unpack(members)
-                elif kind == 1:
-                    other = unpack(members)
-                    at = np.searchsorted(centre, other)
-                    at[at == len(centre)] = 0
-                    shared = centre[at] == other
-                    both = int(shared.sum())
-                elif u == c:
-                    if linked(both, len(centre), len(other)):
-                        lost = np.ones(len(centre), bool)
-                        lost[np.searchsorted(centre, other[shared])] = False
-                        out.append((u, v, c, len(other), pack(other[~shared]), pack(centre[lost])))
-                else:
+                    held[c] = unpack(members)
+                    continue
+                centre, other = held[c], held[v]
+                both = compared.get((c, v))
+                if both is None:
+                    both = compared[c, v] = overlap(centre, other)
+                if u != c:
                     added, lost = unpack(members), unpack(dropped)
                     if linked(both + overlap(added, other) - overlap(lost, other), n, len(other)):
                         out.append((u, v, c, len(other), None, None))
+                elif linked(both, len(centre), len(other)):
+                    out.append((u, v, c, len(other), pack(np.setdiff1d(other, centre, True)), pack(np.setdiff1d(centre, other, True))))
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in out], schema=schema)
 
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("centre", pa.int64()), ("n", pa.int64()), ("added", pa.binary()), ("dropped", pa.binary())])
@@ -347,10 +344,11 @@ def index_entries(texts: DataFrame, hot, n_buckets: int) -> DataFrame:
 
 
 def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Staged (u, v) from the index lists: sets of different classes that sizes and places let be linked.
+    """Staged (u, v, meet) from the index lists: sets of different classes that sizes and places let be linked.
 
     A pair has as many rows as shingles in common among the indexed ones. All other
     shingles in common come after the last of these in both sets, which bounds them.
+    ``meet`` is the first shingle in common, which most pairs of a group have.
 
     Lists of one class are dropped before anything is gathered. A long list is dealt to
     several tasks: sets of its largest class go to one each, the others to all.
@@ -367,7 +365,7 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
              .repartition("token", "part").sortWithinPartitions("token", "part", "n", "set"))
 
     def pairs(e: np.ndarray) -> np.ndarray:
-        """Set, size and place of two sets for every pair of entries of different classes.
+        """Set, size and place of two sets and the shingle, for every pair of entries of different classes.
 
         ``e``: token, part, set, n, place, class, main of whole lists, each in order of n.
 
@@ -378,7 +376,7 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
         length = e.shape[1]
         start = np.flatnonzero(np.r_[True, (e[:2, 1:] != e[:2, :-1]).any(0)])
         ends = np.repeat(np.r_[start[1:], length], np.diff(np.r_[start, length]))
-        found = [np.empty((6, 0), np.int64)]
+        found = [np.empty((7, 0), np.int64)]
         i, distance = np.arange(length), 1
         while len(i):
             i = i[i + distance < ends[i]]
@@ -390,7 +388,7 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
             a, b = i[ok], j[ok]
             first = s[a] < s[b]
             a, b = np.where(first, a, b), np.where(first, b, a)
-            found.append(np.stack([s[a], n[a], place[a], s[b], n[b], place[b]]))
+            found.append(np.stack([s[a], n[a], place[a], s[b], n[b], place[b], token[a]]))
             distance += 1
         return np.concatenate(found, axis=1)
 
@@ -398,7 +396,7 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
         rest = np.empty((7, 0), np.int64)
 
         def out(e: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(e)], names=["u", "nu", "pu", "v", "nv", "pv"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(e)], names=["u", "nu", "pu", "v", "nv", "pv", "token"])
 
         for batch in batches:
             rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])], axis=1)
@@ -411,11 +409,11 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
         if rest.shape[1]:
             yield out(rest)
 
-    met = dealt.mapInArrow(run, "u bigint, nu bigint, pu bigint, v bigint, nv bigint, pv bigint").groupBy("u", "v").agg(
-        F.count(F.lit(1)).alias("both"), F.max("nu").alias("nu"), F.max("nv").alias("nv"), F.max("pu").alias("pu"), F.max("pv").alias("pv"))
+    met = dealt.mapInArrow(run, "u bigint, nu bigint, pu bigint, v bigint, nv bigint, pv bigint, token bigint").groupBy("u", "v").agg(
+        F.count(F.lit(1)).alias("both"), F.max("nu").alias("nu"), F.max("nv").alias("nv"), F.max("pu").alias("pu"), F.max("pv").alias("pv"), F.min("token").alias("meet"))
     most = F.col("both") + F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv")) - 1
     enough = most * (SHARE[0] + SHARE[1]) >= (F.col("nu") + F.col("nv")) * SHARE[0]
-    return stage(met.where(enough).select("u", "v"), "jaccard-candidates")
+    return stage(met.where(enough).select("u", "v", "meet"), "jaccard-candidates")
 
 
 def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
