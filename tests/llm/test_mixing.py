@@ -68,7 +68,7 @@ def test_nulls_repeats_and_empty_tables(spark):
 
 def test_sampling_by_rate(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit(1).alias("rate"))
-    docs = docs.union(spark.createDataFrame([(None, "n", 1)], docs.schema))
+    docs = docs.union(spark.createDataFrame([(None, "n", 1)], "doc_id long, text string, rate int"))
     rates = spark.range(4000).select(F.col("id").alias("doc_id"), (F.col("id") % 4 * 0.75).alias("rate"))
     out = mixing.sample_by_rate(docs, rates)
     assert out.columns == docs.columns and out.where("doc_id is null").count() == 1

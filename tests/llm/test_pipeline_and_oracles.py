@@ -23,7 +23,9 @@ def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "pages", "labels"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
-    sql = con.execute(ORACLES[name]).fetch_arrow_table().to_pylist()
+    found = con.execute(ORACLES[name])
+    names = [c[0] for c in found.description]
+    sql = [dict(zip(names, r)) for r in found.fetchall()]
     own = [r.asDict() for r in QUERIES[name](spark, SF).collect()]
     order = lambda rows: sorted(repr(sorted(r.items())) for r in rows)
     assert own and order(own) == order(sql)
