@@ -147,10 +147,13 @@ def mix_rates(docs: DataFrame, labels: DataFrame, shares: dict[str, float], anch
     """(doc_id, n_tokens, p0 .. , rate) of every distinct non-null doc_id.
 
     ``shares``: the domains' shares of the mixture. Its size is that of the input; with
-    ``anchor`` it is such that this domain gets ``room`` times its present tokens.
+    ``anchor`` it is such that this domain gets ``room`` times its present tokens. If no
+    word tells the domains apart, there is nothing to mix by, and all rates are 1.
     """
     weights, priors = fit_classifier(docs, labels)
     members = stage(posteriors(docs, weights, priors), "mixing-posteriors")
+    if weights.limit(1).count() == 0:
+        return members.withColumn("rate", F.lit(1.0))
     now = domain_totals(members, F.lit(1.0))
     whole = sum(now) if anchor is None else room * now[DOMAINS.index(anchor)] / shares[anchor]
     return fit_rates(members, [shares[d] * whole for d in DOMAINS])

@@ -79,8 +79,10 @@ def test_run_and_edge_cases(spark, tmp_path):
         os.symlink(f"{SF}/labels.parquet", f"{folder}/labels.parquet")
         out = corpus_pipeline.run(spark, folder).collect()
         assert len(out) > 0 if name == "edge" else not out
-        if name == "edge":
-            assert sum(r.doc_id == 5000 for r in out) >= 1
+        assert {r.doc_id for r in out} <= {None, 5000, *(r.doc_id for r in docs.select("doc_id").collect())}
+        once = corpus_pipeline.near_copies(spark, df, folder)
+        assert once.where("doc_id = 5000").count() == (name == "edge")
+        assert once.where("doc_id is null").count() == (2 if name == "edge" else 0)
 
 
 def test_nothing_else_imports_the_subpackage():
