@@ -159,7 +159,9 @@ def in_order(members: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def centre_pairs(texts: DataFrame, hot) -> DataFrame:
-    """Staged (u, v, meet): every set v and the smallest set key u (they meet there) among those with the same least shingle of a band.
+    """Staged (u, v, meet): every set v and a centre u (they meet there) among those with the same least shingle of a band.
+
+    The centre is the set of the least hash together with the shingle.
 
     Hot shingles count only for sets that have little else, such as those of a large
     group of near copies; so a passage that many texts share makes no pairs.
@@ -180,7 +182,8 @@ def centre_pairs(texts: DataFrame, hot) -> DataFrame:
                                              names=["set", "token"])
 
     least = stage(texts.mapInArrow(run, "set bigint, token bigint"), "jaccard-least")
-    centre = least.groupBy("token").agg(F.min("set").alias("u"), F.max("set").alias("_last")).where("u <> _last").drop("_last")
+    # another centre for each shingle, so that a set has several chances in its group
+    centre = least.groupBy("token").agg(F.min_by("set", F.xxhash64("set", "token")).alias("u"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     return stage(least.join(centre, "token").where("set <> u").select("u", F.col("set").alias("v"), F.col("u").alias("meet")).distinct(), "jaccard-centres")
 
 
