@@ -37,6 +37,7 @@ HOT_SETS = 40  # a shingle of more sets than this, and than 1 / HOT_SHARE of all
 HOT_SHARE = 20_000
 BANDS = 8  # centres under which a set is tried
 BUCKET = 400_000  # index entries of a task
+OF_LIST = [0, 1, 6]  # rows token, part and main of the entries that candidate_pairs() deals
 SPREAD = 4_096  # entries of a list, or members of a centre, that one task gets together
 
 
@@ -349,8 +350,8 @@ def index_entries(texts: DataFrame, hot, n_buckets: int) -> DataFrame:
 def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
     """Staged (u, v, meet) from the index lists: sets of different classes that sizes and places let be linked.
 
-    A pair has as many rows as shingles in common among the indexed ones. All other
-    shingles in common come after the last of these in both sets, which bounds them.
+    The shingles that a pair has in common among the indexed ones are counted. All others
+    in common come after the last of these in both sets, which bounds them.
     ``meet`` is the first shingle in common, which most pairs of a group have.
 
     Lists of one class are dropped before anything is gathered. A long list is dealt to
@@ -360,15 +361,18 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
         "token", "set", "n", "place", F.coalesce("component", "set").alias("class"))
     classed = stage(classed, "jaccard-classed")
     sizes = classed.groupBy("token", "class").agg(F.count(F.lit(1)).alias("c"))
-    lists = (sizes.groupBy("token").agg(F.count(F.lit(1)).alias("classes"), F.max_by("class", "c").alias("main"), F.sum("c").alias("total"))
-             .where("classes > 1").select("token", "main", F.ceil(F.col("total") / SPREAD).cast("int").alias("parts")))
+    lists = (sizes.groupBy("token").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("c", "class")).alias("m"), F.sum("c").alias("total"))
+             .where("classes > 1").select("token", F.col("m.class").alias("main"), "total"))
+    # the lists of one main class meet, so that a pair's shingles in common are counted where its rows are made
+    parts_of = lists.groupBy(F.col("main").alias("_main")).agg(F.ceil(F.sum("total") / SPREAD).cast("int").alias("parts"))
+    lists = lists.join(parts_of, F.col("main") == F.col("_main")).select("token", "main", "parts")
     own = F.pmod(F.xxhash64("set"), F.col("parts")).cast("int")
     parts = F.when(F.col("class") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
     dealt = (classed.join(lists, "token").select("token", F.explode(parts).alias("part"), "set", "n", "place", "class", "main")
-             .repartition("token", "part").sortWithinPartitions("token", "part", "n", "set"))
+             .repartition("main", "part").sortWithinPartitions("main", "part", "token", "n", "set"))
 
     def pairs(e: np.ndarray) -> np.ndarray:
-        """Set, size and place of two sets and the shingle, for every pair of entries of different classes.
+        """Per pair of different classes: set, size and last place of both, first shingle and number of shingles in common.
 
         ``e``: token, part, set, n, place, class, main of whole lists, each in order of n.
 
@@ -377,7 +381,7 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
         """
         token, part, s, n, place, group, main = e
         length = e.shape[1]
-        start = np.flatnonzero(np.r_[True, (e[:2, 1:] != e[:2, :-1]).any(0)])
+        start = np.flatnonzero(np.r_[True, (e[OF_LIST][:, 1:] != e[OF_LIST][:, :-1]).any(0)])
         ends = np.repeat(np.r_[start[1:], length], np.diff(np.r_[start, length]))
         found = [np.empty((7, 0), np.int64)]
         i, distance = np.arange(length), 1
@@ -393,27 +397,33 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
             a, b = np.where(first, a, b), np.where(first, b, a)
             found.append(np.stack([s[a], n[a], place[a], s[b], n[b], place[b], token[a]]))
             distance += 1
-        return np.concatenate(found, axis=1)
+        made = np.concatenate(found, axis=1)
+        made = made[:, np.lexsort((made[3], made[0]))]
+        if not made.shape[1]:
+            return np.empty((8, 0), np.int64)
+        pair = np.flatnonzero(np.r_[True, (made[[0, 3], 1:] != made[[0, 3], :-1]).any(0)])
+        most = [np.maximum.reduceat(made[r], pair) for r in range(6)]
+        return np.stack([*most, np.minimum.reduceat(made[6], pair), np.diff(np.r_[pair, made.shape[1]])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = np.empty((7, 0), np.int64)
 
         def out(e: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(e)], names=["u", "nu", "pu", "v", "nv", "pv", "token"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(e)], names=["u", "nu", "pu", "v", "nv", "pv", "token", "both"])
 
         for batch in batches:
             rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])], axis=1)
             if not rows.shape[1]:
                 continue
-            last = int(np.flatnonzero((rows[:2] == rows[:2, -1:]).all(0))[0])  # the last list may go on in the next batch
+            last = int(np.flatnonzero((rows[OF_LIST] == rows[OF_LIST][:, -1:]).all(0))[0])  # the last list may go on in the next batch
             if last:
                 yield out(rows[:, :last])
             rest = rows[:, last:]
         if rest.shape[1]:
             yield out(rest)
 
-    met = dealt.mapInArrow(run, "u bigint, nu bigint, pu bigint, v bigint, nv bigint, pv bigint, token bigint").groupBy("u", "v").agg(
-        F.count(F.lit(1)).alias("both"), F.max("nu").alias("nu"), F.max("nv").alias("nv"), F.max("pu").alias("pu"), F.max("pv").alias("pv"), F.min("token").alias("meet"))
+    met = dealt.mapInArrow(run, "u bigint, nu bigint, pu bigint, v bigint, nv bigint, pv bigint, token bigint, both bigint").groupBy("u", "v").agg(
+        F.sum("both").alias("both"), F.max("nu").alias("nu"), F.max("nv").alias("nv"), F.max("pu").alias("pu"), F.max("pv").alias("pv"), F.min("token").alias("meet"))
     most = F.col("both") + F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv")) - 1
     enough = most * (SHARE[0] + SHARE[1]) >= (F.col("nu") + F.col("nv")) * SHARE[0]
     return stage(met.where(enough).select("u", "v", "meet"), "jaccard-candidates")
