@@ -123,6 +123,7 @@ def build_articles(links: DataFrame, responses: DataFrame, run_ts: dt.datetime,
     kinded = links.withColumn("_kind", link_kind(u)).withColumn("_target", web_archive_target(u))
     joined = link_pages(kinded, responses)
     arch_url, arch_err = H.archive_original_url(F.col("html"))
+    arch_err = F.when(F.col("_kind") == KIND_ARCHIVE, arch_err)  # the header is looked for in archive pages only
 
     web_missing = (F.col("_kind") == KIND_WEB_ARCHIVE) & (F.col("_target") == "")
     err_type = (F.when(web_missing, F.lit(ARCHIVED_URL_NOT_FOUND))
