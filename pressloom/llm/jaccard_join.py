@@ -7,13 +7,14 @@ Two kinds of skipping keep the work near the number of sets:
   size; its rest is skipped where sets are too large for an entry. A pair is skipped if
   the shingles it has in common there, and what can follow their last places, can't
   make the similarity.
-* Among answers: sets that are verified similar to a common centre form a class. Pairs
-  within a class are skipped, as they are linked already. The overlap of a member with
-  another set is derived from the centre's overlap with it and the member's difference
-  from the centre.
-
-Links are exact: no caps. Equal sets are one set. Hot shingles are counted over all
-sets; lists and centres of many sets are dealt to several tasks.
+* Among answers: sets that are alike to a common centre form a star. Overlaps within a
+  star are made by matrix products of the members' differences from the centre, in
+  pairs of blocks. The overlap of a member with a set of another star is derived from the
+  centre's overlap with it and the member's difference from the centre.
+
+Links are exact and whole: no caps, and every pair of linked sets is one. Equal sets are
+one set. Hot shingles are counted over all sets; lists, stars and centres of many sets
+are dealt to several tasks.
 """
 
 from __future__ import annotations
@@ -39,12 +40,20 @@ BANDS = 8  # centres under which a set is tried
 BUCKET = 400_000  # index entries of a task
 OF_LIST = [0, 1, 6]  # rows token, part and main of the entries that candidate_pairs() deals
 SPREAD = 4_096  # entries of a list, or members of a centre, that one task gets together
+ALIKE = (40, 100)  # intersection / union with the centre of members of a star, at least
+BLOCK = 512  # members of a star in a block, about; a task compares two blocks
+BLOCK_BYTES = 32 << 20  # packed differences of a block, about
+COLUMNS = 4_096  # shingles of a matrix product
 
 
 def linked(both: int, a: int, b: int) -> bool:
     return SHARE[1] * both >= SHARE[0] * (a + b - both)
 
 
+def alike(both: int, a: int, b: int) -> bool:
+    return ALIKE[1] * both >= ALIKE[0] * (a + b - both)
+
+
 def index_length(n):
     """So many first shingles of a set; linked sets have one of them in common."""
     return n - -(-n * SHARE[0] // SHARE[1]) + 1
@@ -114,8 +123,8 @@ def measure_sets(texts: DataFrame) -> DataFrame:
 
 
 def distinct_sets(measured: DataFrame) -> DataFrame:
-    """Staged (set, n, ref) of every set that isn't empty; ``ref``: one of the texts that have it."""
-    return stage(measured.where("n > 0").groupBy("set").agg(F.min("n").alias("n"), F.min("ref").alias("ref")), "jaccard-distinct")
+    """Staged (set, n, ref, copies) of every set that isn't empty; ``ref``: one of the texts that have it; ``copies``: rows."""
+    return stage(measured.where("n > 0").groupBy("set").agg(F.min("n").alias("n"), F.min("ref").alias("ref"), F.count(F.lit(1)).alias("copies")), "jaccard-distinct")
 
 
 def ref_filter(refs: DataFrame, n_all: int):
@@ -188,27 +197,28 @@ def centre_pairs(texts: DataFrame, hot) -> DataFrame:
     return stage(least.join(centre, "token").where("set <> u").select("u", F.col("set").alias("v"), F.col("u").alias("meet")).distinct(), "jaccard-centres")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int, differences: DataFrame | None = None) -> DataFrame:
-    """Staged (u, v, centre, n, added, dropped) of the staged pairs (u, v, meet) that are linked.
+def verify(pairs: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int, keep: Callable[[int, int, int], bool],
+           described: DataFrame | None = None, describe: bool = False) -> DataFrame:
+    """Staged (u, v, added, dropped) of the staged pairs (u, v, meet) whose overlap and sizes ``keep`` accepts.
 
     Pairs of one ``meet`` are compared in one task, which gets each set among them once;
     so sets that have many partners in common don't travel once for each. Many pairs of
-    one ``meet`` are dealt to several tasks by v. ``differences`` (set, centre, n, added,
-    dropped) describes sets by a centre: the centre is compared with v once, and the
-    overlaps with all described sets u are derived from that. The result has v's size,
-    and its difference from the centre where u is the centre itself. Only sets that are
-    asked for are cut out of the texts.
+    one ``meet`` are dealt to several tasks by v. ``described`` (set, centre, n, added,
+    dropped) gives sets by a centre: the centre is compared with v once, and the
+    overlaps with all described sets u are derived from that. ``describe``: the result
+    has v's difference from u. Only sets that are asked for are cut out of the texts.
     """
     no = F.lit(None)
     parts = pairs.groupBy("meet").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("parts"))
-    tests = pairs.join(parts, "meet").select("meet", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"), "u", "v")
-    if differences is None:
-        tests = tests.select("meet", "part", F.col("u").alias("centre"), "v", "u", no.cast("long").alias("n"), no.cast("binary").alias("added"), no.cast("binary").alias("dropped"))
+    tests = (pairs.join(parts, "meet").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
+             .groupBy("meet", "part", "u").agg(F.collect_list("v").alias("vs")))  # a difference travels once for its partners in a part
+    if described is None:
+        tests = tests.select("meet", "part", F.col("u").alias("centre"), "u", no.cast("long").alias("n"), no.cast("binary").alias("added"), no.cast("binary").alias("dropped"), "vs")
     else:
-        d = differences.select(F.col("set").alias("_s"), "centre", "n", "added", "dropped")
-        tests = tests.join(d, F.col("u") == F.col("_s"), "left").select("meet", "part", F.coalesce("centre", "u").alias("centre"), "v", "u", "n", "added", "dropped")
+        d = described.select(F.col("set").alias("_s"), "centre", "n", "added", "dropped")
+        tests = tests.join(d, F.col("u") == F.col("_s"), "left").select("meet", "part", F.coalesce("centre", "u").alias("centre"), "u", "n", "added", "dropped", "vs")
     tests = stage(tests, "jaccard-tests")
-    asked = stage(tests.select("meet", "part", F.explode(F.array("centre", "v")).alias("_set")).distinct(), "jaccard-asked")
+    asked = stage(tests.select("meet", "part", F.explode(F.concat(F.array("centre"), "vs")).alias("_set")).distinct(), "jaccard-asked")
     keys = asked.select("_set").distinct()
     wanted = ref_filter(sets.join(keys, F.col("set") == F.col("_set"), "left_semi").select("ref"), n_sets)
 
@@ -224,9 +234,9 @@ def verify(pairs: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int, dif
 
     members = texts.mapInArrow(cut, "set bigint, members binary")
     given = asked.join(members, F.col("_set") == F.col("set")).select(
-        "meet", "part", F.lit(0).alias("kind"), F.col("set").alias("centre"), no.cast("long").alias("v"), no.cast("long").alias("u"), no.cast("long").alias("n"),
-        "members", no.cast("binary").alias("dropped"))
-    rows = given.union(tests.select("meet", "part", F.lit(1).alias("kind"), "centre", "v", "u", "n", F.col("added").alias("members"), "dropped"))
+        "meet", "part", F.lit(0).alias("kind"), F.col("set").alias("centre"), no.cast("long").alias("u"), no.cast("long").alias("n"),
+        "members", no.cast("binary").alias("dropped"), no.cast("array<bigint>").alias("vs"))
+    rows = given.union(tests.select("meet", "part", F.lit(1).alias("kind"), "centre", "u", "n", F.col("added").alias("members"), "dropped", "vs"))
     dealt = rows.repartition("meet", "part").sortWithinPartitions("meet", "part", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,26 +245,163 @@ def verify(pairs: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int, dif
         compared: dict[tuple[int, int], int] = {}
         for batch in batches:
             out = []
-            for meet, part, kind, c, v, u, n, members, dropped in zip(*(col.to_pylist() for col in batch.columns)):
+            for meet, part, kind, c, u, n, members, dropped, vs in zip(*(col.to_pylist() for col in batch.columns)):
                 if (meet, part) != current:
                     current, held, compared = (meet, part), {}, {}
                 if kind == 0:
                     held[c] = unpack(members)
                     continue
-                centre, other = held[c], held[v]
-                both = compared.get((c, v))
-                if both is None:
-                    both = compared[c, v] = overlap(centre, other)
-                if u != c:
-                    added, lost = unpack(members), unpack(dropped)
-                    if linked(both + overlap(added, other) - overlap(lost, other), n, len(other)):
-                        out.append((u, v, c, len(other), None, None))
-                elif linked(both, len(centre), len(other)):
-                    out.append((u, v, c, len(other), pack(np.setdiff1d(other, centre, True)), pack(np.setdiff1d(centre, other, True))))
+                centre = held[c]
+                added, lost, size = (None, None, len(centre)) if u == c else (unpack(members), unpack(dropped), n)
+                for v in vs:
+                    other = held[v]
+                    both = compared.get((c, v))
+                    if both is None:
+                        both = compared[c, v] = overlap(centre, other)
+                    if u != c:
+                        both += overlap(added, other) - overlap(lost, other)
+                    if keep(both, size, len(other)):
+                        out.append((u, v, pack(np.setdiff1d(other, centre, True)), pack(np.setdiff1d(centre, other, True))) if describe else (u, v, None, None))
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in out], schema=schema)
 
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("centre", pa.int64()), ("n", pa.int64()), ("added", pa.binary()), ("dropped", pa.binary())])
-    return stage(dealt.mapInArrow(run, "u bigint, v bigint, centre bigint, n bigint, added binary, dropped binary"), "jaccard-links")
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("added", pa.binary()), ("dropped", pa.binary())])
+    return stage(dealt.mapInArrow(run, "u bigint, v bigint, added binary, dropped binary"), "jaccard-verified")
+
+
+def stars(near: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int) -> DataFrame:
+    """Staged (centre, set, n, copies, added, dropped): every set of the pairs ``near`` (centre u, v) with its difference from one centre.
+
+    That is the centre of most pairs in the whole component if the set is alike to it, so
+    that a group of near copies is one star; else its own centre of most pairs, which may
+    be itself. A set is compared with two centres at most.
+    """
+    places = near.groupBy("u").agg(F.count(F.lit(1)).alias("times")).select(F.col("u").alias("c"), "times")
+    both = near.select("u", F.col("v").alias("set")).union(near.select("u", F.col("u").alias("set")).distinct())
+    own = (both.join(places, F.col("u") == F.col("c")).groupBy("set").agg(F.max(F.struct("times", "u")).alias("own"))
+           .select("set", "own.u", "own.times"))
+    own = stage(own.join(components(near, "u", "v"), F.col("set") == F.col("node")).select("set", "u", "times", "component"), "jaccard-own")
+    main = own.groupBy(F.col("component").alias("_of")).agg(F.max(F.struct("times", "u")).alias("main")).select("_of", F.col("main.u").alias("main"))
+    own = stage(own.join(main, F.col("component") == F.col("_of")).select("set", F.col("u").alias("own"), "main"), "jaccard-mains")
+    pairs = own.select(F.explode(F.array_distinct(F.array("main", "own"))).alias("u"), F.col("set").alias("v")).where("u <> v")
+    found = verify(stage(pairs.withColumn("meet", F.col("u")), "jaccard-pairs"), texts, sets, n_sets, alike, describe=True)
+    empty = F.lit(b"").cast("binary")
+    self = own.where("own = set").select(F.col("set").alias("u"), F.col("set").alias("v"), empty.alias("added"), empty.alias("dropped"))
+    best = (found.union(self).join(own, F.col("v") == F.col("set")).groupBy("set")
+            .agg(F.max_by(F.struct(F.col("u").alias("centre"), "added", "dropped"), F.struct(F.col("u") == F.col("main"), F.col("u"))).alias("d")).select("set", "d.*"))
+    return stage(best.join(sets.select(F.col("set").alias("_s"), "n", "copies"), F.col("set") == F.col("_s"))
+                 .select("centre", "set", "n", "copies", "added", "dropped"), "jaccard-stars")
+
+
+def in_common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``a`` with all of ``b``."""
+    out = np.zeros((len(a), len(b)), np.int64)
+    of_a, of_b = (np.concatenate([np.empty(0, np.uint64), *x]) for x in (a, b))
+    met = np.intersect1d(of_a, of_b)
+
+    def cells(of: np.ndarray, x: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        column = np.searchsorted(met, of)
+        column[column == len(met)] = 0
+        seen = met[column] == of
+        column, row = column[seen], np.repeat(np.arange(len(x)), [len(s) for s in x])[seen]
+        order = np.argsort(column, kind="stable")
+        return row[order], column[order]
+
+    if not len(met):
+        return out
+    rows_a, rows_b = cells(of_a, a), cells(of_b, b)
+    for start in range(0, len(met), COLUMNS):
+        dense = []
+        for (row, column), x in ((rows_a, a), (rows_b, b)):
+            lo, hi = np.searchsorted(column, [start, start + COLUMNS])
+            m = np.zeros((len(x), min(COLUMNS, len(met) - start)), np.float32)
+            m[row[lo:hi], column[lo:hi] - start] = 1
+            dense.append(m)
+        out += (dense[0] @ dense[1].T).astype(np.int64)
+    return out
+
+
+def reachable(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest key reachable by the links (a matrix of left by right) from every key of left and of right."""
+    far = np.iinfo(np.int64).max
+    while True:
+        new_left = np.minimum(left, np.where(links, right[None, :], far).min(1))
+        new_right = np.minimum(right, np.where(links, new_left[:, None], far).min(0))
+        if (new_left == left).all() and (new_right == right).all():
+            return left, right
+        left, right = new_left, new_right
+
+
+def star_links(members: DataFrame) -> DataFrame:
+    """Staged rows, one for each two blocks of a star: all links between their sets, and what follows from them.
+
+    (left, right, bits): set keys as bytes and a bit for each pair, which unpacked_links()
+    reads; (a, b): links, or chains of them, that join what they join; (sets, times): for each
+    set the rows that hold a set linked with it.
+    """
+    blocks = members.groupBy(F.col("centre").alias("_c")).agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.length("added") + F.length("dropped")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    placed = members.join(blocks, F.col("centre") == F.col("_c")).withColumn("own", own).withColumn("_x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = (placed.select("centre", F.least("own", "_x").alias("i"), F.greatest("own", "_x").alias("j"), "own", "set", "n", "copies", "added", "dropped")
+             .repartition("centre", "i", "j").sortWithinPartitions("centre", "i", "j"))
+
+    def linked_blocks(i: int, j: int, rows: list[tuple]) -> dict | None:
+        of = {k: [r for r in rows if r[0] == k] for k in {i, j}}
+        keys, n, copies = ({k: np.array([r[at] for r in of[k]], np.int64) for k in of} for at in (1, 2, 3))
+        added, lost = ({k: [unpack(r[at]) for r in of[k]] for k in of} for at in (4, 5))
+        n_lost = {k: np.array([len(x) for x in lost[k]], np.int64) for k in of}
+        if not (len(keys[i]) and len(keys[j])):
+            return None
+        centre = int(n[i][0] - len(added[i][0]) + n_lost[i][0])
+        both = centre - n_lost[i][:, None] - n_lost[j][None, :] + in_common(lost[i], lost[j]) + in_common(added[i], added[j])
+        links = linked(both, n[i][:, None], n[j][None, :])
+        if i == j:
+            links = np.triu(links, 1)
+        if not links.any():
+            return None
+        if i == j:
+            least, _ = reachable(links | links.T, keys[i], keys[i])
+            spans, sets, times = (keys[i], least), keys[i], (links | links.T) @ copies[i]
+        else:
+            a, b = reachable(links, keys[i], keys[j])
+            spans, sets = (np.r_[keys[i], keys[j]], np.r_[a, b]), np.r_[keys[i], keys[j]]
+            times = np.r_[links @ copies[j], links.T @ copies[i]]
+        joined, some = spans[0] != spans[1], times > 0
+        return {"left": keys[i].tobytes(), "right": keys[j].tobytes(), "bits": np.packbits(links).tobytes(),
+                "a": spans[0][joined], "b": spans[1][joined], "sets": sets[some], "times": times[some]}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, rows, out = None, [], []
+        for batch in batches:
+            for centre, i, j, *row in zip(*(col.to_pylist() for col in batch.columns)):
+                if (centre, i, j) != current:
+                    if rows:
+                        out.append(linked_blocks(*current[1:], rows))
+                    current, rows = (centre, i, j), []
+                rows.append(row)
+            yield pa.RecordBatch.from_pylist([x for x in out if x], schema=schema)
+            out = []
+        if rows:
+            out.append(linked_blocks(*current[1:], rows))
+        yield pa.RecordBatch.from_pylist([x for x in out if x], schema=schema)
+
+    long = pa.list_(pa.int64())
+    schema = pa.schema([("left", pa.binary()), ("right", pa.binary()), ("bits", pa.binary()), ("a", long), ("b", long), ("sets", long), ("times", long)])
+    return stage(dealt.mapInArrow(run, "left binary, right binary, bits binary, a array<bigint>, b array<bigint>, sets array<bigint>, times array<bigint>"),
+                 "jaccard-star-links")
+
+
+def unpacked_links(packed: DataFrame) -> DataFrame:
+    """(u, v) of every link that the rows of star_links() hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for left, right, bits in zip(*(col.to_pylist() for col in batch.columns)):
+                a, b = np.frombuffer(left, np.int64), np.frombuffer(right, np.int64)
+                i, j = np.nonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=len(a) * len(b)).reshape(len(a), len(b)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a[i], b[j])), pa.array(np.maximum(a[i], b[j]))], names=["u", "v"])
+
+    return packed.select("left", "right", "bits").mapInArrow(run, "u bigint, v bigint")
 
 
 def index_entries(texts: DataFrame, hot, n_buckets: int) -> DataFrame:
@@ -348,7 +495,7 @@ def index_entries(texts: DataFrame, hot, n_buckets: int) -> DataFrame:
 
 
 def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Staged (u, v, meet) from the index lists: sets of different classes that sizes and places let be linked.
+    """Staged (u, v, meet) from the index lists: sets of different classes (stars) that sizes and places let be linked.
 
     The shingles that a pair has in common among the indexed ones are counted. All others
     in common come after the last of these in both sets, which bounds them.
@@ -429,45 +576,65 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
     return stage(met.where(enough).select("u", "v", "meet"), "jaccard-candidates")
 
 
-def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(members, links): staged (id, n, set) of every row, and the verified links (u, v) between sets.
-
-    Links join every pair of sets that is linked to one component; pairs that a common
-    class had joined before are not among them. Rows may repeat; null keys stay null.
-    """
+def _linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Staged (id, n, set) of every row, distinct sets, links within stars as star_links() has them, and (u, v) of all other links."""
     sc = docs.sparkSession.sparkContext
     texts = texts_of(docs, key, text)
     measured = measure_sets(texts)
     sets = distinct_sets(measured)
     n_sets, n_shingles = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     hot = sc.broadcast(hot_shingles(measured, n_sets))
-    near = verify(centre_pairs(texts, hot), texts, sets, n_sets)
-    classes = components(near, "u", "v")
-    described = (near.groupBy(F.col("v").alias("set")).agg(F.min_by(F.struct("centre", "n", "added", "dropped"), "centre").alias("d"))
-                 .select("set", "d.*"))
+    near = verify(centre_pairs(texts, hot), texts, sets, n_sets, alike).select("u", "v")
+    members = stars(near, texts, sets, n_sets)
     entries = index_entries(texts, hot, max(1, index_length(n_shingles) // BUCKET))
-    far = verify(candidate_pairs(entries, classes), texts, sets, n_sets, described)
-    return measured.where("n is not null").select("id", "n", "set"), near.select("u", "v").union(far.select("u", "v"))
+    pairs = candidate_pairs(entries, members.select(F.col("set").alias("node"), F.col("centre").alias("component")))
+    far = verify(pairs, texts, sets, n_sets, linked, described=members.where("centre <> set"))
+    return measured.where("n is not null").select("id", "n", "set"), sets, star_links(members), far.select("u", "v")
+
+
+def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(members, links): staged (id, n, set) of every row, and every link (u, v), u < v, between distinct sets, each once.
+
+    Rows of one set are linked with each other and share its links. Rows may repeat; null
+    keys stay null.
+    """
+    members, _, within, far = _linked_sets(docs, key, text)
+    return members, unpacked_links(within).union(far.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+    """(doc_id, n_shingles, component_id, n_links) of every row of ``docs``.
 
-    ``component_id``: the smallest non-null key reachable by links, its own included. A
-    text without words has size 0 and is linked with nothing. Rows that repeat a key
-    are judged each by its own text. Empty tables give an empty result.
+    ``component_id``: the smallest non-null key reachable by links, its own included.
+    ``n_links``: the other rows that the row is linked with. A text without words has
+    size 0 and is linked with nothing. Rows that repeat a key are judged each by its
+    own text. Empty tables give an empty result.
     """
-    members, links = jaccard_links(docs, key, text)
-    groups = components(links, "u", "v")
+    members, sets, within, far = _linked_sets(docs, key, text)
+    spans = within.select(F.explode(F.arrays_zip("a", "b")).alias("x")).select(F.col("x.a").alias("u"), F.col("x.b").alias("v"))
+    groups = components(spans.union(far), "u", "v")
     placed = members.join(groups, F.col("set") == F.col("node"), "left").select(
-        "id", "n", F.when(F.col("n") > 0, F.coalesce("component", "set")).alias("_group"))
+        "id", "n", "set", F.when(F.col("n") > 0, F.coalesce("component", "set")).alias("_group"))
     placed = stage(placed, "jaccard-groups")
     least = placed.where("_group is not null").groupBy(F.col("_group").alias("_g")).agg(F.min("id").alias("_least"))
-    return placed.join(least, F.col("_group") == F.col("_g"), "left").select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("_g").isNull(), F.col("id")).otherwise(F.col("_least")).alias("component_id"))
+    copies = sets.select(F.col("set").alias("_s"), "copies")
+    one_way = far.join(copies, F.col("v") == F.col("_s")).select(F.col("u").alias("_set"), F.col("copies").alias("times"))
+    other_way = far.join(copies, F.col("u") == F.col("_s")).select(F.col("v").alias("_set"), F.col("copies").alias("times"))
+    inside = within.select(F.explode(F.arrays_zip("sets", "times")).alias("x")).select(F.col("x.sets").alias("_set"), "x.times")
+    equal = copies.select(F.col("_s").alias("_set"), (F.col("copies") - 1).alias("times"))
+    counts = one_way.unionAll(other_way).unionAll(inside).unionAll(equal).groupBy("_set").agg(F.sum("times").alias("_links"))
+    counts = stage(counts, "jaccard-counts")
+    return (placed.join(least, F.col("_group") == F.col("_g"), "left").join(counts, (F.col("set") == F.col("_set")) & (F.col("n") > 0), "left").select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("_g").isNull(), F.col("id")).otherwise(F.col("_least")).alias("component_id"),
+        F.coalesce("_links", F.lit(0)).alias("n_links")))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents")).drop("n_links")
+
+
+def op10_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join, with the number of links of every document."""
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
@@ -485,5 +652,7 @@ select w.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(r.component, w.doc_id)
 from w left join n using (doc_id) left join r using (doc_id)
 """
 
-QUERIES = {"op10_jaccard_join": op10_jaccard_join}
-ORACLES = {"op10_jaccard_join": OP10_SQL}
+LINKS_SQL = OP10_SQL.replace("as component_id\n", "as component_id,\n  (select count(*) from e where e.u = w.doc_id and e.v <> e.u) as n_links\n")
+
+QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op10_jaccard_links": op10_jaccard_links}
+ORACLES = {"op10_jaccard_join": OP10_SQL, "op10_jaccard_links": LINKS_SQL}

@@ -87,6 +87,40 @@ def test_overlap_from_differences(spark, monkeypatch):
     assert got == {k: groups[i] for i, (k, _) in enumerate(rows)}
 
 
+def brute_links(rows):
+    """Distinct sets as text numbers, links between them, and the linked rows of every row."""
+    sets = [frozenset(brute.shingles(t)) for _, t in rows]
+    alike = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
+    distinct = [s for s in dict.fromkeys(sets) if s]
+    links = {frozenset((a, b)) for i, a in enumerate(distinct) for b in distinct[:i] if alike(a, b)}
+    return sets, links, [sum(i != j and alike(a, b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+
+
+@pytest.mark.parametrize("hot,bands,block", [(40, 8, 512), (3, 1, 7)])
+def test_every_link_is_made(spark, monkeypatch, hot, bands, block):
+    """Also between sets of one group of near copies; in one block, and in many."""
+    monkeypatch.setattr(jaccard_join, "HOT_SETS", hot)
+    monkeypatch.setattr(jaccard_join, "HOT_SHARE", 10**9)
+    monkeypatch.setattr(jaccard_join, "BANDS", bands)
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 50)
+    rng = random.Random(9)
+    base = prose(rng, 160).split()
+    near = [" ".join(rng.choice(WORDS) if rng.random() < share else w for w in base) for share in (0.005, 0.01, 0.02, 0.03) for _ in range(25)]
+    rows = corpus(2)
+    rows += [(len(rows) + i, t) for i, t in enumerate(near + near[:2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sets, links, counts = brute_links(rows)
+    members, found = jaccard_join.jaccard_links(df)
+    of = {k: s for (k, _), s in zip(rows, sets)}
+    text_of = {r.set: of[r.id] for r in members.collect()}
+    found = [(r.u, r.v) for r in found.collect()]
+    assert all(u < v for u, v in found) and len(found) == len(links) > 1000
+    assert {frozenset((text_of[u], text_of[v])) for u, v in found} == links
+    got = {r.doc_id: r.n_links for r in jaccard_join.jaccard_join(df).collect()}
+    assert got == {k: n for (k, _), n in zip(rows, counts)}
+
+
 def test_jaccard_join_of_null_ids_repeats_and_nothing(spark):
     t = "one two three four five six"
     df = spark.createDataFrame([(None, t), (5, t), (5, t), (9, None), (None, ""), (None, "alone")], "doc_id long, text string")
