@@ -38,10 +38,12 @@ HOT_SETS = 40  # a shingle of more sets than this, and than 1 / HOT_SHARE of all
 HOT_SHARE = 20_000
 BANDS = 8  # centres under which a set is tried
 BUCKET = 400_000  # index entries of a task
-OF_LIST = [0, 1, 6]  # rows token, part and main of the entries that candidate_pairs() deals
+TASK = [0, 1, 2, 3]  # rows main, mixed, i and j of the entries that candidate_pairs() deals
+OF_LIST = [*TASK, 4]  # and token
 SPREAD = 4_096  # entries of a list, or members of a centre, that one task gets together
 ALIKE = (40, 100)  # intersection / union with the centre of members of a star, at least
 BLOCK = 512  # members of a star in a block, about; a task compares two blocks
+MADE = 500_000  # pairs of list entries that are made at a time
 BLOCK_BYTES = 32 << 20  # packed differences of a block, about
 COLUMNS = 4_096  # shingles of a matrix product
 
@@ -494,69 +496,97 @@ def index_entries(texts: DataFrame, hot, n_buckets: int) -> DataFrame:
     return stage(dealt.mapInArrow(both, "token bigint, set bigint, n bigint, place bigint"), "jaccard-lists")
 
 
-def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """Staged (u, v, meet) from the index lists: sets of different classes (stars) that sizes and places let be linked.
-
-    The shingles that a pair has in common among the indexed ones are counted. All others
-    in common come after the last of these in both sets, which bounds them.
-    ``meet`` is the first shingle in common, which most pairs of a group have.
+def dealt_lists(entries: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (main, mixed, i, j, token, set, n, place, class, block): the entries that the tasks (main, mixed, i, j) get, in order.
 
-    Lists of one class are dropped before anything is gathered. A long list is dealt to
-    several tasks: sets of its largest class go to one each, the others to all.
+    Lists of one class are dropped before anything is gathered. The entries of a long
+    list are dealt to blocks, those of its largest class and the others apart, and each
+    two blocks go to a task: a block of the largest class with one of the others
+    (``mixed``), and blocks of the others with each other (i <= j). So a task gets about
+    2 * SPREAD entries and makes about SPREAD ** 2 pairs at most, ``MADE`` at a time.
     """
     classed = entries.join(classes, F.col("set") == F.col("node"), "left").select(
         "token", "set", "n", "place", F.coalesce("component", "set").alias("class"))
     classed = stage(classed, "jaccard-classed")
     sizes = classed.groupBy("token", "class").agg(F.count(F.lit(1)).alias("c"))
     lists = (sizes.groupBy("token").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("c", "class")).alias("m"), F.sum("c").alias("total"))
-             .where("classes > 1").select("token", F.col("m.class").alias("main"), "total"))
+             .where("classes > 1").select("token", F.col("m.class").alias("main"), F.col("m.c").alias("of_main"), "total"))
     # the lists of one main class meet, so that a pair's shingles in common are counted where its rows are made
-    parts_of = lists.groupBy(F.col("main").alias("_main")).agg(F.ceil(F.sum("total") / SPREAD).cast("int").alias("parts"))
-    lists = lists.join(parts_of, F.col("main") == F.col("_main")).select("token", "main", "parts")
-    own = F.pmod(F.xxhash64("set"), F.col("parts")).cast("int")
-    parts = F.when(F.col("class") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = (classed.join(lists, "token").select("token", F.explode(parts).alias("part"), "set", "n", "place", "class", "main")
-             .repartition("main", "part").sortWithinPartitions("main", "part", "token", "n", "set"))
+    blocks = lists.groupBy(F.col("main").alias("_main")).agg(
+        *(F.ceil(F.sum(c) / SPREAD).cast("int").alias(name) for c, name in ((F.col("of_main"), "mains"), (F.col("total") - F.col("of_main"), "others"))))
+    lists = lists.join(blocks, F.col("main") == F.col("_main")).select("token", "main", "mains", "others")
+    of = lambda n: F.pmod(F.xxhash64("set"), F.col(n)).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    task = lambda mixed, i, j: F.struct(F.lit(mixed).alias("mixed"), i.alias("i"), j.alias("j"))
+    tasks = F.when(F.col("class") == F.col("main"), F.transform(upto("others"), lambda x: task(1, of("mains"), x))).otherwise(F.concat(
+        F.transform(upto("mains"), lambda x: task(1, x, of("others"))),
+        F.transform(upto("others"), lambda x: task(0, F.least(x, of("others")), F.greatest(x, of("others"))))))
+    return (classed.join(lists, "token")
+            .select("main", F.explode(tasks).alias("t"), "token", "set", "n", "place", "class", of("others").alias("block"))
+            .select("main", "t.mixed", "t.i", "t.j", "token", "set", "n", "place", "class", "block")
+            .repartition("main", "mixed", "i", "j").sortWithinPartitions("main", "mixed", "i", "j", "token", "n", "set"))
 
-    def pairs(e: np.ndarray) -> np.ndarray:
-        """Per pair of different classes: set, size and last place of both, first shingle and number of shingles in common.
 
-        ``e``: token, part, set, n, place, class, main of whole lists, each in order of n.
+def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
+    """Staged (u, v, meet) from the index lists: sets of different classes (stars) that sizes and places let be linked.
 
-        Goes through the lists by the distance of two entries: at each step only the
-        entries go on whose list has a set at that distance that isn't too large.
-        """
-        token, part, s, n, place, group, main = e
-        length = e.shape[1]
-        start = np.flatnonzero(np.r_[True, (e[OF_LIST][:, 1:] != e[OF_LIST][:, :-1]).any(0)])
-        ends = np.repeat(np.r_[start[1:], length], np.diff(np.r_[start, length]))
-        found = [np.empty((7, 0), np.int64)]
-        i, distance = np.arange(length), 1
-        while len(i):
-            i = i[i + distance < ends[i]]
-            j = i + distance
-            near = n[j] * SHARE[0] <= n[i] * SHARE[1]
-            i, j = i[near], j[near]
-            # pairs of sets that went to all parts are made in the first one only
-            ok = (group[j] != group[i]) & ((part[i] == 0) | (group[j] == main[i]) | (group[i] == main[i]))
-            a, b = i[ok], j[ok]
-            first = s[a] < s[b]
-            a, b = np.where(first, a, b), np.where(first, b, a)
-            found.append(np.stack([s[a], n[a], place[a], s[b], n[b], place[b], token[a]]))
-            distance += 1
-        made = np.concatenate(found, axis=1)
+    The shingles that a pair has in common among the indexed ones are counted. All others
+    in common come after the last of these in both sets, which bounds them.
+    ``meet`` is the first shingle in common, which most pairs of a group have.
+    """
+    dealt = dealt_lists(entries, classes)
+
+    def combined(made: np.ndarray) -> np.ndarray:
+        """A column for each pair: set, size and last place of both, first shingle and number of shingles in common."""
         made = made[:, np.lexsort((made[3], made[0]))]
-        if not made.shape[1]:
-            return np.empty((8, 0), np.int64)
         pair = np.flatnonzero(np.r_[True, (made[[0, 3], 1:] != made[[0, 3], :-1]).any(0)])
-        most = [np.maximum.reduceat(made[r], pair) for r in range(6)]
-        return np.stack([*most, np.minimum.reduceat(made[6], pair), np.diff(np.r_[pair, made.shape[1]])])
+        return np.stack([*(np.maximum.reduceat(made[r], pair) for r in range(6)), np.minimum.reduceat(made[6], pair), np.add.reduceat(made[7], pair)])
+
+    def pairs(e: np.ndarray) -> Iterator[np.ndarray]:
+        """Pairs of different classes, as combined() has them, of whole lists, each in order of n.
+
+        ``e``: main, mixed, i, j, token, set, n, place, class, block. Each entry of a task's
+        first block meets those of the second in its list that aren't too small or large.
+        """
+        main, mixed, i, j, token, s, n, place, group, block = e
+        number = np.cumsum(np.r_[False, (e[OF_LIST][:, 1:] != e[OF_LIST][:, :-1]).any(0)])
+        one = (mixed == 0) & (i == j)  # the block meets itself
+        first = np.flatnonzero(np.where(mixed == 1, group == main, block == i))
+        second = np.flatnonzero(one | np.where(mixed == 1, group != main, block != i))
+        key = (number[second] << 40) + n[second]
+        at = number[first] << 40
+        lo = np.searchsorted(key, at - (-n[first] * SHARE[0] // SHARE[1]))
+        hi = np.searchsorted(key, at + n[first] * SHARE[1] // SHARE[0], side="right")
+        lo = np.where(one[first], np.maximum(lo, np.searchsorted(second, first, side="right")), lo)
+        many = np.maximum(hi - lo, 0)
+        done = np.cumsum(many)
+        held, start = [], 0
+        while start < len(first):
+            stop = max(start + 1, int(np.searchsorted(done, done[start] - many[start] + MADE, side="right")))
+            times = many[start:stop]
+            a = np.repeat(first[start:stop], times)
+            b = second[np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo[start:stop], times)]
+            start = stop
+            ok = group[a] != group[b]
+            a, b = a[ok], b[ok]
+            if not len(a):
+                continue
+            small = s[a] < s[b]
+            a, b = np.where(small, a, b), np.where(small, b, a)
+            held.append(combined(np.stack([s[a], n[a], place[a], s[b], n[b], place[b], token[a], np.ones(len(a), np.int64)])))
+            if sum(x.shape[1] for x in held) >= MADE:
+                held = [combined(np.concatenate(held, axis=1))]
+                if held[0].shape[1] >= MADE:
+                    yield held.pop()
+        if held:
+            yield combined(np.concatenate(held, axis=1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.empty((7, 0), np.int64)
+        rest = np.empty((10, 0), np.int64)
 
-        def out(e: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in pairs(e)], names=["u", "nu", "pu", "v", "nv", "pv", "token", "both"])
+        def out(e: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for made in pairs(e):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], names=["u", "nu", "pu", "v", "nv", "pv", "token", "both"])
 
         for batch in batches:
             rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns])], axis=1)
@@ -564,10 +594,10 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
                 continue
             last = int(np.flatnonzero((rows[OF_LIST] == rows[OF_LIST][:, -1:]).all(0))[0])  # the last list may go on in the next batch
             if last:
-                yield out(rows[:, :last])
+                yield from out(rows[:, :last])
             rest = rows[:, last:]
         if rest.shape[1]:
-            yield out(rest)
+            yield from out(rest)
 
     met = dealt.mapInArrow(run, "u bigint, nu bigint, pu bigint, v bigint, nv bigint, pv bigint, token bigint, both bigint").groupBy("u", "v").agg(
         F.sum("both").alias("both"), F.max("nu").alias("nu"), F.max("nv").alias("nv"), F.max("pu").alias("pu"), F.max("pv").alias("pv"), F.min("token").alias("meet"))

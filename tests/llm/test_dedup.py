@@ -121,6 +121,20 @@ def test_every_link_is_made(spark, monkeypatch, hot, bands, block):
     assert got == {k: n for (k, _), n in zip(rows, counts)}
 
 
+def test_lists_of_many_classes_are_dealt_in_pairs_of_blocks(spark, monkeypatch):
+    """A list of sets in as many classes: all its pairs, and no task of more than two blocks' pairs."""
+    monkeypatch.setattr(jaccard_join, "SPREAD", 20)
+    monkeypatch.setattr(jaccard_join, "MADE", 50)
+    n, size = 300, lambda i: 100 + 3 * (i % 30)
+    entries = spark.createDataFrame([(t, i, size(i), t) for t in (0, 1) for i in range(n)], "token long, set long, n long, place long").repartition(6)
+    classes = spark.createDataFrame([(i, 1000) for i in range(90)], "node long, component long")  # the other sets have no class
+    tasks = jaccard_join.dealt_lists(entries, classes).groupBy("main", "mixed", "i", "j").count().collect()
+    assert len(tasks) > 200 and max(r["count"] for r in tasks) <= 4 * 20
+    got = [(r.u, r.v) for r in jaccard_join.candidate_pairs(entries, classes).collect()]
+    fits = lambda a, b: min(a, b) * 100 >= max(a, b) * 75
+    assert sorted(got) == [(i, j) for i in range(n) for j in range(i + 1, n) if j >= 90 and fits(size(i), size(j))]
+
+
 def test_jaccard_join_of_null_ids_repeats_and_nothing(spark):
     t = "one two three four five six"
     df = spark.createDataFrame([(None, t), (5, t), (5, t), (9, None), (None, ""), (None, "alone")], "doc_id long, text string")
