@@ -2,17 +2,20 @@
 
 A classifier fitted on the labelled table gives every document a posterior over
 the domains. Each document gets a rate >= 0 (how often it goes into the mixture);
-rates are fitted by distributed projected-gradient least squares, so that the
+rates are fitted by distributed projected-gradient least squares (steps
+preconditioned by the Gram matrix of the documents that can still change), so that the
 expected token total of every domain, sum of rate * tokens * posterior, meets its
-target. Per step only one number a domain reaches the driver.
+target. Per pass only a few sums reach the driver.
 
 DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +29,11 @@ FIT_DOCS = 20_000  # labelled documents that the classifier is fitted on, at mos
 EVIDENCE = 6.0  # standard deviations by which a word must be over-represented in a domain to be a feature
 LIFT = 4.0  # and the times it must be more frequent there than elsewhere
 TOP_FEATURES = 32  # features of a domain, at most
-STEPS = 60
+PASSES = 300  # over the documents, at most; a fit that ends there is an error
 TOLERANCE = 1e-3  # of the targets
-STAGE_EVERY = 12  # steps between written copies of the rates
+OPTIMAL = 1e-6  # of the targets: what the condition of the least squares may be off
+RIDGE = 1e-6  # weight of the rates' distance from 1, against the squared gaps
+STEP_SIZES = (1.0, 0.3, 0.1, 0.01, 1e-3, 1e-5)  # tried in one pass
 
 
 def label_domain() -> Column:
@@ -114,33 +119,67 @@ def domain_totals(members: DataFrame, rate: Column) -> list[float]:
     return [float(x) for x in row]
 
 
-def fit_rates(members: DataFrame, targets: list[float]) -> DataFrame:
-    """``members`` (n_tokens, p0 ...) with ``rate`` >= 0, fitted from 1 by projected gradient steps.
+def fit_rates(members: DataFrame, targets: list[float], most: float | None = None) -> DataFrame:
+    """``members`` (n_tokens, p0 ...) with ``rate`` >= 0 (and <= ``most``), the nearest to 1 that meet the targets.
 
-    Minimises the sum over domains of (expected total - target)**2 / scale, in the
-    metric that weighs a document by its tokens, so that long and short documents of
-    one posterior get one rate. The step is 1 / L for a bound L of the largest
-    eigenvalue of the scaled Gram matrix. Stops within ``TOLERANCE`` of every target
-    or after ``STEPS`` steps. Empty members give an empty result; a target for a
-    domain without mass can't be met and is left.
+    Minimises the sum over domains of (expected total - target)**2 / scale, plus RIDGE
+    times the sum of tokens * (rate - 1)**2; documents count by their tokens, so that long
+    and short documents of one posterior get one rate. At the minimum the rates are
+    1 + posterior * x, projected on what is allowed, for one number x a domain. Each step
+    moves x by the gaps, preconditioned by the Gram matrix of the documents whose rates
+    aren't at a bound, as far as improves the dual objective most. Ends within
+    ``TOLERANCE`` of every target, or where the condition of the minimum holds, since the
+    targets can't all be met; the remaining gaps are logged then. Empty members give an
+    empty result.
     """
     k = range(len(DOMAINS))
-    gram_row = members.agg(*(F.coalesce(F.sum(F.col("n_tokens") * F.col(f"p{i}") * F.col(f"p{j}")), F.lit(0.0)).alias(f"g{i}{j}")
-                             for i in k for j in k)).first()
-    gram = [[float(gram_row[f"g{i}{j}"]) for j in k] for i in k]
-    scale = [gram[i][i] or 1.0 for i in k]
-    largest = max(sum(gram[i][j] / (scale[i] * scale[j]) ** 0.5 for j in k) for i in k) or 1.0
-    rate, held, since = F.lit(1.0), members, 0
-    for _ in range(STEPS):
-        missing = [t - x for t, x in zip(targets, domain_totals(held, rate))]
-        if all(abs(m) <= TOLERANCE * max(t, 1.0) for m, t in zip(missing, targets)):
+    pairs = [(i, j) for i in k for j in k if i <= j]
+    goal = np.array(targets, float)
+    unit = np.maximum(goal, 1.0)
+
+    def rate_at(x: list[Column]) -> Column:
+        free = sum((F.col(f"p{i}") * x[i] for i in k), F.lit(1.0))
+        return F.greatest(F.lit(0.0), free) if most is None else F.greatest(F.lit(0.0), F.least(F.lit(float(most)), free))
+
+    def sums(points: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """At each point: what documents add to the dual objective, domain totals, Gram matrix of rates off the bounds."""
+        tried = F.explode(F.array(*(F.struct(F.lit(n).alias("at"), *(F.lit(float(v)).alias(f"x{i}") for i, v in enumerate(x))) for n, x in enumerate(points))))
+        at = members.select("n_tokens", *_columns("p"), tried.alias("t")).select("n_tokens", *_columns("p"), "t.*")
+        at = at.withColumn("rate", rate_at([F.col(f"x{i}") for i in k])).withColumn("move", sum((F.col(f"p{i}") * F.col(f"x{i}") for i in k), F.lit(0.0)))
+        inside = (F.col("move") > -1.0) & (F.lit(True) if most is None else F.col("move") <= F.lit(float(most) - 1.0))
+        free = F.when(inside, F.col("n_tokens")).otherwise(F.lit(0))
+        rows = {r["at"]: r for r in at.groupBy("at").agg(
+            F.sum(F.col("n_tokens") * ((F.col("rate") - 1) * (F.col("rate") - 1) / 2 - F.col("move") * F.col("rate"))).alias("d"),
+            *(F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p{i}")).alias(f"s{i}") for i in k),
+            *(F.sum(free * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"g{i}{j}") for i, j in pairs)).collect()}  # a row per point
+        return [(float(r["d"]), np.array([r[f"s{i}"] for i in k], float), np.array([[r[f"g{min(i, j)}{max(i, j)}"] for j in k] for i in k], float))
+                for _, r in sorted(rows.items())]
+
+    x, tried, best = np.zeros(len(DOMAINS)), [np.zeros(len(DOMAINS))], -np.inf
+    scale = totals = None
+    for passes in range(1, PASSES + 1):
+        found = sums(tried)
+        if not found:  # no members
             break
-        rate = F.greatest(F.lit(0.0), rate + sum((F.lit(missing[i] / scale[i] / largest) * F.col(f"p{i}") for i in k), F.lit(0.0)))
-        since += 1
-        if since == STAGE_EVERY:
-            held = stage(held.select(*members.columns, rate.alias("_rate")), "mixing-rates")
-            rate, since = F.col("_rate"), 0
-    return held.select(*members.columns, rate.alias("rate"))
+        if scale is None:
+            scale = np.where(np.diag(found[0][2]) > 0, np.diag(found[0][2]), 1.0)
+        value = [d + goal @ y - RIDGE / 2 * (scale @ (y * y)) for (d, _, _), y in zip(found, tried)]
+        n = int(np.argmax(value))
+        if not value[n] > best:  # nothing is gained beyond rounding
+            break
+        best, x, (_, totals, gram) = value[n], tried[n], found[n]
+        gap = goal - totals
+        slope = gap - RIDGE * scale * x
+        if (np.abs(gap) <= TOLERANCE * unit).all() or (np.abs(slope) <= OPTIMAL * unit).all():
+            break
+        step = np.linalg.solve(gram + np.diag(RIDGE * scale), slope)
+        tried = [x + size * step for size in STEP_SIZES]
+    else:
+        raise RuntimeError(f"rates not fitted in {PASSES} passes: totals {totals}, targets {goal}")
+    if totals is not None:
+        missed = {d: f"{(t - g) / max(g, 1.0):+.4f}" for d, t, g in zip(DOMAINS, totals, goal) if abs(t - g) > TOLERANCE * max(g, 1.0)}
+        (logging.getLogger(__name__).warning if missed else logging.getLogger(__name__).info)("rates after %d passes; targets missed by %s", passes, missed or "none")
+    return members.withColumn("rate", rate_at([F.lit(float(v)) for v in x]))
 
 
 def mix_rates(docs: DataFrame, labels: DataFrame, shares: dict[str, float], anchor: str | None = None, room: float = 1.0) -> DataFrame:

@@ -36,6 +36,44 @@ def test_rates_meet_the_targets(spark):
     assert np.abs((plain_rates(tokens, p, targets) * tokens) @ p / targets - 1).max() < 2e-3
 
 
+def least_squares(tokens, p, targets, most=np.inf, steps=20_000):
+    """Accelerated projected gradient, run until it is still: the domains' totals."""
+    gram = (tokens[:, None] * p).T @ p
+    scale = np.diag(gram)
+    step = 1 / np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max()
+    rate = ahead = np.ones(len(tokens))
+    for k in range(steps):
+        new = np.clip(ahead + step * p @ ((np.array(targets) - (ahead * tokens) @ p) / scale), 0, most)
+        ahead = new + k / (k + 3) * (new - rate)
+        rate = new
+    return (rate * tokens) @ p
+
+
+@pytest.mark.parametrize("most", [None, 1.0])
+def test_rates_of_rare_domains_are_fitted_to_the_end(spark, most):
+    """Shares of the pipeline: 60 steps of the plain gradient ended far above the target of the toxic domain."""
+    rng = np.random.default_rng(8)
+    weights = np.full((3000, 3), 0.03)
+    weights[np.arange(3000), np.r_[np.zeros(2700, int), np.ones(150, int), np.full(150, 2)]] = 1.0
+    p = rng.gamma(weights) + 1e-12
+    p /= p.sum(1, keepdims=True)
+    tokens = rng.integers(50, 500, 3000)
+    rows = [(i, int(t), *map(float, x)) for i, (t, x) in enumerate(zip(tokens, p))]
+    df = spark.createDataFrame(rows, "doc_id long, n_tokens long, p0 double, p1 double, p2 double")
+    now = tokens @ p
+    targets = [now[0], 0.002 * now[0], 0.005 * now[0]]
+    got = mixing.fit_rates(df, targets, most)
+    totals = np.array(mixing.domain_totals(got, F.col("rate")))
+    rates = [r.rate for r in got.collect()]
+    assert min(rates) >= 0 and max(rates) <= (most or np.inf)
+    if most is None:
+        assert totals == pytest.approx(targets, rel=1.01e-3)
+    else:  # the targets can't all be met
+        plain = least_squares(tokens.astype(float), p, targets, most)
+        cost = lambda x: float((((x - targets) ** 2) / (tokens @ p**2)).sum())
+        assert cost(totals) <= 1.01 * cost(plain) + 1e-6 and abs(totals / plain - 1).max() < 0.05
+
+
 def test_targets_that_cannot_be_met_and_nothing(spark):
     df, *_ = members(spark, 5)
     assert mixing.fit_rates(df.limit(0), [1.0, 1.0, 1.0]).count() == 0
