@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pressloom.llm import bpe_codec, jaccard_join, mixing, quality_rules, suffix_dedup
 from pressloom.llm.common import stage, table
 
-#: shares of the mixture's tokens; the clean domain gets CLEAN_ROOM times the tokens it has, so its documents all stay
+#: shares of the mixture's tokens, at most: the clean domain gets the tokens it has, the others KEEP times theirs if that is less
 SHARES = {"clean": 0.993, "toxic": 0.002, "low": 0.005}
-CLEAN_ROOM = 1.05
+KEEP = 0.1
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +53,8 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each document as often as the rate says that meets the domains' target shares."""
-    rates = mixing.mix_rates(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), SHARES, anchor="clean", room=CLEAN_ROOM)
+    """Thins out the documents of unwanted domains by the rates that meet their targets; none is taken twice."""
+    rates = mixing.mix_rates(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), SHARES, anchor="clean", keep=KEEP)
     return mixing.sample_by_rate(docs, rates)
 
 

@@ -29,7 +29,7 @@ FIT_DOCS = 20_000  # labelled documents that the classifier is fitted on, at mos
 EVIDENCE = 6.0  # standard deviations by which a word must be over-represented in a domain to be a feature
 LIFT = 4.0  # and the times it must be more frequent there than elsewhere
 TOP_FEATURES = 32  # features of a domain, at most
-PASSES = 300  # over the documents, at most; a fit that ends there is an error
+PASSES = 300  # over the documents, at most; a fit that ends there is logged as an error
 TOLERANCE = 1e-3  # of the targets
 OPTIMAL = 1e-6  # of the targets: what the condition of the least squares may be off
 RIDGE = 1e-6  # weight of the rates' distance from 1, against the squared gaps
@@ -123,7 +123,8 @@ def fit_rates(members: DataFrame, targets: list[float], most: float | None = Non
     """``members`` (n_tokens, p0 ...) with ``rate`` >= 0 (and <= ``most``), the nearest to 1 that meet the targets.
 
     Minimises the sum over domains of (expected total - target)**2 / scale, plus RIDGE
-    times the sum of tokens * (rate - 1)**2; documents count by their tokens, so that long
+    times the sum of tokens * (rate - 1)**2; with ``most`` all domains have one scale, so that
+    no domain is brought down at the cost of more tokens of another. Documents count by their tokens, so that long
     and short documents of one posterior get one rate. At the minimum the rates are
     1 + posterior * x, projected on what is allowed, for one number x a domain. Each step
     moves x by the gaps, preconditioned by the Gram matrix of the documents whose rates
@@ -163,9 +164,11 @@ def fit_rates(members: DataFrame, targets: list[float], most: float | None = Non
             break
         if scale is None:
             scale = np.where(np.diag(found[0][2]) > 0, np.diag(found[0][2]), 1.0)
+            if most is not None:
+                scale[:] = max(1.0, scale.min())
         value = [d + goal @ y - RIDGE / 2 * (scale @ (y * y)) for (d, _, _), y in zip(found, tried)]
         n = int(np.argmax(value))
-        if not value[n] > best:  # nothing is gained beyond rounding
+        if not value[n] > best + 1e-13 * abs(value[n]):  # nothing is gained beyond rounding
             break
         best, x, (_, totals, gram) = value[n], tried[n], found[n]
         gap = goal - totals
@@ -175,19 +178,21 @@ def fit_rates(members: DataFrame, targets: list[float], most: float | None = Non
         step = np.linalg.solve(gram + np.diag(RIDGE * scale), slope)
         tried = [x + size * step for size in STEP_SIZES]
     else:
-        raise RuntimeError(f"rates not fitted in {PASSES} passes: totals {totals}, targets {goal}")
+        logging.getLogger(__name__).error("rates not fitted in %d passes", PASSES)
     if totals is not None:
         missed = {d: f"{(t - g) / max(g, 1.0):+.4f}" for d, t, g in zip(DOMAINS, totals, goal) if abs(t - g) > TOLERANCE * max(g, 1.0)}
         (logging.getLogger(__name__).warning if missed else logging.getLogger(__name__).info)("rates after %d passes; targets missed by %s", passes, missed or "none")
     return members.withColumn("rate", rate_at([F.lit(float(v)) for v in x]))
 
 
-def mix_rates(docs: DataFrame, labels: DataFrame, shares: dict[str, float], anchor: str | None = None, room: float = 1.0) -> DataFrame:
+def mix_rates(docs: DataFrame, labels: DataFrame, shares: dict[str, float], anchor: str | None = None, room: float = 1.0,
+              keep: float | None = None) -> DataFrame:
     """(doc_id, n_tokens, p0 .. , rate) of every distinct non-null doc_id.
 
     ``shares``: the domains' shares of the mixture. Its size is that of the input; with
-    ``anchor`` it is such that this domain gets ``room`` times its present tokens. If no
-    word tells the domains apart, there is nothing to mix by, and all rates are 1.
+    ``anchor`` it is such that this domain gets ``room`` times its present tokens. With
+    ``keep`` documents are only thinned out: no rate is above 1, and every domain but the
+    anchor gets at most ``keep`` times its present tokens, whatever its share. If no word tells the domains apart, there is nothing to mix by, and all rates are 1.
     """
     weights, priors = fit_classifier(docs, labels)
     members = stage(posteriors(docs, weights, priors), "mixing-posteriors")
@@ -195,7 +200,10 @@ def mix_rates(docs: DataFrame, labels: DataFrame, shares: dict[str, float], anch
         return members.withColumn("rate", F.lit(1.0))
     now = domain_totals(members, F.lit(1.0))
     whole = sum(now) if anchor is None else room * now[DOMAINS.index(anchor)] / shares[anchor]
-    return fit_rates(members, [shares[d] * whole for d in DOMAINS])
+    targets = [shares[d] * whole for d in DOMAINS]
+    if keep is None:
+        return fit_rates(members, targets)
+    return fit_rates(members, [min(t, x if d == anchor else keep * x) for d, t, x in zip(DOMAINS, targets, now)], most=1.0)
 
 
 def sample_by_rate(docs: DataFrame, rates: DataFrame, key: str = "doc_id", seed: int = 7) -> DataFrame:

@@ -36,10 +36,10 @@ def test_rates_meet_the_targets(spark):
     assert np.abs((plain_rates(tokens, p, targets) * tokens) @ p / targets - 1).max() < 2e-3
 
 
-def least_squares(tokens, p, targets, most=np.inf, steps=20_000):
-    """Accelerated projected gradient, run until it is still: the domains' totals."""
+def least_squares(tokens, p, targets, most, steps=20_000):
+    """Accelerated projected gradient on gaps in tokens, run until it is still: the domains' totals."""
     gram = (tokens[:, None] * p).T @ p
-    scale = np.diag(gram)
+    scale = np.ones(3)
     step = 1 / np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max()
     rate = ahead = np.ones(len(tokens))
     for k in range(steps):
@@ -70,8 +70,8 @@ def test_rates_of_rare_domains_are_fitted_to_the_end(spark, most):
         assert totals == pytest.approx(targets, rel=1.01e-3)
     else:  # the targets can't all be met
         plain = least_squares(tokens.astype(float), p, targets, most)
-        cost = lambda x: float((((x - targets) ** 2) / (tokens @ p**2)).sum())
-        assert cost(totals) <= 1.01 * cost(plain) + 1e-6 and abs(totals / plain - 1).max() < 0.05
+        cost = lambda x: float(((x - targets) ** 2).sum())
+        assert cost(totals) <= 1.01 * cost(plain) and abs(totals - plain).max() < 1e-3 * now[0]
 
 
 def test_targets_that_cannot_be_met_and_nothing(spark):

@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 
 import base64
 import brute
@@ -85,6 +86,20 @@ def test_run_and_edge_cases(spark, tmp_path):
         assert once.where("doc_id is null").count() == (2 if name == "edge" else 0)
 
 
+@pytest.mark.parametrize("n_toxic", [3, 20, 200])
+def test_mix_thins_out_toxic_texts_rare_or_not(spark, tmp_path, n_toxic):
+    rng = random.Random(n_toxic)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(300)], k=80)) for _ in range(2000)]
+    texts = [t + " vile hateful rotten slur" if i < n_toxic else t for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], spark.read.parquet(f"{SF}/documents.parquet").schema)
+    labels = spark.createDataFrame([(i, 1, int(i < n_toxic)) for i in range(2000)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    ids = [r.doc_id for r in corpus_pipeline.mix(spark, docs, str(tmp_path)).collect()]
+    assert len(ids) == len(set(ids))
+    assert sum(i >= n_toxic for i in ids) >= 0.995 * (2000 - n_toxic)
+    assert sum(i < n_toxic for i in ids) <= max(1, 0.2 * n_toxic)
+
+
 def test_nothing_else_imports_the_subpackage():
     top = os.path.dirname(corpus_pipeline.__file__)
     for folder, _, files in os.walk(os.path.join(top, "pressloom")):
