@@ -13,7 +13,7 @@ Two kinds of skipping keep the work near the number of sets:
   centre's overlap with it and the member's difference from the centre.
 
 Links are exact and whole: no caps, and every pair of linked sets is one. Equal sets are
-one set. Hot shingles are counted over all sets; lists, stars and centres of many sets
+one set. Hot shingles are counted over all sets, but for those found once by a task; lists, stars and centres of many sets
 are dealt to several tasks.
 """
 
