@@ -159,7 +159,7 @@ WITH drawn AS (
 counted AS (
   SELECT doc_id, t, d,
          CASE WHEN t = '' THEN 0 ELSE len(pieces) - (CASE WHEN suffix(t, chr(10)) THEN 1 ELSE 0 END) END AS n,
-         list_transform(pieces, (x, i) -> CASE WHEN i < len(pieces) THEN x || chr(10) ELSE x END) AS units,
+         list_transform(pieces, lambda x, i: CASE WHEN i < len(pieces) THEN x || chr(10) ELSE x END) AS units,
          ('0x' || substr(d, 1, 8))::BIGINT AS h1, ('0x' || substr(d, 9, 8))::BIGINT AS h2, ('0x' || substr(d, 17, 8))::BIGINT AS h3, ('0x' || substr(d, 25, 8))::BIGINT AS h4
   FROM drawn),
 formed AS (
