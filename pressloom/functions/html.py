@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pressloom.functions.selectors import attr, regions
+from pressloom.functions.selectors import attr, clean_pieces, element_spans, inside, let, literal_part, tag_list
 from pressloom.functions.text import check_strings, decode_entities, py_strip, value_or_none
 
 # Fixed patterns of the extraction rules.
@@ -140,10 +140,14 @@ def archive_original_url(html) -> tuple[Column, Column]:
     value attribute -> ``KeyError``; empty value -> ``ArchivedURLNotFound``; else
     error null.
     """
-    header = F.try_element_at(regions(_c(html), "#HEADER"), F.lit(1))
-    first_table = F.try_element_at(regions(header, "table"), F.lit(1))
-    tag = F.regexp_extract(F.coalesce(first_table, F.lit("")), r"(?is)<input\b[^>]*>", 0)
-    value = attr(tag, "value")
-    err = (F.when(tag == "", F.lit("TypeError")).when(value.isNull(), F.lit("KeyError"))
+    def first_input(tags: Column) -> Column:
+        first = lambda inner, part: F.try_element_at(element_spans(inner, literal_part(part)), F.lit(1))
+        table = lambda inner: let(first(inner, "table"), lambda s: F.when(s.isNotNull(), inside(inner, s)))
+        header = let(first(tags, "#HEADER"), lambda s: F.when(s.isNotNull(), table(inside(tags, s))))
+        return F.try_element_at(F.filter(header, lambda t: t.n == "input"), F.lit(1))
+
+    tag = let(tag_list(clean_pieces(_c(html)), ("id",), "input value"), first_input)
+    value = tag.h
+    err = (F.when(tag.isNull(), F.lit("TypeError")).when(value.isNull(), F.lit("KeyError"))
            .when(value == "", F.lit("ArchivedURLNotFound")))
     return F.when(err.isNull(), value), err

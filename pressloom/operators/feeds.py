@@ -1,18 +1,20 @@
 """Feed walking and link extraction.
 
 Every feed has its own selectors (``sel``: nextp, entries, links) and condition.
-A selector's columns are built once per distinct selector of the configuration, and
-a page is read with those of its feed. Selectors: see ``functions.selectors``.
+Selectors are data: a page is parsed once, is asked only for the selectors that can match
+something on it, and is joined with its feed by url and selector; html isn't moved.
+Selectors: see ``functions.selectors``. Of a page that was fetched several times with
+different html the least result counts.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Iterable
+from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.functions.selectors import hrefs, texts
+from pressloom.functions.selectors import anchor_hrefs, element_rows, element_texts, hrefs, matches, selector_rows, texts
 from pressloom.functions.text import py_strip
 from pressloom.operators.common import only_known_urls, staged, staging_path
 
@@ -49,65 +51,73 @@ def selectors_of(feeds: DataFrame, field: str) -> list[str]:
     return sorted(r[0] for r in feeds.select(field).distinct().collect() if r[0] is not None)
 
 
-def per_selector(selectors: list[str], make: Callable[[str], Column], kind: str, none: str | None = None) -> Column:
-    """Array of (s, h): each selector and what it gives; ``none``: a name for no selector, which gives null."""
-    parts = [F.struct(F.lit(s).alias("s"), make(s).cast(kind).alias("h")) for s in selectors]
-    if none is not None:
-        parts.append(F.struct(F.lit(none).alias("s"), F.lit(None).cast(kind).alias("h")))
-    return F.array(*parts) if parts else F.array().cast(f"array<struct<s:string,h:{kind}>>")
-
-
 def next_pages(feeds: DataFrame, pages: DataFrame) -> DataFrame:
-    """I2 for all feeds: ``(selector, page_url, next_url)``, the next link of every page under every next selector.
+    """I2 for all feeds: ``(selector, page_url, next_url)``.
 
-    Pages of other sites give rows that no walk asks for. Root-relative links are made absolute.
+    A row per page without selector and next link says that the page was fetched; a
+    row per page and next selector gives its next link where there is one. A page is
+    parsed once and only asked for the selectors whose class, id or tag it holds, so
+    neither rows nor time grow with pages times selectors. Pages of other sites give rows that
+    no walk asks for. Root-relative links are made absolute.
     """
-    found = per_selector(selectors_of(feeds, "sel.nextp"), lambda s: first_href(F.col("html"), s), "string", none="")
-    return pages.select(F.col("url").alias("page_url"), F.explode(found).alias("x")).select(
-        F.col("x.s").alias("selector"), "page_url", resolve_href(F.col("x.h"), F.col("page_url")).alias("next_url"))
+    found = matches(F.col("html"), selector_rows(selectors_of(feeds, "sel.nextp")), "string",
+                    lambda _, tags, s: F.try_element_at(anchor_hrefs(tags, s), F.lit(1)))
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("s"), F.lit(None).cast("string").alias("h")))
+    rows = pages.select(F.col("url").alias("page_url"), F.explode(F.concat(mark, F.filter(found, lambda x: x.h.isNotNull()))).alias("x"))
+    return rows.select(F.col("x.s").alias("selector"), "page_url", resolve_href(F.col("x.h"), F.col("page_url")).alias("next_url"))
 
 
 def walk_feed(feeds: DataFrame, edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
-    """I3 + H2 + I6: follow next-page links round by round.
+    """I3 + H2 + I6: the pages that each feed reads by following next-page links.
 
     ``feeds(name, url, stop_after[, sel])``; ``edges([selector,] page_url, next_url)`` = the
-    fetched feed pages and their next link (unique; with ``selector`` a feed follows
-    the links of its own next selector). Round ``r`` reads one page of every live feed
-    and emits ``(name, round, page_url, remaining, next_url, is_over)``; ``remaining``
-    is the counter of the page just read. A feed stops when there is no next link or
-    its counter is 0; a page may be read again meanwhile. A negative counter never
-    reaches 0: such feeds run to the end of the chain, and a visited set guards them
-    against cycles. A page that is not in ``edges`` was not fetched: the feed is
-    dropped without state (see ``missing_feed_pages``). Rounds are appended to one
-    staged table, so the plan doesn't grow with them.
+    fetched feed pages and their next link, if any (with ``selector`` a feed follows the links
+    of its own next selector; of several rows of a page the least link counts). Round ``r`` reads
+    one page of every live feed and gives ``(name, round, page_url, remaining, next_url, is_over)``;
+    ``remaining`` is the counter of the page just read. A feed stops when there is no
+    next link or its counter is 0; a page may be read again meanwhile. A negative counter
+    never reaches 0: such feeds run to the end of the chain, and stop before a page that they
+    have read. A page that was not fetched isn't read: the feed ends without state
+    for it (see ``missing_feed_pages``).
+
+    Walks double: with the first ``2**k`` rounds of a feed and the links that lead ``2**k`` pages on, one
+    join gives the next ``2**k`` rounds. So a chain of n pages takes about log2(n) steps, and feeds that have
+    ended, or read a page again without a counter, drop out.
     """
     spark = feeds.sparkSession
     own = "selector" in edges.columns
-    e = staged(edges.select(*[c for c in ("selector", "page_url", "next_url") if c in edges.columns]), "walk-edges")
-    frontier = feeds.select("name", "url", F.col("stop_after").cast("long").alias("remaining"), F.lit(0).cast("long").alias("round"),
-                            *([F.coalesce("sel.nextp", F.lit("")).alias("selector")] if own else []))
-    keep = ["selector"] if own else []
-    path = staging_path(spark, "walk-rounds")
-    columns = ["name", "round", "page_url", "remaining", "next_url", "is_over", *keep]
-    rnd = 0
-    while True:
-        frontier = staged(frontier, "walk-frontier")
-        on = [F.col("url") == F.col("page_url")] + ([F.col("selector") == F.col("_s")] if own else [])
-        right = e.withColumnRenamed("selector", "_s") if own else e
-        read = frontier.join(right, on).select(
-            "name", "round", "page_url", "remaining", "next_url",
-            (F.col("next_url").isNull() | (F.col("remaining") == 0)).alias("is_over"), *keep)
-        read.select(*columns).write.mode("append").partitionBy("round").parquet(path)
-        rounds = spark.read.schema(read.select(*columns).schema).parquet(path)
-        live = rounds.where((F.col("round") == rnd) & ~F.col("is_over")).select(
-            "name", F.col("next_url").alias("url"), (F.col("remaining") - 1).alias("remaining"), (F.col("round") + 1).alias("round"), *keep)
-        rnd += 1
-        if (max_rounds is not None and rnd >= max_rounds) or live.limit(1).count() == 0:
-            return rounds.drop(*keep)
-        seen = rounds.where("remaining < 0").select(F.col("name").alias("_n"), F.col("page_url").alias("_u"))
-        endless = F.col("remaining") < 0
-        frontier = live.where(~endless).unionByName(
-            live.where(endless).join(seen, (F.col("name") == F.col("_n")) & (F.col("url") == F.col("_u")), "left_anti"))
+    key = F.coalesce("selector", F.lit("")) if own else F.lit("")
+    fetched = staged(edges.select(F.col("page_url").alias("_f")).where("_f is not null").distinct(), "walk-fetched")
+    nexts = edges.where("next_url is not null").groupBy(key.alias("_s"), F.col("page_url").alias("_u")).agg(F.min("next_url").alias("next_url"))
+    nexts = staged(nexts.join(fetched, F.col("next_url") == F.col("_f"), "left").withColumnRenamed("_f", "_to"), "walk-next")
+    jump = nexts.where("_to is not null").select("_s", "_u", "_to")  # leads 2**k pages on
+    first = feeds.select("name", (F.coalesce("sel.nextp", F.lit("")) if own else F.lit("")).alias("selector"), F.col("url").alias("page_url"),
+                         F.col("stop_after").cast("long").alias("stop_after"), F.lit(0).cast("long").alias("round")
+                         ).join(fetched.withColumnRenamed("_f", "page_url"), "page_url", "left_semi")
+    path, schema = staging_path(spark, "walk-rows"), first.schema
+    first.write.parquet(f"{path}/k=0")
+    most = F.lit(max_rounds) if max_rounds is not None else F.lit(None).cast("long")
+    length, k = 1, 0
+    while max_rounds is None or length < max_rounds:
+        rows = spark.read.schema(schema).parquet(*[f"{path}/k={i}" for i in range(k + 1)])
+        on = rows.join(jump, (F.col("selector") == F.col("_s")) & (F.col("page_url") == F.col("_u")))  # of ended feeds nothing leads so far
+        if length > 1:  # feeds without a counter that have read a page again
+            again = rows.where("stop_after < 0").groupBy("name", "page_url").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("name")
+            on = on.join(again, "name", "left_anti")
+        on = on.select("name", "selector", F.col("_to").alias("page_url"), "stop_after", (F.col("round") + length).alias("round"))
+        in_reach = ((F.col("stop_after") < 0) | (F.col("round") <= F.col("stop_after"))) & F.coalesce(F.col("round") < most, F.lit(True))
+        k, length = k + 1, 2 * length
+        on.select(*schema.names).where(in_reach).write.parquet(f"{path}/k={k}")
+        if spark.read.schema(schema).parquet(f"{path}/k={k}").where(F.col("round") == length - 1).limit(1).count() == 0:
+            break  # no feed has read all the rounds so far
+        twice = jump.select(F.col("_s").alias("_t"), F.col("_u").alias("_v"), F.col("_to").alias("_w"))
+        jump = staged(jump.join(twice, (F.col("_s") == F.col("_t")) & (F.col("_to") == F.col("_v"))).select("_s", "_u", F.col("_w").alias("_to")), "walk-jumps")
+    rows = spark.read.schema(schema).parquet(*[f"{path}/k={i}" for i in range(k + 1)])
+    endless = rows.where("stop_after < 0").groupBy("name", "selector", "page_url", "stop_after").agg(F.min("round").alias("round"))
+    read = rows.where("stop_after >= 0").unionByName(endless).join(nexts, (F.col("selector") == F.col("_s")) & (F.col("page_url") == F.col("_u")), "left")
+    remaining = F.col("stop_after") - F.col("round")
+    return staged(read.select("name", "round", "page_url", remaining.alias("remaining"), "next_url",
+                              (F.col("next_url").isNull() | (remaining == 0)).alias("is_over")), "walk")
 
 
 def pages_per_feed(walk: DataFrame) -> DataFrame:
@@ -137,10 +147,10 @@ def feed_entries(walk: DataFrame, pages: DataFrame, feeds: DataFrame, resolve: b
     read = staged(walk.join(feeds.select(F.col("name").alias("_n"), F.col("sel.entries").alias("_selector")), F.col("name") == F.col("_n"))
                   .select("name", "round", "page_url", "_selector"), "feed-pages")
     matched = only_known_urls(pages.select(F.col("url").alias("_u"), "html"), "_u", read, "page_url")
-    found = matched.select("_u", F.explode(per_selector(
-        selectors_of(feeds, "sel.entries"), lambda s: hrefs(F.col("html"), s), "array<string>")).alias("x"))
-    ent = read.join(found.select("_u", F.col("x.s").alias("_s"), F.col("x.h").alias("_h")),
-                    (F.col("page_url") == F.col("_u")) & (F.col("_selector") == F.col("_s")))
+    found = matched.select("_u", F.explode(matches(F.col("html"), selector_rows(selectors_of(feeds, "sel.entries")), "array<string>",
+                                                   lambda _, tags, s: anchor_hrefs(tags, s))).alias("x"))
+    found = found.groupBy("_u", F.col("x.s").alias("_s")).agg(F.min("x.h").alias("_h"))
+    ent = read.join(found, (F.col("page_url") == F.col("_u")) & (F.col("_selector") == F.col("_s")))
     ent = ent.select("name", "round", "page_url", F.posexplode("_h").alias("entry_pos", "entry_url")) \
              .withColumn("entry_pos", F.col("entry_pos").cast("long"))
     if resolve:
@@ -168,14 +178,16 @@ def feed_links(entries: DataFrame, pages: DataFrame, feeds: DataFrame) -> tuple[
     e = staged(entries.join(of_feed, F.col("name") == F.col("_n")).drop("_n"), "feed-entries")
     matched = only_known_urls(pages.select("url", "html"), "url", e, "entry_url")
     html = F.col("html")
-    found = per_selector(selectors_of(of_feed, "_links"), lambda s: hrefs(html, s), "array<string>")
-    said = per_selector(selectors_of(of_feed, "_container"), lambda c: F.transform(texts(html, c), lambda t: py_strip(F.lower(t))), "array<string>")
+    found = matches(html, selector_rows(selectors_of(of_feed, "_links")), "array<string>", lambda _, tags, s: anchor_hrefs(tags, s))
+    said = matches(html, element_rows(selectors_of(of_feed, "_container")), "array<string>",
+                   lambda pieces, tags, s: F.transform(element_texts(pieces, tags, s.container), lambda t: py_strip(F.lower(t))))
     cut = matched.select(F.col("url").alias("_u"), found.alias("_found"), said.alias("_said"))
+    cut = cut.groupBy("_u").agg(F.min(F.struct("_found", "_said")).alias("_c")).select("_u", "_c._found", "_c._said")
     joined = e.join(cut, F.col("entry_url") == F.col("_u"))
     own = F.get(F.filter("_found", lambda x: x.s == F.col("_links")), F.lit(0)).h
     texts_of = F.get(F.filter("_said", lambda x: x.s == F.col("_container")), F.lit(0)).h
     holds = F.col("_container").isNull() | F.arrays_overlap(texts_of, F.coalesce(F.col("_values"), F.array().cast("array<string>")))
-    links = joined.where(F.coalesce(holds, F.lit(False))).select(
+    links = joined.where(F.coalesce(holds, F.lit(False)) & own.isNotNull()).select(
         "round", "name", "position", "entry_pos", "entry_url", "fake", F.posexplode(own).alias("link_pos", "url")) \
         .where(F.col("url").isNotNull()).withColumn("link_pos", F.col("link_pos").cast("long"))
     pos = F.struct("position", "entry_pos", "link_pos", "name")

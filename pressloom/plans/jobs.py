@@ -133,8 +133,8 @@ def site_links(feeds: DataFrame, pages: DataFrame, store_feed_errors: bool = Fal
     have one batch per round and are numbered in it by feed position, entry and link.
     """
     if edges is None:
-        edges = fd.next_pages(feeds, pages)
-    walk = staged(fd.walk_feed(feeds, edges), "walk")
+        edges = staged(fd.next_pages(feeds, pages), "next-pages")
+    walk = fd.walk_feed(feeds, edges)
     entries = staged(fd.feed_entries(walk, pages, feeds, resolve=True), "entries")
     found, missing = fd.feed_links(entries, pages, feeds)
     numbered = global_row_number(found, ["batch_id", "position", "entry_pos", "link_pos"], out="seq")

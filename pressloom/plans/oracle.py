@@ -57,10 +57,10 @@ SELECT h AS feed, page_id, url AS page_url,
        row_number() OVER (PARTITION BY h ORDER BY page_id) AS rn
 FROM (SELECT page_id, url, regexp_extract(url, '^https?://([^/?#]*)', 1) AS h FROM pages) a""",
     "feed": """
-SELECT feed AS name, page_url AS url, page_id % 4 AS stop_after, page_id % 2 = 0 AS fake_news
+SELECT feed AS name, page_url AS url, CASE WHEN page_id % 5 = 0 THEN -1 ELSE page_id % 4 END AS stop_after, page_id % 2 = 0 AS fake_news
 FROM edge WHERE rn = 1""",
     "state": """
-SELECT feed AS name, page_id % 3 = 0 AS is_over, page_url AS url, page_id % 5 AS page
+SELECT feed AS name, page_id % 3 = 0 AS is_over, page_url AS url, page_id % 5 - 1 AS page
 FROM edge WHERE rn = 2 AND page_id % 4 < 3""",
     # the feeds' pages by what their markup was made of: next link, entries, article links, mark
     "site": """
@@ -70,7 +70,7 @@ FROM (SELECT page_id, url, (page_id * 7 + 3) % n AS k1, (page_id * 11 + 5) % n A
 JOIN edge e ON e.page_id = p.page_id JOIN pages a ON a.page_id = p.k1 JOIN pages b ON b.page_id = p.k2
 JOIN pages c ON c.page_id = p.k3 JOIN pages d ON d.page_id = p.k4""",
     "conf": """
-SELECT feed AS name, page_url AS url, page_id % 4 AS stop_after, page_id % 2 = 0 AS fake_news, page_id AS position
+SELECT feed AS name, page_url AS url, CASE WHEN page_id % 5 = 0 THEN -1 ELSE page_id % 4 END AS stop_after, page_id % 2 = 0 AS fake_news, page_id AS position
 FROM edge WHERE rn = 1""",
     "resp": """
 SELECT CASE page_id % 7 WHEN 0 THEN concat('https://web.archive.org/web/2018/', url)

@@ -49,6 +49,12 @@ def err_rows(ewp: DataFrame) -> DataFrame:
                     created.alias("creation_date")))
 
 
+def _counter() -> F.Column:
+    """Counter of a feed by its first page: every fifth feed has none and runs to the end of its chain."""
+    p = F.col("page_id")
+    return F.when(p % 5 == 0, F.lit(-1)).otherwise(p % 4)
+
+
 # Markup of the site view (ours): which other pages a page links to (id * factor + add, modulo the number of pages), and
 # the selectors (next, entries, links) and the condition of feeds of fake news, then the selectors of the others.
 SITE_LINKS = {"e1": (7, 3), "e2": (11, 5), "l1": (3, 1), "l2": (5, 2)}
@@ -149,7 +155,7 @@ class Views:
     def feed(self) -> DataFrame:
         p = F.col("page_id")
         return self.edge.where(F.col("rn") == 1).select(
-            F.col("feed").alias("name"), F.col("page_url").alias("url"), (p % 4).alias("stop_after"),
+            F.col("feed").alias("name"), F.col("page_url").alias("url"), _counter().alias("stop_after"),
             (p % 2 == 0).alias("fake_news"))
 
     # view: state -- some collectors over, some resumed at their second page
@@ -158,7 +164,7 @@ class Views:
         p = F.col("page_id")
         return self.edge.where((F.col("rn") == 2) & (p % 4 < 3)).select(
             F.col("feed").alias("name"), (p % 3 == 0).alias("is_over"), F.col("page_url").alias("url"),
-            (p % 5).alias("page"))
+            (p % 5 - 1).alias("page"))
 
     # view: resp -- responses for the links of lnk: bad status, null body, archive header
     @cached_property
@@ -206,7 +212,7 @@ class Views:
         return self.edge.where(F.col("rn") == 1).select(
             F.col("feed").alias("name"), F.col("page_url").alias("url"),
             F.struct(pick(0).alias("nextp"), pick(1).alias("entries"), pick(2).alias("links")).alias("sel"),
-            (p % 4).alias("stop_after"), fake.alias("fake_news"),
+            _counter().alias("stop_after"), fake.alias("fake_news"),
             F.when(fake, F.struct(F.lit(SITE_CONDITION[0]).alias("value_container"), F.array(*map(F.lit, SITE_CONDITION[1])).alias("values"))).alias("condition"),
             p.alias("position"))
 

@@ -160,6 +160,68 @@ def test_walk_of_a_long_chain(spark):
     assert walk._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
 
 
+def test_walk_doubles_over_a_chain_of_ten_thousand_pages(spark, monkeypatch):
+    n, steps = 10_000, []
+    monkeypatch.setattr(fd, "staged", lambda df, name, real=fd.staged: steps.append(name) or real(df, name))
+    edges = spark.range(n).selectExpr("concat('p', id) as page_url", f"if(id < {n - 1}, concat('p', id + 1), null) as next_url")
+    feeds = spark.createDataFrame([("all", "p0", -1), ("some", "p9000", 500), ("last", "p9999", -1)], "name string, url string, stop_after long")
+    got = {r.name: (r.n, r.m) for r in fd.walk_feed(feeds, edges).groupBy("name").agg(F.count("*").alias("n"), F.max("round").alias("m")).collect()}
+    assert got == {"all": (n, n - 1), "some": (501, 500), "last": (1, 0)}
+    assert steps.count("walk-jumps") <= 14
+
+
+def plain_walk(feeds, edges, fetched):
+    rows = []
+    for name, sel, url, left in feeds:
+        seen, rnd = set(), 0
+        while url in fetched and not (left < 0 and url in seen):
+            seen.add(url)
+            nxt = edges.get((sel, url))
+            rows.append((name, rnd, url, left, nxt, nxt is None or left == 0))
+            if rows[-1][-1]:
+                break
+            url, left, rnd = nxt, left - 1, rnd + 1
+    return sorted(rows, key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_walks_over_random_links(spark, seed):
+    rng = random.Random(seed)
+    pages = [f"p{i}" for i in range(40)]
+    edges = {(s, p): rng.choice(pages + ["lost"]) for s in ("a.x", "a.y") for p in pages if rng.random() < 0.9}  # cycles, tails, lost pages
+    feeds = [(f"f{i}", rng.choice(["a.x", "a.y"]), rng.choice(pages + ["lost"]), rng.randint(-2, 30)) for i in range(30)]
+    rows = [(None, p, None) for p in pages] + [(s, p, n) for (s, p), n in edges.items()]
+    e = spark.createDataFrame(rows + rows[:9], "selector string, page_url string, next_url string")  # pages fetched twice
+    f = spark.createDataFrame([(n, (s, None, None), u, k) for n, s, u, k in feeds], "name string, sel struct<nextp:string,entries:string,links:string>, url string, stop_after long")
+    got = sorted((tuple(r) for r in fd.walk_feed(f, e).select("name", "round", "page_url", "remaining", "next_url", "is_over").collect()), key=repr)
+    assert got == plain_walk(feeds, edges, set(pages))
+    cut = fd.walk_feed(f, e, max_rounds=5).agg(F.max("round")).first()[0]
+    assert cut == min(4, max(r[1] for r in got))
+
+
+def test_pages_are_asked_only_for_selectors_that_can_match(spark):
+    page = "<div class='n7'><a href='/x'>x</a></div><a class='n3' href='/y'>y</a>"
+    site = spark.createDataFrame([(f"http://s.org/{i}", page) for i in range(20)], "url string, html string")
+    feeds = spark.createDataFrame([(f"f{i}", f"http://s.org/{i % 20}", -1, True, (f".n{i} a" if i % 2 else f"a.n{i}", None, None), None, i) for i in range(200)]
+                                  + [("three", "http://s.org/0", -1, True, ("a.n3", None, None), None, 200)], FEEDS)
+    edges = fd.next_pages(feeds, site)
+    assert edges.count() == 60  # a row per page, and its links by the two selectors that match
+    assert {(r.selector, r.next_url) for r in edges.where("selector is not null").collect()} == {(".n7 a", "http://s.org/x"), ("a.n3", "http://s.org/y")}
+    plans = [len(fd.next_pages(feeds.limit(n), site)._jdf.queryExecution().optimizedPlan().toString()) for n in (1, 201)]
+    assert plans[1] < 2 * plans[0] + 10_000
+
+
+def test_a_feed_page_fetched_twice_gives_its_links_once(spark):
+    rows = [("http://s.org/", "<h2><a href='/e'>e</a></h2>")] * 2 + [("http://s.org/e", "<article><a href='http://n.org/1'>1</a></article>")] * 3
+    site = spark.createDataFrame(rows, "url string, html string")
+    feeds = spark.createDataFrame([("f", "http://s.org/", 0, True, SEL, None, 0)], FEEDS)
+    walk = fd.walk_feed(feeds, fd.next_pages(feeds, site))
+    entries = fd.feed_entries(walk, site, feeds, resolve=True)
+    assert walk.count() == 1 and entries.count() == 1
+    links, errors = fd.feed_links(entries, site, feeds)
+    assert [r.url for r in links.collect()] == ["http://n.org/1"] and errors.count() == 0
+
+
 def test_page_lost_in_the_middle_of_a_walk(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "lost")], "page_url string, next_url string")
     feeds = spark.createDataFrame([("f", "a", -1, True), ("g", "none", 1, False)], "name string, url string, stop_after long, fake_news boolean")
