@@ -65,54 +65,52 @@ def page_text(html) -> Column:
 
 
 def meta_tags(html) -> Column:
-    """All ``<meta ...>`` tags of the page, in order (one pass over the html)."""
-    return F.regexp_extract_all(_c(html), F.lit(META_TAG_RE), F.lit(0))
+    """Per ``<meta ...>`` tag of the page, in order, ``(name, property, content)``, the first two in lower case (one pass over the html)."""
+    tags = F.regexp_extract_all(_c(html), F.lit(META_TAG_RE), F.lit(0))
+    return F.transform(tags, lambda t: F.struct(F.lower(attr(t, "name")).alias("name"), F.lower(attr(t, "property")).alias("property"),
+                                                attr(t, "content").alias("content")))
 
 
-def _named(html, spec: tuple[str, str]) -> Column:
+def _named(metas: Column, spec: tuple[str, str]) -> Column:
     """Contents of the meta tags whose attribute has the given value, in order; tags without content are left out."""
     name, value = spec
-    contents = F.transform(F.filter(meta_tags(html), lambda t: F.coalesce(F.lower(attr(t, name)) == value, F.lit(False))),
-                           lambda t: attr(t, "content"))
-    return F.filter(contents, lambda c: c.isNotNull())
+    kept = F.filter(metas, lambda t: F.coalesce(t[name] == value, F.lit(False)) & t.content.isNotNull())
+    return F.transform(kept, lambda t: t.content)
 
 
-def meta_content(html, spec: tuple[str, str]) -> Column:
-    """Content of the first meta tag of that name, or null when there is none. Attributes may stand in
-    either order and in either quotes. Matches run over the extracted tags, not the whole page."""
-    return F.try_element_at(_named(html, spec), F.lit(1))
+def _first(metas: Column, spec: tuple[str, str]) -> Column:
+    """Content of the first meta tag of that name, or null when there is none. Attributes may stand in any order and quotes."""
+    return F.try_element_at(_named(metas, spec), F.lit(1))
 
 
-def meta_description(html) -> Column:
-    """Description meta content ('' when absent, like the parser's default)."""
-    return F.coalesce(meta_content(html, META_DESCRIPTION), F.lit(""))
-
-
-def page_lang(html) -> Column:
-    """``<html lang>``: first two letters, lower case, when they are letters; else null."""
-    two = F.substring(F.coalesce(attr(F.regexp_extract(_c(html), HTML_TAG_RE, 0), "lang"), F.lit("")), 1, 2)
-    return F.when(two.rlike("^[A-Za-z]{2}$"), F.lower(two))
-
-
-def page_keywords(html) -> Column:
-    kw = F.coalesce(meta_content(html, META_KEYWORDS), F.lit(""))
-    return check_strings(F.split(kw, ",", -1))
+def _publish_date(metas: Column) -> Column:
+    raw = F.coalesce(_first(metas, META_PUBLISHED), F.lit(""))
+    day = F.regexp_extract(raw, DATE_RE, 1)
+    clock = F.regexp_extract(raw, DATE_RE, 2)
+    txt = F.when(day != "", F.concat(day, F.when(clock != "", F.concat(F.lit(" "), clock)).otherwise(F.lit(""))))
+    return txt.try_cast("timestamp_ntz")
 
 
-def page_section(html) -> Column:
-    return meta_content(html, META_SECTION)
+#: K3: field -> how it is made of the page's meta tags; description is '' when absent, like the parser's default
+_META_FIELDS = {
+    "description": lambda m: F.coalesce(_first(m, META_DESCRIPTION), F.lit("")),
+    "keywords": lambda m: check_strings(F.split(F.coalesce(_first(m, META_KEYWORDS), F.lit("")), ",", -1)),
+    "section": lambda m: _first(m, META_SECTION),
+    "generator": lambda m: value_or_none(_first(m, META_GENERATOR)),
+    "publish_date": _publish_date,
+    "authors": lambda m: F.array_distinct(check_strings(_named(m, META_AUTHOR))),
+}
 
 
-def page_generator(html) -> Column:
-    return value_or_none(meta_content(html, META_GENERATOR))
+def meta_fields(html) -> Column:
+    """K3: struct of all meta fields; the page's meta tags are read once."""
+    return let(meta_tags(html), lambda metas: F.struct(*(make(metas).alias(n) for n, make in _META_FIELDS.items())))
 
 
-def page_publish_date(html) -> Column:
-    raw = F.coalesce(meta_content(html, META_PUBLISHED), F.lit(""))
-    day = F.regexp_extract(raw, DATE_RE, 1)
-    clock = F.regexp_extract(raw, DATE_RE, 2)
-    txt = F.when(day != "", F.concat(day, F.when(clock != "", F.concat(F.lit(" "), clock)).otherwise(F.lit(""))))
-    return txt.try_cast("timestamp_ntz")
+def page_lang(html) -> Column:
+    """``<html lang>``: first two letters, lower case, when they are letters; else null."""
+    two = F.substring(F.coalesce(attr(F.regexp_extract(_c(html), HTML_TAG_RE, 0), "lang"), F.lit("")), 1, 2)
+    return F.when(two.rlike("^[A-Za-z]{2}$"), F.lower(two))
 
 
 def _sources(html, tag_pattern: str) -> Column:
@@ -129,10 +127,6 @@ def page_videos(html) -> Column:
     return _sources(html, VIDEO_TAG_RE)
 
 
-def page_authors(html) -> Column:
-    return F.array_distinct(check_strings(_named(html, META_AUTHOR)))
-
-
 def archive_original_url(html) -> tuple[Column, Column]:
     """Original url of an archive page = ``value`` of the first ``input`` in the
     first table under ``#HEADER``, whatever stands before the table; inputs elsewhere

@@ -1,15 +1,15 @@
 """Pages -> article records.
 
 ``build_articles`` turns admitted links plus fetched responses into two
-frames, articles (19 columns, §1.3 order) and errors (6 columns). Of the pages only
-those that a link asks for leave the place where they are read, and their html is
-parsed once; the text then crosses the one shuffle that the summary needs.
+frames, articles (19 columns, §1.3 order) and errors (6 columns). Pages that a link
+asks for are parsed once, where they are read, and only the values made of them leave that
+place; the text crosses the one shuffle that the summary needs.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,86 +91,101 @@ def error_rows(df: DataFrame, type_col: Column, info_col: Column, url: Column, s
                      ntz_literal(run_ts).alias("creation_date"), *keep)
 
 
-def link_pages(links: DataFrame, responses: DataFrame) -> DataFrame:
-    """Attach each link's response; ``_has_resp`` false (status/html null) when none came back.
+def read_responses(urls: DataFrame, responses: DataFrame, fields: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """The responses of some urls (column ``url``): ``(pages, chosen)``.
 
-    The html is the largest column in the system: pages that no link asks for are
-    filtered where they are read, and only the rest is joined. Links without a
-    response come from an anti join that reads only the page urls.
+    ``fields`` are made of ``url``, ``status`` and ``html`` where the pages are read, and only they
+    are kept: html never moves, whatever the number of urls. ``pages``: ``_row`` (unique), ``status`` (200 where the table
+    has none), ``_has_html`` and the fields, of all fetches of these urls and of a few other pages. ``chosen(_curl, _crow)``: the one
+    response of each url, the newest if the table has ``fetched``; of equally new ones a usable one, and of
+    these the one of the greatest hash of its html.
     """
     status = F.col("status") if "status" in responses.columns else F.lit(200)
-    r = responses.select(F.col("url").alias("_rurl"), status.alias("status"), F.col("html"))
+    fetched = F.col("fetched") if "fetched" in responses.columns else F.lit(0)
+    r = responses.select(F.col("url"), status.alias("status"), F.col("html"), fetched.alias("_fetched"))
+    order = F.struct("_fetched", (F.col("status") == 200).alias("_ok"), F.col("html").isNotNull().alias("_some"), F.md5("html").alias("_hash"))
+    read = only_known_urls(r.where(F.col("url").isNotNull()), "url", urls, "url")
+    pages = staged(read.select(F.monotonically_increasing_id().alias("_row"), F.col("url").alias("_purl"), order.alias("_order"), "status",
+                               F.col("html").isNotNull().alias("_has_html"), *(c.alias(n) for n, c in fields.items())), "parsed")
+    chosen = pages.groupBy(F.col("_purl").alias("_curl")).agg(F.max_by("_row", "_order").alias("_crow"))  # equal fetches: any of them
+    return pages.drop("_purl", "_order"), chosen
+
+
+def link_pages(links: DataFrame, responses: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
+    """Each link with its one response: ``_has_resp`` (false: none came back), ``status`` and ``fields`` of the page.
+
+    The fields are made where the pages are read (see ``read_responses``); a page that was fetched several times doesn't
+    multiply its links.
+    """
     lk = staged(links, "links")
-    matched = only_known_urls(r, "_rurl", lk, "url").join(lk, F.col("_rurl") == F.col("url")).drop("_rurl").withColumn("_has_resp", F.lit(True))
-    urls = responses.select(F.col("url").alias("_rurl")).where(F.col("_rurl").isNotNull())
-    missing = (lk.join(urls, lk["url"] == urls["_rurl"], "left_anti")
-               .withColumn("status", F.lit(None).cast(r.schema["status"].dataType))
-               .withColumn("html", F.lit(None).cast("string")).withColumn("_has_resp", F.lit(False)))
-    return matched.unionByName(missing.select(*matched.columns))
+    pages, chosen = read_responses(lk, responses, fields)
+    linked = lk.join(chosen, F.col("url") == F.col("_curl"), "left").withColumn("_has_resp", F.col("_crow").isNotNull())
+    return linked.join(pages, F.col("_crow") == F.col("_row"), "left").drop("_curl", "_crow", "_row", "_has_html")
+
+
+def page_fields(kind: Column, html: Column) -> dict[str, Column]:
+    """Every value of an article that is made of its page (``kind``: of the link)."""
+    archive_url, archive_error = H.archive_original_url(F.when(kind == KIND_ARCHIVE, html))  # the header is looked for in archive pages only
+    metas = H.meta_fields(html)
+    return {
+        "_original": F.when(kind == KIND_ARCHIVE, archive_url), "_header_error": F.when(kind == KIND_ARCHIVE, archive_error),
+        "title": correct_title(truncate_title(H.page_title(html)), H.title_tag_text(html)),
+        "text": remove_newlines(H.page_text(html)), "images": H.page_images(html), "videos": H.page_videos(html), "lang": H.page_lang(html), "_metas": metas}
 
 
 def build_articles(links: DataFrame, responses: DataFrame, run_ts: dt.datetime,
                    key_cols: Sequence[str] = ("batch_id", "seq")) -> tuple[DataFrame, DataFrame]:
     """K6: admitted links + responses -> ``(articles, errors)``.
 
-    ``links(batch_id, seq, url, scraped_from, fake)``; ``responses(url, [status,] html)``.
+    ``links(batch_id, seq, url, scraped_from, fake)``; ``responses(url, [status, fetched,] html)``.
     Each link goes to the extractor of its kind (C6): web-archive links need an
     encoded url in their path before anything is read; archive pages give the
     original url from their header (C7); the others keep the visited url.
     Failures become error rows with the kind of failure as ``type``.
+
+    Pages are parsed and summarised once each, where they are read; links meet them by row
+    number. Texts cross one shuffle, which the summary needs; html crosses none.
     """
     u, src, fake = F.col("url"), F.col("scraped_from"), F.col("fake")
+    keys = list(key_cols)
     kinded = links.withColumn("_kind", link_kind(u)).withColumn("_target", web_archive_target(u))
-    joined = link_pages(kinded, responses)
-    arch_url, arch_err = H.archive_original_url(F.col("html"))
-    arch_err = F.when(F.col("_kind") == KIND_ARCHIVE, arch_err)  # the header is looked for in archive pages only
-
-    web_missing = (F.col("_kind") == KIND_WEB_ARCHIVE) & (F.col("_target") == "")
+    lk = staged(kinded, "links")
+    usable = F.when(F.col("status") == 200, F.col("html"))
+    pages, chosen = read_responses(lk, responses, page_fields(link_kind(u), usable))
+    # which links have an error takes narrow columns only
+    narrow = lk.join(chosen, u == F.col("_curl"), "left").join(
+        pages.select(F.col("_row").alias("_prow"), "status", "_has_html", "_header_error"), F.col("_crow") == F.col("_prow"), "left")
+    has_resp, web_missing = F.col("_crow").isNotNull(), (F.col("_kind") == KIND_WEB_ARCHIVE) & (F.col("_target") == "")
+    header = F.col("_header_error")
     err_type = (F.when(web_missing, F.lit(ARCHIVED_URL_NOT_FOUND))
-                .when(~F.col("_has_resp"), F.lit(TIMEOUT_ERROR))
+                .when(~has_resp, F.lit(TIMEOUT_ERROR))
                 .when(F.col("status") != 200, F.lit(HTTP_STATUS_ERROR))
-                .when(F.col("html").isNull(), F.lit(TEXT_ERROR))
-                .when(F.col("_kind") == KIND_ARCHIVE, arch_err))
+                .when(~F.col("_has_html"), F.lit(TEXT_ERROR))
+                .when(F.col("_kind") == KIND_ARCHIVE, header))
     source = F.coalesce(src, F.lit("None"))
     err_info = (F.when(web_missing, message(MSG_ENCODED_NOT_FOUND, url=u))
-                .when(~F.col("_has_resp"), message(MSG_TIMEOUT, url=u, source=source))
+                .when(~has_resp, message(MSG_TIMEOUT, url=u, source=source))
                 .when(F.col("status") != 200, message(MSG_HTTP_STATUS, url=u, status=F.col("status")))
-                .when(F.col("html").isNull(), message(MSG_TEXT, url=u))
-                .when(arch_err == "TypeError", F.lit(MSG_NO_HEADER_INPUT))
-                .when(arch_err == "KeyError", F.lit(MSG_NO_VALUE_ATTR))
-                .when(arch_err == ARCHIVED_URL_NOT_FOUND, message(MSG_ARCHIVE_NOT_FOUND, url=u, source=source)))
-    tagged = joined.withColumn("_err", err_type).withColumn("_info", err_info)
-
-    # every html-derived value in one projection; html itself is dropped here and the result
-    # is materialised once, so pages are parsed once for both outputs
-    actual = (F.when(F.col("_kind") == KIND_ARCHIVE, arch_url)
-              .when(F.col("_kind") == KIND_WEB_ARCHIVE, F.col("_target")).otherwise(u))
-    html = F.when(F.col("_err").isNull(), F.col("html"))
-    keys = list(key_cols)
-    wide = tagged.select(
-        *keys, "_err", "_info", u.alias("url"), src.alias("scraped_from"), fake.alias("fake"),
-        F.col("url").alias("visited_url"), actual.alias("_actual"),
-        correct_title(truncate_title(H.page_title(html)), H.title_tag_text(html)).alias("title"),
-        remove_newlines(H.page_text(html)).alias("text"),
-        min_words_or_none(H.meta_description(html), 1).alias("description"),
-        H.page_authors(html).alias("authors"), H.page_images(html).alias("images"),
-        H.page_videos(html).alias("videos"), H.page_lang(html).alias("lang"),
-        H.page_keywords(html).alias("keywords"), H.page_section(html).alias("section"),
-        H.page_publish_date(html).alias("publish_date"), H.page_generator(html).alias("generator"))
-    wide = staged(wide, "parsed")
-
-    errors = error_rows(wide.where(F.col("_err").isNotNull()), F.col("_err"), F.col("_info"), u, src, fake, run_ts,
-                        keep=keys)
-    fields = wide.where(F.col("_err").isNull()).drop("_err", "_info", "url")
-    # the fields go along through the one shuffle that the summary needs
-    summed = summarize(fields, keys, "text", "_summary")
-    articles = summed.select(
-        *key_cols,
-        "title", "text", "description", F.col("_actual").alias("url"), "visited_url", "scraped_from",
-        site_key(F.col("_actual")).alias("netloc"), maintain_path(F.col("_actual")).alias("path"),
-        "authors", "images", "videos", "lang", "keywords", "section", "publish_date", "generator",
-        value_or_none(remove_newlines(F.col("_summary"))).alias("summary"), "fake",
-        ntz_literal(run_ts).alias("scraped_date"))
+                .when(~F.col("_has_html"), message(MSG_TEXT, url=u))
+                .when(header == "TypeError", F.lit(MSG_NO_HEADER_INPUT))
+                .when(header == "KeyError", F.lit(MSG_NO_VALUE_ATTR))
+                .when(header == ARCHIVED_URL_NOT_FOUND, message(MSG_ARCHIVE_NOT_FOUND, url=u, source=source)))
+    tagged = staged(narrow.select(*keys, u.alias("visited_url"), src.alias("scraped_from"), fake.alias("fake"), "_kind", "_target", "_crow",
+                                  err_type.alias("_err"), err_info.alias("_info")), "linked")
+    errors = error_rows(tagged.where(F.col("_err").isNotNull()), F.col("_err"), F.col("_info"), F.col("visited_url"), src, fake, run_ts, keep=keys)
+
+    # the fields of usable pages go along through the one shuffle that the summary needs, which is by the row that links join on
+    fields = pages.where(F.col("_has_html") & (F.col("status") == 200) & F.col("_header_error").isNull()).drop("status", "_has_html", "_header_error")
+    summed = summarize(fields, ["_row"], "text", "_summary")
+    joined = tagged.where(F.col("_err").isNull()).join(summed, F.col("_crow") == F.col("_row"))
+    actual = (F.when(F.col("_kind") == KIND_ARCHIVE, F.col("_original"))
+              .when(F.col("_kind") == KIND_WEB_ARCHIVE, F.col("_target")).otherwise(F.col("visited_url")))
+    m = F.col("_metas")
+    articles = joined.withColumn("url", actual).select(
+        *keys, "title", "text", min_words_or_none(m["description"], 1).alias("description"), "url", "visited_url", "scraped_from",
+        site_key(u).alias("netloc"), maintain_path(u).alias("path"), m["authors"].alias("authors"), "images", "videos", "lang",
+        m["keywords"].alias("keywords"), m["section"].alias("section"), m["publish_date"].alias("publish_date"), m["generator"].alias("generator"),
+        value_or_none(remove_newlines(F.col("_summary"))).alias("summary"), "fake", ntz_literal(run_ts).alias("scraped_date"))
     return articles, errors
 
 

@@ -72,18 +72,26 @@ JOIN pages c ON c.page_id = p.k3 JOIN pages d ON d.page_id = p.k4""",
     "conf": """
 SELECT feed AS name, page_url AS url, CASE WHEN page_id % 5 = 0 THEN -1 ELSE page_id % 4 END AS stop_after, page_id % 2 = 0 AS fake_news, page_id AS position
 FROM edge WHERE rn = 1""",
+    # responses of links; some urls are fetched again later with another page, some are there twice
     "resp": """
 SELECT CASE page_id % 7 WHEN 0 THEN concat('https://web.archive.org/web/2018/', url)
                         WHEN 1 THEN concat('http://archive.is/', page_id)
                         WHEN 2 THEN concat('https://www.archive.is/', page_id) ELSE url END AS url,
-       CASE WHEN page_id % 13 = 0 THEN 404 ELSE 200 END AS status,
+       CASE WHEN page_id % 13 = 0 AND k <> 2 THEN 404 ELSE 200 END AS status, CASE WHEN k = 2 THEN 2 ELSE 1 END AS fetched,
        CASE WHEN page_id % 17 = 0 THEN NULL
-            WHEN page_id % 7 = 1 AND page_id % 9 = 0 THEN concat('<div id="HEADER"><table><tr><td><input value=""></td></tr></table></div>', html)
-            WHEN page_id % 7 = 1 THEN concat('<div id="HEADER"><p>saved</p><table><tr><td><input type="text" value="', url, '"></td></tr></table></div>', html)
-            ELSE html END AS html
-FROM pages WHERE page_id % 7 <> 3 AND page_id % 29 <> 0""",
+            WHEN page_id % 7 = 1 AND page_id % 9 = 0 THEN concat('<div id="HEADER"><table><tr><td><input value=""></td></tr></table></div>', body)
+            WHEN page_id % 7 = 1 THEN concat('<div id="HEADER"><p>saved</p><table><tr><td><input type="text" value="', url, '"></td></tr></table></div>', body)
+            ELSE body END AS html
+FROM (SELECT page_id, url, k, CASE WHEN k = 2 THEN replace(html, '</article>', '<p>Fetched again.</article>') ELSE html END AS body
+      FROM pages, (VALUES (1), (2), (3)) f(k) WHERE k = 1 OR (k = 2 AND page_id % 6 = 2) OR (k = 3 AND page_id % 10 = 4)) p
+WHERE page_id % 7 <> 3 AND page_id % 29 <> 0""",
+    # the one response of each url
+    "resp1": """
+SELECT url, status, html FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY fetched DESC, status = 200 DESC, html IS NOT NULL DESC, md5(html) DESC) AS k FROM resp) r
+WHERE k = 1""",
 }
-VIEW_DEPS = {"feed": ["edge"], "state": ["edge"], "site": ["edge"], "conf": ["edge"]}
+VIEW_DEPS = {"feed": ["edge"], "state": ["edge"], "site": ["edge"], "conf": ["edge"], "resp1": ["resp"]}
 
 
 def with_views(body: str, *names: str, extra: list[tuple[str, str]] | None = None, recursive: bool = False) -> str:

@@ -53,11 +53,9 @@ SELECT page_id, concat('Page ', page_id, ' & more') AS description,
 FROM pages""")
 def q_page_meta(spark: SparkSession, sf: str) -> DataFrame:
     from pressloom.functions.text import min_words_or_none
-    h = F.col("html")
-    return Views(spark, sf).mpage.select(
-        "page_id", min_words_or_none(H.meta_description(h), 1).alias("description"), H.page_lang(h).alias("lang"),
-        F.array_join(H.page_keywords(h), "|").alias("keywords"), H.page_section(h).alias("section"),
-        H.page_generator(h).alias("generator"), H.page_publish_date(h).alias("publish_date"))
+    read = Views(spark, sf).mpage.select("page_id", H.meta_fields("html").alias("m"), H.page_lang("html").alias("lang"))
+    return read.select("page_id", min_words_or_none(F.col("m.description"), 1).alias("description"), "lang", F.array_join("m.keywords", "|").alias("keywords"),
+                       "m.section", "m.generator", "m.publish_date")
 
 
 @register("page_media", """
@@ -67,7 +65,7 @@ def q_page_media(spark: SparkSession, sf: str) -> DataFrame:
     h = F.col("html")
     return Views(spark, sf).mpage.select(
         "page_id", F.array_join(H.page_images(h), "|").alias("images"),
-        F.array_join(H.page_videos(h), "|").alias("videos"), F.array_join(H.page_authors(h), "|").alias("authors"))
+        F.array_join(H.page_videos(h), "|").alias("videos"), F.array_join(H.meta_fields(h)["authors"], "|").alias("authors"))
 
 
 # ---- K5: summary, as SQL over a text table t(k1, k2, text) ----
@@ -134,12 +132,11 @@ def _admitted(v: Views) -> DataFrame:
 
 @register("link_pages", o.with_views("""
 SELECT l.batch_id, l.seq, l.url, r.url IS NOT NULL AS has_response, r.status, md5(r.html) AS html_md5
-FROM admitted l LEFT JOIN resp r ON r.url = l.url""", "src", "lnk", "resp", extra=ADMITTED))
+FROM admitted l LEFT JOIN resp1 r ON r.url = l.url""", "src", "lnk", "resp1", extra=ADMITTED))
 def q_link_pages(spark: SparkSession, sf: str) -> DataFrame:
     v = Views(spark, sf)
-    j = ar.link_pages(_admitted(v), v.resp)
-    return j.select("batch_id", "seq", "url", F.col("_has_resp").alias("has_response"), "status",
-                    F.md5("html").alias("html_md5"))
+    j = ar.link_pages(_admitted(v), v.resp, {"html_md5": F.md5("html")})
+    return j.select("batch_id", "seq", "url", F.col("_has_resp").alias("has_response"), "status", "html_md5")
 
 
 # ---- K6: articles and their errors, as SQL ----
@@ -163,7 +160,7 @@ def _err_sql() -> tuple[str, str]:
 ERR_TYPE_SQL, ERR_INFO_SQL = _err_sql()
 BUILD_CTES = ADMITTED + [
     ("kd", f"""SELECT l.*, {o.link_kind('l.url')} AS kind, {o.web_archive_target('l.url')} AS target,
-               r.url IS NOT NULL AS has_resp, r.status, r.html FROM admitted l LEFT JOIN resp r ON r.url = l.url"""),
+               r.url IS NOT NULL AS has_resp, r.status, r.html FROM admitted l LEFT JOIN resp1 r ON r.url = l.url"""),
     ("tg", f"SELECT *, {ERR_TYPE_SQL} AS err, {ERR_INFO_SQL} AS info FROM kd"),
     ("okf", f"""SELECT batch_id, seq, url AS visited_url,
                CASE WHEN kind = 'archive' THEN {ARCH_URL} WHEN kind = 'web_archive' THEN target ELSE url END AS actual,
@@ -198,27 +195,27 @@ def _flat(df: DataFrame) -> DataFrame:
                        for c in df.columns])
 
 
-@register("build_articles", o.with_views(BUILT_FLAT + " FROM built", "src", "lnk", "resp", extra=BUILD_CTES))
+@register("build_articles", o.with_views(BUILT_FLAT + " FROM built", "src", "lnk", "resp1", extra=BUILD_CTES))
 def q_build_articles(spark: SparkSession, sf: str) -> DataFrame:
     arts, _ = _built(Views(spark, sf))
     return _flat(arts)
 
 
 @register("article_record", o.with_views(
-    BUILT_FLAT.replace("SELECT batch_id, seq, ", "SELECT ") + " FROM built", "src", "lnk", "resp", extra=BUILD_CTES))
+    BUILT_FLAT.replace("SELECT batch_id, seq, ", "SELECT ") + " FROM built", "src", "lnk", "resp1", extra=BUILD_CTES))
 def q_article_record(spark: SparkSession, sf: str) -> DataFrame:
     arts, _ = _built(Views(spark, sf))
     return _flat(ar.article_record(arts))
 
 
-@register("error_record", o.with_views(BUILD_ERRORS_SQL, "src", "lnk", "resp", extra=BUILD_CTES))
+@register("error_record", o.with_views(BUILD_ERRORS_SQL, "src", "lnk", "resp1", extra=BUILD_CTES))
 def q_error_record(spark: SparkSession, sf: str) -> DataFrame:
     _, errs = _built(Views(spark, sf))
     return ar.error_record(errs)
 
 
 @register("stamp_scraped_date", o.with_views(
-    "SELECT batch_id, seq, url, scraped_date FROM built", "src", "lnk", "resp", extra=BUILD_CTES))
+    "SELECT batch_id, seq, url, scraped_date FROM built", "src", "lnk", "resp1", extra=BUILD_CTES))
 def q_stamp(spark: SparkSession, sf: str) -> DataFrame:
     arts, _ = _built(Views(spark, sf))
     return ar.stamp_scraped_date(arts, RUN_TS).select("batch_id", "seq", "url", "scraped_date")
@@ -261,7 +258,7 @@ def q_dedup_scope(spark: SparkSession, sf: str) -> DataFrame:
 @register("archived_recheck", o.with_views(
     f"""SELECT b.batch_id, b.seq, b.url, b.visited_url FROM built b LEFT JOIN dim d ON d.key = {o.site_key('b.url')}
         WHERE b.url = b.visited_url OR {o.admission('d.label', 'b.fake', 'b.url <> b.visited_url')}""",
-    "src", "lnk", "resp", extra=BUILD_CTES))
+    "src", "lnk", "resp1", extra=BUILD_CTES))
 def q_archived_recheck(spark: SparkSession, sf: str) -> DataFrame:
     v = Views(spark, sf)
     arts, _ = _built(v)

@@ -54,7 +54,7 @@ DISP_SQL = f"""SELECT b.* FROM built b JOIN kept k ON k.batch_id = b.batch_id AN
 
 
 @register("dispatch_batch", o.with_views(
-    BUILT_FLAT + " FROM disp", "src", "lnk", "resp",
+    BUILT_FLAT + " FROM disp", "src", "lnk", "resp1",
     extra=BUILD_CTES + dedup_walk_sql("built") + [("disp", DISP_SQL)], recursive=True))
 def q_dispatch_batch(spark: SparkSession, sf: str) -> DataFrame:
     v = Views(spark, sf)
@@ -69,7 +69,7 @@ SELECT batch_id, seq, CASE WHEN url IS NULL THEN 'NotNullViolationError'
 FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY batch_id, seq) AS rn FROM built) b"""
 
 
-@register("store_articles", o.with_views(STORED_SQL, "src", "lnk", "resp", extra=BUILD_CTES))
+@register("store_articles", o.with_views(STORED_SQL, "src", "lnk", "resp1", extra=BUILD_CTES))
 def q_store_articles(spark: SparkSession, sf: str) -> DataFrame:
     """B1: two runs into one store; the first has put every tenth page url there."""
     v = Views(spark, sf)
@@ -85,7 +85,7 @@ def q_store_articles(spark: SparkSession, sf: str) -> DataFrame:
             .unionByName(refused.select("batch_id", "seq", F.col("type").alias("outcome"))))
 
 
-@register("store_errors", o.with_views(BUILD_ERRORS_SQL, "src", "lnk", "resp", extra=BUILD_CTES))
+@register("store_errors", o.with_views(BUILD_ERRORS_SQL, "src", "lnk", "resp1", extra=BUILD_CTES))
 def q_store_errors(spark: SparkSession, sf: str) -> DataFrame:
     """B2: errors written to a batch-partitioned table and read back."""
     _, errs = _built(Views(spark, sf))
@@ -95,7 +95,7 @@ def q_store_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("sink_projection", o.with_views(
-    BUILT_FLAT.replace("SELECT batch_id, seq, ", "SELECT ") + " FROM built", "src", "lnk", "resp", extra=BUILD_CTES))
+    BUILT_FLAT.replace("SELECT batch_id, seq, ", "SELECT ") + " FROM built", "src", "lnk", "resp1", extra=BUILD_CTES))
 def q_sink_projection(spark: SparkSession, sf: str) -> DataFrame:
     arts, _ = _built(Views(spark, sf))
     return _flat(store.sink_projection(arts, ARTICLE_SCHEMA))
@@ -115,7 +115,7 @@ ARTICLES_SQL = BUILT_FLAT.replace("SELECT batch_id, seq, ", "SELECT ") + " FROM
 
 
 @register("collect_job", o.with_views(
-    ARTICLES_SQL, "conf", "state", "site", "post", "src", "resp",
+    ARTICLES_SQL, "conf", "state", "site", "post", "src", "resp1",
     extra=[("subs", SUBS_SQL), ("resumed", RESUMED_CONF_SQL)] + walk_sql("resumed", "feed_walk")
     + [("ent", ENTRIES_SQL.replace("FROM walk w", "FROM feed_walk w")), ("lnk", JOB_LINKS_SQL)] + BUILD_CTES
     + dedup_walk_sql("built") + [("disp", DISP_SQL), ("first_of_url", FIRST_OF_URL_SQL)], recursive=True))
@@ -153,7 +153,7 @@ WHERE url IS NULL OR (NOT EXISTS (SELECT 1 FROM latest b WHERE b.url = r.url AND
 
 
 @register("restore_job", o.with_views(
-    CLEANED_SQL, "src", "err", "resp", extra=retry_ctes() + BUILD_CTES + dedup_walk_sql("built") + [
+    CLEANED_SQL, "src", "err", "resp1", extra=retry_ctes() + BUILD_CTES + dedup_walk_sql("built") + [
         ("disp", DISP_SQL), ("first_of_url", FIRST_OF_URL_SQL), ("run_errors", RUN_ERRORS_SQL), ("remaining", REMAINING_SQL),
         ("latest", "SELECT url, max(creation_date) AS d FROM remaining GROUP BY url")], recursive=True))
 def q_restore_job(spark: SparkSession, sf: str) -> DataFrame:

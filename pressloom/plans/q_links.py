@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from pressloom.functions.html import page_title
 from pressloom.operators import labels as lb
+from pressloom.operators.articles import link_pages
 from pressloom.operators import links as lk
 from pressloom.plans import oracle as o
 from pressloom.plans.registry import register
 from pressloom.sources.fixtures import Views
 from pressloom.operators.common import staging_path
-from pressloom.sources.tables import read_sources, retry_candidates, scan_pages, top_posts
+from pressloom.sources.tables import read_sources, retry_candidates, top_posts
 
 DIM = ("dim", o.LABEL_DIM_SQL)
 MERGED_SQL = """
@@ -36,9 +37,9 @@ SELECT l.label, l.fake, CAST(count(*) AS BIGINT) AS n_pages,
        CAST(sum(CASE WHEN p.title <> '' THEN 1 ELSE 0 END) AS BIGINT) AS n_titled,
        CAST(sum(length(p.title)) AS BIGINT) AS title_chars
 FROM labelled l
-JOIN (SELECT url, {o.page_title('html')} AS title FROM resp WHERE status = 200 AND html IS NOT NULL) p ON p.url = l.url
+JOIN (SELECT url, {o.page_title('html')} AS title FROM resp1 WHERE status = 200 AND html IS NOT NULL) p ON p.url = l.url
 WHERE {o.admission('l.label', 'l.fake', 'false')}
-GROUP BY l.label, l.fake""", "src", "lnk", "resp", extra=[DIM, MERGED, ("labelled", LABELLED_SQL)])
+GROUP BY l.label, l.fake""", "src", "lnk", "resp1", extra=[DIM, MERGED, ("labelled", LABELLED_SQL)])
 
 
 @register("admitted_pages_by_label", FLAGSHIP_SQL)
@@ -46,9 +47,8 @@ def admitted_pages_by_label(spark: SparkSession, sf: str) -> DataFrame:
     v = Views(spark, sf)
     links = lb.label_lookup(lk.merge_links(v.lnk), _dim(v), "url", "label")
     admitted = links.where(lb.admission(F.col("label"), F.col("fake"), F.lit(False)))
-    ok, _ = scan_pages(v.resp)
-    pages = ok.select("url", page_title("html").alias("title"))
-    return (admitted.join(pages, "url").groupBy("label", "fake")
+    linked = link_pages(admitted, v.resp, {"title": page_title(F.when(F.col("status") == 200, F.col("html")))})
+    return (linked.where(F.col("title").isNotNull()).groupBy("label", "fake")
             .agg(F.count(F.lit(1)).cast("long").alias("n_pages"),
                  F.sum(F.when(F.col("title") != "", 1).otherwise(0)).cast("long").alias("n_titled"),
                  F.sum(F.length("title")).cast("long").alias("title_chars")))

@@ -40,7 +40,7 @@ def _outputs(spark: SparkSession, name: str) -> jobs.Outputs:
 @register("stream_articles", o.with_views(
     BUILT_FLAT.replace("SELECT batch_id, seq, ", "SELECT batch_id, ")
     + " FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY batch_id, seq) AS rn FROM disp) d WHERE rn = 1",
-    "src", "lnk", "resp", extra=BUILD_CTES + dedup_walk_sql("built") + [("disp", DISP_SQL)], recursive=True))
+    "src", "lnk", "resp1", extra=BUILD_CTES + dedup_walk_sql("built") + [("disp", DISP_SQL)], recursive=True))
 def q_stream_articles(spark: SparkSession, sf: str) -> DataFrame:
     """M1: every link batch as one micro-batch; the article table after the last epoch."""
     v = Views(spark, sf)
@@ -57,20 +57,20 @@ def q_stream_articles(spark: SparkSession, sf: str) -> DataFrame:
 @register("stream_state", o.with_views(
     "SELECT name, is_over, url, page FROM (" + LATEST_SQL + ") l", "feed", extra=walk_sql("feed"), recursive=True))
 def q_stream_state(spark: SparkSession, sf: str) -> DataFrame:
-    """M3: each feed round saves its states over the previous version; the last version is the progress."""
+    """M3: each epoch saves the latest states of its rounds over the previous version; the last version is the progress."""
     v = Views(spark, sf)
     walk = _walk(v)
     states = fd.feed_state(walk)
     state_dir = scratch(spark, "stream-state")
-    rounds = _epochs(walk, "round")
-    for r in rounds:
-        save_progress(spark, states.where(F.col("round") == r), state_dir, jobs.run_name(RUN_TS), int(r))
+    states = states.withColumn("epoch", F.floor(F.log2(F.col("round") + 1)))  # each epoch brings as many rounds as all before
+    for e in _epochs(states, "epoch"):
+        save_progress(spark, fd.latest_state(states.where(F.col("epoch") == e)), state_dir, jobs.run_name(RUN_TS), int(e))
     last = store.read_version(spark, state_dir, store.latest_version(spark, state_dir), STATE_SCHEMA)
     return last.select("name", "is_over", "data.url", "data.page")
 
 
 @register("stream_delete", o.with_views(
-    "SELECT * FROM err WHERE url IS NULL OR url NOT IN (SELECT url FROM disp WHERE url IS NOT NULL)", "src", "err", "resp",
+    "SELECT * FROM err WHERE url IS NULL OR url NOT IN (SELECT url FROM disp WHERE url IS NOT NULL)", "src", "err", "resp1",
     extra=retry_ctes() + BUILD_CTES + dedup_walk_sql("built") + [("disp", DISP_SQL)], recursive=True))
 def q_stream_delete(spark: SparkSession, sf: str) -> DataFrame:
     """M4: restoring; each epoch's stored urls delete their errors from the versioned error table."""

@@ -166,22 +166,26 @@ class Views:
             F.col("feed").alias("name"), (p % 3 == 0).alias("is_over"), F.col("page_url").alias("url"),
             (p % 5 - 1).alias("page"))
 
-    # view: resp -- responses for the links of lnk: bad status, null body, archive header
+    # view: resp -- responses for the links of lnk: bad status, null body, archive header; some urls are fetched again later
+    # with another page (fetched = 2), some are there twice
     @cached_property
     def resp(self) -> DataFrame:
-        p, u, h = F.col("page_id"), F.col("url"), F.col("html")
+        p, u, k = F.col("page_id"), F.col("url"), F.col("k")
         url = (F.when(p % 7 == 0, F.concat(F.lit("https://web.archive.org/web/2018/"), u))
                .when(p % 7 == 1, F.concat(F.lit("http://archive.is/"), _s(p)))
                .when(p % 7 == 2, F.concat(F.lit("https://www.archive.is/"), _s(p))).otherwise(u))
-        status = F.when(p % 13 == 0, F.lit(404)).otherwise(F.lit(200))
+        fetches = F.concat(F.array(F.lit(1)), F.when(p % 6 == 2, F.array(F.lit(2))).otherwise(F.array().cast("array<int>")),
+                           F.when(p % 10 == 4, F.array(F.lit(3))).otherwise(F.array().cast("array<int>")))
+        rows = self.pages.where((p % 7 != 3) & (p % 29 != 0)).select("page_id", "url", "html", F.explode(fetches).alias("k"))
+        h = F.when(k == 2, F.replace(F.col("html"), F.lit("</article>"), F.lit("<p>Fetched again.</article>"))).otherwise(F.col("html"))
+        status = F.when((p % 13 == 0) & (k != 2), F.lit(404)).otherwise(F.lit(200))
         empty_hdr = F.lit('<div id="HEADER"><table><tr><td><input value=""></td></tr></table></div>')
         html = (F.when(p % 17 == 0, F.lit(None).cast("string"))
                 .when((p % 7 == 1) & (p % 9 == 0), F.concat(empty_hdr, h))
                 .when(p % 7 == 1, F.concat(F.lit('<div id="HEADER"><p>saved</p><table><tr><td><input type="text" value="'), u,
                                            F.lit('"></td></tr></table></div>'), h))
                 .otherwise(h))
-        return self.pages.where((p % 7 != 3) & (p % 29 != 0)).select(
-            url.alias("url"), status.alias("status"), html.alias("html"))
+        return rows.select(url.alias("url"), status.alias("status"), F.when(k == 2, F.lit(2)).otherwise(F.lit(1)).alias("fetched"), html.alias("html"))
 
     # view: site -- the pages as a feed shows them: next link, entries, article links and a mark, in nested markup
     @cached_property

@@ -265,7 +265,7 @@ def test_attributes_in_any_quotes(spark):
     html = "<html lang='de-DE'><meta content='d' name='description'><meta name=keywords content='a, b'><img alt=\"x\" src='/i.png'><iframe src=/v></iframe>"
     h = F.col("html")
     r = spark.createDataFrame([(html,)], "html string").select(
-        H.meta_description(h).alias("d"), H.page_lang(h).alias("l"), H.page_keywords(h).alias("k"), H.page_images(h).alias("i"), H.page_videos(h).alias("v")).first()
+        H.meta_fields(h)["description"].alias("d"), H.page_lang(h).alias("l"), H.meta_fields(h)["keywords"].alias("k"), H.page_images(h).alias("i"), H.page_videos(h).alias("v")).first()
     assert (r.d, r.l, r.k, r.i, r.v) == ("d", "de", ["a", "b"], ["/i.png"], ["/v"])
 
 
@@ -306,6 +306,25 @@ def test_build_articles_fields_and_errors(spark):
                  "http://n.org/404": "HttpStatusError"}
 
 
+def test_a_link_has_one_response_however_often_its_page_was_fetched(spark):
+    links = spark.createDataFrame([(0, 1, "http://n.org/p", "https://f.org/e1", True), (1, 1, "http://n.org/p", "https://f.org/e1", True),
+                                   (0, 2, "http://n.org/q", "https://f.org/e1", True), (0, 3, "http://n.org/r", "https://f.org/e1", True)], LINK_SCHEMA)
+    newer = PAGE.replace("First sentence", "Newer sentence")
+    resp = spark.createDataFrame([("http://n.org/p", 200, 1, PAGE), ("http://n.org/p", 200, 2, newer), ("http://n.org/p", 200, 2, newer),
+                                  ("http://n.org/q", 200, 1, PAGE), ("http://n.org/q", 404, 2, "gone"), ("http://n.org/r", 404, 1, None), ("http://n.org/r", 200, 1, PAGE)],
+                                 "url string, status int, fetched int, html string").repartition(3)
+    arts, errs = ar.build_articles(links, resp, RUN)
+    got = {(r.batch_id, r.seq): r.text for r in arts.collect()}
+    assert len(got) == arts.count() == 3
+    assert "Newer" in got[0, 1] and got[1, 1] == got[0, 1] and "First" in got[0, 3]
+    assert [(r.url, r.type) for r in errs.collect()] == [("http://n.org/q", "HttpStatusError")]
+    # without the time of fetching: a usable one, then the greatest hash; the same under any partitioning
+    texts = {tuple(sorted((r.batch_id, r.seq, r.text) for r in ar.build_articles(links, resp.drop("fetched").repartition(n), RUN)[0].collect())) for n in (1, 4)}
+    assert len(texts) == 1
+    linked = ar.link_pages(links, resp, {"n": F.length("html")}).collect()
+    assert len(linked) == 4 and all(r._has_resp for r in linked)
+
+
 def test_summary_picks_top_sentences_in_order(spark):
     text = "alpha beta. alpha beta gamma. delta. alpha alpha alpha. beta beta. epsilon zeta eta. alpha beta alpha."
     df = spark.createDataFrame([(1, text)], "k long, text string")

@@ -48,21 +48,19 @@ def no_broadcast_by_size(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def html_moved_without_filter(plan: str) -> list[str]:
-    """Exchanges with html that have no url filter (a broadcast join by block) shortly below them."""
-    tree, bad = plan.split("\n\n")[0].splitlines(), []
-    for part in re.split(r"\n\n+", plan):
-        m = re.match(r"\((\d+)\) Exchange", part)
-        if m and re.search(r"Input \[\d+\]: \[.*\bhtml#", part):
-            at = next(i for i, line in enumerate(tree) if f"Exchange ({m.group(1)})" in line)
-            if not any("BroadcastHashJoin" in line for line in tree[at + 1:at + 12]):
-                bad.append(part)
-    return bad
-
-
 @pytest.mark.parametrize("key", ["link_pages", "build_articles"])
-def test_html_of_pages_that_no_link_asks_for_stays_where_it_is_read(spark, split_tables, no_broadcast_by_size, key):
-    assert not html_moved_without_filter(plan_of(catalog.QUERIES[key](spark, split_tables)))
+@pytest.mark.parametrize("max_blocks", [100_000, 1])
+def test_links_and_articles_move_no_html(spark, split_tables, no_broadcast_by_size, monkeypatch, key, max_blocks):
+    """Whatever the number of links: also with a url filter that is too small for them."""
+    from pressloom.operators import articles, common
+
+    monkeypatch.setattr(common, "FILTER_MAX_BLOCKS", max_blocks)
+    plans = []
+    monkeypatch.setattr(articles, "staged", lambda df, name, real=articles.staged: plans.append(plan_of(df)) or real(df, name))
+    plans.append(plan_of(catalog.QUERIES[key](spark, split_tables)))
+    assert any(re.search(r"ReadSchema: .*\bhtml", p) for p in plans)
+    for plan in plans:
+        assert not [i for i in exchange_inputs(plan) if re.search(r"\bhtml#", i)]
 
 
 def test_feeds_move_no_html(spark, split_tables, no_broadcast_by_size, tmp_dir):
