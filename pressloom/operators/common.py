@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +32,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 FILTER_WORDS, FILTER_MAX_BLOCKS = 8, 100_000
 
 
-def _filter_mask(url: str, word: int) -> Column:
+def filter_mask(url: str, word: int) -> Column:
+    """The bit that a url sets in a word of its block."""
     return F.expr(f"shiftleft(1L, cast(shiftright(xxhash64({url}, 1L), {6 * word}) & 63 as int))")
 
 
@@ -45,10 +47,10 @@ def only_known_urls(df: DataFrame, url: str, urls: DataFrame, known: str) -> Dat
     keys = urls.select(F.col(known).alias("_k")).where(F.col(known).isNotNull()).distinct()
     n_blocks = min(FILTER_MAX_BLOCKS, max(1, keys.count() // (4 * FILTER_WORDS)))  # 16 bits a url
     block = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(n_blocks))
-    blocks = keys.groupBy(block("_k").alias("_block")).agg(*(F.bit_or(_filter_mask("_k", i)).alias(f"_w{i}") for i in range(FILTER_WORDS)))
+    blocks = keys.groupBy(block("_k").alias("_block")).agg(*(F.bit_or(filter_mask("_k", i)).alias(f"_w{i}") for i in range(FILTER_WORDS)))
     hit = F.lit(True)
     for i in range(FILTER_WORDS):
-        hit = hit & (F.col(f"_w{i}").bitwiseAND(_filter_mask(url, i)) != 0)
+        hit = hit & (F.col(f"_w{i}").bitwiseAND(filter_mask(url, i)) != 0)
     probed = df.withColumn("_probe", block(url)).join(F.broadcast(blocks), F.col("_probe") == F.col("_block"))
     return probed.where(hit).select(*df.columns)
 
@@ -62,7 +64,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder (never a machine-local one on a cluster); see ``dropping_staged``."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/pressloom-{name}-{uuid.uuid4().hex[:12]}"
-    _staged_paths.append(path)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     return path
 
 
@@ -77,19 +81,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_staged_paths: list[str] = []
+#: the paths staged by the innermost job of this thread (or task of an event loop); None outside of jobs
+_scope: ContextVar[list[str] | None] = ContextVar("pressloom-staged", default=None)
 
 
 @contextmanager
 def dropping_staged(spark: SparkSession) -> Iterator[None]:
-    """Deletes what was staged inside the block when it ends; for jobs whose results are written by then."""
-    first = len(_staged_paths)
+    """Deletes what was staged inside the block when it ends; for jobs whose results are written by then.
+
+    Jobs in other threads have scopes of their own. What is staged outside of any block stays, as lazily
+    evaluated results may still be read from it.
+    """
+    scope: list[str] = []
+    token = _scope.set(scope)
     try:
         yield
     finally:
+        _scope.reset(token)
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        while len(_staged_paths) > first:
-            path = jvm.org.apache.hadoop.fs.Path(_staged_paths.pop())
+        for name in reversed(scope):
+            path = jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(conf).delete(path, True)
 
 

@@ -8,8 +8,9 @@ blocks its duplicates, so de-dup must come first).
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 from dataclasses import dataclass
-from typing import Mapping
+from typing import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,6 +69,21 @@ def dispatch_batch(links: DataFrame, responses: DataFrame, prep: Prepared,
     return prep.rules.apply(rechecked), errors
 
 
+@contextmanager
+def one_run(spark: SparkSession, out: Outputs, run_id: str) -> Iterator[None]:
+    """All writes of a run as one: a run that fails on the way leaves nothing that a later one sees, under whatever name it
+    is done again. Staged files are dropped at its end."""
+    store.begin_run(spark, out.runs, run_id)
+    with dropping_staged(spark):
+        yield
+    store.end_run(spark, out.runs, run_id)
+
+
+def visible_articles(spark: SparkSession, out: Outputs) -> DataFrame:
+    """The article table without rows of runs that haven't ended."""
+    return store.read_batches(spark, out.articles, ARTICLE_SCHEMA).where(~F.col("run_id").isin(sorted(store.open_runs(spark, out.runs))))
+
+
 @dataclass
 class Outputs:
     """Where a job writes: article and error tables (run and batch partitions), state versions."""
@@ -79,6 +95,11 @@ class Outputs:
     def clean_errors(self) -> str:
         return f"{self.errors.rstrip('/')}_clean"
 
+    @property
+    def runs(self) -> str:
+        """Markers of runs that have begun and not ended; what these wrote counts for no other run."""
+        return f"{self.articles.rstrip('/')}_runs"
+
 
 #: batch ids of forums begin above this, those of the rounds of site feeds below
 FORUM_BATCHES = 1 << 40
@@ -91,15 +112,16 @@ def run_name(run_ts: dt.datetime) -> str:
 
 def current_errors(spark: SparkSession, out: Outputs, run_id: str) -> DataFrame:
     """The error table as it stands before ``run_id``: the newest cleaned version, else all rows of other runs."""
-    version = store.latest_version(spark, out.clean_errors, run_id)
+    lost = store.open_runs(spark, out.runs)
+    version = store.latest_version(spark, out.clean_errors, run_id, lost)
     if version is not None:
         return store.read_version(spark, out.clean_errors, version, ERROR_SCHEMA)
-    return store.read_batches(spark, out.errors, ERROR_SCHEMA).where(F.col("run_id") != run_id).select(*ERROR_COLUMNS)
+    return store.read_batches(spark, out.errors, ERROR_SCHEMA).where(~F.col("run_id").isin(sorted(lost | {run_id}))).select(*ERROR_COLUMNS)
 
 
 def saved_state(spark: SparkSession, out: Outputs, run_id: str) -> DataFrame:
     """Progress as it stands before ``run_id``: the newest earlier version, else empty."""
-    version = store.latest_version(spark, out.state, run_id)
+    version = store.latest_version(spark, out.state, run_id, store.open_runs(spark, out.runs))
     return spark.createDataFrame([], STATE_SCHEMA) if version is None else store.read_version(spark, out.state, version, STATE_SCHEMA)
 
 
@@ -111,14 +133,15 @@ def clean_error_table(errors: DataFrame, out: Outputs, run_id: str) -> DataFrame
     """P4 at the end of a job: E5 then E4 against the whole article table; written as the version of this run
     (``<errors>_clean/v=<run_id>``), which the next job starts from, and returned as read back."""
     spark = errors.sparkSession
-    articles = store.read_batches(spark, out.articles, ARTICLE_SCHEMA)
+    lost = store.open_runs(spark, out.runs) - {run_id}
+    articles = store.read_batches(spark, out.articles, ARTICLE_SCHEMA).where(~F.col("run_id").isin(sorted(lost)))
     cleaned = er.cleanup_errors(errors.select(*ERROR_COLUMNS), articles)
     store.write_version(store.sink_projection(cleaned, ERROR_SCHEMA), out.clean_errors, run_id)
     return store.read_version(spark, out.clean_errors, run_id, ERROR_SCHEMA)
 
 
 def _store(articles: DataFrame, errors: DataFrame, out: Outputs, run_ts: dt.datetime, run_id: str) -> DataFrame:
-    stored, refused = store.store_articles(articles, out.articles, run_ts, run_id)
+    stored, refused = store.store_articles(articles, out.articles, run_ts, run_id, out.runs)
     store.store_errors(errors.unionByName(refused.drop("seq"), allowMissingColumns=True), out.errors, run_id)
     return stored
 
@@ -163,7 +186,7 @@ def collect_job(feeds: DataFrame | None, pages: DataFrame, responses: DataFrame,
         raise ValueError("no sources to begin with")
     spark, run_id = responses.sparkSession, run_id or run_name(run_ts)
     state = saved_state(spark, out, run_id) if state is None else state
-    with dropping_staged(spark):
+    with one_run(spark, out, run_id):
         sites, forums, states, feed_errors = None, None, [], None
         if feeds is not None:
             sites, new, feed_errors = site_links(cf.resume_feeds(feeds, state), pages, store_feed_errors, edges)
@@ -217,7 +240,7 @@ def restore_job(responses: DataFrame, prep: Prepared, out: Outputs, run_ts: dt.d
     Returns the cleaned error table, written as the version of this run.
     """
     spark, run_id = responses.sparkSession, run_id or run_name(run_ts)
-    with dropping_staged(spark):
+    with one_run(spark, out, run_id):
         before = current_errors(spark, out, run_id) if errors_table is None else errors_table.select(*ERROR_COLUMNS)
         arts, errs = dispatch_batch(retry_batches(before), responses, prep, run_ts)
         stored = _store(arts, errs, out, run_ts, run_id)

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from pressloom.operators.common import staged
 from pressloom.schemas import ARTICLE_SCHEMA, ERROR_COLUMNS, ERROR_SCHEMA
+from pressloom.sinks import url_index
+from pressloom.sinks.url_index import PARTITIONS
 from pressloom.sources.tables import ntz_literal
 
 # Error kinds of refused rows (named as the store's driver names them).
@@ -32,9 +34,6 @@ def sink_projection(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-PARTITIONS = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -46,32 +45,28 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(whole).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], whole)
 
 
+def numbered(articles: DataFrame) -> DataFrame:
+    """Rows staged once, each with a number ``_id`` of its own."""
+    return staged(articles.withColumn("_id", F.monotonically_increasing_id()), "incoming")
+
+
 def split_by_constraints(articles: DataFrame, stored_urls: DataFrame | None, run_ts: dt.datetime,
                          order: tuple[str, ...] = ("batch_id", "seq")) -> tuple[DataFrame, DataFrame]:
     """B1 check: ``(accepted, refused_as_errors)``.
 
-    Null url -> ``NotNullViolationError``; a url already stored, or repeated
-    earlier in this write (first by ``order`` wins) -> ``UniqueViolationError``.
-    The first position per url is a partial aggregate (a hot url collapses
-    map-side) joined back on the unique position.
+    Null url -> ``NotNullViolationError``; a url of ``stored_urls`` (distinct), or repeated
+    in this write (the first by ``order`` wins, one of several at the same place) -> ``UniqueViolationError``.
+    Rows are staged with a number, so that each is one row whatever its place; the first row per
+    url is a partial aggregate (a hot url collapses map-side), and only numbers and urls are compared.
     """
-    pos = F.struct(*order)
-    nonnull = articles.where(F.col("url").isNotNull())
-    first = nonnull.groupBy("url").agg(F.min(pos).alias("_first"))
-    firsts = first.select(*[F.col("_first")[c].alias(c) for c in order], F.col("url").alias("_fu"))
-    ranked = nonnull.join(firsts, [*order], "left").withColumn("_is_first", F.col("_fu").isNotNull()).drop("_fu")
+    rows = articles if "_id" in articles.columns else numbered(articles)
+    keys = rows.where(F.col("url").isNotNull()).select("_id", "url", *order)
+    first = keys.groupBy("url").agg(F.min(F.struct(*order, "_id")).alias("_first")).select("url", F.col("_first._id").alias("_id"))
     if stored_urls is not None:
-        # the store grows without bound while a batch is small: the batch's urls are staged, so their size is
-        # known and Spark ships them to the store's url scan if they are few, and only the hits come back
-        mine = staged(nonnull.select(F.col("url").alias("_su")).distinct(), "batch-urls")
-        st = stored_urls.select(F.col("url").alias("_su")).join(mine, "_su", "left_semi").distinct()
-        ranked = ranked.join(st, ranked["url"] == st["_su"], "left").withColumn("_stored", F.col("_su").isNotNull()) \
-                       .drop("_su")
-    else:
-        ranked = ranked.withColumn("_stored", F.lit(False))
-    ok = F.col("_is_first") & ~F.col("_stored")
-    accepted = ranked.where(ok).drop("_is_first", "_stored")
-    dup = ranked.where(~ok)
+        first = first.join(stored_urls.select(F.col("url").alias("_su")), F.col("url") == F.col("_su"), "left_anti")
+    ok = staged(first.select(F.col("_id").alias("_ok")), "unique")
+    accepted = rows.join(ok, F.col("_id") == F.col("_ok"), "left_semi").drop("_id")
+    dup = rows.where(F.col("url").isNotNull()).join(ok, F.col("_id") == F.col("_ok"), "left_anti")
 
     def err(df: DataFrame, kind: str, info) -> DataFrame:
         return df.select(F.lit(kind).alias("type"), F.col("visited_url").alias("url"),
@@ -80,7 +75,7 @@ def split_by_constraints(articles: DataFrame, stored_urls: DataFrame | None, run
                          *[c for c in order if c not in ERROR_COLUMNS])
 
     refused = (err(dup, UNIQUE_VIOLATION, F.concat(F.lit("duplicate key value violates unique constraint: url="), F.col("url")))
-               .unionByName(err(articles.where(F.col("url").isNull()), NOT_NULL_VIOLATION,
+               .unionByName(err(rows.where(F.col("url").isNull()), NOT_NULL_VIOLATION,
                                 F.lit('null value in column "url" violates not-null constraint'))))
     return accepted, refused
 
@@ -94,26 +89,31 @@ def write_batches(df: DataFrame, path: str, schema: T.StructType, run_id: str) -
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch_id").parquet(path)
 
 
-def store_articles(articles: DataFrame, path: str, run_ts: dt.datetime, run_id: str) -> tuple[DataFrame, DataFrame]:
+def store_articles(articles: DataFrame, path: str, run_ts: dt.datetime, run_id: str, runs: str | None = None) -> tuple[DataFrame, DataFrame]:
     """B1: check constraints against the stored table, append accepted rows, return ``(stored, refused)``.
 
     Rows of other runs, and of other batches of this run, count as stored; those of
-    the batches being written (an earlier attempt) don't. The accepted rows are
-    returned as read back (the stored urls, like ``INSERT ... RETURNING url``);
-    refused rows come back as error rows.
+    the batches being written (an earlier attempt) don't, nor do those of runs that began in the folder ``runs`` and
+    didn't end. Of the stored table only partitions that may hold one of the urls are read (``url_index``). The accepted rows are
+    returned as read back (the stored urls, like ``INSERT ... RETURNING url``); refused rows come back as error rows.
     """
     spark = articles.sparkSession
-    before = read_batches(spark, path, ARTICLE_SCHEMA)
-    batches = staged(articles.select("batch_id").distinct(), "batch-ids")
-    this_run = F.col("run_id") == run_id
-    previous = before.where(~this_run).select("url").unionByName(
-        before.where(this_run).join(batches, "batch_id", "left_anti").select("url"))
-    accepted, refused = split_by_constraints(articles, previous, run_ts)
-    # the table is read by the check above: materialise both outputs before overwriting its partitions
-    accepted, refused = staged(accepted, "accepted"), staged(refused, "refused")
+    incoming = numbered(articles)
+    batches = [r.batch_id for r in incoming.select("batch_id").distinct().collect()]  # partitions being written
+    mine = (F.col("run_id") == run_id) & F.col("batch_id").isin(batches)
+    others = ~mine & ~F.col("run_id").isin(sorted(open_runs(spark, runs) - {run_id}))
+    held = None
+    if path_exists(spark, path):
+        before = read_batches(spark, path, ARTICLE_SCHEMA)
+        if not path_exists(spark, url_index.index_path(path)):
+            url_index.extend(before, path)  # a table from before there was an index
+        urls = staged(incoming.select("url").where("url is not null").distinct(), "batch-urls")
+        held = url_index.held_urls(spark, path, before, urls, others)
+    accepted, refused = split_by_constraints(incoming, held, run_ts)
+    refused = staged(refused, "refused")
+    url_index.extend(accepted.select("url", F.lit(run_id).alias("run_id"), F.col("batch_id").cast("long").alias("batch_id")), path)
     write_batches(accepted, path, ARTICLE_SCHEMA, run_id)
-    stored = read_batches(spark, path, ARTICLE_SCHEMA).where(this_run).join(batches, "batch_id", "left_semi")
-    return stored, refused
+    return read_batches(spark, path, ARTICLE_SCHEMA).where(mine), refused
 
 
 def store_errors(errors: DataFrame, path: str, run_id: str) -> None:
@@ -121,6 +121,31 @@ def store_errors(errors: DataFrame, path: str, run_id: str) -> None:
     write_batches(errors, path, ERROR_SCHEMA, run_id)
 
 
+def _marker(spark: SparkSession, runs: str, run_id: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{runs.rstrip('/')}/{run_id}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def begin_run(spark: SparkSession, runs: str, run_id: str) -> None:
+    """Marks a run as begun: until ``end_run`` other runs see nothing that it writes."""
+    fs, path = _marker(spark, runs, run_id)
+    fs.create(path, True).close()
+
+
+def end_run(spark: SparkSession, runs: str, run_id: str) -> None:
+    """Makes all that a run has written visible, at once: articles, errors and progress."""
+    fs, path = _marker(spark, runs, run_id)
+    fs.delete(path, False)
+
+
+def open_runs(spark: SparkSession, runs: str | None) -> set[str]:
+    """Runs that have begun and not ended: under way, or lost. Few, as ended ones leave no marker."""
+    if runs is None or not path_exists(spark, runs):
+        return set()
+    fs, root = _marker(spark, runs, "")
+    return {str(f.getPath().getName()) for f in fs.listStatus(root)}
+
+
 def write_version(df: DataFrame, base: str, version: str) -> str:
     """Write version ``version`` of a small table (never over the one being read); returns its path.
 
@@ -132,14 +157,14 @@ def write_version(df: DataFrame, base: str, version: str) -> str:
     return p
 
 
-def latest_version(spark: SparkSession, base: str, before: str | None = None) -> str | None:
-    """Name of the newest complete version, of those before ``before`` if given; None if there is none."""
+def latest_version(spark: SparkSession, base: str, before: str | None = None, without: set[str] = frozenset()) -> str | None:
+    """Name of the newest complete version, of those before ``before`` if given and not in ``without``; None if there is none."""
     if not path_exists(spark, base):
         return None
     root = spark._jvm.org.apache.hadoop.fs.Path(base)
     names = [str(f.getPath().getName()) for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
     done = [n[2:] for n in names if n.startswith("v=") and path_exists(spark, f"{base.rstrip('/')}/{n}/_SUCCESS")]
-    return max((v for v in done if before is None or v < before), default=None)
+    return max((v for v in done if (before is None or v < before) and v not in without), default=None)
 
 
 def read_version(spark: SparkSession, base: str, version: str, schema: T.StructType) -> DataFrame:

@@ -2,7 +2,8 @@
 
 The config file holds ``backup``, ``sources`` (feeds), ``rules`` and ``reddit``
 (forums); the state file maps a collector name to ``{is_over, data}``. Both are
-read by Spark with explicit schemas; a missing state file means no state.
+read by Spark with explicit schemas; a missing state file means no state. A document
+that can't be read as its schema stops the job, with its text in the error.
 """
 
 from __future__ import annotations
@@ -21,10 +22,18 @@ def _strip_bom(c: Column) -> Column:
     return F.regexp_replace(c, "^﻿", "")
 
 
+def _parsed(text: Column, schema, what: str) -> Column:
+    """``text`` as its schema. One that isn't JSON raises an error that shows it, one of other types an error of the parser; blank gives null."""
+    doc = _strip_bom(text)
+    refused = F.raise_error(F.concat(F.lit(f"{what} can't be read: "), F.substring(doc, 1, 200)))
+    return (F.when(F.coalesce(F.trim(doc), F.lit("")) == "", F.lit(None))
+            .when(F.try_parse_json(doc).isNull(), refused).otherwise(F.from_json(doc, schema, {"mode": "FAILFAST"})))
+
+
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """The whole config document (one row), BOM tolerated."""
     text = spark.read.text(path, wholetext=True).select(_strip_bom(F.col("value")).alias("value"))
-    return text.select(F.from_json("value", CONFIG_SCHEMA).alias("c")).select("c.*")
+    return text.select(_parsed(F.col("value"), CONFIG_SCHEMA, "configuration").alias("c")).select("c.*")
 
 
 def feeds_from_config(config: DataFrame) -> DataFrame:
@@ -35,7 +44,7 @@ def feeds_from_config(config: DataFrame) -> DataFrame:
 
 def parse_feed_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """A2 for one JSON feed object per line (or per row)."""
-    f = F.from_json(_strip_bom(F.col(col)), FEED_SCHEMA).alias("s")
+    f = _parsed(F.col(col), FEED_SCHEMA, "feed").alias("s")
     return lines.select(f).select(*[F.col("s." + c).alias(c) for c in FEED_COLUMNS])
 
 
@@ -48,7 +57,7 @@ def require_feeds(feeds: DataFrame) -> DataFrame:
 
 def parse_state(docs: DataFrame, col: str = "value") -> DataFrame:
     """A3 / C4 unpack: state documents ``{name: {is_over, data}}`` -> ``(name, is_over, data)``."""
-    m = F.from_json(_strip_bom(F.col(col)), STATE_FILE_TYPE)
+    m = _parsed(F.col(col), STATE_FILE_TYPE, "state file")
     return docs.select(F.explode(m).alias("name", "v")).select("name", "v.is_over", "v.data")
 
 

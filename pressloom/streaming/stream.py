@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pressloom.operators import errors as er
+from pressloom.operators.common import dropping_staged
 from pressloom.plans.jobs import Outputs, Prepared, dispatch_batch, _store
 from pressloom.schemas import ERROR_SCHEMA, LINK_SCHEMA, STATE_SCHEMA
 from pressloom.sinks import store
@@ -67,7 +68,12 @@ def save_progress(spark: SparkSession, states: DataFrame, state_dir: str, stream
 
 
 def process_batch(links: DataFrame, epoch_id: int, ctx: StreamContext) -> DataFrame:
-    """M1 body for one micro-batch of ``link`` rows; returns the stored articles."""
+    """M1 body for one micro-batch of ``link`` rows; returns the stored articles. What it stages is dropped at its end."""
+    with dropping_staged(links.sparkSession):
+        return _process(links, epoch_id, ctx)
+
+
+def _process(links: DataFrame, epoch_id: int, ctx: StreamContext) -> DataFrame:
     spark = links.sparkSession
     name = epoch_name(ctx.stream, epoch_id)
     arts, errors = dispatch_batch(links, ctx.responses, ctx.prep, ctx.run_ts)

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -364,6 +365,99 @@ def test_store_articles_constraints_and_idempotence(spark, tmp_dir):
     assert held() == ["u1", "u2", "u3"]
 
 
+def test_two_rows_of_one_url_at_one_place_are_one_stored_row_and_one_error(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "article")
+    rows = _arts(spark, [(0, 1, "u1", "u1", "s", True), (0, 1, "u1", "u1", "s", True), (0, 2, "u2", "u2", "s", True)]).repartition(3)
+    stored, refused = store.store_articles(rows, path, RUN, "r1")
+    assert sorted(r.url for r in stored.collect()) == ["u1", "u2"]
+    assert [(r.type, r.url) for r in refused.collect()] == [("UniqueViolationError", "u1")]
+
+
+def test_the_unique_check_reads_only_partitions_that_may_hold_a_url(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "article")
+    for b in range(6):
+        store.store_articles(_arts(spark, [(b, i, f"u{b}-{i}", "v", "s", True) for i in range(50)]), path, RUN, "r1")
+    seen = []
+    monkeypatch.setattr(store.url_index, "held_urls", lambda *a, real=store.url_index.held_urls: seen.append(real(*a)) or seen[-1])
+    new = _arts(spark, [(0, 1, "u4-7", "x", "s", True), (0, 2, "new", "y", "s", True), (0, 3, "u2-9", "z", "s", True)])
+    stored, refused = store.store_articles(new, path, RUN, "r2")
+    assert [r.url for r in stored.collect()] == ["new"] and sorted(r.url for r in refused.collect()) == ["x", "z"]
+    assert sorted(r.url for r in seen[0].collect()) == ["u2-9", "u4-7"]
+    plan = seen[0]._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*run_id#\d+ = r1[^\]]*batch_id#\d+L IN \((2,4|4,2)\)", plan)
+    others = F.col("run_id") != "r2"
+    assert sorted((r.run_id, r.batch_id) for r in store.url_index.touched(spark, path, new, others).collect()) == [("r1", 2), ("r1", 4)]
+    # blocks that are too small for their urls give false hits, not other results; a table without an index gets one
+    monkeypatch.setattr(store.url_index, "URL_BLOCKS", 2)
+    again = _arts(spark, [(0, 1, "u0-3", "x", "s", True), (0, 2, "newer", "y", "s", True), (0, 3, "new", "z", "s", True)])
+    stored, refused = store.store_articles(again, path, RUN, "r3")
+    assert [r.url for r in stored.collect()] == ["newer"] and sorted(r.url for r in refused.collect()) == ["x", "z"]
+
+
+@pytest.mark.parametrize("fails", ["store_errors", "write_version", "clean_error_table"])
+def test_a_run_that_fails_on_the_way_leaves_nothing_that_another_sees(spark, tmp_dir, monkeypatch, fails):
+    def ends(base, lost):
+        out = jobs.Outputs(*(os.path.join(tmp_dir, base, x) for x in "aes"))
+        _collect(spark, out, "r1", ["http://n.org/1"], errors=["http://n.org/lost"])
+        if lost:
+            where = jobs if fails == "clean_error_table" else store
+            real = getattr(where, fails)
+            with monkeypatch.context() as m:
+                def failing(*a):
+                    real(*a)
+                    raise OSError("lost")
+                m.setattr(where, fails, failing)
+                with pytest.raises(OSError):
+                    _collect(spark, out, "r2", ["http://n.org/1", "http://n.org/2"], errors=["http://n.org/gone"])
+        _collect(spark, out, "r3", ["http://n.org/1", "http://n.org/2"], errors=["http://n.org/gone"])
+        return (sorted((r.url, r.run_id) for r in jobs.visible_articles(spark, out).collect()),
+                sorted((r.type, r.url) for r in jobs.current_errors(spark, out, "r4").collect()),
+                [tuple(r) for r in jobs.saved_state(spark, out, "r4").collect()])
+
+    assert ends("with", True) == ends("without", False)
+
+
+def test_jobs_in_threads_drop_only_what_they_staged(spark):
+    import threading
+
+    from pressloom.operators.common import dropping_staged, staged
+
+    begun, ended, got = threading.Event(), threading.Event(), []
+
+    def slow():
+        with dropping_staged(spark):
+            df = staged(spark.range(5), "slow")
+            begun.set()
+            ended.wait(60)
+            got.append(df.count())
+
+    t = threading.Thread(target=slow)
+    with dropping_staged(spark):
+        outer = staged(spark.range(3), "outer")
+        t.start()
+        begun.wait(60)
+        with dropping_staged(spark):
+            staged(spark.range(4), "inner")
+        assert outer.count() == 3
+    ended.set()
+    t.join()
+    assert got == [5]
+
+
+def test_documents_that_cannot_be_read_stop_the_job(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "state.json")
+    for text, shown in (('{"a": {"is_over": tr', "state file can't be read: {\"a\""), ('{"a": {"is_over": false, "data": {"page": "x"}}}', "MALFORMED"), ("[1]", "")):
+        with open(path, "w") as f:
+            f.write(text)
+        with pytest.raises(Exception, match=None) as e:
+            cf.read_state(spark, path).collect()
+        assert shown in str(e.value)
+    lines = spark.createDataFrame([('{"name": "ok", "url": "u"}',), ('{"name": "broken", "url": ',)], "value string")
+    with pytest.raises(Exception) as e:
+        cf.parse_feed_lines(lines).collect()
+    assert "broken" in str(e.value)
+
+
 def test_nothing_stored_reads_as_empty(spark, tmp_dir):
     path = os.path.join(tmp_dir, "none")
     assert store.read_batches(spark, path, ARTICLE_SCHEMA).count() == 0
