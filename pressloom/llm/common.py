@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,7 +24,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_path(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder of ``spark.checkpoint.dir``."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
+    return path
+
+
+_scope: ContextVar[list[str] | None] = ContextVar("llm-staged", default=None)  # of the innermost ``whole`` of this thread
+
+
+def whole(make: Callable[[], DataFrame], what: str) -> DataFrame:
+    """``make()`` staged as a whole; what was staged to make it is deleted then.
+
+    For operators with a result that is small against what leads to it. Other threads
+    have scopes of their own.
+    """
+    scope: list[str] = []
+    token = _scope.set(scope)
+    try:
+        df = make()
+        _scope.reset(token)
+        token = None
+        return stage(df, what)
+    finally:
+        if token is not None:
+            _scope.reset(token)
+        spark = SparkSession.getActiveSession()
+        if spark is not None:
+            jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+            for name in scope:
+                path = jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(conf).delete(path, True)
+
+
+#: bytes of an Arrow batch that goes to a Python worker, about; Spark's own bound is by rows only
+ARROW_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Sets the session's bound of Arrow batches by bytes, unless it has one already: texts may be long."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) in (None, str(2**31 - 1)):
+        spark.conf.set(key, str(ARROW_BYTES))
 
 
 def stage(df: DataFrame, what: str, compression: str = "zstd") -> DataFrame:

@@ -4,9 +4,10 @@ Two kinds of skipping keep the work near the number of sets:
 
 * Among index lists: sets are put under the first of their shingles in one global
   order (shingles of many sets last), a quarter of the set. A list is in order of set
-  size; its rest is skipped where sets are too large for an entry. A pair is skipped if
-  the shingles it has in common there, and what can follow their last places, can't
-  make the similarity.
+  size; for an entry its rest is skipped where sets are too large for what can follow the
+  entry's place in its own set. A pair is skipped if the shingles it has in common there,
+  and what can follow their last places, can't make the similarity, or if the counts of
+  its shingles by their lowest bits can't.
 * Among answers: sets that are alike to a common centre form a star. Overlaps within a
   star are made by matrix products of the members' differences from the centre, in
   pairs of blocks. The overlap of a member with a set of another star is derived from the
@@ -27,9 +28,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import small_batches, stage, table
+from pressloom.llm.common import bound_batches, small_batches, stage, table, whole
 from pressloom.llm.components import components
-from pressloom.llm.shingles import BITS, overlap, pack, set_key, shingle_sets, unpack
+from pressloom.llm.shingles import BITS, overlap, overlap_bounds, pack, set_key, shingle_sets, sketch, unpack
 
 SHARE = (75, 100)  # intersection / union of linked sets, at least
 BATCH_BYTES = 2 << 20  # text that is cut into shingles at a time
@@ -40,7 +41,8 @@ BANDS = 8  # centres under which a set is tried
 BUCKET = 400_000  # index entries of a task
 TASK = [0, 1, 2, 3]  # rows main, mixed, i and j of the entries that candidate_pairs() deals
 OF_LIST = [*TASK, 4]  # and token
-SPREAD = 4_096  # entries of a list, or members of a centre, that one task gets together
+SPREAD = 4_096  # entries of a list that one task gets together
+TOGETHER, SHINGLES = 1_024, 1_000_000  # pairs of one meeting place, and shingles of their sets, that one task gets together
 ALIKE = (40, 100)  # intersection / union with the centre of members of a star, at least
 BLOCK = 512  # members of a star in a block, about; a task compares two blocks
 MADE = 500_000  # pairs of list entries that are made at a time
@@ -48,11 +50,11 @@ BLOCK_BYTES = 32 << 20  # packed differences of a block, about
 COLUMNS = 4_096  # shingles of a matrix product
 
 
-def linked(both: int, a: int, b: int) -> bool:
+def linked(both: float, a: int, b: int) -> bool:
     return SHARE[1] * both >= SHARE[0] * (a + b - both)
 
 
-def alike(both: int, a: int, b: int) -> bool:
+def alike(both: float, a: int, b: int) -> bool:
     return ALIKE[1] * both >= ALIKE[0] * (a + b - both)
 
 
@@ -93,8 +95,8 @@ def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 
 def measure_sets(texts: DataFrame) -> DataFrame:
-    """Staged rows: (id, ref, n, set) of every text, its set's size and key; and (tokens, counts), the shingles that a
-    few thousand neighbouring sets hold twice or more."""
+    """Staged rows: (id, ref, n, set) of every text, its set's size and key, with its sketch once a task; and (tokens, counts), the
+    shingles that a few thousand neighbouring sets hold twice or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
@@ -107,21 +109,24 @@ def measure_sets(texts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_pylist([{"tokens": tokens.astype(np.int64), "counts": times.astype(np.int32)}], schema=schema)
 
         for rows in _sets(batches):
+            sketches = []
             for _, _, key, members in rows:
-                if len(members) and key not in known:
+                new = len(members) and key not in known
+                sketches.append(sketch(members) if new else None)
+                if new:
                     known.add(key)
                     held.append(members)
                     n_held += len(members)
-            yield pa.RecordBatch.from_pylist([{"id": i, "ref": r, "n": len(m), "set": k} for i, r, k, m in rows], schema=schema)
+            yield pa.RecordBatch.from_pylist([{"id": i, "ref": r, "n": len(m), "set": k, "sketch": x} for (i, r, k, m), x in zip(rows, sketches)], schema=schema)
             if n_held >= COUNTED:
                 yield counts()
                 held, n_held = [], 0
         if held:
             yield counts()
 
-    schema = pa.schema([("id", pa.int64()), ("ref", pa.int64()), ("n", pa.int64()), ("set", pa.int64()),
+    schema = pa.schema([("id", pa.int64()), ("ref", pa.int64()), ("n", pa.int64()), ("set", pa.int64()), ("sketch", pa.binary()),
                         ("tokens", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])
-    return stage(texts.mapInArrow(run, "id bigint, ref bigint, n bigint, set bigint, tokens array<bigint>, counts array<int>"), "jaccard-sets")
+    return stage(texts.mapInArrow(run, "id bigint, ref bigint, n bigint, set bigint, sketch binary, tokens array<bigint>, counts array<int>"), "jaccard-sets")
 
 
 def distinct_sets(measured: DataFrame) -> DataFrame:
@@ -129,6 +134,28 @@ def distinct_sets(measured: DataFrame) -> DataFrame:
     return stage(measured.where("n > 0").groupBy("set").agg(F.min("n").alias("n"), F.min("ref").alias("ref"), F.count(F.lit(1)).alias("copies")), "jaccard-distinct")
 
 
+def sketched(pairs: DataFrame, measured: DataFrame, keep: Callable[[int, float, int, int], bool]) -> DataFrame:
+    """The pairs (u, v, meet) that ``keep`` accepts by what their sketches say: the overlap at most, an estimate of it, and both sizes.
+
+    Sketches take about a twentieth of the sets, so most pairs that aren't alike end here and their sets don't travel.
+    """
+    asked = stage(pairs.select("u", "v", "meet"), "jaccard-sketched")
+    keys = asked.select(F.explode(F.array("u", "v")).alias("_k")).distinct()
+    known = measured.where("sketch is not null").select("set", "n", "sketch").join(keys, F.col("set") == F.col("_k"), "left_semi")
+    known = stage(known.groupBy("set").agg(F.max("n").alias("n"), F.min("sketch").alias("sketch")), "jaccard-sketches")
+    of = lambda x: known.select(F.col("set").alias(f"_{x}"), F.struct("n", "sketch").alias(f"s{x}"))
+    both = asked.join(of("u"), F.col("u") == F.col("_u")).join(of("v"), F.col("v") == F.col("_v")).select(
+        "u", "v", "meet", F.col("su.n").alias("a"), F.col("su.sketch").alias("x"), F.col("sv.n").alias("b"), F.col("sv.sketch").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, x, b, y = (batch.column(i) for i in range(3, 7))
+            chosen = [keep(*overlap_bounds(p.as_py(), q.as_py()), m, n) for p, q, m, n in zip(x, y, a.to_pylist(), b.to_pylist())]
+            yield batch.select([0, 1, 2]).filter(pa.array(chosen, pa.bool_()))
+
+    return stage(both.mapInArrow(run, "u bigint, v bigint, meet bigint"), "jaccard-kept")
+
+
 def ref_filter(refs: DataFrame, n_all: int):
     """A test for refs of the frame (a few others pass too): a bitmap of 16 bits for each of all sets, 16 MB at most.
 
@@ -157,7 +184,7 @@ def hot_shingles(measured: DataFrame, n_sets: int) -> np.ndarray:
     pairs = measured.where("tokens is not null").select(F.explode(F.arrays_zip("tokens", "counts")).alias("x"))
     hot = (pairs.groupBy("x.tokens").agg(F.sum("x.counts").alias("sets"))
            .where(F.col("sets") > max(HOT_SETS, n_sets // HOT_SHARE)).select("tokens"))
-    return np.sort(np.array([r[0] for r in hot.collect()], np.uint64))
+    return np.sort(hot.toArrow().column("tokens").to_numpy().astype(np.uint64))
 
 
 def in_order(members: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, int]:
@@ -205,13 +232,15 @@ def verify(pairs: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int, kee
 
     Pairs of one ``meet`` are compared in one task, which gets each set among them once;
     so sets that have many partners in common don't travel once for each. Many pairs of
-    one ``meet`` are dealt to several tasks by v. ``described`` (set, centre, n, added,
+    one ``meet``, by their number or size, are dealt to several tasks by v. ``described`` (set, centre, n, added,
     dropped) gives sets by a centre: the centre is compared with v once, and the
     overlaps with all described sets u are derived from that. ``describe``: the result
     has v's difference from u. Only sets that are asked for are cut out of the texts.
     """
     no = F.lit(None)
-    parts = pairs.groupBy("meet").agg(F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("parts"))
+    sizes = sets.select(F.col("set").alias("_v"), F.col("n").alias("_size"))
+    parts = pairs.join(sizes, F.col("v") == F.col("_v")).groupBy("meet").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / TOGETHER), F.ceil(F.sum("_size") / SHINGLES)).cast("int").alias("parts"))
     tests = (pairs.join(parts, "meet").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
              .groupBy("meet", "part", "u").agg(F.collect_list("v").alias("vs")))  # a difference travels once for its partners in a part
     if described is None:
@@ -333,10 +362,10 @@ def reachable(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[n
         left, right = new_left, new_right
 
 
-def star_links(members: DataFrame) -> DataFrame:
+def star_links(members: DataFrame, bits: bool = False) -> DataFrame:
     """Staged rows, one for each two blocks of a star: all links between their sets, and what follows from them.
 
-    (left, right, bits): set keys as bytes and a bit for each pair, which unpacked_links()
+    (left, right, bits), if asked for: set keys as bytes and a bit for each pair, which unpacked_links()
     reads; (a, b): links, or chains of them, that join what they join; (sets, times): for each
     set the rows that hold a set linked with it.
     """
@@ -369,8 +398,8 @@ def star_links(members: DataFrame) -> DataFrame:
             spans, sets = (np.r_[keys[i], keys[j]], np.r_[a, b]), np.r_[keys[i], keys[j]]
             times = np.r_[links @ copies[j], links.T @ copies[i]]
         joined, some = spans[0] != spans[1], times > 0
-        return {"left": keys[i].tobytes(), "right": keys[j].tobytes(), "bits": np.packbits(links).tobytes(),
-                "a": spans[0][joined], "b": spans[1][joined], "sets": sets[some], "times": times[some]}
+        pairs = {"left": keys[i].tobytes(), "right": keys[j].tobytes(), "bits": np.packbits(links).tobytes()} if bits else {}
+        return {**pairs, "a": spans[0][joined], "b": spans[1][joined], "sets": sets[some], "times": times[some]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows, out = None, [], []
@@ -555,8 +584,11 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
         second = np.flatnonzero(one | np.where(mixed == 1, group != main, block != i))
         key = (number[second] << 40) + n[second]
         at = number[first] << 40
+        # a partner's size is bounded by the entry's, and by what can follow the entry's place in its set: blocks of a list
+        # beyond that are skipped (a pair has its first shingle in common where this lets it pass, if it can be linked)
         lo = np.searchsorted(key, at - (-n[first] * SHARE[0] // SHARE[1]))
-        hi = np.searchsorted(key, at + n[first] * SHARE[1] // SHARE[0], side="right")
+        largest = np.minimum(n[first] * SHARE[1] // SHARE[0], (n[first] - place[first]) * (SHARE[0] + SHARE[1]) // SHARE[0] - n[first])
+        hi = np.searchsorted(key, at + np.maximum(largest, 0), side="right")
         lo = np.where(one[first], np.maximum(lo, np.searchsorted(second, first, side="right")), lo)
         many = np.maximum(hi - lo, 0)
         done = np.cumsum(many)
@@ -567,7 +599,7 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
             a = np.repeat(first[start:stop], times)
             b = second[np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(lo[start:stop], times)]
             start = stop
-            ok = group[a] != group[b]
+            ok = (group[a] != group[b]) & ((n[b] - place[b]) * (SHARE[0] + SHARE[1]) >= (n[a] + n[b]) * SHARE[0])
             a, b = a[ok], b[ok]
             if not len(a):
                 continue
@@ -606,29 +638,31 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
     return stage(met.where(enough).select("u", "v", "meet"), "jaccard-candidates")
 
 
-def _linked_sets(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Staged (id, n, set) of every row, distinct sets, links within stars as star_links() has them, and (u, v) of all other links."""
+def _linked_sets(docs: DataFrame, key: str, text: str, bits: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Staged (id, ref, n, set) of every row, distinct sets, links within stars as star_links() has them, and (u, v) of all other links."""
     sc = docs.sparkSession.sparkContext
+    bound_batches(docs.sparkSession)
     texts = texts_of(docs, key, text)
     measured = measure_sets(texts)
     sets = distinct_sets(measured)
     n_sets, n_shingles = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     hot = sc.broadcast(hot_shingles(measured, n_sets))
-    near = verify(centre_pairs(texts, hot), texts, sets, n_sets, alike).select("u", "v")
+    near = sketched(centre_pairs(texts, hot), measured, lambda most, about, a, b: alike(about, a, b)).select("u", "v")  # stars() compares exactly
     members = stars(near, texts, sets, n_sets)
     entries = index_entries(texts, hot, max(1, index_length(n_shingles) // BUCKET))
     pairs = candidate_pairs(entries, members.select(F.col("set").alias("node"), F.col("centre").alias("component")))
+    pairs = sketched(pairs, measured, lambda most, about, a, b: linked(most, a, b))  # loses none: the bound holds
     far = verify(pairs, texts, sets, n_sets, linked, described=members.where("centre <> set"))
-    return measured.where("n is not null").select("id", "n", "set"), sets, star_links(members), far.select("u", "v")
+    return measured.where("n is not null").select("id", "ref", "n", "set"), sets, star_links(members, bits), far.select("u", "v")
 
 
 def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(members, links): staged (id, n, set) of every row, and every link (u, v), u < v, between distinct sets, each once.
+    """(members, links): staged (id, ref, n, set) of every row, and every link (u, v), u < v, between distinct sets, each once.
 
     Rows of one set are linked with each other and share its links. Rows may repeat; null
     keys stay null.
     """
-    members, _, within, far = _linked_sets(docs, key, text)
+    members, _, within, far = _linked_sets(docs, key, text, bits=True)
     return members, unpacked_links(within).union(far.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
 
 
@@ -638,13 +672,23 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     ``component_id``: the smallest non-null key reachable by links, its own included.
     ``n_links``: the other rows that the row is linked with. A text without words has
     size 0 and is linked with nothing. Rows that repeat a key are judged each by its
-    own text. Empty tables give an empty result.
+    own text. Empty tables give an empty result. The result is staged, and nothing else.
     """
+    return whole(lambda: _joined(docs, key, text).drop("ref", "_group"), "jaccard-joined")
+
+
+def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Staged (doc_id, ref, group) of every row: ``group`` is the same for rows that links reach, null without words;
+    ``ref`` is the xxhash64 of the text. Unlike ``component_id`` it tells texts apart that share the smallest id."""
+    return whole(lambda: _joined(docs, key, text).select(key, "ref", F.col("_group").alias("group")), "jaccard-grouped")
+
+
+def _joined(docs: DataFrame, key: str, text: str) -> DataFrame:
     members, sets, within, far = _linked_sets(docs, key, text)
     spans = within.select(F.explode(F.arrays_zip("a", "b")).alias("x")).select(F.col("x.a").alias("u"), F.col("x.b").alias("v"))
     groups = components(spans.union(far), "u", "v")
     placed = members.join(groups, F.col("set") == F.col("node"), "left").select(
-        "id", "n", "set", F.when(F.col("n") > 0, F.coalesce("component", "set")).alias("_group"))
+        "id", "ref", "n", "set", F.when(F.col("n") > 0, F.coalesce("component", "set")).alias("_group"))
     placed = stage(placed, "jaccard-groups")
     least = placed.where("_group is not null").groupBy(F.col("_group").alias("_g")).agg(F.min("id").alias("_least"))
     copies = sets.select(F.col("set").alias("_s"), "copies")
@@ -656,7 +700,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     counts = stage(counts, "jaccard-counts")
     return (placed.join(least, F.col("_group") == F.col("_g"), "left").join(counts, (F.col("set") == F.col("_set")) & (F.col("n") > 0), "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("_g").isNull(), F.col("id")).otherwise(F.col("_least")).alias("component_id"),
-        F.coalesce("_links", F.lit(0)).alias("n_links")))
+        F.coalesce("_links", F.lit(0)).alias("n_links"), "ref", "_group"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

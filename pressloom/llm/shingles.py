@@ -14,6 +14,8 @@ import pyarrow as pa
 SHINGLE = 5
 BITS = 48
 _R = np.uint64(0x9E3779B97F4A7C15)
+LONG_WORD = 512  # bytes of a word that are hashed with those of all other words
+_POWERS = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(LONG_WORD, _R, np.uint64)]))
 _STEPS = np.random.default_rng(5).integers(1, 1 << 63, SHINGLE + 1, dtype=np.uint64) | np.uint64(1)
 
 
@@ -44,9 +46,13 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     order = np.argsort(-lengths, kind="stable")
     sorted_starts, sorted_lengths = starts[order], lengths[order]
     h = np.zeros(len(order), np.uint64)
-    for k in range(int(sorted_lengths[0]) if len(order) else 0):
+    for k in range(min(int(sorted_lengths[0]), LONG_WORD) if len(order) else 0):
         n = int(np.searchsorted(-sorted_lengths, -k, side="left"))
         h[:n] = h[:n] * _R + raw[sorted_starts[:n] + k] + np.uint64(1)
+    for i in range(int(np.searchsorted(-sorted_lengths, -LONG_WORD, side="left"))):  # the rest of long words, a block at a time
+        for a in range(int(sorted_starts[i]) + LONG_WORD, int(sorted_starts[i] + sorted_lengths[i]), LONG_WORD):
+            block = raw[a:min(a + LONG_WORD, int(sorted_starts[i] + sorted_lengths[i]))].astype(np.uint64) + np.uint64(1)
+            h[i:i + 1] = h[i:i + 1] * _POWERS[len(block)] + (block * _POWERS[len(block) - 1::-1]).sum(dtype=np.uint64, keepdims=True)
     words = np.empty(len(order), np.uint64)
     words[order] = mixed(h)
     rolled = np.zeros(max(len(words) - SHINGLE + 1, 0), np.uint64)
@@ -84,6 +90,34 @@ def unpack(data: bytes) -> np.ndarray:
     return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
 
 
+def sketch(members: np.ndarray) -> bytes:
+    """How many members have each value of their lowest bits, a byte each: between a quarter and half as many values as members."""
+    m = 1 << max(0, (len(members) // 2).bit_length() - 1)
+    while True:
+        counts = np.bincount((members & np.uint64(m - 1)).astype(np.int64), minlength=m)
+        if counts.max() < 256:
+            return counts.astype(np.uint8).tobytes()
+        m *= 2
+
+
+def _folded(data: bytes, m: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(-1, m).sum(0, dtype=np.int64)
+
+
+def overlap_bounds(a: bytes, b: bytes) -> tuple[int, float]:
+    """From two sketches: what the overlap of their sets can be at most, and an estimate of it.
+
+    Common members have the same lowest bits. Of the bound, what independent sets with these
+    counts would have is taken off for the estimate.
+    """
+    m = min(len(a), len(b))
+    x, y = _folded(a, m), _folded(b, m)
+    most, least = int(np.minimum(x, y).sum()), int(min(x.sum(), y.sum()))
+    top = int(min(x.max(), y.max()))
+    chance = sum(int((x >= k).sum()) * int((y >= k).sum()) for k in range(1, top + 1)) / m
+    return most, max(0.0, (most - chance) * least / (least - chance)) if chance < least else float(most)
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if len(a) > len(b):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressloom.llm.common import small_batches, stage, table
+from pressloom.llm.common import bound_batches, small_batches, stage, table, whole
 from pressloom.llm.shingles import mixed
 
 LENGTH = 200
@@ -205,7 +205,7 @@ def find_segments(texts: DataFrame, n_buckets: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
-        for batch in small_batches(batches, "text", 16 << 20):
+        for batch in small_batches(batches, "text", 4 << 20):
             made = [np.empty(0, _ENTRY)]
             for ref, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if ref not in known:
@@ -359,7 +359,8 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     made = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
     keyed = docs.drop(*(c for c in docs.columns if c.lower() in made)).withColumn("_ref", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     texts = keyed.select(F.col("_ref").alias("ref"), F.col(text).alias("text"))
-    spans = repeated_spans(texts)
+    bound_batches(docs.sparkSession)
+    spans = whole(lambda: repeated_spans(texts), "suffix-found")
     copied = texts.groupBy("ref").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("ref", F.lit(True).alias("_copied"))
     of_text = (spans.groupBy("ref").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))  # of one text
                .join(copied, "ref", "full").select(F.col("ref").alias("_r"), "_spans", "_copied"))

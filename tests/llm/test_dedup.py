@@ -55,6 +55,26 @@ def test_shingle_sets_equal_brute_force():
         assert (shingles.unpack(shingles.pack(s)) == s).all()
 
 
+def test_long_words_hash_like_short_ones(monkeypatch):
+    text = "a b " + "x" * 3000 + " c " + "yz" * 700 + " d e f " + "x" * 2999
+    whole = shingles.shingle_sets(pa.array([text, "x" * 5000]))
+    monkeypatch.setattr(shingles, "LONG_WORD", 10_000)  # byte by byte
+    plain = shingles.shingle_sets(pa.array([text, "x" * 5000]))
+    assert all((a == b).all() and len(a) for a, b in zip(whole, plain))
+
+
+def test_sketches_bound_overlaps():
+    rng = np.random.default_rng(8)
+    for n, m, both in ((1, 1, 1), (1, 3, 0), (50, 70, 40), (400, 300, 0), (400, 300, 250), (5000, 90, 90), (2000, 2000, 1800)):
+        pool = np.unique(rng.integers(0, 1 << 48, 3 * (n + m), dtype=np.uint64))
+        rng.shuffle(pool)
+        a, b = pool[:n], np.concatenate([pool[:both], pool[n:n + m - both]])
+        most, about = shingles.overlap_bounds(shingles.sketch(a), shingles.sketch(b))
+        assert both <= most <= min(n, m) and (n < 100 or abs(about - both) <= 0.25 * min(n, m))
+    same_bits = np.arange(300, dtype=np.uint64) << np.uint64(12)  # many members with equal lowest bits
+    assert shingles.overlap_bounds(shingles.sketch(same_bits), shingles.sketch(same_bits[:200]))[0] >= 200
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 50 + i) for i in range(30)] + [(7, 7), (200, 201), (201, 200), (None, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

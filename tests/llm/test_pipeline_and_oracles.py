@@ -86,6 +86,21 @@ def test_run_and_edge_cases(spark, tmp_path):
         assert once.where("doc_id is null").count() == (2 if name == "edge" else 0)
 
 
+def test_near_copies_judges_rows_not_ids(spark):
+    text = lambda x: " ".join(f"{x}{i}" for i in range(40))
+    rows = [(5, text("a")), (5, text("b")), (1, text("c")), (7, text("c")), (7, text("b") + " more"), (9, text("d")), (9, text("d")), (None, text("a")), (3, ""), (3, "")]
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    seen = set()
+    for n in (1, 5):
+        df = spark.createDataFrame([(k, t, "en", f"s{i}", len(t)) for i, (k, t) in enumerate(rows)], schema).repartition(n)
+        kept = corpus_pipeline.near_copies(spark, df, SF)
+        assert kept.columns == df.columns
+        seen.add(tuple(sorted((r.doc_id or -1, r.text, r.source) for r in kept.collect())))
+    assert len(seen) == 1  # the same under any partitioning
+    assert sorted((k, t) for k, t, _ in seen.pop()) == sorted(
+        [(5, text("a")), (5, text("b")), (1, text("c")), (9, text("d")), (-1, text("a")), (3, ""), (3, "")])
+
+
 @pytest.mark.parametrize("n_toxic", [3, 20, 200])
 def test_mix_thins_out_toxic_texts_rare_or_not(spark, tmp_path, n_toxic):
     rng = random.Random(n_toxic)
