@@ -2,7 +2,8 @@
 
 Every stage works on all that the one before kept. All but the last return the columns
 of ``documents``. Null ids: such rows are judged by the quality rules, never dropped as
-near copies, and kept once by the mixing. An empty table passes all stages.
+near copies, and kept once by the mixing. Repeated ids: each row is judged by its own text. An
+empty table passes all stages.
 """
 
 from __future__ import annotations
@@ -19,25 +20,32 @@ KEEP = 0.1
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality rules reject; cutoffs come from ``labels``."""
+    """Drops the documents that the quality rules reject; cutoffs come from ``labels``. Texts are measured twice and not stored."""
+    cutoffs = quality_rules.choose_cutoffs(quality_rules.measures(docs, keep=("doc_id", "lang")), table(spark, sf_dir, "labels"))
     packed = docs.select(F.struct("*").alias("_row"), "doc_id", "lang", "text")
-    counted = stage(quality_rules.measures(packed, keep=("_row", "doc_id", "lang")), "quality-measures")
-    cutoffs = quality_rules.choose_cutoffs(counted.drop("_row"), table(spark, sf_dir, "labels"))
-    return quality_rules.judge(counted, cutoffs).where("kept").select("_row.*")
+    return quality_rules.judge(quality_rules.measures(packed, keep=("_row", "doc_id", "lang")), cutoffs).where("kept").select("_row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of linked ones: that of the smallest id. Rows that repeat an id share its fate."""
-    groups = jaccard_join.jaccard_join(docs.select("doc_id", "text"))
-    dropped = groups.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(
-        F.min("component_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    dropped = stage(dropped.where("_first < _id or _rows > 1"), "copies-dropped")
-    kept = docs.join(dropped.where("_first < _id").select("_id"), F.col("doc_id") == F.col("_id"), "left_anti")
-    again = dropped.where("_first = _id").select("_id")  # ids of several rows: one of them stays
+    """Keeps one row of each group of linked ones: that of the smallest id, of several texts of this id the one of the least hash.
+
+    Rows are judged by their own texts, also where ids repeat: no text goes unless one of its group stays. Of equal rows
+    one stays (if only other columns differ, the least). Rows with null ids or without words all stay.
+    """
+    groups = jaccard_join.jaccard_groups(docs.select("doc_id", "text")).where("doc_id is not null and group is not null")
+    row = F.struct("doc_id", "ref")
+    first = groups.groupBy("group").agg(F.min(row).alias("first"))
+    rows = groups.groupBy("group", "doc_id", "ref").agg(F.count(F.lit(1)).alias("times")).join(first, "group")
+    judged = stage(rows.select("doc_id", "ref", (F.col("first") == row).alias("stays"), "times").where("not stays or times > 1"), "copies-judged")
+    named = docs.withColumn("_ref", F.xxhash64(F.coalesce("text", F.lit(""))))
+    of = lambda rows: rows.select(F.col("doc_id").alias("_id"), F.col("ref").alias("_r"))
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("_ref") == F.col("_r"))
+    kept = named.join(of(judged.where("not stays")), same, "left_anti")
+    again = of(judged.where("stays"))  # rows that are there several times
     if again.limit(1).count() == 0:
-        return kept
-    once = kept.join(again, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, F.col("doc_id") == F.col("_id"), "left_anti").unionByName(once)
+        return kept.drop("_ref")
+    once = kept.join(again, same, "left_semi").groupBy("doc_id", "_ref").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return kept.join(again, same, "left_anti").drop("_ref").unionByName(once)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
