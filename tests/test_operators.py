@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from pressloom.operators import dedup
 from pressloom.operators import errors as er
 from pressloom.operators import labels as lb
 from pressloom.operators import links as lk
@@ -59,6 +60,29 @@ def test_dedup_long_chain(spark):
     assert kept == sequential_dedup(rows) and len(kept) == 100
 
 
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_dedup_by_chains_from_the_first_round(spark, monkeypatch, seed):
+    monkeypatch.setattr(dedup, "PLAIN_ROUNDS", 0)
+    rnd = random.Random(seed)
+    rows = [(rnd.randrange(2), i, f"t{rnd.randrange(25)}", f"u{rnd.randrange(25)}") for i in range(100)]
+    order = list(range(1000, 1060))
+    rnd.shuffle(order)  # a chain in any order, its rows first, second or later in their groups
+    rows += [(2, s, f"t{i // 2}", f"u{(i + 1) // 2}") for i, s in enumerate(order)]
+    rows += [(3, 1, "", ""), (3, 2, None, " "), (3, 3, "a", ""), (3, 4, "a", "b")]
+    assert run_dedup(spark, rows) == sequential_dedup(rows)
+
+
+def test_dedup_of_a_chain_of_a_hundred_thousand_rows_in_few_rounds(spark, monkeypatch):
+    rounds = []
+    real = dedup.staged
+    monkeypatch.setattr(dedup, "staged", lambda df, name: (rounds.append(name), real(df, name))[1])
+    n = 100_000
+    df = spark.range(n).selectExpr("0L as batch_id", "id as seq", "concat('t', id div 2) as title", "concat('u', (id + 1) div 2) as url")
+    kept = dedup_title_or_url(df)
+    assert kept.count() == kept.where("seq % 2 = 0").count() == n // 2
+    assert len(rounds) <= 40
+
+
 def test_dedup_scope_is_per_batch(spark):
     rows = [(0, 1, "same", "same"), (1, 1, "same", "same")]
     assert run_dedup(spark, rows) == {(0, 1), (1, 1)}
