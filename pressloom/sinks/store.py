@@ -157,15 +157,68 @@ def write_version(df: DataFrame, base: str, version: str) -> str:
     return p
 
 
+def write_deletions(urls: DataFrame, base: str, version: str, after: str) -> str:
+    """Write version ``version`` as version ``after`` without the rows of ``urls`` (column ``url``); returns its path.
+
+    Only the urls are written (merge on read): what is written follows what is deleted, not the table. Doing it again
+    replaces it, after another version too.
+    """
+    spark = urls.sparkSession
+    p = f"{base.rstrip('/')}/v={version}"
+    root = spark._jvm.org.apache.hadoop.fs.Path(p)
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    urls.select(F.col("url").cast("string")).where(F.col("url").isNotNull()).distinct().write.mode("overwrite").parquet(f"{p}/after={after}")
+    return p
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [str(f.getPath().getName()) for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
+
+
+def _deletions(spark: SparkSession, path: str) -> str | None:
+    """Folder of the deletions that a version consists of, if they are complete."""
+    found = [f"{path}/{n}" for n in _children(spark, path) if n.startswith("after=")]
+    return found[0] if found and path_exists(spark, f"{found[0]}/_SUCCESS") else None
+
+
 def latest_version(spark: SparkSession, base: str, before: str | None = None, without: set[str] = frozenset()) -> str | None:
     """Name of the newest complete version, of those before ``before`` if given and not in ``without``; None if there is none."""
     if not path_exists(spark, base):
         return None
-    root = spark._jvm.org.apache.hadoop.fs.Path(base)
-    names = [str(f.getPath().getName()) for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
-    done = [n[2:] for n in names if n.startswith("v=") and path_exists(spark, f"{base.rstrip('/')}/{n}/_SUCCESS")]
-    return max((v for v in done if (before is None or v < before) and v not in without), default=None)
+    names = sorted((n[2:] for n in _children(spark, base) if n.startswith("v=")), reverse=True)
+    for v in names:
+        path = f"{base.rstrip('/')}/v={v}"
+        if (before is None or v < before) and v not in without and (path_exists(spark, f"{path}/_SUCCESS") or _deletions(spark, path)):
+            return v
+    return None
+
+
+def version_parts(spark: SparkSession, base: str, version: str) -> tuple[str, list[str]]:
+    """``(name of the whole version that this one goes back to, folders of the urls deleted since)``."""
+    gone: list[str] = []
+    while True:
+        path = f"{base.rstrip('/')}/v={version}"
+        deleted = None if path_exists(spark, f"{path}/_SUCCESS") else _deletions(spark, path)
+        if deleted is None:
+            return version, gone
+        gone.append(deleted)
+        version = deleted.rsplit("/after=", 1)[1]
 
 
 def read_version(spark: SparkSession, base: str, version: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{base.rstrip('/')}/v={version}")
+    """A version's rows: of the whole version that it goes back to, without the urls deleted since."""
+    whole, gone = version_parts(spark, base, version)
+    rows = spark.read.schema(schema).parquet(f"{base.rstrip('/')}/v={whole}")
+    if not gone:
+        return rows
+    urls = spark.read.schema("url string").option("recursiveFileLookup", "true").parquet(*gone).select(F.col("url").alias("_gone")).distinct()
+    return rows.join(urls, F.col("url") == F.col("_gone"), "left_anti")
+
+
+def compact_version(spark: SparkSession, base: str, version: str, schema: T.StructType) -> str:
+    """Writes a version that consists of deletions as a whole one and returns its name, which sorts between this version's
+    and the next one's. Deletions stay until the new version is complete, so a compaction that is lost loses nothing."""
+    name = f"{version}~"
+    write_version(read_version(spark, base, version, schema), base, name)
+    return name

@@ -5,7 +5,8 @@
 * M2 ``start_error_stream``: error rows -> parquet file sink (append).
 * M3: offsets live in ``checkpointLocation``; business state (B3) is written by
   ``process_batch`` as a new version per epoch.
-* M4: when restoring, each stored url deletes its errors (E6) in the same epoch.
+* M4: when restoring, each stored url deletes its errors (E6) in the same epoch. An epoch writes
+  the deleted urls only; readers leave them out, and every ``COMPACT_AFTER`` epochs the table is written whole.
 
 ``foreachBatch`` is at-least-once; ``process_batch`` is idempotent because every
 write replaces exactly the partitions and the version of its (stream, epoch). The
@@ -22,13 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pressloom.operators import errors as er
 from pressloom.operators.common import dropping_staged
 from pressloom.plans.jobs import Outputs, Prepared, dispatch_batch, _store
 from pressloom.schemas import ERROR_SCHEMA, LINK_SCHEMA, STATE_SCHEMA
 from pressloom.sinks import store
 from pressloom.sources import config as cf
 
+#: epochs of deletions that readers of the error table put together at most
+COMPACT_AFTER = 100
+
 
 @dataclass
 class StreamContext:
@@ -85,8 +88,9 @@ def _process(links: DataFrame, epoch_id: int, ctx: StreamContext) -> DataFrame:
     if ctx.restoring and ctx.errors_versions:  # M4: each stored url deletes its errors
         version = _earlier(spark, ctx.errors_versions, ctx.stream, epoch_id)
         if version is not None:
-            current = store.read_version(spark, ctx.errors_versions, version, ERROR_SCHEMA)
-            store.write_version(er.delete_restored_errors(current, stored.select("url")), ctx.errors_versions, name)
+            store.write_deletions(stored.select("url"), ctx.errors_versions, name, after=version)
+            if len(store.version_parts(spark, ctx.errors_versions, name)[1]) >= COMPACT_AFTER:
+                store.compact_version(spark, ctx.errors_versions, name, ERROR_SCHEMA)
     return stored
 
 

@@ -505,6 +505,44 @@ def test_process_batch_stores_state_and_deletes_restored_errors(spark, tmp_dir):
         save_progress(spark, more, out.state, "s3", 4)
 
 
+def test_epochs_write_deleted_urls_only_and_compaction_changes_no_row(spark, tmp_dir, monkeypatch):
+    from pressloom.streaming import stream
+
+    n = 5000
+    versions = os.path.join(tmp_dir, "ev")
+    err0 = spark.range(n).select(F.lit("TimeoutError").alias("type"), F.concat(F.lit("http://n.org/"), "id").alias("url"), F.lit(None).cast("string").alias("source_article"),
+                                 F.lit(False).alias("from_fake"), F.lit("i").alias("additional_info"), F.lit(None).cast("timestamp_ntz").alias("creation_date"))
+    none = err0.limit(1).withColumn("url", F.lit(None).cast("string"))  # an error without url is never deleted
+    store.write_version(store.sink_projection(err0.unionByName(none), ERROR_SCHEMA), versions, "0")
+    size = lambda v: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(os.path.join(versions, "v=" + v)) for f in fs if f.endswith(".parquet"))
+    rows = lambda v: store.read_version(spark, versions, v, ERROR_SCHEMA)
+    urls = lambda *ids: spark.createDataFrame([(f"http://n.org/{i}",) for i in ids] + [(None,)], "url string")
+    store.write_deletions(urls(1, 2, 2), versions, "s-0", after="0")
+    store.write_deletions(urls(3), versions, "s-1", after="s-0")
+    store.write_deletions(urls(4), versions, "s-1", after="s-0")  # the epoch done again
+    assert store.latest_version(spark, versions) == "s-1" and store.version_parts(spark, versions, "s-1")[0] == "0"
+    assert size("s-0") + size("s-1") < size("0") / 10
+    left = {r.url for r in rows("s-1").collect()}
+    assert len(left) == n + 1 - 3 and None in left and left.isdisjoint({"http://n.org/1", "http://n.org/2", "http://n.org/4"})
+    assert rows("0").count() == n + 1  # readers of an earlier version are not touched
+    whole = store.compact_version(spark, versions, "s-1", ERROR_SCHEMA)
+    assert store.latest_version(spark, versions) == whole and store.version_parts(spark, versions, whole) == (whole, [])
+    assert {r.url for r in rows(whole).collect()} == left and "s-1" < whole < "s-2"
+    # an epoch that was lost on the way is no version
+    os.makedirs(os.path.join(versions, "v=s-2", f"after={whole}"))
+    assert store.latest_version(spark, versions) == whole
+    # epochs compact by themselves
+    monkeypatch.setattr(stream, "COMPACT_AFTER", 2)
+    resp = spark.createDataFrame([(f"http://n.org/{i}", 200, PAGE.replace("A long", f"Page {i}")) for i in (10, 11, 12)], "url string, status int, html string")
+    out = jobs.Outputs(os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "e"), os.path.join(tmp_dir, "s"))
+    ctx = StreamContext(resp, _prep_n(spark), out, RUN, "t", restoring=True, errors_versions=versions)
+    for epoch, i in enumerate((10, 11, 12)):
+        process_batch(spark.createDataFrame([(0, 1, f"http://n.org/{i}", "https://f.org/", False)], LINK_SCHEMA), epoch, ctx)
+    last = store.latest_version(spark, versions)
+    assert [len(store.version_parts(spark, versions, v)[1]) for v in (stream.epoch_name("t", 0), stream.epoch_name("t", 1), stream.epoch_name("t", 2))] == [1, 2, 1]
+    assert left - {r.url for r in rows(last).collect()} == {f"http://n.org/{i}" for i in (10, 11, 12)}
+
+
 def _collect(spark, out, run, urls, html=PAGE, errors=(), **kw):
     """A job over one forum whose posts are the urls."""
     resp = spark.createDataFrame([(u, 200, html.replace("A long", u)) for u in urls] + [("x", 404, "x")], "url string, status int, html string")
