@@ -3,7 +3,10 @@
 A text is brought to a canonical form (case, punctuation, copyright lines,
 equivalent spellings, spaces), and the SHA-256 of that form is looked up by a
 hash join among the digests of the known texts. Only entire texts match: the
-whole document, and each whole line of it (a notice is a line of its own).
+whole document, each whole line of it (a notice is a line of its own), and runs of
+as many consecutive paragraphs, or lines, as a known text has (a licence inside a longer file).
+Comment signs are punctuation, so headers in comments match as well. Each text is read
+and brought to its form once.
 
 DataFrame functions only.
 """
@@ -16,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.llm.common import bounded, table
+from pressloom.llm.licences import KNOWN
 
 #: known digests are broadcast up to this number (a digest, two lengths and an id each)
 MAX_KNOWN_BROADCAST = 50_000
@@ -23,84 +27,124 @@ MAX_KNOWN_BROADCAST = 50_000
 SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("acknowledgement", "acknowledgment"), ("favour", "favor"),
              ("merchantibility", "merchantability"), ("organisation", "organization"), ("whilst", "while"), ("sub license", "sublicense"),
              ("per cent", "percent"), ("non commercial", "noncommercial"), ("https", "http")]
-#: a line that begins with a copyright word or sign; used with flag m, and \n as the only line end
-COPYRIGHT_LINE = r"^[ \t]*(?:copyright|\(c\)|©)(?:[ \t(][^\n]*)?$"
-#: fixed values: known licence texts and notices of the registered query
-KNOWN = [
-    ("MIT-notice", "Released under the MIT License."),
-    ("GPL-3.0-notice", "This work is licensed under the GNU General Public License, version 3."),
-    ("Apache-2.0-notice", "Licensed under the Apache License, Version 2.0."),
-    ("CC-BY-NC-4.0-notice", "Licensed under CC BY-NC 4.0."),
-    ("all-rights-reserved", "All rights reserved."),
-    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n"
-             "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
-             "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
-             "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
-             "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
-]
-
-
-def canonical_text(text: Column, keep_lines: bool = False) -> Column:
-    """Canonical form of a text; null counts as ''. ``keep_lines`` keeps line breaks, so that lines can be split off.
-
-    Lower case; lines that begin with a copyright sign or word dropped; every run
+#: a line that states a copyright (with a sign, a year, a colon or by whom), as licences wrap to lines that begin with the mere word; used with flag m,
+#: and \n as the only line end
+COPYRIGHT_LINE = r"^[^\p{L}\p{N}\n(©]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|:|by[ \t]|the[ \t][^\n]*authors)|\(c\)[ \t]*(?:copyright|[0-9]{4})|©)[^\n]*$"
+
+
+def canonical_lines(text: Column) -> Column:
+    """Canonical form of a text with its line breaks; null counts as ''.
+
+    Lower case; lines that state a copyright emptied; every run
     of characters that are neither letters nor digits becomes one space; then the
-    equivalent spellings, on word bounds.
+    equivalent spellings, on word bounds (of two words also over one line break).
     """
     out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "(?dm)" + COPYRIGHT_LINE, "")
-    out = F.regexp_replace(out, r"[^\p{L}\p{N}\n]+" if keep_lines else r"[^\p{L}\p{N}]+", " ")
-    return spelled(F.regexp_replace(out, r"(?m)^ +| +$", "") if keep_lines else F.trim(out))
+    out = F.regexp_replace(F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " "), r"(?m)^ +| +$", "")
+    return reduce(lambda c, s: F.regexp_replace(c, _spelling(s[0]), s[1]), SPELLINGS, out)
+
+
+def _spelling(words: str) -> str:
+    return r"\b" + words.replace(" ", r"[ \n]") + r"\b"
+
+
+def joined_lines(form: Column) -> Column:
+    return F.trim(F.regexp_replace(form, r"\n+", " "))
+
+
+def lines_of(form: Column) -> Column:
+    return F.filter(F.split(form, "\n"), lambda x: x != "")
 
 
-def spelled(text: Column) -> Column:
-    return reduce(lambda c, s: F.regexp_replace(c, rf"\b{s[0]}\b", s[1]), SPELLINGS, text)
+def paragraphs_of(form: Column) -> Column:
+    return F.filter(F.transform(F.split(form, r"\n\n+"), joined_lines), lambda x: x != "")
 
 
 def digest(canonical: Column) -> Column:
     return F.sha2(canonical.cast("binary"), 256)
 
 
-def known_digests(known: DataFrame) -> DataFrame:
-    """(digest, licence) of a table (licence, text): the smallest name of each digest; empty texts are left out."""
-    return (known.select("licence", canonical_text(F.col("text")).alias("_form")).where(F.col("_form") != "")
-            .groupBy(digest(F.col("_form")).alias("_digest")).agg(F.min("licence").alias("_licence")))
+def known_forms(known: DataFrame) -> DataFrame:
+    """licence, whole canonical text, its lines and its paragraphs; texts with an empty form are left out."""
+    form = known.select("licence", canonical_lines(F.col("text")).alias("_form"))
+    return form.select("licence", joined_lines(F.col("_form")).alias("_whole"), lines_of(F.col("_form")).alias("_lines"),
+                       paragraphs_of(F.col("_form")).alias("_paragraphs")).where(F.col("_whole") != "")
+
+
+def known_digests(forms: DataFrame) -> DataFrame:
+    """(digest, licence): the smallest name of each digest."""
+    return forms.groupBy(digest(F.col("_whole")).alias("_digest")).agg(F.min("licence").alias("_licence"))
+
+
+def run_ends(forms: DataFrame, parts: str) -> dict[int, tuple[list[int], list[int]]]:
+    """By number of parts: the hashes of first and of last parts of the known texts, which are a bounded table."""
+    rows = forms.select(F.size(parts).alias("n"), F.xxhash64(F.element_at(parts, 1)).alias("first"), F.xxhash64(F.element_at(parts, -1)).alias("last"))
+    got: dict[int, tuple[list[int], list[int]]] = {}
+    for r in rows.distinct().collect():
+        got.setdefault(r.n, ([], []))[0].append(r.first)
+        got[r.n][1].append(r.last)
+    return got
+
+
+def begins(parts: str, ends: dict[int, tuple[list[int], list[int]]]) -> Column:
+    """0-based places of parts that begin a known text."""
+    firsts = sorted({h for f, _ in ends.values() for h in f})
+    places = F.transform(parts, lambda x, i: F.when(F.xxhash64(x).isin(firsts), i) if firsts else F.lit(None).cast("int"))
+    return F.filter(places, lambda i: i.isNotNull())
+
+
+def runs(parts: str, at: str, ends: dict[int, tuple[list[int], list[int]]], least: int) -> list[Column]:
+    """Runs of as many parts as a known text has, from the places ``at`` to a part that ends one; of ``least`` parts at least."""
+    return [F.transform(F.filter(at, lambda i: (i + n <= F.size(parts)) & F.xxhash64(F.get(parts, i + n - 1)).isin(sorted(set(last)))),
+                        lambda i: F.array_join(F.slice(F.col(parts), i + 1, n), " "))
+            for n, (_, last) in sorted(ends.items()) if n >= least]
 
 
 def scan_licences(docs: DataFrame, known: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the key, digest, whole_licence and line_licences.
+    """One row per row of ``docs``: the key, digest, whole_licence, line_licences and block_licences.
 
     ``digest``: of the whole canonical text. ``whole_licence``: the known text that
     equals it, else null. ``line_licences``: the known texts that equal a line of
-    the document, each once, in order of name; empty if none. Null and empty texts
-    have the digest of '' and match nothing. Rows with one key (a null key too) are
-    scanned each for itself; lines found count for the key as a whole.
+    the document; ``block_licences``: those that equal consecutive paragraphs, or two or more consecutive lines (empty
+    ones don't count); each once, in order of name, empty if none. Null and empty texts
+    have the digest of '' and match nothing. Rows are scanned each for itself, with one key or a null key too.
+    ``known`` (licence, text) is a bounded table: some hashes of each text go into the plan.
     """
-    lookup = bounded(known_digests(known), MAX_KNOWN_BROADCAST)
-    longest = known.select(F.max(F.length(canonical_text(F.col("text"))))).first()[0] or 0
-    lines = F.array_distinct(F.filter(F.split(canonical_text(F.col(text), keep_lines=True), "\n"),
-                                      lambda x: (x != "") & (F.length(x) <= longest)))
-    found = (docs.select(F.col(key).alias("_key"), F.explode(lines).alias("_line"))
-             .select("_key", digest(F.col("_line")).alias("_digest")).join(lookup, "_digest")
-             .groupBy("_key").agg(F.array_sort(F.collect_set("_licence")).alias("_found")))  # of known names: bounded
-    whole = docs.select(F.col(key).alias(key), digest(canonical_text(F.col(text))).alias("_digest")).join(lookup, "_digest", "left")
-    return (whole.join(found, F.col(key).eqNullSafe(F.col("_key")), "left")
-            .select(key, F.col("_digest").alias("digest"), F.col("_licence").alias("whole_licence"),
-                    F.coalesce("_found", F.array().cast("array<string>")).alias("line_licences")))
+    forms = known_forms(known)
+    lookup = bounded(known_digests(forms), MAX_KNOWN_BROADCAST)
+    line_ends, block_ends = run_ends(forms, "_lines"), run_ends(forms, "_paragraphs")
+    form = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), canonical_lines(F.col(text)).alias("_form"))
+    parts = form.select("_row", "_key", digest(joined_lines(F.col("_form"))).alias("_digest"),
+                        lines_of(F.col("_form")).alias("_lines"), paragraphs_of(F.col("_form")).alias("_paragraphs"))
+    found = parts.select("*", begins("_lines", line_ends).alias("_at"), begins("_paragraphs", block_ends).alias("_pat"))
+    none = F.array().cast("array<string>")
+    line = runs("_lines", "_at", {n: e for n, e in line_ends.items() if n == 1}, 1)
+    blocks = runs("_lines", "_at", line_ends, 2) + runs("_paragraphs", "_pat", block_ends, 1)
+    piece = lambda kind, d: F.struct(F.lit(kind).alias("kind"), d.alias("digest"))
+    pieces = F.concat(F.array(piece(0, F.col("_digest"))),
+                      F.transform(F.array_distinct(F.concat(none, *line)), lambda x: piece(1, digest(x))),
+                      F.transform(F.array_distinct(F.concat(none, *blocks)), lambda x: piece(2, digest(x))))
+    hits = found.select("_row", "_key", F.explode(pieces).alias("_piece")).select("_row", "_key", "_piece.*") \
+        .join(lookup, F.col("digest") == F.col("_digest"), "left")
+    of = lambda kind, c: F.when(F.col("kind") == kind, F.col(c))
+    names = lambda kind: F.array_sort(F.collect_set(of(kind, "_licence")))  # noqa: E731  (of known names: bounded)
+    return hits.groupBy("_row").agg(F.first("_key").alias(key), F.max(of(0, "digest")).alias("digest"), F.max(of(0, "_licence")).alias("whole_licence"),
+                                    names(1).alias("line_licences"), names(2).alias("block_licences")).drop("_row")
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = spark.createDataFrame(KNOWN, "licence string, text string")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scan_licences(docs, known).select(
-        "doc_id", "digest", "whole_licence", F.array_join("line_licences", ",").alias("line_licences"))
+    return scan_licences(docs, known).select("doc_id", "digest", "whole_licence", F.array_join("line_licences", ",").alias("line_licences"),
+                                             F.array_join("block_licences", ",").alias("block_licences"))
 
 
-def _sql_form(expr: str, keep_lines: bool) -> str:
+def _sql_form(expr: str) -> str:
     out = f"regexp_replace(lower(coalesce({expr}, '')), '(?m){COPYRIGHT_LINE}', '', 'g')"
-    out = f"regexp_replace({out}, '{r'[^\p{L}\p{N}\n]+' if keep_lines else r'[^\p{L}\p{N}]+'}', ' ', 'g')"
-    out = f"regexp_replace({out}, '(?m)^ +| +$', '', 'g')" if keep_lines else f"trim({out})"
+    out = f"regexp_replace({out}, '{r'[^\p{L}\p{N}\n]+'}', ' ', 'g')"
+    out = f"regexp_replace({out}, '(?m)^ +| +$', '', 'g')"
     for a, b in SPELLINGS:
-        out = f"regexp_replace({out}, '\\b{a}\\b', '{b}', 'g')"
+        out = f"regexp_replace({out}, '{_spelling(a)}', '{b}', 'g')"
     return out
 
 
@@ -108,14 +152,27 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+_SQL_WHOLE = r"trim(regexp_replace(f, '\n+', ' ', 'g'))"
+_SQL_LINES = "list_filter(string_split(f, chr(10)), lambda x: x <> '')"
+_SQL_PARTS = r"list_filter(list_transform(string_split_regex(f, '\n\n+'), lambda x: trim(regexp_replace(x, '\n+', ' ', 'g'))), lambda x: x <> '')"
+
 OP4_SQL = f"""
 with known(licence, body) as (values {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN)}),
-k as (select sha256({_sql_form('body', False)}) as d, min(licence) as licence, max(length({_sql_form('body', False)})) as n from known group by 1),
-lines as (select distinct doc_id, unnest(string_split({_sql_form('text', True)}, chr(10))) as line from documents),
-found as (select doc_id, string_agg(distinct licence, ',' order by licence) as names
-  from lines join k on sha256(line) = k.d where line <> '' group by doc_id)
-select doc_id, sha256({_sql_form('text', False)}) as digest, k.licence as whole_licence, coalesce(names, '') as line_licences
-from documents left join k on sha256({_sql_form('text', False)}) = k.d left join found using (doc_id)
+kf as (select licence, {_SQL_WHOLE} as whole, {_SQL_LINES} as ls, {_SQL_PARTS} as ps
+  from (select licence, {_sql_form('body')} as f from known)),
+k as (select sha256(whole) as d, min(licence) as licence from kf where whole <> '' group by 1),
+nl as (select distinct len(ls) as n from kf where len(ls) >= 2), np as (select distinct len(ps) as n from kf where len(ps) >= 1),
+d as materialized (select doc_id, sha256({_SQL_WHOLE}) as digest, {_SQL_LINES} as ls, {_SQL_PARTS} as ps
+  from (select doc_id, {_sql_form('text')} as f from documents)),
+lines as (select distinct doc_id, unnest(ls) as piece from d),
+pieces as (select doc_id, array_to_string(ls[i : i + n - 1], ' ') as piece
+    from (select doc_id, ls, n, unnest(generate_series(1, len(ls) - n + 1)) as i from d cross join nl)
+  union all select doc_id, array_to_string(ps[i : i + n - 1], ' ')
+    from (select doc_id, ps, n, unnest(generate_series(1, len(ps) - n + 1)) as i from d cross join np)),
+in_lines as (select doc_id, string_agg(distinct licence, ',' order by licence) as names from lines join k on sha256(piece) = k.d group by doc_id),
+in_blocks as (select doc_id, string_agg(distinct licence, ',' order by licence) as names from pieces join k on sha256(piece) = k.d group by doc_id)
+select d.doc_id, digest, k.licence as whole_licence, coalesce(l.names, '') as line_licences, coalesce(b.names, '') as block_licences
+from d left join k on d.digest = k.d left join in_lines l using (doc_id) left join in_blocks b using (doc_id)
 """
 
 QUERIES = {"op4_license_scan": op4_license_scan}

@@ -3,13 +3,14 @@
 import hashlib
 import math
 import random
+import textwrap
 from fractions import Fraction
 
 import brute
 import pytest
 from pyspark.sql import functions as F
 
-from pressloom.llm import license_scan, quality_rules, url_filter, warc
+from pressloom.llm import licences, license_scan, quality_rules, url_filter, warc
 from pressloom.llm.common import shared_path
 
 # ---- licences ----
@@ -35,6 +36,35 @@ def test_whole_licence_over_several_lines(spark):
     assert (got[0].whole_licence, got[1].whole_licence) == ("0BSD", None)
 
 
+def test_known_texts_as_whole_files_and_inside_longer_ones(spark):
+    texts, expected = [], []
+    for name, title, body in licences.TEXTS:
+        rewrapped = "\n\n".join(textwrap.fill(p, 50) for p in body.split("\n\n"))
+        commented = "\n".join((" * " + x).rstrip() for x in body.split("\n"))
+        texts += [f"{title}\n\nCopyright (c) 2019, Some Body\n\n{body}\n", rewrapped, f"A readme.\n\n{rewrapped}\n\nMore of it.",
+                  f"/*\n * Copyright 2020 The Project Authors\n{commented}\n */\nint main() {{}}", f"prose before\n{body}\nprose after", body.replace("a", "an", 1) + "."]
+        expected += [(name, name), (name, name), (None, name), (None, name), (None, name), (None, "")]
+    got = scan(spark, texts)
+    assert [(got[i].whole_licence, ",".join(got[i].block_licences)) for i in range(len(texts))] == expected
+
+
+def test_parts_of_a_licence_and_many_beginnings_of_one(spark):
+    body = dict(licences.KNOWN)["MIT"]
+    pieces = body.split("\n\n")
+    first = body.split("\n")[0]
+    got = scan(spark, ["\n\n".join(pieces[:2]), "\n\n".join(reversed(pieces)), "\n".join([first] * 20000), "\n".join([first] * 3000) + "\n" + body[len(first) + 1:],
+                       body + "\n\n" + dict(licences.KNOWN)["Zlib"] + "\nAll rights reserved"])
+    assert [got[i].block_licences for i in range(5)] == [[], [], [], ["MIT"], ["MIT", "Zlib"]]
+    assert got[4].line_licences == ["all-rights-reserved"]
+
+
+def test_licence_rows_with_one_key_are_scanned_each_for_itself(spark):
+    docs = spark.createDataFrame([(None, "All rights reserved."), (None, "prose"), (7, None), (7, "x\nAll rights reserved")], "doc_id long, text string")
+    known = spark.createDataFrame(license_scan.KNOWN, "licence string, text string")
+    got = sorted((str(r.doc_id), r.line_licences) for r in license_scan.scan_licences(docs, known).collect())
+    assert got == [("7", []), ("7", ["all-rights-reserved"]), ("None", []), ("None", ["all-rights-reserved"])]
+
+
 def test_licences_of_empty_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "All rights reserved."), (1, "All rights reserved."), (None, "All rights reserved.")], "doc_id long, text string")
     known = spark.createDataFrame(license_scan.KNOWN, "licence string, text string")
