@@ -12,6 +12,9 @@ Sorting a block is the column-wise construction for many documents: each round i
 one more symbol of every segment, from the last to the first, into the Burrows-Wheeler
 transform of the block and updates the longest common prefixes of neighbours from
 those of the round before. Neighbours with a common prefix of ``LENGTH`` bytes repeat.
+Of equal segments that a task meets only two travel; the others are known to repeat, and those
+that follow each other (long runs, periods) are one span. Segments of frequent anchors,
+found in a sample of texts, are dealt by digest, so no task gets all of one anchor.
 Blocks are bounded, so the arrays of a block stay in memory; a block that is too large
 is split by still longer cores until it fits.
 """
@@ -19,21 +22,25 @@ is split by still longer cores until it fits.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressloom.llm.common import bound_batches, small_batches, stage, table, whole
+from pressloom.llm.common import bound_batches, bounded, small_batches, stage, table, whole
 from pressloom.llm.shingles import mixed
 
 LENGTH = 200
 ANCHOR = 64
 SPAN = LENGTH - ANCHOR + 1  # places of an anchor in a string
-PIECE = 4 << 20  # strings of a text that are anchored at a time
+PIECE = 1 << 20  # strings of a text that are anchored at a time
 BUCKET = 400_000  # segments of a task that compares digests
+SAMPLE_BYTES = 64 << 20  # of texts in which frequent anchors are looked for
+FREQUENT = 64  # segments of a frequent anchor in the sample
+SEEN = 200_000  # digests of frequent anchors that a task remembers at a time
 BLOCK_BYTES = 2 << 20  # bytes of a block that is sorted at a time
 BLOCK_ROWS = 20_000  # segments with one core; more are split by longer cores
 _R = 0x9E3779B97F4A7C15
@@ -89,9 +96,35 @@ def anchor_places(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _ENTRY = np.dtype([("anchor", "<u8"), ("digest", "<u8"), ("ref", "<i8"), ("start", "<u4"), ("place", "<u2"), ("strings", "<u2")])
 
 
-def segments(raw: np.ndarray, ref: int) -> np.ndarray:
-    """Segments of a text: anchor hash, digest of the bytes and the anchor's place, where they start, how many strings."""
-    parts = []
+_KNOWN = np.dtype([("ref", "<i8"), ("start", "<i8"), ("strings", "<i8")])  # strings that repeat, one after the other
+
+
+def joined_runs(e: np.ndarray) -> np.ndarray:
+    """Segments, in order within each text, as runs of strings: those that follow each other are one."""
+    end = e["start"].astype(np.int64) + e["strings"]
+    new = np.r_[True, (e["ref"][1:] != e["ref"][:-1]) | (e["start"][1:] != end[:-1])] if len(e) else np.empty(0, bool)
+    first = np.flatnonzero(new)
+    out = np.empty(len(first), _KNOWN)
+    out["ref"], out["start"] = e["ref"][first], e["start"][first]
+    out["strings"] = end[np.r_[first[1:], len(e)] - 1] - out["start"] if len(e) else 0
+    return out
+
+
+def folded(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two of each kind of equal segments, and the runs of the others: that these repeat is known."""
+    order = np.lexsort((e["digest"], e["anchor"]))
+    anchor, digest = e["anchor"][order], e["digest"][order]
+    first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (digest[1:] != digest[:-1])]) if len(e) else np.empty(0, int)
+    nth = np.arange(len(e)) - np.repeat(first, np.diff(np.r_[first, len(e)]))
+    more = np.zeros(len(e), bool)
+    more[order[nth >= 2]] = True
+    return e[~more], joined_runs(e[more])
+
+
+def segments(raw: np.ndarray, ref: int) -> tuple[np.ndarray, np.ndarray]:
+    """Segments of a text, folded: anchor hash, digest of the bytes and the anchor's place, where they start, how many strings;
+    and the runs of strings that are known to repeat."""
+    parts, known = [np.empty(0, _ENTRY)], [np.empty(0, _KNOWN)]
     for piece in range(0, max(len(raw) - LENGTH + 1, 0), PIECE):
         part = raw[piece:piece + PIECE + LENGTH - 1]
         places, anchors = anchor_places(part)
@@ -100,8 +133,10 @@ def segments(raw: np.ndarray, ref: int) -> np.ndarray:
         e = np.empty(len(start), _ENTRY)
         e["anchor"], e["ref"], e["start"], e["place"], e["strings"] = anchors[places[start]], ref, piece + start, places[start] - start, end - start
         e["digest"] = mixed(Hashes(part).of(start, end + LENGTH - 1) + e["place"])
+        e, runs_ = folded(e)
         parts.append(e)
-    return np.concatenate(parts) if parts else np.empty(0, _ENTRY)
+        known.append(runs_)
+    return np.concatenate(parts), np.concatenate(known)
 
 
 def column_sort(bodies: list[bytes]) -> list[np.ndarray]:
@@ -195,29 +230,65 @@ def halves(ref: int, start: int, body: bytes, anchor: int, low: int, high: int,
     return out
 
 
-def find_segments(texts: DataFrame, n_buckets: int) -> DataFrame:
+def frequent_anchors(texts: DataFrame, total: int) -> np.ndarray:
+    """Sorted hashes of anchors with many segments in a sample of about ``SAMPLE_BYTES`` of the texts, drawn by their refs.
+
+    They only decide where segments meet; a bounded number, as the sample is.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text", 4 << 20):
+            made = [segments(np.frombuffer(text.as_buffer(), np.uint8), 0)[0]["anchor"] for text in batch.column(0)]
+            anchor, n = np.unique(np.concatenate(made), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["anchor", "n"])
+
+    sample = texts.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("ref"), F.lit(max(1, total // SAMPLE_BYTES))) == 0)).select("text")
+    counted = sample.mapInArrow(run, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") >= FREQUENT).select("anchor").toArrow().column(0)
+    return np.sort(rows.to_numpy().view(np.uint64))
+
+
+def find_segments(texts: DataFrame, n_buckets: int, frequent: np.ndarray) -> DataFrame:
     """Staged (ref, start, strings, place, open) of segments that share an anchor.
 
     ``open`` null: an equal segment is elsewhere, all its bytes repeat. True: no equal
     segment, but others with its anchor. False: one of the equal ones for comparison.
-    Segments travel packed, those of one range of anchors in a row.
+    Segments travel packed, those of one range of anchors in a row; of ``frequent`` anchors those
+    of one range of digests, and all kinds of these are compared.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
+        done: set[int] = set()
+        seen: dict[int, int] = {}  # digests of frequent anchors: how many went on
         for batch in small_batches(batches, "text", 4 << 20):
-            made = [np.empty(0, _ENTRY)]
+            made, known = [np.empty(0, _ENTRY)], []
             for ref, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if ref not in known:
-                    known.add(ref)
-                    made.append(segments(np.frombuffer(text.as_buffer(), np.uint8), ref))
-            e = np.concatenate(made)
-            bucket = (e["anchor"] % np.uint64(n_buckets)).astype(np.int64)
+                if ref not in done:
+                    done.add(ref)
+                    e, runs_ = segments(np.frombuffer(text.as_buffer(), np.uint8), ref)
+                    made.append(e)
+                    known.append(runs_)
+            e, runs_ = folded(np.concatenate(made))
+            known.append(runs_)
+            often = np.isin(e["anchor"], frequent)
+            more = np.zeros(len(e), bool)
+            for i, kind in zip(np.flatnonzero(often).tolist(), mixed(e["anchor"][often] + mixed(e["digest"][often])).tolist()):
+                seen[kind] = n = seen.get(kind, 0) + 1
+                more[i] = n > 2
+            if len(seen) > SEEN:
+                seen.clear()
+            known.append(joined_runs(e[more]))
+            e, often = e[~more], often[~more]
+            bucket = (np.where(often, mixed(e["anchor"] ^ e["digest"]), e["anchor"]) % np.uint64(n_buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             e, bucket = e[order], bucket[order]
             first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(e) else np.empty(0, int)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array([e[a:b].tobytes() for a, b in zip(first, np.r_[first[1:], len(e)])], pa.binary())],
-                                             names=["bucket", "packed"])
+            rows = [(int(bucket[a]), e[a:b].tobytes(), b"") for a, b in zip(first, np.r_[first[1:], len(e)])]
+            runs_ = np.concatenate(known)
+            if len(runs_):
+                rows.append((int(runs_["ref"][0] % n_buckets), b"", runs_.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
+                                              pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "packed", "known"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def judged(packed: list[bytes]) -> pa.RecordBatch:
@@ -229,7 +300,7 @@ def find_segments(texts: DataFrame, n_buckets: int) -> DataFrame:
             kinds = np.add.reduceat(new.astype(int), anchor)  # digests of an anchor
             alone = np.add.reduceat((equal == 1).astype(int), np.searchsorted(first, anchor))  # of which occur once
             of = np.repeat(np.arange(len(anchor)), kinds)
-            asked = (kinds[of] > 1) & (alone[of] > 0)
+            asked = (kinds[of] > 1) & (alone[of] > 0) | np.isin(e["anchor"][first], frequent)
             repeated = np.flatnonzero(np.repeat(equal > 1, equal))
             compared = first[asked]
             rows, open_ = np.r_[repeated, compared], (equal[asked] == 1).tolist()
@@ -238,18 +309,26 @@ def find_segments(texts: DataFrame, n_buckets: int) -> DataFrame:
                 [pa.array(r["ref"]), pa.array(r["start"].astype(np.int64)), pa.array(r["strings"].astype(np.int32)), pa.array(r["place"].astype(np.int32)),
                  pa.array([None] * len(repeated) + open_, pa.bool_())], names=["ref", "start", "strings", "place", "open"])
 
+        def repeating(k: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(k["ref"]), pa.array(k["start"]), pa.array(k["strings"].astype(np.int32)), pa.nulls(len(k), pa.int32()), pa.nulls(len(k), pa.bool_())],
+                names=["ref", "start", "strings", "place", "open"])
+
         current, held = None, []
         for batch in batches:
-            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for bucket, packed, known in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket != current and held:
                     yield judged(held)
                     held = []
                 current = bucket
-                held.append(packed)
+                if packed:
+                    held.append(packed)
+                if known:
+                    yield repeating(np.frombuffer(known, _KNOWN))
         if held:
             yield judged(held)
 
-    packed = texts.select("ref", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(cut, "bucket bigint, packed binary")
+    packed = texts.select("ref", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(cut, "bucket bigint, packed binary, known binary")
     dealt = packed.repartition("bucket").sortWithinPartitions("bucket")
     return stage(dealt.mapInArrow(compare, "ref bigint, start bigint, strings int, place int, open boolean"), "suffix-segments")
 
@@ -320,13 +399,36 @@ def sort_blocks(bodies: DataFrame) -> DataFrame:
     return dealt.select("core", "ref", "start", "wanted", "body").mapInArrow(run, SPANS)
 
 
-def repeated_spans(texts: DataFrame) -> DataFrame:
-    """Staged (ref, start, stop) of all bytes of the texts (ref, text) that repeat; spans may overlap.
+def text_hash(salt: int, text: Column) -> Column:
+    return F.xxhash64(F.lit(salt), text)
+
+
+def with_refs(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``_ref``, one number for each text (null as empty), and staged (ref, n, bytes): rows and bytes of each.
+
+    Refs are 64-bit hashes. Texts of one ref that differ in a second hash or in length
+    get other ones, until no two texts share any.
+    """
+    value = F.coalesce(F.col(text), F.lit(""))
+    named = docs.withColumn("_ref", text_hash(0, value))
+    second, size = text_hash(-1, value), F.octet_length(value)
+    for salt in count(1):
+        kinds = stage(named.groupBy(F.col("_ref").alias("ref")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(size).alias("bytes"), F.max(size).alias("most"),
+            F.min(second).alias("low"), F.max(second).alias("high")), "suffix-texts")
+        shared = kinds.where("bytes < most or low < high").select(F.col("ref").alias("_shared"))
+        if shared.limit(1).count() == 0:
+            return named, kinds.select("ref", "n", "bytes")
+        other = F.when(F.col("_shared").isNull(), F.col("_ref")).otherwise(text_hash(salt, value))
+        named = named.join(bounded(shared, 100_000), F.col("_ref") == F.col("_shared"), "left").withColumn("_ref", other).drop("_shared")
+
+
+def repeated_spans(texts: DataFrame, total: int) -> DataFrame:
+    """Staged (ref, start, stop) of all bytes of the texts (ref, text; ``total`` bytes) that repeat; spans may overlap.
 
     Texts with one ref are one text here; whole copies are for the caller to see.
     """
-    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    found = find_segments(texts, max(1, 2 * total // SPAN // BUCKET))
+    found = find_segments(texts, max(1, 2 * total // SPAN // BUCKET), frequent_anchors(texts, total))
     spans = found.where("open is null").select("ref", "start", (F.col("start") + F.col("strings") + LENGTH - 1).alias("stop"))
     bodies = cut_bodies(texts, found)
 
@@ -357,11 +459,12 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     rows and null keys are kept. An empty table gives an empty result.
     """
     made = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
-    keyed = docs.drop(*(c for c in docs.columns if c.lower() in made)).withColumn("_ref", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    texts = keyed.select(F.col("_ref").alias("ref"), F.col(text).alias("text"))
     bound_batches(docs.sparkSession)
-    spans = whole(lambda: repeated_spans(texts), "suffix-found")
-    copied = texts.groupBy("ref").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("ref", F.lit(True).alias("_copied"))
+    keyed, kinds = with_refs(docs.drop(*(c for c in docs.columns if c.lower() in made)), text)
+    texts = keyed.select(F.col("_ref").alias("ref"), F.col(text).alias("text"))
+    total = kinds.agg(F.coalesce(F.sum(F.col("n") * F.col("bytes")), F.lit(0))).first()[0]
+    spans = whole(lambda: repeated_spans(texts, total), "suffix-found")
+    copied = kinds.where("n > 1").select("ref", F.lit(True).alias("_copied"))
     of_text = (spans.groupBy("ref").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))  # of one text
                .join(copied, "ref", "full").select(F.col("ref").alias("_r"), "_spans", "_copied"))
     joined = keyed.join(of_text, F.col("_ref") == F.col("_r"), "left").drop("_ref", "_r")

@@ -7,6 +7,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from pressloom.llm import jaccard_join, shingles, suffix_dedup
 from pressloom.llm.components import components
@@ -206,3 +207,25 @@ def test_repeats_in_repeated_rows_and_nothing(spark):
     df = spark.createDataFrame([(None, text), (None, text), (1, "short"), (1, "short"), (2, None)], "doc_id long, text string")
     assert sorted((r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(df).collect()) == [(0, 0, 0), (5, 0, 0), (5, 0, 0), (400, 400, 1), (400, 400, 1)]
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_frequent_anchors_and_texts_of_one_hash(spark, monkeypatch):
+    """A passage in every text, its segments dealt by digest; texts of one length have one hash until they get others."""
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", 2)
+    monkeypatch.setattr(suffix_dedup, "SEEN", 5)
+    monkeypatch.setattr(suffix_dedup, "text_hash", lambda salt, text: F.xxhash64(F.lit(salt), text) if salt else F.length(text).cast("long"))
+    rng = random.Random(6)
+    passage = "".join(rng.choices("abcdefgh", k=450))
+    texts = ["".join(rng.choices("xyz", k=n)) + passage + "".join(rng.choices("uvw", k=40)) for n in [30] * 12 + [250] * 6]
+    texts += [passage[:300] + "#" * 260, passage[100:] + "-=" * 150, "-=" * 150, "k" * 900, texts[2], texts[2], "a" * 490, "b" * 490, None, ""]
+    check_repeats(spark, list(enumerate(texts)))
+
+
+def test_runs_take_few_segments():
+    """A long run or period is a few segments and one run of strings that are known to repeat; all strings are accounted for once."""
+    for unit in ("z", "-=", "abc", "0123456789"):
+        raw = np.frombuffer((unit * 300_000)[:300_000].encode(), np.uint8)
+        e, known = suffix_dedup.segments(raw, 7)
+        assert len(e) <= 200 and len(known) <= 5
+        assert int(e["strings"].sum()) + int(known["strings"].sum()) == len(raw) - 199
+    assert all(len(x) == 0 for x in suffix_dedup.segments(np.empty(0, np.uint8), 7))
