@@ -41,7 +41,7 @@ BUCKET = 400_000  # segments of a task that compares digests
 SAMPLE_BYTES = 64 << 20  # of texts in which frequent anchors are looked for
 FREQUENT = 64  # segments of a frequent anchor in the sample
 SEEN = 200_000  # digests of frequent anchors that a task remembers at a time
-BLOCK_BYTES = 2 << 20  # bytes of a block that is sorted at a time
+BLOCK_BYTES = 64 << 10  # bytes of a block that is sorted at a time: its arrays fit a core's cache
 BLOCK_ROWS = 20_000  # segments with one core; more are split by longer cores
 _R = 0x9E3779B97F4A7C15
 _INVERSE = pow(_R, -1, 1 << 64)
@@ -112,7 +112,7 @@ def joined_runs(e: np.ndarray) -> np.ndarray:
 
 def folded(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two of each kind of equal segments, and the runs of the others: that these repeat is known."""
-    order = np.lexsort((e["digest"], e["anchor"]))
+    order = np.argsort(e["digest"])  # it covers the anchor's bytes too
     anchor, digest = e["anchor"][order], e["digest"][order]
     first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (digest[1:] != digest[:-1])]) if len(e) else np.empty(0, int)
     nth = np.arange(len(e)) - np.repeat(first, np.diff(np.r_[first, len(e)]))
@@ -133,9 +133,10 @@ def segments(raw: np.ndarray, ref: int) -> tuple[np.ndarray, np.ndarray]:
         e = np.empty(len(start), _ENTRY)
         e["anchor"], e["ref"], e["start"], e["place"], e["strings"] = anchors[places[start]], ref, piece + start, places[start] - start, end - start
         e["digest"] = mixed(Hashes(part).of(start, end + LENGTH - 1) + e["place"])
-        e, runs_ = folded(e)
+        if len(e) > len(part) // 16:  # runs and periods: not more of them are held at a time than of one piece
+            e, runs_ = folded(e)
+            known.append(runs_)
         parts.append(e)
-        known.append(runs_)
     return np.concatenate(parts), np.concatenate(known)
 
 
