@@ -38,7 +38,7 @@ ANCHOR = 64
 SPAN = LENGTH - ANCHOR + 1  # places of an anchor in a string
 PIECE = 1 << 20  # strings of a text that are anchored at a time
 BUCKET = 400_000  # segments of a task that compares digests
-SAMPLE_BYTES = 64 << 20  # of texts in which frequent anchors are looked for
+SAMPLE_BYTES = 16 << 20  # of texts in which frequent anchors are looked for
 FREQUENT = 64  # segments of a frequent anchor in the sample
 SEEN = 200_000  # digests of frequent anchors that a task remembers at a time
 BLOCK_BYTES = 64 << 10  # bytes of a block that is sorted at a time: its arrays fit a core's cache
