@@ -8,7 +8,7 @@ from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,7 @@ def shared_path(spark: SparkSession, what: str) -> str:
 _scope: ContextVar[list[str] | None] = ContextVar("llm-staged", default=None)  # of the innermost ``whole`` of this thread
 
 
-def whole(make: Callable[[], DataFrame], what: str) -> DataFrame:
+def whole(make: Callable[[], DataFrame], what: str, narrow: bool = False) -> DataFrame:
     """``make()`` staged as a whole; what was staged to make it is deleted then.
 
     For operators with a result that is small against what leads to it. Other threads
@@ -46,7 +46,7 @@ def whole(make: Callable[[], DataFrame], what: str) -> DataFrame:
         df = make()
         _scope.reset(token)
         token = None
-        return stage(df, what)
+        return stage(df, what, narrow=narrow)
     finally:
         if token is not None:
             _scope.reset(token)
@@ -69,12 +69,19 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_BYTES))
 
 
-def stage(df: DataFrame, what: str, compression: str = "zstd") -> DataFrame:
+#: files of a staged frame of narrow rows, for each core of the cluster
+NARROW_FILES = 4
+
+
+def stage(df: DataFrame, what: str, compression: str = "zstd", narrow: bool = False) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
     Cuts the lineage like ``checkpoint()``, but later readers prune columns and
-    row groups. Survives lost executors: the files are on shared storage.
+    row groups. Survives lost executors: the files are on shared storage. ``narrow``: rows of a few
+    numbers, quickly made; they go to ``NARROW_FILES`` files a core at most, not to one for each shuffle partition.
     """
+    if narrow:
+        df = df.coalesce(NARROW_FILES * df.sparkSession.sparkContext.defaultParallelism)
     path = shared_path(df.sparkSession, what)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -111,6 +118,26 @@ def replace_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Rec
                                       names=[*(batch.schema.names[i] for i in keep), name])
 
 
+#: bits of a bitmap of keys, at most: half a million rows of 64 bits
+MAYBE_BITS = 1 << 25
+
+
+def maybe_among(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``df`` with ``_maybe``: true where ``key`` (a 64-bit hash) is in the only column of ``keys``, and for few other rows.
+
+    So rows that a join has no partner for needn't be shuffled with their texts. By a bitmap of 16 bits a key, which is
+    broadcast; beyond ``MAYBE_BITS`` bits it lets more of the other rows pass, up to all.
+    """
+    keys = keys.toDF("_key").distinct()
+    bits = min(MAYBE_BITS, max(1 << 10, 1 << (16 * keys.count()).bit_length()))
+    place = lambda k: k.bitwiseAND(F.lit(bits - 1))
+    words = (keys.select(place(F.col("_key")).alias("_p")).groupBy(F.shiftright("_p", 6).alias("_word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(_p & 63 as int))")).alias("_bits")))
+    joined = df.withColumn("_at", place(key)).join(F.broadcast(words), F.shiftright("_at", 6) == F.col("_word"), "left")
+    maybe = F.coalesce(F.expr("(shiftright(_bits, cast(_at & 63 as int)) & 1L) = 1L"), F.lit(False))
+    return joined.withColumn("_maybe", maybe).drop("_at", "_word", "_bits")
+
+
 def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``: the join then shuffles.
 

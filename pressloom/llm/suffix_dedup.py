@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressloom.llm.common import bound_batches, bounded, small_batches, stage, table, whole
+from pressloom.llm.common import bound_batches, bounded, maybe_among, small_batches, stage, table, whole
 from pressloom.llm.shingles import mixed
 
 LENGTH = 200
@@ -140,39 +140,52 @@ def segments(raw: np.ndarray, ref: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.concatenate(known)
 
 
+def least_between(a: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Least of ``a`` in each range (of one item at least), the later ranges first, so that what is between two is not gone through."""
+    back = np.argsort(-start)
+    out = np.empty(len(start), a.dtype)
+    out[back] = np.minimum.reduceat(a, np.stack([start[back], stop[back]], 1).ravel())[::2]
+    return out
+
+
 def column_sort(bodies: list[bytes]) -> list[np.ndarray]:
     """For each body, whether the string that starts at a place also starts elsewhere in the collection.
 
     Column-wise construction: after round j the arrays describe all suffixes of at most
     j symbols, sorted. ``bwt`` is the symbol before each, ``lcp`` its common prefix with
-    the one above, ``owner`` and ``size`` its body and length.
+    the one above, ``owner`` and ``size`` its body and length; only suffixes of ``LENGTH`` symbols
+    or more are asked for, so these two are kept from the round of that length on.
     """
     n = len(bodies)
     sizes = np.array([len(b) for b in bodies])
     raw = np.frombuffer(b"".join(bodies), np.uint8)
     ends = np.cumsum(sizes)
     bwt = np.where(sizes > 0, raw[np.maximum(ends - 1, 0)], _END).astype(np.uint8)
-    lcp, owner, size = np.zeros(n, np.uint8), np.arange(n, dtype=np.int32), np.zeros(n, np.int16)
+    lcp = np.zeros(n, np.uint8)
+    owner, size = np.empty(0, np.int32), np.empty(0, np.int16)
     fresh = np.flatnonzero(sizes > 0)  # suffixes of the last round that have a symbol before them
+    who = fresh  # their bodies
+    key, shift = (np.uint32, 24) if n + len(raw) < 1 << 24 else (np.uint64, 32)
+    places, place = np.arange(n + len(raw), dtype=key), key((1 << shift) - 1)
     for j in range(1, int(sizes.max(initial=0)) + 1):
-        order = np.argsort(bwt, kind="stable")  # the suffix above with one symbol more is in this order
-        rank = np.empty(len(bwt), np.int64)
-        rank[order] = np.arange(len(bwt))
-        at = rank[fresh]
-        fresh = fresh[np.argsort(at)]
-        at = rank[fresh]
-        symbol = bwt[fresh]
-        above = order[np.maximum(at - 1, 0)]
-        below = order[np.minimum(at + 1, len(order) - 1)]
-        has_above, has_below = (at > 0) & (bwt[above] == symbol), (at + 1 < len(order)) & (bwt[below] == symbol)
+        keys = bwt.astype(key) << key(shift) | places[:len(bwt)]
+        asked = keys[fresh]
+        asked.sort()
+        who = who[np.searchsorted(fresh, asked & place)]
+        fresh = (asked & place).astype(np.int64)
+        keys.sort()  # the suffix above with one symbol more is in this order
+        at = np.searchsorted(keys, asked)
+        symbol = asked >> key(shift)
+        above, below = keys[np.maximum(at - 1, 0)], keys[np.minimum(at + 1, len(keys) - 1)]
+        has_above, has_below = (at > 0) & (above >> key(shift) == symbol), (at + 1 < len(keys)) & (below >> key(shift) == symbol)
+        above, below = (above & place).astype(np.int64), (below & place).astype(np.int64)
         ahead = np.append(lcp, np.uint8(255))
         # least common prefix between a suffix and the one before (after) it that has the same symbol before it
-        up = np.minimum.reduceat(ahead, np.stack([np.where(has_above, above + 1, fresh), fresh + 1], 1).ravel())[::2]
-        down = np.minimum.reduceat(ahead, np.stack([np.where(has_below, fresh + 1, fresh), np.where(has_below, below + 1, fresh + 1)], 1).ravel())[::2]
+        up = least_between(ahead, np.where(has_above, above + 1, fresh), fresh + 1)
+        down = least_between(ahead, np.where(has_below, fresh + 1, fresh), np.where(has_below, below + 1, fresh + 1))
         up = np.where(has_above, np.minimum(up, 254) + 1, 0).astype(np.uint8)
         down = np.where(has_below, np.minimum(down, 254) + 1, 0).astype(np.uint8)
         new = n + at  # n sentinels come first
-        who = owner[fresh]
         before = ends[who] - j - 1
         left = sizes[who] > j
         old = np.ones(len(bwt) + len(new), bool)
@@ -184,14 +197,17 @@ def column_sort(bodies: list[bytes]) -> list[np.ndarray]:
             out[new] = values
             return out
 
+        if j == LENGTH:
+            owner, size = np.full(len(bwt), -1, np.int32), np.zeros(len(bwt), np.int16)
+        if j >= LENGTH:
+            owner, size = insert(owner, who), insert(size, j)
         bwt = insert(bwt, np.where(left, raw[np.maximum(before, 0)], _END))
-        owner, size = insert(owner, who), insert(size, j)
         lcp = insert(lcp, up)
         lcp[new[has_below] + 1] = down[has_below]
-        fresh = new[left]
+        fresh, who = new[left], who[left]
     repeated = lcp >= LENGTH
     repeated[:-1] |= repeated[1:].copy()
-    found = np.flatnonzero(repeated & (size >= LENGTH))
+    found = np.flatnonzero(repeated & (size >= LENGTH)) if len(size) else np.empty(0, int)
     out = [np.zeros(max(s - LENGTH + 1, 0), bool) for s in sizes.tolist()]
     for i, s in zip(owner[found].tolist(), size[found].tolist()):
         out[i][len(bodies[i]) - s] = True
@@ -416,7 +432,7 @@ def with_refs(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     for salt in count(1):
         kinds = stage(named.groupBy(F.col("_ref").alias("ref")).agg(
             F.count(F.lit(1)).alias("n"), F.min(size).alias("bytes"), F.max(size).alias("most"),
-            F.min(second).alias("low"), F.max(second).alias("high")), "suffix-texts")
+            F.min(second).alias("low"), F.max(second).alias("high")), "suffix-texts", narrow=True)
         shared = kinds.where("bytes < most or low < high").select(F.col("ref").alias("_shared"))
         if shared.limit(1).count() == 0:
             return named, kinds.select("ref", "n", "bytes")
@@ -439,7 +455,7 @@ def repeated_spans(texts: DataFrame, total: int) -> DataFrame:
             yield pa.RecordBatch.from_pylist(rows, schema=_BODIES)
 
     while True:  # at most log2(SPAN) times: a core is then the whole string
-        many = stage(bodies.groupBy("core").agg(F.count_distinct("ref", "start").alias("n")).where(F.col("n") > BLOCK_ROWS).select("core"), "suffix-many")
+        many = stage(bodies.groupBy("core").agg(F.count_distinct("ref", "start").alias("n")).where(F.col("n") > BLOCK_ROWS).select("core"), "suffix-many", narrow=True)
         fits = bodies.join(many, "core", "left_anti")
         spans = spans.union(sort_blocks(fits))
         large = bodies.join(many, "core", "left_semi")
@@ -468,7 +484,8 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     copied = kinds.where("n > 1").select("ref", F.lit(True).alias("_copied"))
     of_text = (spans.groupBy("ref").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))  # of one text
                .join(copied, "ref", "full").select(F.col("ref").alias("_r"), "_spans", "_copied"))
-    joined = keyed.join(of_text, F.col("_ref") == F.col("_r"), "left").drop("_ref", "_r")
+    marked = maybe_among(keyed, F.col("_ref"), spans.select("ref").union(copied.select("ref")))
+    joined = marked.where("_maybe").drop("_maybe").join(of_text, F.col("_ref") == F.col("_r"), "left").drop("_ref", "_r")
     base = joined.drop("_spans", "_copied").schema
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())])
     schema = T.StructType([*base.fields, *(T.StructField(n, T.LongType()) for n in made[:3]),
@@ -498,7 +515,11 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
             arrays = [col[f.name] for f in base.fields] + [pa.array([c[i] for c in counts], pa.int64()) for i in range(3)]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(found, pa.list_(pair)), pa.array(kept, pa.binary())], names=[f.name for f in schema.fields])
 
-    return joined.mapInArrow(run, schema)
+    value = F.coalesce(F.col(text), F.lit(""))  # of the other rows nothing repeats: their texts don't move
+    zero, none = F.lit(0).cast("bigint"), F.array().cast(schema["spans"].dataType)
+    others = marked.where("not _maybe").select(*(F.col(f.name) for f in base.fields), F.octet_length(value).cast("bigint").alias("n_bytes"),
+                                               zero.alias("n_removed"), zero.alias("n_spans"), none.alias("spans"), value.cast("binary").alias("kept"))
+    return others.union(joined.mapInArrow(run, schema))
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pressloom.llm import jaccard_join, shingles, suffix_dedup
+from pressloom.llm import common, jaccard_join, shingles, suffix_dedup
 from pressloom.llm.components import components
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -229,3 +229,42 @@ def test_runs_take_few_segments():
         assert len(e) <= 200 and len(known) <= 5
         assert int(e["strings"].sum()) + int(known["strings"].sum()) == len(raw) - 199
     assert all(len(x) == 0 for x in suffix_dedup.segments(np.empty(0, np.uint8), 7))
+
+
+def test_least_between_and_sort_of_short_bodies():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 50, 900):
+        a = rng.integers(0, 255, n, dtype=np.uint8)
+        start = rng.integers(0, n, 40)
+        stop = np.array([rng.integers(s + 1, n + 1) for s in start])
+        got = suffix_dedup.least_between(np.append(a, np.uint8(255)), start, stop)
+        assert got.tolist() == [a[s:e].min() for s, e in zip(start, stop)]
+    assert [f.tolist() for f in suffix_dedup.column_sort([b"", b"ab", b"x" * 199])] == [[], [], []]
+    assert [f.tolist() for f in suffix_dedup.column_sort([b"x" * 201, b"", b"y" * 200, b"y" * 200])] == [[True, True], [], [True], [True]]
+
+
+def test_rows_where_nothing_repeats_keep_all_columns(spark):
+    """Such rows don't go through the join; their columns and types are those of the others."""
+    rng = random.Random(8)
+    shared = prose(rng, 80)
+    texts = [prose(rng, 60) for _ in range(300)] + [shared, "x " + shared, None, ""]
+    df = spark.createDataFrame([(i, t, {"a": i}) for i, t in enumerate(texts)], "doc_id long, text string, other map<string,int>")
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(df).collect()}
+    assert len(got) == len(texts) and all(got[i].text == t and got[i].other == {"a": i} for i, t in enumerate(texts))
+    for i, t in enumerate(texts):
+        assert (got[i].n_bytes, got[i].spans is None) == (len((t or "").encode()), False)
+        if i < 300 or not t:
+            assert (got[i].n_removed, got[i].n_spans, got[i].spans, bytes(got[i].kept)) == (0, 0, [], (t or "").encode())
+    assert got[300].n_removed == len(shared) and got[301].n_removed == len(shared)
+
+
+@pytest.mark.parametrize("bits", [1 << 25, 64])
+def test_maybe_among_misses_no_key(spark, monkeypatch, bits):
+    monkeypatch.setattr(common, "MAYBE_BITS", bits)
+    df = spark.range(5000).withColumn("h", F.xxhash64("id"))
+    marked = common.maybe_among(df, F.col("h"), df.where("id % 50 = 0").select("h").union(df.where("id % 100 = 0").select("h")))
+    assert marked.columns == ["id", "h", "_maybe"]
+    rows = {r.id: r._maybe for r in marked.collect()}
+    assert len(rows) == 5000 and all(rows[i] for i in range(0, 5000, 50))
+    assert bits == 64 or sum(rows.values()) < 700
+    assert not any(r._maybe for r in common.maybe_among(df, F.col("h"), df.limit(0).select("h")).collect())
