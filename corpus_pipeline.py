@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressloom.llm import bpe_codec, jaccard_join, mixing, quality_rules, suffix_dedup
-from pressloom.llm.common import stage, table
+from pressloom.llm.common import maybe_among, stage, table
 
 #: shares of the mixture's tokens, at most: the clean domain gets the tokens it has, the others KEEP times theirs if that is less
 SHARES = {"clean": 0.993, "toxic": 0.002, "low": 0.005}
@@ -37,21 +37,24 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     row = F.struct("doc_id", "ref")
     first = groups.groupBy("group").agg(F.min(row).alias("first"))
     rows = groups.groupBy("group", "doc_id", "ref").agg(F.count(F.lit(1)).alias("times")).join(first, "group")
-    judged = stage(rows.select("doc_id", "ref", (F.col("first") == row).alias("stays"), "times").where("not stays or times > 1"), "copies-judged")
-    named = docs.withColumn("_ref", F.xxhash64(F.coalesce("text", F.lit(""))))
+    judged = stage(rows.select("doc_id", "ref", (F.col("first") == row).alias("stays"), "times").where("not stays or times > 1"), "copies-judged", narrow=True)
+    named = maybe_among(docs.withColumn("_ref", F.xxhash64(F.coalesce("text", F.lit("")))), F.col("_ref"), judged.select("ref"))
+    single = named.where("not _maybe").select(docs.columns)  # their texts don't move
+    named = named.where("_maybe").drop("_maybe")
     of = lambda rows: rows.select(F.col("doc_id").alias("_id"), F.col("ref").alias("_r"))
     same = (F.col("doc_id") == F.col("_id")) & (F.col("_ref") == F.col("_r"))
     kept = named.join(of(judged.where("not stays")), same, "left_anti")
     again = of(judged.where("stays"))  # rows that are there several times
     if again.limit(1).count() == 0:
-        return kept.drop("_ref")
+        return single.unionByName(kept.drop("_ref"))
     once = kept.join(again, same, "left_semi").groupBy("doc_id", "_ref").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
-    return kept.join(again, same, "left_anti").drop("_ref").unionByName(once)
+    return single.unionByName(kept.join(again, same, "left_anti").drop("_ref")).unionByName(once)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated strings out of the texts; characters that a cut went through go as well."""
-    cut = suffix_dedup.remove_repeats(docs.withColumn("_row", F.struct("*")).select("_row", "text"))
+    others = F.struct(*(c for c in docs.columns if c != "text"))  # the text itself travels once
+    cut = suffix_dedup.remove_repeats(docs.select(others.alias("_row"), "text"))
     valid = F.make_valid_utf8(F.col("kept").cast("string"))
     whole = F.when(F.contains("text", F.lit("�")), valid).otherwise(F.regexp_replace(valid, "�", ""))
     changed = F.when(F.col("n_removed") > 0, whole).otherwise(F.col("text"))

@@ -87,6 +87,16 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndar
         yield new
 
 
+def repeated_items(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Items that the arrays hold twice or more, and how often. Empties the list: the items are there once more at most."""
+    items = np.concatenate(held)
+    held.clear()
+    items.sort()
+    edge = np.diff(np.r_[False, items[1:] == items[:-1], False].astype(np.int8))
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return items[begin], end - begin + 1
+
+
 def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, ref, text) of every row; ``ref``: hash of the text. Sets are cut out of the texts anew where they are
     needed, which costs less than storing them: they are as large as the texts."""
@@ -104,8 +114,7 @@ def measure_sets(texts: DataFrame) -> DataFrame:
         n_held = 0
 
         def counts() -> pa.RecordBatch:
-            tokens, times = np.unique(np.concatenate(held), return_counts=True)
-            tokens, times = tokens[times > 1], times[times > 1]
+            tokens, times = repeated_items(held)
             return pa.RecordBatch.from_pylist([{"tokens": tokens.astype(np.int64), "counts": times.astype(np.int32)}], schema=schema)
 
         for rows in _sets(batches):
@@ -120,7 +129,7 @@ def measure_sets(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist([{"id": i, "ref": r, "n": len(m), "set": k, "sketch": x} for (i, r, k, m), x in zip(rows, sketches)], schema=schema)
             if n_held >= COUNTED:
                 yield counts()
-                held, n_held = [], 0
+                n_held = 0
         if held:
             yield counts()
 
@@ -131,7 +140,7 @@ def measure_sets(texts: DataFrame) -> DataFrame:
 
 def distinct_sets(measured: DataFrame) -> DataFrame:
     """Staged (set, n, ref, copies) of every set that isn't empty; ``ref``: one of the texts that have it; ``copies``: rows."""
-    return stage(measured.where("n > 0").groupBy("set").agg(F.min("n").alias("n"), F.min("ref").alias("ref"), F.count(F.lit(1)).alias("copies")), "jaccard-distinct")
+    return stage(measured.where("n > 0").groupBy("set").agg(F.min("n").alias("n"), F.min("ref").alias("ref"), F.count(F.lit(1)).alias("copies")), "jaccard-distinct", narrow=True)
 
 
 def sketched(pairs: DataFrame, measured: DataFrame, keep: Callable[[int, float, int, int], bool]) -> DataFrame:
@@ -139,7 +148,7 @@ def sketched(pairs: DataFrame, measured: DataFrame, keep: Callable[[int, float,
 
     Sketches take about a twentieth of the sets, so most pairs that aren't alike end here and their sets don't travel.
     """
-    asked = stage(pairs.select("u", "v", "meet"), "jaccard-sketched")
+    asked = stage(pairs.select("u", "v", "meet"), "jaccard-sketched", narrow=True)
     keys = asked.select(F.explode(F.array("u", "v")).alias("_k")).distinct()
     known = measured.where("sketch is not null").select("set", "n", "sketch").join(keys, F.col("set") == F.col("_k"), "left_semi")
     known = stage(known.groupBy("set").agg(F.max("n").alias("n"), F.min("sketch").alias("sketch")), "jaccard-sketches")
@@ -153,7 +162,7 @@ def sketched(pairs: DataFrame, measured: DataFrame, keep: Callable[[int, float,
             chosen = [keep(*overlap_bounds(p.as_py(), q.as_py()), m, n) for p, q, m, n in zip(x, y, a.to_pylist(), b.to_pylist())]
             yield batch.select([0, 1, 2]).filter(pa.array(chosen, pa.bool_()))
 
-    return stage(both.mapInArrow(run, "u bigint, v bigint, meet bigint"), "jaccard-kept")
+    return stage(both.mapInArrow(run, "u bigint, v bigint, meet bigint"), "jaccard-kept", narrow=True)
 
 
 def ref_filter(refs: DataFrame, n_all: int):
@@ -223,7 +232,7 @@ def centre_pairs(texts: DataFrame, hot) -> DataFrame:
     least = stage(texts.mapInArrow(run, "set bigint, token bigint"), "jaccard-least")
     # another centre for each shingle, so that a set has several chances in its group
     centre = least.groupBy("token").agg(F.min_by("set", F.xxhash64("set", "token")).alias("u"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    return stage(least.join(centre, "token").where("set <> u").select("u", F.col("set").alias("v"), F.col("u").alias("meet")).distinct(), "jaccard-centres")
+    return stage(least.join(centre, "token").where("set <> u").select("u", F.col("set").alias("v"), F.col("u").alias("meet")).distinct(), "jaccard-centres", narrow=True)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int, keep: Callable[[int, int, int], bool],
@@ -248,8 +257,8 @@ def verify(pairs: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int, kee
     else:
         d = described.select(F.col("set").alias("_s"), "centre", "n", "added", "dropped")
         tests = tests.join(d, F.col("u") == F.col("_s"), "left").select("meet", "part", F.coalesce("centre", "u").alias("centre"), "u", "n", "added", "dropped", "vs")
-    tests = stage(tests, "jaccard-tests")
-    asked = stage(tests.select("meet", "part", F.explode(F.concat(F.array("centre"), "vs")).alias("_set")).distinct(), "jaccard-asked")
+    tests = stage(tests, "jaccard-tests", narrow=True)
+    asked = stage(tests.select("meet", "part", F.explode(F.concat(F.array("centre"), "vs")).alias("_set")).distinct(), "jaccard-asked", narrow=True)
     keys = asked.select("_set").distinct()
     wanted = ref_filter(sets.join(keys, F.col("set") == F.col("_set"), "left_semi").select("ref"), n_sets)
 
@@ -310,11 +319,11 @@ def stars(near: DataFrame, texts: DataFrame, sets: DataFrame, n_sets: int) -> Da
     both = near.select("u", F.col("v").alias("set")).union(near.select("u", F.col("u").alias("set")).distinct())
     own = (both.join(places, F.col("u") == F.col("c")).groupBy("set").agg(F.max(F.struct("times", "u")).alias("own"))
            .select("set", "own.u", "own.times"))
-    own = stage(own.join(components(near, "u", "v"), F.col("set") == F.col("node")).select("set", "u", "times", "component"), "jaccard-own")
+    own = stage(own.join(components(near, "u", "v"), F.col("set") == F.col("node")).select("set", "u", "times", "component"), "jaccard-own", narrow=True)
     main = own.groupBy(F.col("component").alias("_of")).agg(F.max(F.struct("times", "u")).alias("main")).select("_of", F.col("main.u").alias("main"))
-    own = stage(own.join(main, F.col("component") == F.col("_of")).select("set", F.col("u").alias("own"), "main"), "jaccard-mains")
+    own = stage(own.join(main, F.col("component") == F.col("_of")).select("set", F.col("u").alias("own"), "main"), "jaccard-mains", narrow=True)
     pairs = own.select(F.explode(F.array_distinct(F.array("main", "own"))).alias("u"), F.col("set").alias("v")).where("u <> v")
-    found = verify(stage(pairs.withColumn("meet", F.col("u")), "jaccard-pairs"), texts, sets, n_sets, alike, describe=True)
+    found = verify(stage(pairs.withColumn("meet", F.col("u")), "jaccard-pairs", narrow=True), texts, sets, n_sets, alike, describe=True)
     empty = F.lit(b"").cast("binary")
     self = own.where("own = set").select(F.col("set").alias("u"), F.col("set").alias("v"), empty.alias("added"), empty.alias("dropped"))
     best = (found.union(self).join(own, F.col("v") == F.col("set")).groupBy("set")
@@ -635,7 +644,7 @@ def candidate_pairs(entries: DataFrame, classes: DataFrame) -> DataFrame:
         F.sum("both").alias("both"), F.max("nu").alias("nu"), F.max("nv").alias("nv"), F.max("pu").alias("pu"), F.max("pv").alias("pv"), F.min("token").alias("meet"))
     most = F.col("both") + F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv")) - 1
     enough = most * (SHARE[0] + SHARE[1]) >= (F.col("nu") + F.col("nv")) * SHARE[0]
-    return stage(met.where(enough).select("u", "v", "meet"), "jaccard-candidates")
+    return stage(met.where(enough).select("u", "v", "meet"), "jaccard-candidates", narrow=True)
 
 
 def _linked_sets(docs: DataFrame, key: str, text: str, bits: bool = False) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -674,13 +683,13 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     size 0 and is linked with nothing. Rows that repeat a key are judged each by its
     own text. Empty tables give an empty result. The result is staged, and nothing else.
     """
-    return whole(lambda: _joined(docs, key, text).drop("ref", "_group"), "jaccard-joined")
+    return whole(lambda: _joined(docs, key, text).drop("ref", "_group"), "jaccard-joined", narrow=True)
 
 
 def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Staged (doc_id, ref, group) of every row: ``group`` is the same for rows that links reach, null without words;
     ``ref`` is the xxhash64 of the text. Unlike ``component_id`` it tells texts apart that share the smallest id."""
-    return whole(lambda: _joined(docs, key, text).select(key, "ref", F.col("_group").alias("group")), "jaccard-grouped")
+    return whole(lambda: _joined(docs, key, text).select(key, "ref", F.col("_group").alias("group")), "jaccard-grouped", narrow=True)
 
 
 def _joined(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -689,7 +698,7 @@ def _joined(docs: DataFrame, key: str, text: str) -> DataFrame:
     groups = components(spans.union(far), "u", "v")
     placed = members.join(groups, F.col("set") == F.col("node"), "left").select(
         "id", "ref", "n", "set", F.when(F.col("n") > 0, F.coalesce("component", "set")).alias("_group"))
-    placed = stage(placed, "jaccard-groups")
+    placed = stage(placed, "jaccard-groups", narrow=True)
     least = placed.where("_group is not null").groupBy(F.col("_group").alias("_g")).agg(F.min("id").alias("_least"))
     copies = sets.select(F.col("set").alias("_s"), "copies")
     one_way = far.join(copies, F.col("v") == F.col("_s")).select(F.col("u").alias("_set"), F.col("copies").alias("times"))
@@ -697,7 +706,7 @@ def _joined(docs: DataFrame, key: str, text: str) -> DataFrame:
     inside = within.select(F.explode(F.arrays_zip("sets", "times")).alias("x")).select(F.col("x.sets").alias("_set"), "x.times")
     equal = copies.select(F.col("_s").alias("_set"), (F.col("copies") - 1).alias("times"))
     counts = one_way.unionAll(other_way).unionAll(inside).unionAll(equal).groupBy("_set").agg(F.sum("times").alias("_links"))
-    counts = stage(counts, "jaccard-counts")
+    counts = stage(counts, "jaccard-counts", narrow=True)
     return (placed.join(least, F.col("_group") == F.col("_g"), "left").join(counts, (F.col("set") == F.col("_set")) & (F.col("n") > 0), "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("_g").isNull(), F.col("id")).otherwise(F.col("_least")).alias("component_id"),
         F.coalesce("_links", F.lit(0)).alias("n_links"), "ref", "_group"))

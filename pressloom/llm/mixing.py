@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressloom.llm.common import SPACES, stage, table
+from pressloom.llm.common import SPACES, maybe_among, stage, table
 
 #: domains of the labelled table, in order: what each label row says
 DOMAINS = ["clean", "toxic", "low"]
@@ -84,7 +84,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     weights = [F.log(t / (1 - t)).alias(f"w{i}") for i, t in enumerate(theta)]
     absent = [F.log(1 - t).alias(f"a{i}") for i, t in enumerate(theta)]
     scored = stage(seen.select("_feature", *weights, *absent, *(z.alias(f"z{i}") for i, z in enumerate(standing)))
-                   .where(F.coalesce(*_columns("z")).isNotNull()), "mixing-features")
+                   .where(F.coalesce(*_columns("z")).isNotNull()), "mixing-features", narrow=True)
     best = [scored.where(F.col(z).isNotNull()).orderBy(F.desc(z), "_feature").limit(TOP_FEATURES) for z in _columns("z")]
     features = best[0]
     for b in best[1:]:
@@ -195,7 +195,7 @@ def mix_rates(docs: DataFrame, labels: DataFrame, shares: dict[str, float], anch
     anchor gets at most ``keep`` times its present tokens, whatever its share. If no word tells the domains apart, there is nothing to mix by, and all rates are 1.
     """
     weights, priors = fit_classifier(docs, labels)
-    members = stage(posteriors(docs, weights, priors), "mixing-posteriors")
+    members = stage(posteriors(docs, weights, priors), "mixing-posteriors", narrow=True)
     if weights.limit(1).count() == 0:
         return members.withColumn("rate", F.lit(1.0))
     now = domain_totals(members, F.lit(1.0))
@@ -213,9 +213,10 @@ def sample_by_rate(docs: DataFrame, rates: DataFrame, key: str = "doc_id", seed:
     """
     u = F.pmod(F.xxhash64(F.col("_key"), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = F.floor("rate").cast("int") + (u < F.col("rate") - F.floor("rate")).cast("int")
-    times = rates.select(F.col(key).alias("_key"), copies.alias("_copies"))
-    joined = docs.join(times, F.col(key) == F.col("_key"), "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
-    return joined.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(F.col(c) for c in docs.columns))
+    times = rates.select(F.col(key).alias("_key"), copies.alias("_copies")).where("_copies <> 1")
+    marked = maybe_among(docs, F.xxhash64(F.col(key)), times.select(F.xxhash64("_key")))  # the others are taken once: their texts don't move
+    joined = marked.where("_maybe").join(times, F.col(key) == F.col("_key"), "left").withColumn("_copies", F.coalesce("_copies", F.lit(1)))
+    return marked.where("not _maybe").select(*(F.col(c) for c in docs.columns)).union(joined.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*(F.col(c) for c in docs.columns)))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -268,3 +268,26 @@ def test_maybe_among_misses_no_key(spark, monkeypatch, bits):
     assert len(rows) == 5000 and all(rows[i] for i in range(0, 5000, 50))
     assert bits == 64 or sum(rows.values()) < 700
     assert not any(r._maybe for r in common.maybe_among(df, F.col("h"), df.limit(0).select("h")).collect())
+
+
+def test_narrow_frames_go_to_few_files(spark):
+    """Not to one file for each shuffle partition."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "101")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        made = components(spark.range(2000).select(F.col("id").alias("a"), (F.col("id") + 2).alias("b")))
+        assert len(made.inputFiles()) <= 4 * spark.sparkContext.defaultParallelism < 101
+        assert made.groupBy("component").count().count() == 2
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def test_repeated_items():
+    rng = np.random.default_rng(4)
+    for high in (3, 50, 10**6):
+        held = [np.unique(rng.integers(0, high, n, dtype=np.uint64)) for n in (0, 1, 40, 300)]
+        want = {k: n for k, n in Counter(np.concatenate(held).tolist()).items() if n > 1}
+        items, times = jaccard_join.repeated_items(held)
+        assert dict(zip(items.tolist(), times.tolist())) == want and held == []
