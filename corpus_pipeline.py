@@ -71,11 +71,14 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text and the digest of the bytes they decode to."""
+    """Token ids of each text and the digest of the bytes they decode to.
+
+    The ids are staged before they are decoded: in one plan each task would hold two Python workers, and workers stay for the stages after.
+    """
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = bpe_codec.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern).drop("text")
+    encoded = stage(bpe_codec.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern).drop("text"), "tokens-encoded")
     return bpe_codec.decode(encoded, path, pattern).select(
         "doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

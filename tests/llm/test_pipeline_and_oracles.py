@@ -115,6 +115,12 @@ def test_mix_thins_out_toxic_texts_rare_or_not(spark, tmp_path, n_toxic):
     assert sum(i < n_toxic for i in ids) <= max(1, 0.2 * n_toxic)
 
 
+def test_tokens_hold_one_python_worker_a_task(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = corpus_pipeline.tokens(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # two in one task would run at once, each in a worker of its own
+
+
 def test_nothing_else_imports_the_subpackage():
     top = os.path.dirname(corpus_pipeline.__file__)
     for folder, _, files in os.walk(os.path.join(top, "pressloom")):
